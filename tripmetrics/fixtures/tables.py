@@ -1,0 +1,78 @@
+"""The test tables as the library's inputs. Whole tables are used; every rule is per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmetrics.functions import TIMESTAMP_FORMAT, truncate_time
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _props_k() -> Column:
+    return F.get_json_object("props", "$.k").cast("int")
+
+
+def _shifted(ts: Column, months: int) -> Column:
+    """``ts`` moved by 0 to ``months - 1`` whole months, by event."""
+    return ts + F.make_ym_interval(F.lit(0), (F.col("event_id") % months).cast("int"))
+
+
+def trips_raw(spark: SparkSession, sf_dir: str, start_unit: str = "second") -> DataFrame:
+    """Raw taxi trips from ``events``: times as text, NULL and zero numbers, trips that break each rule."""
+    event, k = F.col("event_id"), _props_k()
+    start = _shifted(truncate_time(F.col("ts"), start_unit), 36)
+    end = start + F.make_dt_interval(F.lit(0), F.lit(0), k, F.lit(0))
+    fare = F.col("value") * 5
+    return table(spark, sf_dir, "events").select(
+        event.alias("trip_id"),
+        F.col("user_id").alias("taxi_id"),
+        F.date_format(start, TIMESTAMP_FORMAT).alias("start_text"),
+        F.date_format(end, TIMESTAMP_FORMAT).alias("end_text"),
+        F.nullif(k * 60, F.lit(0)).alias("trip_seconds"),
+        F.when(event % 1009 == 5, F.lit(1200.5)).otherwise((event % 97).cast("double") / 3).alias("trip_miles"),
+        F.when(event % 101 != 7, fare).alias("fare"),
+        F.when(event % 7 != 0, fare * (event % 25) / 100).alias("tips"),
+    )
+
+
+def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw weather measurements from ``events``, hourly, over six months and three stations."""
+    measured = _shifted(truncate_time(F.col("ts"), "hour"), 6)
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("measurement_id"),
+        F.concat(F.lit("Station "), (F.col("user_id") % 3).cast("string"), F.lit(" St")).alias("station"),
+        F.date_format(measured, TIMESTAMP_FORMAT).alias("measured_text"),
+        F.when(F.col("event_id") % 5 != 0, F.col("value") / 100).alias("interval_rain"),
+        (_props_k().cast("double") / 10).alias("intensity"),
+    )
+
+
+def _centroid(i: int) -> Column:
+    """Element ``i`` as degrees on a grid of hundredths, so that trips share positions."""
+    hundredths = F.floor(F.col("embedding")[i].cast("double") * 100 + 0.5).cast("int")
+    return hundredths / F.lit(100).cast("double")
+
+
+def trip_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips with positions from ``embeddings``; the start is missing where the label is 0."""
+    known = F.col("label") != 0
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("trip_id"),
+        F.when(known, _centroid(0)).alias("start_lat"),
+        F.when(known, _centroid(1)).alias("start_lng"),
+        _centroid(2).alias("end_lat"),
+        _centroid(3).alias("end_lng"),
+    )
+
+
+def zip_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A postcode reference from ``embeddings``, one postcode for each row."""
+    return table(spark, sf_dir, "embeddings").select(
+        (F.col("vec_id") + 60000).cast("int").alias("zip"),
+        F.col("embedding")[0].cast("double").alias("lat"),
+        F.col("embedding")[1].cast("double").alias("lng"),
+    )
