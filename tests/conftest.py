@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
@@ -28,4 +29,4 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return "/root/testdata/sf0.001"
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

@@ -2,6 +2,10 @@
 
 Every text is a chain of common table expressions followed by the question. The texts state the
 question in plain SQL; they share no code with the DataFrame operators.
+
+Rounded values are shifted up by a ten-thousandth of the last digit first. The last bit of a float sum
+depends on the order of adding, so a mean that lies exactly half-way between two rounded values, such
+as 0.4596875, would go up in one engine and down in the other.
 """
 
 from __future__ import annotations
@@ -136,18 +140,18 @@ def _geo(select: str, extra: str = "") -> str:
 _RAW_TRIPS_ONLY = "WITH" + _TRIPS_RAW.replace("{unit}", "second") + "\n"
 _TRIP_FIELDS = "trip_id, taxi_id, start_ts, end_ts, trip_seconds, trip_miles, fare, tips, speed_mph, midpoint_hour, year"
 _PREPARED = "trip_id, fare, tips, speed_mph, start_ts, end_ts, midpoint_hour, trip_miles"
-_MEANS = "midpoint_hour, round(speed_mph, 6) AS speed_mph, round(fare, 6) AS fare, round(tips, 6) AS tips"
-_TOTALS = "midpoint_hour, round(fare, 4) AS fare, round(tips, 4) AS tips"
-_RAIN = "measured_ts, round(interval_rain, 6) AS interval_rain, round(intensity, 6) AS intensity"
+_MEANS = "midpoint_hour, round(speed_mph + 1e-10, 6) AS speed_mph, round(fare + 1e-10, 6) AS fare, round(tips + 1e-10, 6) AS tips"
+_TOTALS = "midpoint_hour, round(fare + 1e-8, 4) AS fare, round(tips + 1e-8, 4) AS tips"
+_RAIN = "measured_ts, round(interval_rain + 1e-10, 6) AS interval_rain, round(intensity + 1e-10, 6) AS intensity"
 _JOINED_ROWS = (
-    "SELECT trip_id, rain_ts, unix_time, round(interval_rain, 6) AS interval_rain, "
-    "round(intensity, 6) AS intensity, fare, tips FROM joined"
+    "SELECT trip_id, rain_ts, unix_time, round(interval_rain + 1e-10, 6) AS interval_rain, "
+    "round(intensity + 1e-10, 6) AS intensity, fare, tips FROM joined"
 )
 _ON_HOUR = "date_trunc('hour', g.start_ts)"
 
 
 def _pearson(a: str, b: str, name: str) -> str:
-    return f"round(covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0), 6) AS {name}"
+    return f"round(covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0) + 1e-10, 6) AS {name}"
 
 
 def _peaks(source: str, key: str, metrics: tuple[str, ...], fields: str) -> str:
@@ -192,24 +196,24 @@ def oracle_sql() -> dict[str, str]:
         "good_trips_by_year": _trips("SELECT year, count(*) AS trips FROM good WHERE year IS NOT NULL GROUP BY year"),
         "quality_summary": _trips(
             "SELECT t.n AS trips, g.n AS good, t.n - g.n AS bad, "
-            "round(CAST(t.n - g.n AS DOUBLE) / t.n * 100, 6) AS bad_pct "
+            "round(CAST(t.n - g.n AS DOUBLE) / t.n * 100 + 1e-10, 6) AS bad_pct "
             "FROM (SELECT count(*) AS n FROM trips) t, (SELECT count(*) AS n FROM good) g"
         ),
         # revenue
         "taxi_revenue_per_trip": _trips(
-            "SELECT taxi_id, round(avg(fare + tips), 6) AS revenue_per_trip FROM good GROUP BY taxi_id"
+            "SELECT taxi_id, round(avg(fare + tips) + 1e-10, 6) AS revenue_per_trip FROM good GROUP BY taxi_id"
         ),
         "taxi_revenue_per_day": _trips(
             "SELECT taxi_id, count(DISTINCT CAST(start_ts AS DATE)) AS days, "
-            "round(sum(fare + tips) / count(DISTINCT CAST(start_ts AS DATE)), 6) AS revenue_per_day "
+            "round(sum(fare + tips) / count(DISTINCT CAST(start_ts AS DATE)) + 1e-10, 6) AS revenue_per_day "
             "FROM good WHERE start_ts IS NOT NULL GROUP BY taxi_id"
         ),
         "top_taxis_per_trip": _trips(
-            "SELECT taxi_id, round(avg(fare + tips), 6) AS revenue_per_trip FROM good "
+            "SELECT taxi_id, round(avg(fare + tips) + 1e-10, 6) AS revenue_per_trip FROM good "
             "GROUP BY taxi_id ORDER BY avg(fare + tips) DESC, taxi_id LIMIT 6"
         ),
         "top_taxi_total": _trips(
-            "SELECT taxi_id, round(sum(fare + tips), 4) AS revenue FROM good WHERE year = 2025 "
+            "SELECT taxi_id, round(sum(fare + tips) + 1e-8, 4) AS revenue FROM good WHERE year = 2025 "
             "GROUP BY taxi_id ORDER BY sum(fare + tips) DESC, taxi_id LIMIT 1"
         ),
         # hour of day
@@ -220,15 +224,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         "hourly_total_peaks": _trips(_peaks("totals", "midpoint_hour", ("fare", "tips"), _TOTALS), extra=_HOURLY),
         "metric_maxima": _trips(
-            "SELECT round(max(speed_mph), 6) AS speed_mph, round(max(fare), 6) AS fare, "
-            "round(max(tips), 6) AS tips FROM means",
+            "SELECT round(max(speed_mph) + 1e-10, 6) AS speed_mph, round(max(fare) + 1e-10, 6) AS fare, "
+            "round(max(tips) + 1e-10, 6) AS tips FROM means",
             extra=_HOURLY,
         ),
         # tips
-        "overall_tip_pct": _trips("SELECT round(sum(tips) / sum(fare) * 100, 6) AS tip_pct FROM good"),
+        "overall_tip_pct": _trips("SELECT round(sum(tips) / sum(fare) * 100 + 1e-10, 6) AS tip_pct FROM good"),
         "monthly_tip_means": _trips(
-            "SELECT month, month_name, round(avg(fare), 6) AS fare, round(avg(tips), 6) AS tips, "
-            "round(avg(tip_per_mile), 6) AS tip_per_mile, round(avg(tip_pct), 6) AS tip_pct "
+            "SELECT month, month_name, round(avg(fare) + 1e-10, 6) AS fare, round(avg(tips) + 1e-10, 6) AS tips, "
+            "round(avg(tip_per_mile) + 1e-10, 6) AS tip_per_mile, round(avg(tip_pct) + 1e-10, 6) AS tip_pct "
             "FROM tip_recs WHERE month IS NOT NULL GROUP BY month, month_name"
         ),
         "top_tips_per_mile": _trips("SELECT * FROM tip_recs ORDER BY tip_per_mile DESC, trip_id LIMIT 10"),
@@ -265,7 +269,7 @@ def oracle_sql() -> dict[str, str]:
             "min(start_lng) AS min_start_lng, max(start_lng) AS max_start_lng FROM points "
             "WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL"
         ),
-        "nearest_zips": _geo("SELECT lat, lng, place, zip, round(miles, 6) AS miles FROM nearest", _NEAREST),
+        "nearest_zips": _geo("SELECT lat, lng, place, zip, round(miles + 1e-10, 6) AS miles FROM nearest", _NEAREST),
         "zip_pairs": _geo(
             "SELECT DISTINCT p.trip_id, least(s.zip, e.zip) AS zip_a, greatest(s.zip, e.zip) AS zip_b "
             "FROM points p JOIN nearest s ON s.lat = p.start_lat AND s.lng = p.start_lng "
