@@ -121,7 +121,8 @@ def _cluster_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _zip_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per trip and pair, because SQL engines compare rows more safely than arrays of structs."""
-    pairs = zips.zip_pairs(tables.trip_points(spark, sf_dir), stage(_nearest(spark, sf_dir), "zips"))
+    lists = stage(zips.zip_lists(_nearest(spark, sf_dir)), "zips")
+    pairs = zips.zip_pairs(tables.trip_points(spark, sf_dir), lists)
     return pairs.select("trip_id", F.inline("zip_pairs"))
 
 
@@ -176,9 +177,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # hour of day
     "hourly_means": lambda s, d: _rounded(trips.hourly_means(_good(s, d)), 6, *_MEANS),
     "hourly_totals": lambda s, d: _rounded(trips.hourly_totals(_good(s, d)), 4, "fare", "tips"),
-    "hourly_peaks": lambda s, d: _rounded(trips.hourly_peaks(_good(s, d)), 6, *_MEANS),
-    "hourly_total_peaks": lambda s, d: _rounded(trips.hourly_total_peaks(_good(s, d)), 4, "fare", "tips"),
-    "metric_maxima": lambda s, d: _rounded(trips.metric_maxima(_good(s, d)), 6, *_MEANS),
+    "hourly_peaks": lambda s, d: _rounded(trips.hourly_peaks(trips.hourly_means(_good(s, d))), 6, *_MEANS),
+    "hourly_total_peaks": lambda s, d: _rounded(
+        trips.hourly_total_peaks(trips.hourly_totals(_good(s, d))), 4, "fare", "tips"
+    ),
+    "metric_maxima": lambda s, d: _rounded(trips.metric_maxima(trips.hourly_means(_good(s, d))), 6, *_MEANS),
     # tips
     "overall_tip_pct": lambda s, d: _rounded(trips.overall_tip_pct(_good(s, d)), 6, "tip_pct"),
     "monthly_tip_means": lambda s, d: _rounded(

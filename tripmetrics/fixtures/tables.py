@@ -13,7 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _props_k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    """The number in ``{"k": 12}``, the only field there is. Cheaper than a JSON parser, which the good-trip
+    filter would call several times for each row."""
+    return F.translate("props", '{}"k: ', "").cast("int")
 
 
 def _shifted(ts: Column, months: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
+from tripmetrics.operators.grouping import group_known
 from tripmetrics.operators.peaks import peak_rows
 
 RAIN_METRICS = ("interval_rain", "intensity")
@@ -14,8 +15,7 @@ RAIN_METRICS = ("interval_rain", "intensity")
 def rain_by_time(records: DataFrame, unit: str | None = None) -> DataFrame:
     """Mean rain over the stations by time, or by the whole ``unit`` (``'hour'``) the time lies in."""
     times = records.withColumn("measured_ts", tm.truncate_time(F.col("measured_ts"), unit))
-    means = times.groupBy("measured_ts").agg(*[F.avg(m).alias(m) for m in RAIN_METRICS])
-    return means.filter(F.col("measured_ts").isNotNull())
+    return group_known(times, ["measured_ts"], "measured_ts", *[F.avg(m).alias(m) for m in RAIN_METRICS])
 
 
 def rain_peaks(rain: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
 from tripmetrics.operators.filters import QualityRules
+from tripmetrics.operators.grouping import group_known
 from tripmetrics.operators.peaks import peak_rows
 
 HOURLY_METRICS = ("speed_mph", "fare", "tips")
@@ -22,7 +23,7 @@ def trip_count(trips: DataFrame) -> DataFrame:
 
 def trips_by_year(trips: DataFrame) -> DataFrame:
     """Number of trips by start year; trips without a readable start are left out."""
-    return trips.groupBy("year").agg(F.count("*").alias("trips")).filter(F.col("year").isNotNull())
+    return group_known(trips, ["year"], "year", F.count("*").alias("trips"))
 
 
 def quality_summary(trips: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -47,12 +48,8 @@ def taxi_revenue_per_day(trips: DataFrame) -> DataFrame:
     Summed by taxi and day first: the second aggregate then sees at most one row per taxi and day,
     so a taxi with a large share of all trips is spread over its days.
     """
-    daily = (
-        _with_revenue(trips)
-        .groupBy("taxi_id", F.to_date("start_ts").alias("day"))
-        .agg(F.sum("revenue").alias("revenue"))
-        .filter(F.col("day").isNotNull())
-    )
+    dated = _with_revenue(trips).withColumn("day", F.to_date("start_ts"))
+    daily = group_known(dated, ["taxi_id", "day"], "day", F.sum("revenue").alias("revenue"))
     return daily.groupBy("taxi_id").agg(
         F.count("*").alias("days"), (F.sum("revenue") / F.count("*")).alias("revenue_per_day")
     )
@@ -73,34 +70,30 @@ def top_taxi_total(trips: DataFrame, n: int = 1) -> DataFrame:
     return taxi_revenue_total(trips).orderBy(F.desc("revenue"), "taxi_id").limit(n)
 
 
-def _by_hour(trips: DataFrame, *aggregates) -> DataFrame:
-    grouped = trips.groupBy("midpoint_hour").agg(*aggregates)
-    return grouped.filter(F.col("midpoint_hour").isNotNull())
-
-
 def hourly_means(trips: DataFrame) -> DataFrame:
     """Mean speed, fare and tip by hour of the trip's midpoint."""
-    return _by_hour(trips, *[F.avg(m).alias(m) for m in HOURLY_METRICS])
+    return group_known(trips, ["midpoint_hour"], "midpoint_hour", *[F.avg(m).alias(m) for m in HOURLY_METRICS])
 
 
 def hourly_totals(trips: DataFrame) -> DataFrame:
     """Total fare and tips by hour of the trip's midpoint."""
-    return _by_hour(trips, F.sum("fare").alias("fare"), F.sum("tips").alias("tips"))
+    totals = [F.sum(m).alias(m) for m in ("fare", "tips")]
+    return group_known(trips, ["midpoint_hour"], "midpoint_hour", *totals)
 
 
-def hourly_peaks(trips: DataFrame) -> DataFrame:
-    """The hour with the highest mean, for speed, fare and tips."""
-    return peak_rows(hourly_means(trips), "midpoint_hour", HOURLY_METRICS)
+def hourly_peaks(means: DataFrame) -> DataFrame:
+    """The hour with the highest mean, for speed, fare and tips; takes ``hourly_means``."""
+    return peak_rows(means, "midpoint_hour", HOURLY_METRICS)
 
 
-def hourly_total_peaks(trips: DataFrame) -> DataFrame:
-    """The hour in which drivers earn most, in fares and in tips."""
-    return peak_rows(hourly_totals(trips), "midpoint_hour", ("fare", "tips"))
+def hourly_total_peaks(totals: DataFrame) -> DataFrame:
+    """The hour in which drivers earn most, in fares and in tips; takes ``hourly_totals``."""
+    return peak_rows(totals, "midpoint_hour", ("fare", "tips"))
 
 
-def metric_maxima(trips: DataFrame) -> DataFrame:
-    """The highest hourly mean of each metric, without its hour."""
-    return hourly_means(trips).agg(*[F.max(m).alias(m) for m in HOURLY_METRICS])
+def metric_maxima(means: DataFrame) -> DataFrame:
+    """The highest hourly mean of each metric, without its hour; takes ``hourly_means``."""
+    return means.agg(*[F.max(m).alias(m) for m in HOURLY_METRICS])
 
 
 def overall_tip_pct(trips: DataFrame) -> DataFrame:
@@ -111,10 +104,8 @@ def overall_tip_pct(trips: DataFrame) -> DataFrame:
 
 def monthly_tip_means(tips: DataFrame) -> DataFrame:
     """Means of ``tip_records`` by calendar month over the whole period."""
-    means = tips.groupBy("month", "month_name").agg(
-        *[F.avg(c).alias(c) for c in ("fare", "tips", "tip_per_mile", "tip_pct")]
-    )
-    return means.filter(F.col("month").isNotNull())
+    means = [F.avg(c).alias(c) for c in ("fare", "tips", "tip_per_mile", "tip_pct")]
+    return group_known(tips, ["month", "month_name"], "month", *means)
 
 
 def top_tips_per_mile(tips: DataFrame, n: int = 10) -> DataFrame:

@@ -160,22 +160,24 @@ def sorted_pairs(starts: Column, ends: Column) -> Column:
     return F.array_sort(F.array_distinct(ordered))
 
 
-def zip_pairs(trips: DataFrame, nearest: DataFrame) -> DataFrame:
+def zip_lists(nearest: DataFrame) -> DataFrame:
+    """The result of ``nearest_zips`` as one row per position: its postcodes, nearest first."""
+    return nearest.groupBy("lat", "lng").agg(
+        F.array_sort(F.collect_list(F.struct("place", "zip")))["zip"].alias("zips")
+    )
+
+
+def zip_pairs(trips: DataFrame, lists: DataFrame) -> DataFrame:
     """Pairs of postcodes near the start and the end of each trip that has both positions.
 
-    ``nearest`` is the result of ``nearest_zips`` for ``trip_ends(trips)``. Both joins look up one row per
-    position. Pass it as a stage table: it is read twice, and while it is small the planner broadcasts
-    it, so trips are not shuffled. Above the broadcast limit the join is a sort-merge join in which
-    adaptive execution splits positions that hold many trips.
+    ``lists`` is ``zip_lists`` of the trips' ends. Both joins look up one row per position. Pass it as a
+    stage table: it is read twice, and while it is small the planner broadcasts it, so trips are not
+    shuffled. Above the broadcast limit the join is a sort-merge join in which adaptive execution splits
+    positions that hold many trips.
     """
-    lists = nearest.groupBy("lat", "lng").agg(
-        F.array_sort(F.collect_list(F.struct("place", "zip")))["zip"].alias("zips")
-    )
 
     def ends(which: str) -> DataFrame:
-        return lists.select(
-            F.col("lat").alias(f"{which}_lat"), F.col("lng").alias(f"{which}_lng"), F.col("zips").alias(f"{which}_zips")
-        )
+        return lists.select(*[F.col(c).alias(f"{which}_{c}") for c in ("lat", "lng", "zips")])
 
     joined = trips.join(ends("start"), ["start_lat", "start_lng"]).join(ends("end"), ["end_lat", "end_lng"])
     return joined.select("trip_id", sorted_pairs(F.col("start_zips"), F.col("end_zips")).alias("zip_pairs"))
