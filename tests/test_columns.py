@@ -1,0 +1,101 @@
+"""Scalar rules: times, speeds, tips, positions."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmetrics import functions as tm
+
+
+def column(spark, rows, schema, expression):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(expression).collect()]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("04/13/2017 07:30:00 PM", dt.datetime(2017, 4, 13, 19, 30)),
+        ("04/13/2017 07:30:00 AM", dt.datetime(2017, 4, 13, 7, 30)),
+        ("04/13/2017 12:30:00 AM", dt.datetime(2017, 4, 13, 0, 30)),
+        ("04/13/2017 12:30:00 PM", dt.datetime(2017, 4, 13, 12, 30)),
+        ("12/31/2017 11:59:59 PM", dt.datetime(2017, 12, 31, 23, 59, 59)),
+        ("02/30/2017 07:30:00 AM", None),
+        ("04/13/2017 13:30:00 PM", None),
+        ("2017-04-13 07:30:00", None),
+        ("no time", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_parse_time(spark, text, expected):
+    assert column(spark, [(text,)], "t string", tm.parse_time(F.col("t"))) == [expected]
+
+
+@pytest.mark.parametrize(
+    ("start", "end", "hour"),
+    [
+        ("04/13/2017 07:30:00 AM", "04/13/2017 07:37:00 AM", 7),
+        ("04/13/2017 09:30:00 AM", "04/13/2017 07:37:00 AM", 8),
+        ("04/13/2017 11:30:00 PM", "04/18/2017 01:00:00 AM", 0),
+        ("04/13/2017 11:50:00 PM", "04/14/2017 12:30:00 AM", 0),
+        ("bad", "04/14/2017 12:30:00 AM", None),
+        ("04/13/2017 11:50:00 PM", None, None),
+    ],
+)
+def test_midpoint_hour(spark, start, end, hour):
+    midpoint = tm.midpoint_hour(tm.parse_time(F.col("s")), tm.parse_time(F.col("e")))
+    assert column(spark, [(start, end)], "s string, e string", midpoint) == [hour]
+
+
+def test_zero_guards(spark):
+    rows = [(10.0, 0, 3.0, 0.0), (10.0, 1800, 3.0, 12.0), (0.0, 60, 3.0, 0.0)]
+    df = spark.createDataFrame(rows, "miles double, seconds int, tips double, fare double")
+    got = df.select(
+        tm.speed_mph(F.col("miles"), F.col("seconds")),
+        tm.tip_per_mile(F.col("tips"), F.col("miles")),
+        tm.tip_pct(F.col("tips"), F.col("fare")),
+    ).collect()
+    assert [tuple(r) for r in got] == [(0.0, 0.3, 0.0), (20.0, 0.3, 25.0), (0.0, 3.0, 0.0)]
+
+
+def test_missing_numbers_count_as_zero(spark):
+    assert column(spark, [(None,), (0.0,), (2.5,)], "v double", tm.or_zero(F.col("v"))) == [0.0, 0.0, 2.5]
+
+
+def test_names_and_epoch(spark):
+    df = spark.createDataFrame(
+        [("63rd Street Weather Station", dt.datetime(2018, 9, 1, 0, 0, 1)), (None, None)], "s string, t timestamp_ntz"
+    )
+    got = df.select(tm.squeeze_spaces(F.col("s")), tm.month_name(F.col("t")), tm.epoch_seconds(F.col("t"))).collect()
+    assert tuple(got[0]) == ("63rdStreetWeatherStation", "September", 1535760001)
+    assert tuple(got[1]) == (None, None, None)
+
+
+def test_share_of_nothing_is_zero(spark):
+    df = spark.createDataFrame([(1, 4), (0, 0)], "part long, whole long")
+    assert [r[0] for r in df.select(tm.share_pct(F.col("part"), F.col("whole"))).collect()] == [25.0, 0.0]
+
+
+def test_correlation(spark):
+    rows = [(float(i), float(i * i % 7), 5.0) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    row = df.agg(
+        tm.correlation(F.col("a"), F.col("b")).alias("ab"),
+        F.corr("a", "b").alias("expected"),
+        tm.correlation(F.col("a"), F.col("c")).alias("constant"),
+    ).first()
+    assert row.ab == pytest.approx(row.expected, abs=1e-12)
+    assert row.constant is None
+
+
+def test_haversine(spark):
+    rows = [(0.0, 0.0, 0.0, 90.0), (90.0, 0.0, -90.0, 0.0), (41.88, -87.63, 41.88, -87.63), (0.0, 179.5, 0.0, -179.5)]
+    schema = "a double, b double, c double, d double"
+    got = column(spark, rows, schema, tm.haversine_miles(*[F.col(c) for c in "abcd"]))
+    radius = 3958.8
+    expected = [radius * math.pi / 2, radius * math.pi, 0.0, radius * math.radians(1)]
+    assert got == pytest.approx(expected, abs=1e-6)

@@ -6,17 +6,17 @@ Positions become points on the unit sphere, and a cube around the sphere is cut
 the whole cube, each level halves the side. On the sphere there is no date line and no pole to treat,
 and straight-line distance orders points as great-circle distance does.
 
-For a position, take the finest level at which its own cell holds at least ``k`` postcodes. The cell's
-diagonal is sqrt(3) of its side, so the k-th nearest postcode is nearer than two sides. The cells one
-level coarser have a side of exactly that length: the position's own coarser cell and its 26 neighbours
-hold every postcode nearer than two sides, and so the whole answer. Dense areas use small cells and
-sparse areas large ones; the number of candidates follows ``k``, not the size of either table.
+1. For each position take the finest level at which its own cell holds ``k`` postcodes. The farthest of any
+   ``k`` postcodes of that cell is a *reach*: the k-th nearest postcode is at most that far away.
+2. Take the finest level whose cells are at least as wide as the reach. The cells that a box of the reach
+   around the position touches, three per axis at most, hold the whole answer.
+
+Dense areas get small cells and sparse areas large ones, so the number of candidates follows ``k`` and not
+the size of either table, and a crowded cell is read only for positions that are close to it.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +28,10 @@ FINEST_LEVEL = 16
 AXIS_BITS = 17
 # A little more than the sphere's diameter, so that a coordinate of exactly 1 is inside the cube.
 CUBE_SIDE = 2.002
+# Distances are compared after different roundings; the slack is far above those and far below a metre.
+ROUNDING_SLACK = 1 + 1e-9
+SHORTEST = 1e-9
+PI = 3.141592653589793
 
 
 def _on_sphere(df: DataFrame) -> DataFrame:
@@ -37,8 +41,9 @@ def _on_sphere(df: DataFrame) -> DataFrame:
     return df.withColumns({n: (v + 1) / CUBE_SIDE for n, v in (("x", x), ("y", y), ("z", z))})
 
 
-def _axis_cell(axis: str, level: Column) -> Column:
-    return F.floor(F.col(axis) * F.pow(F.lit(2.0), level)).cast("long")
+def _cells(level: Column) -> Column:
+    """Number of cells along one axis."""
+    return F.pow(F.lit(2.0), level)
 
 
 def _cell_key(level: Column, ix: Column, iy: Column, iz: Column) -> Column:
@@ -50,7 +55,7 @@ def _cell_key(level: Column, ix: Column, iy: Column, iz: Column) -> Column:
 
 
 def _own_cell(level: Column) -> Column:
-    return _cell_key(level, *[_axis_cell(a, level) for a in ("x", "y", "z")])
+    return _cell_key(level, *[F.floor(F.col(a) * _cells(level)).cast("long") for a in ("x", "y", "z")])
 
 
 def _at_all_levels(df: DataFrame) -> DataFrame:
@@ -58,59 +63,74 @@ def _at_all_levels(df: DataFrame) -> DataFrame:
     return df.withColumn("level", F.explode(levels)).withColumn("cell", _own_cell(F.col("level")))
 
 
+def _first_per(df: DataFrame, keys: tuple[str, ...], k: int) -> DataFrame:
+    """The ``k`` smallest postcodes per key, numbered; each task passes on at most ``k`` rows of a key."""
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("zip"))).filter(
+        F.col("place") <= k
+    )
+
+
 def _first_zips_per_position(zips: DataFrame, k: int) -> DataFrame:
     """Postcodes that can be in an answer: of those at one position, the ``k`` smallest.
 
     Postcodes at one position are equally far from everywhere and ties go to the smaller postcode, so
     the others can never be among the first ``k``.
     """
-    same_position = Window.partitionBy("lat", "lng").orderBy("zip")
     distinct = zips.select("zip", "lat", "lng").na.drop().distinct()
-    return (
-        distinct.withColumn("place", F.row_number().over(same_position))
-        .filter(F.col("place") <= k)
-        .drop("place")
-    )
+    return _first_per(distinct, ("lat", "lng"), k).drop("place")
 
 
-def _coarsest_useful_level(max_miles: float | None) -> int:
-    """The finest level whose cells are still at least ``max_miles`` wide; 0 without a limit."""
-    if max_miles is None:
-        return 0
-    chord = 2 * math.sin(min(max_miles / EARTH_RADIUS_MILES, math.pi) / 2)
-    if chord <= 0:
-        return FINEST_LEVEL
-    return max(0, min(FINEST_LEVEL, math.floor(math.log2(CUBE_SIDE / chord))))
+def _miles_to_zip() -> Column:
+    return tm.haversine_miles(F.col("lat"), F.col("lng"), F.col("zip_lat"), F.col("zip_lng"))
 
 
-def _search_level(points: DataFrame, zips_at_levels: DataFrame, k: int, max_miles: float | None) -> DataFrame:
-    """For each position the level of the cells to search."""
-    dense = (
-        zips_at_levels.groupBy("cell", "level")
-        .agg(F.count("*").alias("zips"))
-        .filter((F.col("zips") >= k) | (F.col("level") == 0))
-        .select("cell")
+def _with_reach(points: DataFrame, in_cells: DataFrame, k: int, max_miles: float | None) -> DataFrame:
+    """Add a distance in miles within which all of a position's answers lie; NULL if nothing limits it."""
+    some = _first_per(in_cells, ("cell",), k)
+    # The root cell counts as well, so that a position is kept when there are fewer than k postcodes.
+    enough = some.filter((F.col("place") == k) | (F.col("level") == 0)).select("cell")
+    own = _at_all_levels(points).join(enough, "cell", "left_semi").groupBy("lat", "lng").agg(
+        F.max("level").alias("level")
     )
-    finest = (
-        _at_all_levels(points).join(dense, "cell", "left_semi").groupBy("lat", "lng").agg(F.max("level").alias("own"))
+    own = _on_sphere(own).withColumn("cell", _own_cell(F.col("level"))).select("lat", "lng", "cell")
+    found = own.join(some.drop("level"), "cell").groupBy("lat", "lng").agg(
+        F.count("*").alias("found"), F.max(_miles_to_zip()).alias("farthest")
+    )
+    reach = F.when(F.col("found") == k, F.col("farthest") * ROUNDING_SLACK)
+    if max_miles is not None:
+        reach = F.least(reach, F.lit(float(max_miles)))
+    return _on_sphere(found.select("lat", "lng", reach.alias("reach")))
+
+
+def _cells_in_reach(points: DataFrame) -> DataFrame:
+    """One row for each cell that can hold postcodes within the position's reach."""
+    # The reach as a straight line, in units of the cube's side. Without a reach the whole cube is searched.
+    angle = F.least(F.col("reach") / EARTH_RADIUS_MILES, F.lit(PI))
+    width = F.greatest(F.sin(angle / 2) * 2 / CUBE_SIDE * ROUNDING_SLACK, F.lit(SHORTEST))
+    level = F.least(F.greatest(F.floor(-F.log2(width)), F.lit(0)), F.lit(FINEST_LEVEL))
+    sized = points.withColumns(
+        {
+            "width": F.coalesce(F.when(F.col("reach").isNotNull(), width), F.lit(1.0)),
+            "level": F.coalesce(F.when(F.col("reach").isNotNull(), level), F.lit(0)).cast("int"),
+        }
     )
-    level = F.greatest(F.col("own") - 1, F.lit(_coarsest_useful_level(max_miles)))
-    return _on_sphere(finest.select("lat", "lng", level.alias("level")))
-
-
-def _neighbour_cells(points: DataFrame) -> DataFrame:
-    """One row for each cell that touches the position's cell, and for that cell itself."""
-    last = F.pow(F.lit(2.0), F.col("level")).cast("long") - 1
 
-    def around(axis: str) -> Column:
-        own = _axis_cell(axis, F.col("level"))
-        return F.sequence(F.greatest(own - 1, F.lit(0)), F.least(own + 1, last))
+    def touched(axis: str) -> Column:
+        n = _cells(F.col("level"))
+        first = F.floor((F.col(axis) - F.col("width")) * n)
+        last = F.floor((F.col(axis) + F.col("width")) * n)
+        return F.sequence(F.greatest(first, F.lit(0)), F.least(last, n.cast("long") - 1))
 
     return (
-        points.withColumn("ix", F.explode(around("x")))
-        .withColumn("iy", F.explode(around("y")))
-        .withColumn("iz", F.explode(around("z")))
-        .select("lat", "lng", _cell_key(F.col("level"), F.col("ix"), F.col("iy"), F.col("iz")).alias("cell"))
+        sized.withColumn("ix", F.explode(touched("x")))
+        .withColumn("iy", F.explode(touched("y")))
+        .withColumn("iz", F.explode(touched("z")))
+        .select(
+            "lat",
+            "lng",
+            "reach",
+            _cell_key(F.col("level"), F.col("ix"), F.col("iy"), F.col("iz")).alias("cell"),
+        )
     )
 
 
@@ -130,16 +150,17 @@ def nearest_zips(
     Equal distances go to the smaller postcode. With ``max_miles`` farther postcodes do not count, and a
     position may get fewer than ``k``.
     """
-    positions = points.select("lat", "lng").na.drop().distinct()
-    reference = _at_all_levels(_on_sphere(_first_zips_per_position(zips, k)))
-    searched = _neighbour_cells(_search_level(_on_sphere(positions), reference, k, max_miles))
-
-    in_cells = reference.select("cell", "zip", F.col("lat").alias("zip_lat"), F.col("lng").alias("zip_lng"))
-    miles = tm.haversine_miles(F.col("lat"), F.col("lng"), F.col("zip_lat"), F.col("zip_lng"))
-    candidates = searched.join(in_cells, "cell").select("lat", "lng", "zip", miles.alias("miles"))
-    if max_miles is not None:
-        candidates = candidates.filter(F.col("miles") <= max_miles)
-
+    positions = _on_sphere(points.select("lat", "lng").na.drop().distinct())
+    in_cells = _at_all_levels(_on_sphere(_first_zips_per_position(zips, k))).select(
+        "cell", "level", "zip", F.col("lat").alias("zip_lat"), F.col("lng").alias("zip_lng")
+    )
+    searched = _cells_in_reach(_with_reach(positions, in_cells, k, max_miles))
+    candidates = (
+        searched.join(in_cells.drop("level"), "cell")
+        .withColumn("miles", _miles_to_zip())
+        .filter(F.col("reach").isNull() | (F.col("miles") <= F.col("reach")))
+        .select("lat", "lng", "zip", "miles")
+    )
     nearest_first = Window.partitionBy("lat", "lng").orderBy("miles", "zip")
     return candidates.withColumn("place", F.row_number().over(nearest_first)).filter(F.col("place") <= k)
 
