@@ -115,8 +115,8 @@ def _cluster_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cluster_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _pickup_counts(spark, sf_dir)
-    return hotspots.cluster_silhouette(hotspots.fit_clusters(counts, CLUSTERS), counts)
+    model = hotspots.fit_clusters(_pickup_counts(spark, sf_dir), CLUSTERS)
+    return hotspots.cluster_silhouette(model, tables.trip_points(spark, sf_dir))
 
 
 def _zip_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

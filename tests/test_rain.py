@@ -1,0 +1,78 @@
+"""Rain by time, the join with trips, and correlations."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import numpy as np
+import pytest
+
+from tripmetrics.operators import rain
+
+T0 = dt.datetime(2018, 5, 1, 10)
+T1 = dt.datetime(2018, 5, 1, 11)
+T2 = dt.datetime(2018, 5, 1, 12)
+
+
+@pytest.fixture(scope="module")
+def measured(spark):
+    rows = [
+        ("1", T0, 1.0, 0.0),
+        ("2", T0, 3.0, 4.0),
+        ("3", T1, 2.0, 9.0),
+        ("4", T1.replace(minute=30), 4.0, 1.0),
+        ("5", T2, 0.0, 0.0),
+        ("6", None, 50.0, 50.0),
+    ]
+    return spark.createDataFrame(
+        rows, "measurement_id string, measured_ts timestamp_ntz, interval_rain double, intensity double"
+    )
+
+
+@pytest.fixture(scope="module")
+def trips(spark):
+    rows = [
+        (1, T0, 10.0, 1.0),
+        (2, T0, 12.0, 0.0),
+        (3, T1.replace(minute=10), 20.0, 2.5),
+        (4, T2, 5.0, 0.5),
+        (5, dt.datetime(2019, 1, 1), 99.0, 9.0),
+        (6, None, 99.0, 9.0),
+    ]
+    return spark.createDataFrame(rows, "trip_id int, start_ts timestamp_ntz, fare double, tips double")
+
+
+def test_means_by_time(measured):
+    exact = {r.measured_ts: (r.interval_rain, r.intensity) for r in rain.rain_by_time(measured).collect()}
+    assert exact == {T0: (2.0, 2.0), T1: (2.0, 9.0), T1.replace(minute=30): (4.0, 1.0), T2: (0.0, 0.0)}
+    hourly = {r.measured_ts: (r.interval_rain, r.intensity) for r in rain.rain_by_time(measured, "hour").collect()}
+    assert hourly == {T0: (2.0, 2.0), T1: (3.0, 5.0), T2: (0.0, 0.0)}
+
+
+def test_peaks(measured):
+    peaks = {r.metric: r.measured_ts for r in rain.rain_peaks(rain.rain_by_time(measured)).collect()}
+    assert peaks == {"interval_rain": T1.replace(minute=30), "intensity": T1}
+
+
+def test_join(measured, trips):
+    exact = rain.trips_with_rain(trips, rain.rain_by_time(measured)).orderBy("trip_id").collect()
+    assert [(r.trip_id, r.interval_rain) for r in exact] == [(1, 2.0), (2, 2.0), (4, 0.0)]
+    hourly = rain.trips_with_rain(trips, rain.rain_by_time(measured, "hour"), "hour").orderBy("trip_id").collect()
+    assert [(r.trip_id, r.interval_rain) for r in hourly] == [(1, 2.0), (2, 2.0), (3, 3.0), (4, 0.0)]
+    assert hourly[0].unix_time == int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+
+
+def test_correlations(measured, trips):
+    joined = rain.trips_with_rain(trips, rain.rain_by_time(measured, "hour"), "hour")
+    rows = joined.collect()
+    got = {**rain.time_money_corr(joined).first().asDict(), **rain.rain_money_corr(joined).first().asDict()}
+    sides = {"time": "unix_time", "interval_rain": "interval_rain", "intensity": "intensity"}
+    for name, side in sides.items():
+        for money in ("fare", "tips"):
+            expected = np.corrcoef([r[side] for r in rows], [r[money] for r in rows])[0, 1]
+            assert got[f"{name}_{money}_corr"] == pytest.approx(expected, abs=1e-9)
+
+
+def test_correlation_without_rows(measured, trips):
+    nothing = rain.trips_with_rain(trips.limit(0), rain.rain_by_time(measured))
+    assert rain.rain_money_corr(nothing).first().interval_rain_fare_corr is None

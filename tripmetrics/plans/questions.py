@@ -74,7 +74,7 @@ def pickup_hotspots(good: DataFrame, clusters: int) -> Answers:
         "point_bounds": hotspots.point_bounds(good),
         "cluster_centers": hotspots.cluster_centers(good.sparkSession, model),
         "cluster_hotspots": hotspots.cluster_hotspots(model, counts),
-        "cluster_silhouette": hotspots.cluster_silhouette(model, counts),
+        "cluster_silhouette": hotspots.cluster_silhouette(model, good),
     }
 
 

@@ -87,7 +87,7 @@ def main() -> None:
         clusters=args.clusters,
         rain_unit=args.rain_unit,
     )
-    print(f"jobs runtime: {time.perf_counter() - began:.1f} s")
+    print(f"answers written in {time.perf_counter() - began:.1f} s")
     spark.stop()
 
 
