@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from tripmetrics import functions as tm
 from tripmetrics.functions.geo import EARTH_RADIUS_MILES
 
-# Cells of level 16 are about 200 metres wide; a cell number then takes 17 bits per axis.
-FINEST_LEVEL = 16
-AXIS_BITS = 17
+# Cells of level 20 are about 12 metres wide; cell numbers then stay below 2 ** 61.
+FINEST_LEVEL = 20
 # A little more than the sphere's diameter, so that a coordinate of exactly 1 is inside the cube.
 CUBE_SIDE = 2.002
 # Distances are compared after different roundings; the slack is far above those and far below a metre.
@@ -43,19 +42,18 @@ def _on_sphere(df: DataFrame) -> DataFrame:
 
 def _cells(level: Column) -> Column:
     """Number of cells along one axis."""
-    return F.pow(F.lit(2.0), level)
+    return F.pow(F.lit(2.0), level).cast("long")
 
 
 def _cell_key(level: Column, ix: Column, iy: Column, iz: Column) -> Column:
-    """One number for a cell of a level: the level above three axis numbers."""
-    key = level.cast("long")
-    for axis in (ix, iy, iz):
-        key = F.shiftleft(key, AXIS_BITS) + axis
-    return key
+    """One number for a cell. Those of a level with n cells per axis lie between n ** 3 and 2 * n ** 3, so
+    cells of different levels never share a number."""
+    n = _cells(level)
+    return ((n + ix) * n + iy) * n + iz
 
 
 def _own_cell(level: Column) -> Column:
-    return _cell_key(level, *[F.floor(F.col(a) * _cells(level)).cast("long") for a in ("x", "y", "z")])
+    return _cell_key(level, *[F.floor(F.col(a) * _cells(level)) for a in ("x", "y", "z")])
 
 
 def _at_all_levels(df: DataFrame) -> DataFrame:
@@ -119,7 +117,7 @@ def _cells_in_reach(points: DataFrame) -> DataFrame:
         n = _cells(F.col("level"))
         first = F.floor((F.col(axis) - F.col("width")) * n)
         last = F.floor((F.col(axis) + F.col("width")) * n)
-        return F.sequence(F.greatest(first, F.lit(0)), F.least(last, n.cast("long") - 1))
+        return F.sequence(F.greatest(first, F.lit(0)), F.least(last, n - 1))
 
     return (
         sized.withColumn("ix", F.explode(touched("x")))
