@@ -20,6 +20,8 @@ from tripmetrics.sources import load_stage, read_trips, read_weather, save_stage
 SMOKE_DIR = "/root/testdata/sf0.001"
 SLICE_YEAR = 2025
 CLUSTERS = 10
+# Larger than the default, which would pick about one row of the smallest tables.
+SAMPLE_FRACTION = 0.01
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -160,7 +162,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "trip_id", "taxi_id", "start_ts", "fare", "tips"
     ),
     "valid_points": lambda s, d: filters.valid_points(tables.trip_points(s, d)),
-    "sample_trips": lambda s, d: filters.sample_trips(_trips(s, d)),
+    "sample_trips": lambda s, d: filters.sample_trips(_trips(s, d), SAMPLE_FRACTION),
     "bootstrap_points": lambda s, d: filters.bootstrap_points(tables.trip_points(s, d)),
     # counts and quality
     "trip_count": lambda s, d: trips.trip_count(_trips(s, d)),
