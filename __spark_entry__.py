@@ -189,9 +189,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_tip_means": lambda s, d: _rounded(
         trips.monthly_tip_means(_tips(s, d)), 6, "fare", "tips", "tip_per_mile", "tip_pct"
     ),
-    "top_tips_per_mile": lambda s, d: trips.top_tips_per_mile(_tips(s, d)),
-    "trips_chronological": lambda s, d: trips.trips_chronological(_tips(s, d)),
-    "first_trips": lambda s, d: trips.trips_chronological(_tips(s, d), 10),
+    "top_tips_per_mile": lambda s, d: trips.top_tips_per_mile(_good(s, d)),
+    "trips_chronological": lambda s, d: trips.trips_chronological(_good(s, d)),
+    "first_trips": lambda s, d: trips.trips_chronological(_good(s, d), 10),
     # rain
     "rain_by_time": lambda s, d: _rounded(_rain(s, d), 6, *_RAIN),
     "rain_peaks": lambda s, d: _rounded(rain.rain_peaks(_rain(s, d)), 6, *_RAIN),

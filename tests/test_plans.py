@@ -55,8 +55,8 @@ def test_text_times_are_parsed_once_per_row(spark, sf_dir):
 def test_top_lists_do_not_sort_everything(staged):
     for df in (
         tr.top_taxis_per_trip(staged),
-        tr.top_tips_per_mile(records.tip_records(staged)),
-        tr.trips_chronological(records.tip_records(staged), 10),
+        tr.top_tips_per_mile(staged),
+        tr.trips_chronological(staged, 10),
     ):
         plan = plan_of(df)
         assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

@@ -60,7 +60,7 @@ def test_unreadable_times_leave_time_groups_only(spark):
     assert [r.midpoint_hour for r in tr.hourly_means(trips).collect()] == [7]
     assert [r.month for r in tr.monthly_tip_means(records.tip_records(trips)).collect()] == [4]
     assert tr.taxi_revenue_per_day(trips).first().days == 1
-    ordered = [r.trip_id for r in tr.trips_chronological(records.tip_records(trips)).collect()]
+    ordered = [r.trip_id for r in tr.trips_chronological(trips).collect()]
     assert ordered[:2] == [1, 3] and sorted(ordered[2:]) == [2, 4]
 
 
@@ -145,17 +145,17 @@ def test_tips(spark):
         raw_trip(4, start="05/01/2016 07:30:00 AM", m=1.0, f=10.0, t=None),
     )
     tips = records.tip_records(trips)
-    assert [r.trip_id for r in tr.top_tips_per_mile(tips, 3).collect()] == [2, 3, 1]
+    assert [r.trip_id for r in tr.top_tips_per_mile(trips, 3).collect()] == [2, 3, 1]
     assert tr.overall_tip_pct(trips).first().tip_pct == pytest.approx(14.0)
     assert tr.overall_tip_pct(trips.limit(0)).first().tip_pct == 0.0
     months = {r.month_name: (r.month, r.fare, r.tip_pct) for r in tr.monthly_tip_means(tips).collect()}
     assert months["April"] == pytest.approx((4, 40 / 3, 20 / 3))
     assert months["May"] == (5, 10.0, 0.0)
-    assert [r.trip_id for r in tr.trips_chronological(tips, 2).collect()] == [4, 1]
+    assert [r.trip_id for r in tr.trips_chronological(trips, 2).collect()] == [4, 1]
 
 
 def test_chronological_order_is_total(fixture_trips):
-    rows = tr.trips_chronological(records.tip_records(fixture_trips)).select("start_ts", "trip_id").collect()
+    rows = tr.trips_chronological(fixture_trips).select("start_ts", "trip_id").collect()
     assert rows == sorted(rows)
     assert len(rows) == fixture_trips.count()
     assert isinstance(rows[0].start_ts, dt.datetime)

@@ -13,6 +13,7 @@ from tripmetrics import functions as tm
 from tripmetrics.operators.filters import QualityRules
 from tripmetrics.operators.grouping import group_known
 from tripmetrics.operators.peaks import peak_rows
+from tripmetrics.operators.records import tip_records
 
 HOURLY_METRICS = ("speed_mph", "fare", "tips")
 
@@ -103,21 +104,30 @@ def overall_tip_pct(trips: DataFrame) -> DataFrame:
 
 
 def monthly_tip_means(tips: DataFrame) -> DataFrame:
-    """Means of ``tip_records`` by calendar month over the whole period."""
-    means = [F.avg(c).alias(c) for c in ("fare", "tips", "tip_per_mile", "tip_pct")]
-    return group_known(tips, ["month", "month_name"], "month", *means)
+    """Means of ``tip_records`` by calendar month over the whole period.
+
+    Grouped by the month's number; the name is made from it afterwards, for twelve rows.
+    """
+    metrics = ("fare", "tips", "tip_per_mile", "tip_pct")
+    means = group_known(tips, ["month"], "month", *[F.avg(c).alias(c) for c in metrics])
+    some_day = F.make_date(F.lit(2000), F.col("month"), F.lit(1))
+    return means.select("month", tm.month_name(some_day).alias("month_name"), *metrics)
 
 
-def top_tips_per_mile(tips: DataFrame, n: int = 10) -> DataFrame:
-    """The trips with the best tip per mile; keeps ``n`` rows per task, no full sort."""
-    return tips.orderBy(F.desc("tip_per_mile"), "trip_id", "start_ts").limit(n)
+def top_tips_per_mile(trips: DataFrame, n: int = 10) -> DataFrame:
+    """The ``tip_records`` of the trips with the best tip per mile.
+
+    Keeps ``n`` trips per task instead of sorting all, and makes the records of the chosen trips only.
+    """
+    tip_per_mile = tm.tip_per_mile(F.col("tips"), F.col("trip_miles"))
+    return tip_records(trips.orderBy(F.desc(tip_per_mile), "trip_id", "start_ts").limit(n))
 
 
-def trips_chronological(tips: DataFrame, n: int | None = None) -> DataFrame:
-    """Trips in order of their start, all of them or the first ``n``.
+def trips_chronological(trips: DataFrame, n: int | None = None) -> DataFrame:
+    """The ``tip_records`` in order of the trips' start, all of them or the first ``n``.
 
     The trip id is part of the sort key, so trips that share one start time can be spread over several
-    sorted partitions.
+    sorted partitions. Records are made after sorting, so only their source columns are moved.
     """
-    ordered = tips.orderBy(F.asc_nulls_last("start_ts"), "trip_id")
-    return ordered if n is None else ordered.limit(n)
+    ordered = trips.orderBy(F.asc_nulls_last("start_ts"), "trip_id")
+    return tip_records(ordered if n is None else ordered.limit(n))

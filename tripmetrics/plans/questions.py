@@ -57,12 +57,11 @@ def hours_of_day(good: DataFrame) -> Answers:
 
 def tips(good: DataFrame) -> Answers:
     """What share of fares are tips, which trips tipped best, and how do months differ?"""
-    tip_rows = records.tip_records(good)
     return {
         "overall_tip_pct": tr.overall_tip_pct(good),
-        "top_tips_per_mile": tr.top_tips_per_mile(tip_rows),
-        "first_trips": tr.trips_chronological(tip_rows, 10),
-        "monthly_tip_means": tr.monthly_tip_means(tip_rows),
+        "top_tips_per_mile": tr.top_tips_per_mile(good),
+        "first_trips": tr.trips_chronological(good, 10),
+        "monthly_tip_means": tr.monthly_tip_means(records.tip_records(good)),
     }
 
 

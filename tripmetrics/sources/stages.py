@@ -14,18 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def save_stage(
-    df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
     """Write a stage table.
 
     With ``partition_by`` the rows are rebalanced on that column first. Without this every task would
     write a small file into every folder; with it adaptive execution splits a folder that holds a large
-    share of all rows over many tasks and joins small ones.
+    share of all rows over many tasks and joins small ones. The rows are shuffled once for this; turn
+    ``rebalance`` off for input that already lies in that column's order.
     """
     if partition_by is None:
         df.write.mode(mode).parquet(path)
-    else:
-        df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by).parquet(path)
+        return
+    rows = df.hint("rebalance", partition_by) if rebalance else df
+    rows.write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
 def load_stage(spark: SparkSession, path: str) -> DataFrame:
