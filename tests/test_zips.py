@@ -120,9 +120,7 @@ def test_search_reads_few_postcodes(spark):
     """Candidates follow k, not the number of postcodes."""
     rng = random.Random(5)
     points, zips, _ = frames(spark, around(rng, 50, 41.0, -87.0, 0.2), around(rng, 4000, 41.0, -87.0, 0.2))
-    in_cells = z._at_all_levels(z._on_sphere(z._first_zips_per_position(zips, 5))).select(
-        "cell", "level", "zip", F.col("lat").alias("zip_lat"), F.col("lng").alias("zip_lng")
-    )
+    in_cells = z._zips_in_cells(zips, 5)
     positions = z._on_sphere(points.na.drop().distinct())
     searched = z._cells_in_reach(z._with_reach(positions, in_cells, 5, None))
     pairs = searched.join(in_cells.drop("level"), "cell").count()

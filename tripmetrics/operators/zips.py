@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
 from tripmetrics.functions.geo import EARTH_RADIUS_MILES
+from tripmetrics.sources import stage
 
 # Cells of level 20 are about 12 metres wide; cell numbers then stay below 2 ** 61.
 FINEST_LEVEL = 20
@@ -30,35 +31,32 @@ CUBE_SIDE = 2.002
 # Distances are compared after different roundings; the slack is far above those and far below a metre.
 ROUNDING_SLACK = 1 + 1e-9
 SHORTEST = 1e-9
-PI = 3.141592653589793
 
 
-def _on_sphere(df: DataFrame) -> DataFrame:
-    """Add the unit-sphere point of (lat, lng), scaled to [0, 1) in the cube."""
-    lat, lng = F.radians("lat"), F.radians("lng")
-    x, y, z = F.cos(lat) * F.cos(lng), F.cos(lat) * F.sin(lng), F.sin(lat)
-    return df.withColumns({n: (v + 1) / CUBE_SIDE for n, v in (("x", x), ("y", y), ("z", z))})
-
-
-def _cells(level: Column) -> Column:
-    """Number of cells along one axis."""
-    return F.pow(F.lit(2.0), level).cast("long")
+# A cell's number. Those of a level with n cells per axis lie between n ** 3 and 2 * n ** 3, so cells of
+# different levels never share a number.
+CELL_NUMBER = "((n + {ix}) * n + {iy}) * n + {iz}"
 
 
-def _cell_key(level: Column, ix: Column, iy: Column, iz: Column) -> Column:
-    """One number for a cell. Those of a level with n cells per axis lie between n ** 3 and 2 * n ** 3, so
-    cells of different levels never share a number."""
-    n = _cells(level)
-    return ((n + ix) * n + iy) * n + iz
+def _on_sphere(df: DataFrame) -> DataFrame:
+    """Add the unit-sphere point of (lat, lng), scaled to [0, 1) in the cube."""
+    return df.selectExpr(
+        "*",
+        f"(cos(radians(lat)) * cos(radians(lng)) + 1) / {CUBE_SIDE}D AS x",
+        f"(cos(radians(lat)) * sin(radians(lng)) + 1) / {CUBE_SIDE}D AS y",
+        f"(sin(radians(lat)) + 1) / {CUBE_SIDE}D AS z",
+    )
 
 
-def _own_cell(level: Column) -> Column:
-    return _cell_key(level, *[F.floor(F.col(a) * _cells(level)) for a in ("x", "y", "z")])
+def _in_own_cell(df: DataFrame) -> DataFrame:
+    """Add the number of the cell that the point lies in at its ``level``."""
+    own = CELL_NUMBER.format(ix="floor(x * n)", iy="floor(y * n)", iz="floor(z * n)")
+    return df.selectExpr("*", "shiftleft(1L, level) AS n").selectExpr("*", f"{own} AS cell")
 
 
 def _at_all_levels(df: DataFrame) -> DataFrame:
-    levels = F.sequence(F.lit(0), F.lit(FINEST_LEVEL))
-    return df.withColumn("level", F.explode(levels)).withColumn("cell", _own_cell(F.col("level")))
+    """One row per level, with the cell at that level."""
+    return _in_own_cell(df.selectExpr("*", f"explode(sequence(0, {FINEST_LEVEL})) AS level"))
 
 
 def _first_per(df: DataFrame, keys: tuple[str, ...], k: int) -> DataFrame:
@@ -78,6 +76,13 @@ def _first_zips_per_position(zips: DataFrame, k: int) -> DataFrame:
     return _first_per(distinct, ("lat", "lng"), k).drop("place")
 
 
+def _zips_in_cells(zips: DataFrame, k: int) -> DataFrame:
+    """Each postcode once per level, with its cell."""
+    return _at_all_levels(_on_sphere(_first_zips_per_position(zips, k))).select(
+        "cell", "level", "zip", F.col("lat").alias("zip_lat"), F.col("lng").alias("zip_lng")
+    )
+
+
 def _miles_to_zip() -> Column:
     return tm.haversine_miles(F.col("lat"), F.col("lng"), F.col("zip_lat"), F.col("zip_lng"))
 
@@ -90,7 +95,7 @@ def _with_reach(points: DataFrame, in_cells: DataFrame, k: int, max_miles: float
     own = _at_all_levels(points).join(enough, "cell", "left_semi").groupBy("lat", "lng").agg(
         F.max("level").alias("level")
     )
-    own = _on_sphere(own).withColumn("cell", _own_cell(F.col("level"))).select("lat", "lng", "cell")
+    own = _in_own_cell(_on_sphere(own)).select("lat", "lng", "cell")
     found = own.join(some.drop("level"), "cell").groupBy("lat", "lng").agg(
         F.count("*").alias("found"), F.max(_miles_to_zip()).alias("farthest")
     )
@@ -101,35 +106,21 @@ def _with_reach(points: DataFrame, in_cells: DataFrame, k: int, max_miles: float
 
 
 def _cells_in_reach(points: DataFrame) -> DataFrame:
-    """One row for each cell that can hold postcodes within the position's reach."""
-    # The reach as a straight line, in units of the cube's side. Without a reach the whole cube is searched.
-    angle = F.least(F.col("reach") / EARTH_RADIUS_MILES, F.lit(PI))
-    width = F.greatest(F.sin(angle / 2) * 2 / CUBE_SIDE * ROUNDING_SLACK, F.lit(SHORTEST))
-    level = F.least(F.greatest(F.floor(-F.log2(width)), F.lit(0)), F.lit(FINEST_LEVEL))
-    sized = points.withColumns(
-        {
-            "width": F.coalesce(F.when(F.col("reach").isNotNull(), width), F.lit(1.0)),
-            "level": F.coalesce(F.when(F.col("reach").isNotNull(), level), F.lit(0)).cast("int"),
-        }
-    )
+    """One row for each cell that can hold postcodes within the position's reach.
 
-    def touched(axis: str) -> Column:
-        n = _cells(F.col("level"))
-        first = F.floor((F.col(axis) - F.col("width")) * n)
-        last = F.floor((F.col(axis) + F.col("width")) * n)
-        return F.sequence(F.greatest(first, F.lit(0)), F.least(last, n - 1))
-
-    return (
-        sized.withColumn("ix", F.explode(touched("x")))
-        .withColumn("iy", F.explode(touched("y")))
-        .withColumn("iz", F.explode(touched("z")))
-        .select(
-            "lat",
-            "lng",
-            "reach",
-            _cell_key(F.col("level"), F.col("ix"), F.col("iy"), F.col("iz")).alias("cell"),
-        )
+    ``width`` is the reach as a straight line in units of the cube's side; without a reach it is the whole
+    side, for which level 0 is searched.
+    """
+    straight = f"2 * sin(least(reach / {EARTH_RADIUS_MILES}D, pi()) / 2) / {CUBE_SIDE}D * {ROUNDING_SLACK!r}D"
+    sized = (
+        points.selectExpr("*", f"if(reach IS NULL, 1D, greatest({straight}, {SHORTEST}D)) AS width")
+        .selectExpr("*", f"cast(least(greatest(floor(-log2(width)), 0), {FINEST_LEVEL}) AS int) AS level")
+        .selectExpr("*", "shiftleft(1L, level) AS n")
     )
+    for axis in ("x", "y", "z"):
+        first, last = f"floor(({axis} - width) * n)", f"floor(({axis} + width) * n)"
+        sized = sized.selectExpr("*", f"explode(sequence(greatest({first}, 0L), least({last}, n - 1))) AS i{axis}")
+    return sized.selectExpr("lat", "lng", "reach", f"{CELL_NUMBER.format(ix='ix', iy='iy', iz='iz')} AS cell")
 
 
 def trip_ends(trips: DataFrame) -> DataFrame:
@@ -147,11 +138,13 @@ def nearest_zips(
 
     Equal distances go to the smaller postcode. With ``max_miles`` farther postcodes do not count, and a
     position may get fewer than ``k``.
+
+    This runs a job: the postcodes' cells are staged. They are used three times, and the planner cannot
+    estimate how many rows come of putting each postcode into a cell per level, so it would choose
+    broadcasts by a size that is far too small. A stage has a known size.
     """
     positions = _on_sphere(points.select("lat", "lng").na.drop().distinct())
-    in_cells = _at_all_levels(_on_sphere(_first_zips_per_position(zips, k))).select(
-        "cell", "level", "zip", F.col("lat").alias("zip_lat"), F.col("lng").alias("zip_lng")
-    )
+    in_cells = stage(_zips_in_cells(zips, k), "zip-cells")
     searched = _cells_in_reach(_with_reach(positions, in_cells, k, max_miles))
     candidates = (
         searched.join(in_cells.drop("level"), "cell")
