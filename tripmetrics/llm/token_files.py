@@ -36,104 +36,126 @@ from tripmetrics.llm.bpe import codec, texts_of
 from tripmetrics.llm.files import attempt_name, filesystem
 from tripmetrics.sources import scratch_path, stage
 
-BLOCK_IDS, LANES = 4096, 512
+BLOCK_IDS, LANES = 2048, 2048
 EPOCH = 128
 # Ids in a file, about; a document is never cut.
 FILE_IDS = 32 << 20
 MAGIC = b"IDMIX1\n\0"
-_PAIRS = 4096
+_PAIRS = 1024
 _STEP, _MOST = 24, 64
+_NEVER = np.int32(2**31 - 1)
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 _ALL, _WORD, _LOW = np.uint64((1 << 64) - 1), np.uint64(16), np.uint64((1 << 32) - 1)
 _HEAD, _FOOT = struct.Struct("<IIIII"), struct.Struct("<QQQ8s")
 
 
 class _Lanes:
-    """Models and range coder of blocks that run together. Lanes are ordered by length, the longest first."""
+    """Models and range coder of blocks that run together. Lanes are ordered by length, the longest first.
+
+    Tables of all lanes are flat arrays; ``rows`` has where each lane begins.
+    """
 
     def __init__(self, sizes: np.ndarray, lengths: np.ndarray):
         n, width = len(sizes), int(sizes.max())
-        self.n, self.width, self.lengths = n, width, lengths
+        self.n, self.width, self.lengths, self.falling = n, width, lengths, -lengths
         self.row = np.arange(n)
-        self.counts = np.where(np.arange(width) < sizes[:, None], 1, 0).astype(np.int64)
-        self.after = np.full((n, width + 1), -1, np.int32)
-        self.pair = np.full((n, _PAIRS), -1, np.int32)
-        self.one, self.two = np.full(n, width), np.full(n, width)
+        # A row of sums is padded to a power of two, so that the search needs no bounds.
+        self.levels = width.bit_length()
+        self.stride = 1 << self.levels
+        self.sums = np.full((n, self.stride), _NEVER, np.int32)
+        self.sum_rows, self.count_rows, self.after_rows, self.pair_rows = (
+            self.row * k for k in (self.stride, width, width + 1, _PAIRS)
+        )
+        self.counts = np.where(np.arange(width) < sizes[:, None], 1, 0).astype(np.int32).ravel()
+        self.after = np.full(n * (width + 1), -1, np.int32)
+        self.pair = np.full(n * _PAIRS, -1, np.int32)
+        # Before its first ids a lane's context is a number that it has not, whatever runs beside it.
+        self.one, self.two = sizes.astype(np.int64), sizes.astype(np.int64)
         self.hits, self.misses = np.zeros((2, n), np.int64), np.zeros((2, n), np.int64)
         self.low, self.range = np.zeros(n, np.uint64), np.full(n, _ALL)
-        self.lane_base = self.row * (1 << 32)
         self.renew(n)
 
     def renew(self, k: int) -> None:
-        sums = np.zeros((k, self.width + 1), np.int64)
-        np.cumsum(self.counts[:k], axis=1, out=sums[:, 1:])
-        self.total = sums[:, -1].copy()
-        self.flat = (sums + self.lane_base[:k, None]).ravel()
-        self.flat_row = self.row[:k] * (self.width + 1)
+        counts = self.counts[: k * self.width].reshape(k, self.width)
+        self.sums[:k, 0] = 0
+        np.cumsum(counts, axis=1, out=self.sums[:k, 1 : self.width + 1])
+        self.flat = self.sums.reshape(-1)
+        self.total = self.sums[:k, self.width].astype(np.int64)
         share = (4 * self.hits[:, :k] + 1) * self.total
-        self.weights = np.minimum(share // (4 * self.misses[:, :k] + _STEP), _MOST * self.total)
+        self.weights = np.clip(share // (4 * self.misses[:, :k] + _STEP), 1, _MOST * self.total)
 
     def alive(self, t: int) -> int:
-        return int(np.searchsorted(-self.lengths, -t, "left"))
+        return int(np.searchsorted(self.falling, -t, "left"))
 
     def predict(self, k: int) -> None:
-        """The numbers that orders 1 and 2 name, -1 for none, and their weights."""
-        self.place = (self.two[:k] * 31 + self.one[:k] * 2) % _PAIRS
-        self.named = np.stack([self.after[self.row[:k], self.one[:k]], self.pair[self.row[:k], self.place]])
-        self.added = np.where(self.named >= 0, self.weights[:, :k], 0)
-        self.mixed = self.total[:k] + self.added[0] + self.added[1]
+        """The numbers that orders 1 and 2 name and their weights; where there is none, 0 with no weight."""
+        self.after_at = self.after_rows[:k] + self.one[:k]
+        self.pair_at = self.pair_rows[:k] + ((self.two[:k] * 31 + self.one[:k] * 2) & (_PAIRS - 1))
+        named = self.after.take(self.after_at), self.pair.take(self.pair_at)
+        self.w1, self.w2 = (w[:k] * (x >= 0) for w, x in zip(self.weights, named))
+        self.n1, self.n2 = (np.maximum(x, 0) for x in named)
+        self.mixed = self.total[:k] + self.w1 + self.w2
 
     def interval(self, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of a number in the mixture."""
-        at = self.flat_row[:k] + s
-        start = self.flat[at] - self.lane_base[:k]
-        wide = self.flat[at + 1] - self.lane_base[:k] - start
-        for named, added in zip(self.named, self.added):
-            start = start + added * (named < s)
-            wide = wide + added * (named == s)
+        at = self.sum_rows[:k] + s
+        below = self.flat.take(at)
+        start = below + self.w1 * (self.n1 < s) + self.w2 * (self.n2 < s)
+        wide = self.flat.take(at + 1) - below + self.w1 * (self.n1 == s) + self.w2 * (self.n2 == s)
         return start, wide
 
     def find(self, v: np.ndarray, k: int) -> np.ndarray:
-        """The number whose interval holds ``v``."""
-        found, rest = np.full(k, -1), v.copy()
-        for named, added in zip(self.named, self.added):
-            start, wide = self.interval(np.maximum(named, 0), k)
-            found = np.where((added > 0) & (v >= start) & (v < start + wide), named, found)
-            rest -= added * (v >= start + wide)
-        rest = np.clip(rest, 0, self.total[:k] - 1)
-        plain = np.searchsorted(self.flat[: k * (self.width + 1)], rest + self.lane_base[:k], "right") - 1 - self.flat_row[:k]
-        return np.where(found >= 0, found, plain)
+        """The number whose interval holds ``v``: what named numbers add is taken off, then sums are searched."""
+        rest = v.copy()
+        inside = []
+        for n, w, m, u in ((self.n1, self.w1, self.n2, self.w2), (self.n2, self.w2, self.n1, self.w1)):
+            at = self.sum_rows[:k] + n
+            below = self.flat.take(at)
+            beyond = v - below - u * (m < n)
+            past = beyond >= self.flat.take(at + 1) - below + w + u * (m == n)
+            rest -= w * past
+            inside.append(((beyond >= 0) & ~past, below))
+        # Inside a named number's interval its own sum is looked for.
+        for held, below in inside:
+            rest = np.where(held, below, rest)
+        at = self.sum_rows[:k].copy()
+        for level in range(self.levels - 1, -1, -1):
+            at += (self.flat.take(at + (1 << level)) <= rest) << level
+        return at - self.sum_rows[:k]
 
     def learn(self, s: np.ndarray, k: int) -> None:
-        known = self.named >= 0
-        right = self.named == s
-        self.hits[:, :k] += right
-        self.misses[:, :k] += known & ~right
-        self.counts[self.row[:k], s] += _STEP
-        self.after[self.row[:k], self.one[:k]] = s
-        self.pair[self.row[:k], self.place] = s
+        for i, (n, w) in enumerate(((self.n1, self.w1), (self.n2, self.w2))):
+            known, right = w > 0, n == s
+            self.hits[i, :k] += known & right
+            self.misses[i, :k] += known & ~right
+        self.counts[self.count_rows[:k] + s] += _STEP
+        self.after[self.after_at] = s
+        self.pair[self.pair_at] = s
         self.two[:k] = self.one[:k]
         self.one[:k] = s
 
-    def narrow(self, start: np.ndarray, wide: np.ndarray, k: int, shift: Callable[[np.ndarray], None]) -> None:
+    def narrow(self, unit: np.ndarray, start: np.ndarray, wide: np.ndarray, k: int, shift: Callable[[np.ndarray], None]) -> None:
         """Narrow the ranges and shift settled words out; ``shift`` is given the lanes that do."""
-        unit = self.range[:k] // self.mixed.astype(np.uint64)
         self.low[:k] += unit * start.astype(np.uint64)
         self.range[:k] = unit * wide.astype(np.uint64)
-        lanes = self.row[:k]
+        lanes: slice | np.ndarray = slice(0, k)
         while True:
             low, wide_now = self.low[lanes], self.range[lanes]
             settled = (low ^ (low + wide_now)) < _TOP
-            small = ~settled & (wide_now < _BOTTOM)
-            going = settled | small
-            if not going.any():
+            going = np.flatnonzero(settled | (wide_now < _BOTTOM))
+            if not len(going):
                 return
+            small = going[~settled[going]]
+            lanes = self.row[lanes]
             self.range[lanes[small]] = (np.uint64(0) - low[small]) & _LOW
             lanes = lanes[going]
             shift(lanes)
             self.low[lanes] <<= _WORD
             self.range[lanes] <<= _WORD
 
+    def unit(self, k: int) -> np.ndarray:
+        return self.range[:k] // self.mixed.astype(np.uint64)
+
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Every block of at least one id as a head, its different ids and its words."""
@@ -158,7 +180,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             lanes.renew(k)
         s = numbers[t, :k]
         lanes.predict(k)
-        lanes.narrow(*lanes.interval(s, k), k, shift)
+        lanes.narrow(lanes.unit(k), *lanes.interval(s, k), k, shift)
         lanes.learn(s, k)
     for _ in range(4):
         shift(lanes.row)
@@ -202,10 +224,10 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         if t and t % EPOCH == 0:
             lanes.renew(k)
         lanes.predict(k)
-        unit = lanes.range[:k] // lanes.mixed.astype(np.uint64)
+        unit = lanes.unit(k)
         v = np.minimum(((code[:k] - lanes.low[:k]) // unit).astype(np.int64), lanes.mixed - 1)
         s = lanes.find(v, k)
-        lanes.narrow(*lanes.interval(s, k), k, shift)
+        lanes.narrow(unit, *lanes.interval(s, k), k, shift)
         lanes.learn(s, k)
         numbers[t, :k] = s
     out = [np.zeros(0, np.uint32)] * len(blocks)
@@ -333,7 +355,8 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
     """
     before = W.orderBy("part", "number").rowsBetween(W.unboundedPreceding, -1)
     placed = manifest.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    files = placed.repartition(F.col("file"))
+    # As many parts as files: a manifest is tiny, and adaptive execution would join its rows to one task.
+    files = placed.repartition(max(1, manifest.count()), F.col("file"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
