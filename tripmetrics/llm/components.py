@@ -27,6 +27,15 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a < b").distinct()
 
 
+# Links in a written part, about. Rounds work on what is left, so most of them need few parts.
+PART_LINKS = 200_000
+
+
+def _staged(links: DataFrame, about: int) -> DataFrame:
+    """Written in as many parts as so many links need."""
+    return stage(links.coalesce(about // PART_LINKS + 1), "links")
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
 
@@ -42,7 +51,7 @@ def components(edges: DataFrame) -> DataFrame:
     links = stage(links, "links")
     mark = _mark(links)
     while mark[0]:
-        links = stage(_stars(stage(_stars(links, True), "stars"), False), "stars")
+        links = _staged(_stars(_staged(_stars(links, True), mark[0]), False), mark[0])
         before, mark = mark, _mark(links)
         if before == mark:
             break
