@@ -39,6 +39,8 @@ _ODD_SPACE = re.compile(r" (?:(?<=\s )|(?=\s)|\Z)|\A ")
 _WORD_CUT = re.compile(r"(?<=\S) (?=\S)")
 # Words that may be cut around letters: no apostrophe (it may belong to letters), no space but single newlines.
 _PLAIN = re.compile(rf"(?:[\x21-\x26\x28-\x7e{_LATIN}]|(?<!\n)\n(?!\n))*")
+# Most words: letters, and at most one mark behind them.
+_COMMON = re.compile(rf"( ?[{_LATIN}]+)([.,;:!?]?)")
 _RUNS = re.compile(rf"[{_LATIN}]+|[^{_LATIN}]+")
 _LETTERS = re.compile(rf"[{_LATIN}]+")
 
@@ -133,27 +135,33 @@ class Codec:
         self.pieces: dict[str, list[int]] = {}
 
     def _encode_word(self, word: str) -> list[int]:
-        if word == " " or not _PLAIN.fullmatch(word, 1 if word[:1] == " " else 0):
+        common = _COMMON.fullmatch(word)
+        if common:
+            runs = common.groups() if common[2] else common.groups()[:1]
+        elif word == " " or not _PLAIN.fullmatch(word, 1 if word[:1] == " " else 0):
             return self._encode_piece(word)
-        runs = _RUNS.findall(word, 1) if word[:1] == " " else _RUNS.findall(word)
-        if word[:1] == " ":
+        elif word[:1] == " ":
+            runs = _RUNS.findall(word, 1)
             runs[0] = " " + runs[0]
+        else:
+            runs = _RUNS.findall(word)
         out: list[int] = []
         for run in runs:
             ids = self.pieces.get(run)
             if ids is None:
                 ids = self.pieces[run] = self._encode_piece(run)
-            out += ids
+            out = out + ids if out else ids
         return out
 
     def _encode_piece(self, piece: str) -> list[int]:
         """One letter run goes to the model as it is; anything else is split by the tokenizer first."""
-        latin = piece.encode().decode("latin-1")
+        latin = piece if piece.isascii() else piece.encode().decode("latin-1")
         if self.ranks and next(self.overlaps.iter(latin), None):
             parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
             return [i for part, _ in parts for i in merge_by_rank(bytes(map(self.as_bytes.get, part)), self.ranks)]
         if _LETTERS.fullmatch(piece, 1 if piece[:1] == " " else 0):
-            return [t.id for t in self.tokenizer.model.tokenize(latin.translate(self.as_chars))]
+            chars = latin.replace(" ", self.as_chars[32], 1) if latin is piece else latin.translate(self.as_chars)
+            return [t.id for t in self.tokenizer.model.tokenize(chars)]
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
