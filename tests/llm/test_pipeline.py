@@ -1,0 +1,64 @@
+"""Each stage of the pipeline against a brute-force version on its own input."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import public_tokenizers as P
+import tiktoken
+
+import __spark_entry__ as spark_entry
+import corpus_pipeline
+from tests.compare import assert_same_rows
+from tests.llm import brute
+from tripmetrics.llm import bpe, oracle, quality, queries
+
+
+def test_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    steps = dict(corpus_pipeline.STAGES)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+
+    kept = steps["quality"](spark, docs, sf_dir)
+    trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    ids = list(texts)
+    scores = trees.score(quality.statistics([(texts[i] or "").encode() for i in ids]))
+    good = {i: texts[i] for i, s in zip(ids, scores) if s >= quality.THRESHOLD}
+    assert kept.columns == columns and {r.doc_id: r.text for r in kept.collect()} == good and len(good) < len(texts)
+
+    lined = steps["line_dedup"](spark, kept, sf_dir)
+    texts = brute.without_repeated_lines(list(good.items()))
+    got = lined.collect()
+    assert lined.columns == columns and {r.doc_id: r.text for r in got} == texts and texts != good
+    assert all(r.n_chars == len(r.text) for r in got if r.text != good[r.doc_id])
+
+    single = steps["simhash"](spark, lined, sf_dir)
+    ids = sorted(texts)
+    _, root = brute.simhash_components([texts[i] for i in ids])
+    texts = {ids[k]: texts[ids[k]] for k in set(root.values())}
+    assert single.columns == columns and {r.doc_id: r.text for r in single.collect()} == texts
+
+    clean = steps["decontamination"](spark, single, sf_dir)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    texts = {i: t for i, t in texts.items() if not brute.contamination(t, items)[1]}
+    assert clean.columns == columns and {r.doc_id: r.text for r in clean.collect()} == texts
+
+    path = P.path(queries.RANKS)
+    other = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    coded = {r.doc_id: r for r in corpus_pipeline.run(spark, sf_dir).collect()}
+    assert set(coded) == set(texts)
+    for i, t in texts.items():
+        ids = np.array(other.encode_ordinary(t or ""), "<u4")
+        assert coded[i].n_tokens == len(ids) and coded[i].ids_sha256 == hashlib.sha256(ids.tobytes()).hexdigest()
+        assert coded[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+def test_queries_are_registered_and_equal_their_sql(spark, sf_dir):
+    found = spark_entry.queries()
+    assert [n for n in found if n.startswith("op") or n == "pipeline"] == [*queries.QUERIES, "pipeline"]
+    for name, sql in oracle.SQL.items():
+        assert assert_same_rows(found[name](spark, sf_dir), sql, sf_dir) > 0
+    for name in ("op1_line_dedup", "op2_quality", "op6_bpe", "op7_simhash", "op8_spotsigs", "op9_token_files"):
+        assert found[name](spark, sf_dir).count() > 0

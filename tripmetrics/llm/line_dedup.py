@@ -367,6 +367,8 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
         F.coalesce("class_first", "first").alias("class_first"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
+    # Staged, so that both sides of the join are shuffled for it and a line that comes very often can be split.
+    all_firsts = stage(all_firsts, "lines-firsts")
     same = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
     out = lines.drop("keys").join(all_firsts, same, "left")
     short = F.isnull("class_first")
@@ -383,7 +385,8 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 def drop_repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, count: str | None = None) -> DataFrame:
     """The documents without the lines that are not the first of their class, with the columns they came with.
 
-    A document that loses every line that isn't blank goes. ``count`` names a column of text lengths to renew.
+    A document that loses every line that isn't blank goes. ``count`` names a column of text lengths,
+    which are renewed where lines go.
     """
     classes = line_classes(docs, tau=tau, min_chars=min_chars)
     is_first = F.col("class_doc").eqNullSafe(F.col("doc_id")) & (F.col("class_line") == F.col("line_no"))
@@ -396,8 +399,10 @@ def drop_repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts, sizes, kept = [], [], []
-            for text, lost in zip(batch.column("text").to_pylist(), batch.column("_lines_gone").to_pylist()):
+            texts, kept = [], []
+            sizes = batch.column(count).to_pylist() if count in names else [None] * batch.num_rows
+            both = zip(batch.column("text").to_pylist(), batch.column("_lines_gone").to_pylist())
+            for i, (text, lost) in enumerate(both):
                 if lost:
                     lost_here = {(x["line_no"], x["h1"]) for x in lost}
                     numbers = {n for n, _ in lost_here}
@@ -409,10 +414,10 @@ def drop_repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CH
                     ]
                     kept.append(any(line.strip(_BLANK) for line in lines))
                     text = "\n".join(lines)
+                    sizes[i] = len(text)
                 else:
                     kept.append(True)
                 texts.append(text)
-                sizes.append(len(text or ""))
             columns = {n: batch.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
             if count in names:
                 columns[count] = pa.array(sizes, pa.int64()).cast(columns[count].type)
