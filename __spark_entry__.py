@@ -6,8 +6,10 @@ comparison, and not in the library.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tripmetrics import functions as tm
 from tripmetrics.fixtures import oracle, tables
 from tripmetrics.operators import filters, hotspots, rain, records, trips, zips
 from tripmetrics.session import use_utc
-from tripmetrics.sources import load_stage, read_trips, read_weather, save_stage, scratch_path, stage
+from tripmetrics.sources import load_stage, read_trips, read_weather, save_stage, scratch_path, stage, unreadable_fields
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SLICE_YEAR = 2025
@@ -58,6 +60,10 @@ def _pickup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(hotspots.pickup_counts(tables.trip_points(spark, sf_dir)), "pickups")
 
 
+def _trips_with_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trips(spark, sf_dir).join(tables.trip_points(spark, sf_dir), "trip_id")
+
+
 def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = zips.trip_ends(tables.trip_points(spark, sf_dir))
     return zips.nearest_zips(ends, tables.zip_reference(spark, sf_dir))
@@ -83,6 +89,58 @@ def _scan_csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_trips(spark, path).select(*headers)
 
 
+def _unreadable_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers as text, some of them as no CSV reader takes them."""
+    path = scratch_path(spark, "trips-text")
+    tables.trips_text(spark, sf_dir).write.option("header", True).csv(path)
+    return unreadable_fields(read_trips(spark, path, flag_unreadable=True))
+
+
+def _counted(**rows: DataFrame) -> DataFrame:
+    """One row per name with the number of rows of its table."""
+    counts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name, df in rows.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+def _sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the samples that the source has not, and ids that the sample without replacement repeats."""
+    source, points = _trips(spark, sf_dir), tables.trip_points(spark, sf_dir)
+    sample = filters.sample_trips(source, SAMPLE_FRACTION)
+    return _counted(
+        foreign=sample.join(_trips(spark, sf_dir), sample.columns, "left_anti"),
+        repeated=sample.groupBy("trip_id").count().where("count > 1"),
+        foreign_points=filters.bootstrap_points(points).join(tables.trip_points(spark, sf_dir), "trip_id", "left_anti"),
+    )
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, KMeansModel, DataFrame]:
+    counts = _pickup_counts(spark, sf_dir)
+    model = hotspots.fit_clusters(counts, CLUSTERS)
+    points = hotspots.cluster_points(model, tables.trip_points(spark, sf_dir))
+    return points, model, hotspots.cluster_hotspots(model, counts)
+
+
+def _cluster_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips with a cluster, those that another centre is nearer to, and known positions that got none."""
+    points, model, _ = _clustered(spark, sf_dir)
+    off = [
+        (F.col("start_lat") - float(lat)) ** 2 + (F.col("start_lng") - float(lng)) ** 2
+        for lat, lng in model.clusterCenters()
+    ]
+    nearer = F.least(*off) < F.get(F.array(*off), F.col("cluster")) - 1e-9
+    known = filters.valid_points(tables.trip_points(spark, sf_dir))
+    return _counted(
+        assigned=points,
+        not_nearest=points.where(nearer),
+        left_out=known.join(points, "trip_id", "left_anti"),
+    )
+
+
+def _hotspot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hotspots without their cluster: trips by position."""
+    return _clustered(spark, sf_dir)[2].groupBy("start_lat", "start_lng").agg(F.sum("trips").alias("trips"))
+
+
 def _scan_csv_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "weather-csv")
     headers = {
@@ -135,6 +193,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "scan_csv_trips": _scan_csv_trips,
     "scan_csv_weather": _scan_csv_weather,
+    "unreadable_fields": _unreadable_fields,
     "stage_roundtrip": _stage_roundtrip,
     # projections
     "trip_defaults": lambda s, d: _trips(s, d).select("trip_id", "trip_seconds", "trip_miles", "fare", "tips"),
@@ -150,20 +209,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trip_month_name": lambda s, d: _tips(s, d).select("trip_id", "month", "month_name"),
     "prepared_trips": lambda s, d: records.prepared_trips(_good(s, d)),
     "tip_records": _tips,
-    "trip_coordinates": lambda s, d: records.trip_coordinates(tables.trip_points(s, d)),
+    "trip_coordinates": lambda s, d: records.trip_coordinates(_trips_with_points(s, d)),
     "rain_records": lambda s, d: records.rain_records(tables.weather_raw(s, d)),
     "trip_unix_time": lambda s, d: _trips(s, d).select(
         "trip_id", tm.epoch_seconds(F.col("start_ts")).alias("unix_time")
     ),
     # filters and samples
     "good_trips": _good,
-    "year_slice": lambda s, d: filters.year_slice(_good(s, d), SLICE_YEAR),
+    "year_slice": lambda s, d: filters.year_slice(_good(s, d), SLICE_YEAR, staged=False),
     "taxi_slice": lambda s, d: filters.taxi_slice(_good(s, d), 7).select(
         "trip_id", "taxi_id", "start_ts", "fare", "tips"
     ),
     "valid_points": lambda s, d: filters.valid_points(tables.trip_points(s, d)),
     "sample_trips": lambda s, d: filters.sample_trips(_trips(s, d), SAMPLE_FRACTION),
     "bootstrap_points": lambda s, d: filters.bootstrap_points(tables.trip_points(s, d)),
+    "sample_check": _sample_check,
     # counts and quality
     "trip_count": lambda s, d: trips.trip_count(_trips(s, d)),
     "trips_by_year": lambda s, d: trips.trips_by_year(_trips(s, d)),
@@ -174,7 +234,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "taxi_revenue_per_day": lambda s, d: _rounded(trips.taxi_revenue_per_day(_good(s, d)), 6, "revenue_per_day"),
     "top_taxis_per_trip": lambda s, d: _rounded(trips.top_taxis_per_trip(_good(s, d)), 6, "revenue_per_trip"),
     "top_taxi_total": lambda s, d: _rounded(
-        trips.top_taxi_total(filters.year_slice(_good(s, d), SLICE_YEAR)), 4, "revenue"
+        trips.top_taxi_total(filters.year_slice(_good(s, d), SLICE_YEAR, staged=False)), 4, "revenue"
     ),
     # hour of day
     "hourly_means": lambda s, d: _rounded(trips.hourly_means(_good(s, d)), 6, *_MEANS),
@@ -212,6 +272,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_centers": _cluster_centers,
     "cluster_hotspots": _cluster_hotspots,
     "cluster_silhouette": _cluster_silhouette,
+    "cluster_check": _cluster_check,
+    "hotspot_check": _hotspot_check,
     "nearest_zips": lambda s, d: _rounded(_nearest(s, d), 6, "miles"),
     "zip_pairs": _zip_pairs,
 }

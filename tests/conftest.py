@@ -12,7 +12,7 @@ from tripmetrics.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tripmetrics-tests",
         "local[8]",
@@ -20,6 +20,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.maxMetadataStringLength": "10000",
         },
     )

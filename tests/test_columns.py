@@ -99,3 +99,49 @@ def test_haversine(spark):
     radius = 3958.8
     expected = [radius * math.pi / 2, radius * math.pi, 0.0, radius * math.radians(1)]
     assert got == pytest.approx(expected, abs=1e-6)
+
+
+@pytest.mark.parametrize("zone", ["America/Chicago", "UTC", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_sessions_zone(spark, zone):
+    """On 11 March 2018 Chicago has no 02:15."""
+    text = "03/11/2018 02:15:30 AM"
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ts = tm.parse_time(F.col("t"))
+        row = spark.createDataFrame([(text,)], "t string").select(
+            ts.cast("string").alias("ts"),
+            tm.epoch_seconds(ts).alias("epoch"),
+            tm.month_name(ts).alias("month"),
+            tm.midpoint_hour(ts, ts).alias("hour"),
+            *[tm.truncate_time(ts, u).cast("string").alias(f"to_{u}") for u in ("minute", "hour", "day", "month")],
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row.ts == "2018-03-11 02:15:30" and row.epoch == 1520734530 and (row.month, row.hour) == ("March", 2)
+    assert (row.to_minute, row.to_hour) == ("2018-03-11 02:15:00", "2018-03-11 02:00:00")
+    assert (row.to_day, row.to_month) == ("2018-03-11 00:00:00", "2018-03-01 00:00:00")
+
+
+@pytest.mark.parametrize("unit", ["second", "minute", "hour", "day", "week", "month", "quarter", "year"])
+def test_truncation_equals_the_engines_in_utc(spark, unit):
+    times = [dt.datetime(2018, 11, 4, 1, 59, 59, 250000), dt.datetime(1969, 12, 31, 23, 1), dt.datetime(2000, 2, 29)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    got = df.select(tm.truncate_time(F.col("t"), unit), F.date_trunc(unit, "t").cast("timestamp_ntz")).collect()
+    assert all(a == b for a, b in got)
+
+
+@pytest.mark.parametrize("constant", [0.1, 5.0, 1e9 + 0.3, 0.0])
+@pytest.mark.parametrize("parts", range(1, 17, 3))
+def test_correlation_with_a_constant_is_null_however_rows_are_spread(spark, constant, parts):
+    df = spark.range(0, 1000, 1, parts).select(F.col("id").cast("double").alias("a"), F.lit(constant).alias("c"))
+    row = df.agg(tm.correlation(F.col("a"), F.col("c")), tm.correlation(F.col("c"), F.col("a"))).first()
+    assert tuple(row) == (None, None)
+
+
+def test_correlation_leaves_out_rows_without_both(spark):
+    rows = [(1.0, 2.0), (2.0, 4.5), (3.0, None), (None, 100.0), (4.0, 7.0), (5.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    row = df.agg(tm.correlation(F.col("a"), F.col("b")).alias("own"), F.corr("a", "b").alias("expected")).first()
+    assert row.own == pytest.approx(row.expected, abs=1e-12)
+    assert df.limit(0).agg(tm.correlation(F.col("a"), F.col("b"))).first()[0] is None

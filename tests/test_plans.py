@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from tripmetrics.fixtures import tables
-from tripmetrics.operators import records, zips
+from tripmetrics.operators import filters, records, zips
 from tripmetrics.operators import trips as tr
 from tripmetrics.sources import load_stage, save_stage
 
@@ -25,7 +25,7 @@ def staged(spark, sf_dir, tmp_path_factory):
     return load_stage(spark, path)
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - WRITES_OR_FITS))
+@pytest.mark.parametrize("name", sorted(set(spark_entry._QUERIES) - WRITES_OR_FITS))
 def test_no_pairwise_joins_and_no_python(spark, sf_dir, name):
     plan = plan_of(spark_entry.queries()[name](spark, sf_dir))
     for bad in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "ArrowEval", "ExistingRDD"):
@@ -52,6 +52,13 @@ def test_text_times_are_parsed_once_per_row(spark, sf_dir):
     assert plan.count("try_to_timestamp") == 1
 
 
+def test_a_year_of_text_times_is_parsed_once_in_the_filter(spark, sf_dir):
+    trips = records.normalize_trips(tables.trips_raw(spark, sf_dir))
+    plan = plan_of(filters.year_slice(trips, 2025, staged=False).select("trip_id"))
+    condition = next(line for line in plan.splitlines() if "Filter (" in line)
+    assert condition.count("try_to_timestamp") == 1
+
+
 def test_top_lists_do_not_sort_everything(staged):
     for df in (
         tr.top_taxis_per_trip(staged),
@@ -87,10 +94,17 @@ def test_nearest_zips_without_broadcast_gives_the_same(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-def test_each_task_passes_on_few_candidates(spark, sf_dir):
+@pytest.mark.parametrize(("limit", "cut"), [("10m", "row_number(), 5, Final"), ("-1", "row_number(), 5, Partial")])
+def test_each_task_passes_on_few_candidates(spark, sf_dir, limit, cut):
+    """Candidates stay where their position is while leaves are broadcast, and are cut before a shuffle otherwise."""
     points = zips.trip_ends(tables.trip_points(spark, sf_dir))
-    plan = plan_of(zips.nearest_zips(points, tables.zip_reference(spark, sf_dir)))
-    assert "row_number(), 5, Partial" in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        plan = plan_of(zips.nearest_zips(points, tables.zip_reference(spark, sf_dir)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert cut in plan
 
 
 def test_hot_positions_become_one_row(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmetrics import schema
 from tripmetrics.fixtures import tables
 from tripmetrics.operators import filters, records
-from tripmetrics.sources import load_stage, read_trips, read_weather, read_zips, save_stage, scratch_path, stage
+from tripmetrics.sources import load_stage, read_trips, read_weather, read_zips, save_stage, scratch_path, stage, unreadable_fields
 
 HEADER = (
     "Company,Fare,Taxi ID,Trip Start Timestamp,Trip End Timestamp,Trip Seconds,Trip Miles,Tips,"
@@ -123,3 +123,54 @@ def test_a_cluster_must_name_its_shared_folder():
         scratch_path(Session(spark_master="yarn"), "x")
     shared = scratch_path(Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/"), "x")
     assert shared.startswith("hdfs:///shared/tripmetrics-x-")
+
+
+def test_a_machine_local_folder_needs_a_single_process():
+    class Conf:
+        def __init__(self, master):
+            self.master = master
+
+        def get(self, key, default=None):
+            return self.master if key == "spark.master" else default
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    for master in ("local", "local[4]"):
+        assert "tripmetrics-x-" in scratch_path(Session(master), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session("local-cluster[2,1,1024]"), "x")
+    assert scratch_path(Session("yarn"), "x", "hdfs:///own/").startswith("hdfs:///own/tripmetrics-x-")
+
+
+def test_partition_columns_keep_their_type(spark, tmp_path):
+    path = str(tmp_path / "taxis")
+    rows = [("007", 1, "a"), ("7", 2, "b"), ("2018-01-01", 3, "c")]
+    save_stage(spark.createDataFrame(rows, "taxi_id string, n long, x string"), path, partition_by="taxi_id")
+    loaded = load_stage(spark, path)
+    assert sorted((r.taxi_id, r.n, r.x) for r in loaded.collect()) == sorted(rows)
+    assert dict(loaded.dtypes) == {"taxi_id": "string", "n": "bigint", "x": "string"}
+
+
+def test_unreadable_numbers_are_told_from_missing_ones(spark, tmp_path):
+    path = write(
+        tmp_path,
+        "trips.csv",
+        HEADER,
+        "x,$12.50,a,,,900.0,NaN,,,,,",
+        "x,12.5,b,,,900,3.5,1,,,,",
+        "x,,c,,,many,Infinity,none,41.9,?,,",
+    )
+    plain, flagged = (read_trips(spark, path, flag_unreadable=f).orderBy("taxi_id").collect() for f in (False, True))
+    for rows in (plain, flagged):
+        assert [r.trip_seconds for r in rows] == [900, 900, None]
+        assert [r.fare for r in rows] == [None, 12.5, None]
+        assert [r.trip_miles for r in rows] == [None, 3.5, None]
+    assert [sorted(r.unreadable) for r in flagged] == [
+        ["fare", "trip_miles"], [], ["start_lng", "tips", "trip_miles", "trip_seconds"],
+    ]
+    counts = {r["column"]: r["unreadable"] for r in unreadable_fields(read_trips(spark, path, True)).collect()}
+    assert counts == {
+        "trip_seconds": 1, "trip_miles": 2, "fare": 1, "tips": 1, "start_lat": 0, "start_lng": 1, "end_lat": 0, "end_lng": 0,
+    }

@@ -116,15 +116,30 @@ def test_nearest_zips_within_a_distance(spark, limit):
     check(z.nearest_zips(points, zips, k=3, max_miles=limit), expected, reference)
 
 
-def test_search_reads_few_postcodes(spark):
-    """Candidates follow k, not the number of postcodes."""
-    rng = random.Random(5)
-    points, zips, _ = frames(spark, around(rng, 50, 41.0, -87.0, 0.2), around(rng, 4000, 41.0, -87.0, 0.2))
-    in_cells = z._zips_in_cells(zips, 5)
-    positions = z._on_sphere(points.na.drop().distinct())
-    searched = z._cells_in_reach(z._with_reach(positions, in_cells, 5, None))
-    pairs = searched.join(in_cells.drop("level"), "cell").count()
-    assert pairs < 50 * 4000 / 10
+def ring(rng, n, width):
+    angles = [rng.uniform(0, 2 * math.pi) for _ in range(n)]
+    return [(41.88 + width * math.sin(a), -87.63 + width * math.cos(a)) for a in angles]
+
+
+@pytest.mark.parametrize("postcodes", [5_000, 50_000])
+@pytest.mark.parametrize("where", ["ring 0.02", "ring 0.1", "ring 0.3", "town only", "west of a border", "inside"])
+def test_search_reads_few_postcodes(spark, where, postcodes):
+    """Candidates follow k, wherever positions lie and however many postcodes there are."""
+    rng = random.Random(where)
+    town = around(rng, postcodes, 41.88, -87.63, 0.005)
+    if where == "inside":
+        positions, zips = around(rng, 500, 41.88, -87.63, 0.005), town
+    elif where == "west of a border":
+        positions = [(rng.uniform(41, 42), -90 - rng.uniform(0.001, 0.01)) for _ in range(500)]
+        zips = [(rng.uniform(41, 42), -90 + rng.uniform(0.001, 1)) for _ in range(postcodes)]
+    else:
+        positions = ring(rng, 500, 0.1 if where == "town only" else float(where.split()[1]))
+        zips = town if where == "town only" else town + around(rng, 200, 41.88, -87.63, 2.0)
+    points = z._on_sphere(spark.createDataFrame(positions, "lat double, lng double"))
+    reference = spark.createDataFrame([(i, *p) for i, p in enumerate(zips)], "zip int, lat double, lng double")
+    tree, _ = z.cell_tree(reference, 5)
+    read = z.leaves_in_reach(points, tree, 5).agg(F.sum("count")).first()[0]
+    assert read <= 200 * len(positions)
 
 
 def test_pairs_of_the_documented_example(spark):

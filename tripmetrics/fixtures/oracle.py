@@ -169,6 +169,13 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT CAST(trip_id AS VARCHAR) AS trip_id, CAST(taxi_id AS VARCHAR) AS taxi_id, start_text, end_text, "
         "trip_seconds, trip_miles, fare, tips FROM trips_raw",
         "scan_csv_weather": _rain("SELECT * FROM weather_raw"),
+        "unreadable_fields": _RAW_TRIPS_ONLY
+        + """SELECT * FROM (
+  SELECT 'trip_seconds' AS "column", CAST(0 AS BIGINT) AS unreadable
+  UNION ALL SELECT 'trip_miles', count(*) FROM trips_raw WHERE trip_id % 11 = 3
+  UNION ALL SELECT 'fare', count(*) FROM trips_raw WHERE trip_id % 13 = 4 AND fare IS NOT NULL
+  UNION ALL SELECT 'tips', count(*) FROM trips_raw WHERE trip_id % 17 = 5
+  UNION ALL SELECT unnest(['start_lat', 'start_lng', 'end_lat', 'end_lng']), CAST(0 AS BIGINT))""",
         "stage_roundtrip": _trips(f"SELECT {_TRIP_FIELDS} FROM trips"),
         # projections
         "trip_defaults": _trips("SELECT trip_id, trip_seconds, trip_miles, fare, tips FROM trips"),
@@ -182,7 +189,8 @@ def oracle_sql() -> dict[str, str]:
         "trip_month_name": _trips("SELECT trip_id, month, month_name FROM tip_recs"),
         "prepared_trips": _trips(f"SELECT {_PREPARED} FROM good"),
         "tip_records": _trips("SELECT * FROM tip_recs"),
-        "trip_coordinates": _geo("SELECT * FROM points"),
+        "trip_coordinates": "WITH" + _TRIPS_RAW.replace("{unit}", "second") + _TRIPS + "," + _POINTS
+        + "\nSELECT trip_id, start_ts, start_lat, start_lng, end_lat, end_lng FROM points JOIN trips USING (trip_id)",
         "rain_records": _rain("SELECT * FROM rain_recs"),
         "trip_unix_time": _trips("SELECT trip_id, CAST(epoch(start_ts) AS BIGINT) AS unix_time FROM trips"),
         # filters
@@ -190,6 +198,7 @@ def oracle_sql() -> dict[str, str]:
         "year_slice": _trips(f"SELECT {_TRIP_FIELDS} FROM good WHERE year = 2025"),
         "taxi_slice": _trips("SELECT trip_id, taxi_id, start_ts, fare, tips FROM good WHERE taxi_id = 7"),
         "valid_points": _geo("SELECT * FROM points WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL"),
+        "sample_check": "SELECT unnest(['foreign', 'repeated', 'foreign_points']) AS name, CAST(0 AS BIGINT) AS rows",
         # counts and quality
         "trip_count": _trips("SELECT count(*) AS trips FROM trips"),
         "trips_by_year": _trips("SELECT year, count(*) AS trips FROM trips WHERE year IS NOT NULL GROUP BY year"),
@@ -269,6 +278,15 @@ def oracle_sql() -> dict[str, str]:
             "min(start_lng) AS min_start_lng, max(start_lng) AS max_start_lng FROM points "
             "WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL"
         ),
+        "cluster_check": _geo(
+            "SELECT 'assigned' AS name, count(*) AS rows FROM points "
+            "WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL "
+            "UNION ALL SELECT unnest(['not_nearest', 'left_out']), CAST(0 AS BIGINT)"
+        ),
+        "hotspot_check": _geo(
+            "SELECT start_lat, start_lng, count(*) AS trips FROM points "
+            "WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL GROUP BY start_lat, start_lng"
+        ),
         "nearest_zips": _geo("SELECT lat, lng, place, zip, round(miles + 1e-10, 6) AS miles FROM nearest", _NEAREST),
         "zip_pairs": _geo(
             "SELECT DISTINCT p.trip_id, least(s.zip, e.zip) AS zip_a, greatest(s.zip, e.zip) AS zip_b "

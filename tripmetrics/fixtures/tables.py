@@ -41,6 +41,23 @@ def trips_raw(spark: SparkSession, sf_dir: str, start_unit: str = "second") -> D
     )
 
 
+def trips_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trips_raw`` as a CSV export with headers: some fares with a currency sign, all seconds with decimals, some
+    miles that are no number, and some tips of words."""
+    event = F.col("trip_id")
+    as_text = lambda c: F.col(c).cast("string")
+    return trips_raw(spark, sf_dir).select(
+        F.col("trip_id").alias("Trip ID"),
+        F.col("taxi_id").alias("Taxi ID"),
+        F.col("start_text").alias("Trip Start Timestamp"),
+        F.col("end_text").alias("Trip End Timestamp"),
+        F.concat(as_text("trip_seconds"), F.lit(".0")).alias("Trip Seconds"),
+        F.when(event % 11 == 3, F.lit("NaN")).otherwise(as_text("trip_miles")).alias("Trip Miles"),
+        F.when(event % 13 == 4, F.concat(F.lit("$"), as_text("fare"))).otherwise(as_text("fare")).alias("Fare"),
+        F.when(event % 17 == 5, F.lit("none")).otherwise(as_text("tips")).alias("Tips"),
+    )
+
+
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw weather measurements from ``events``, hourly, over six months and three stations."""
     measured = _shifted(truncate_time(F.col("ts"), "hour"), 6)

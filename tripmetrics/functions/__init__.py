@@ -4,6 +4,7 @@ from tripmetrics.functions.columns import (
     TIMESTAMP_FORMAT,
     correlation,
     epoch_seconds,
+    finite,
     midpoint_hour,
     month_name,
     or_zero,
@@ -22,6 +23,7 @@ __all__ = [
     "TIMESTAMP_FORMAT",
     "correlation",
     "epoch_seconds",
+    "finite",
     "haversine_miles",
     "midpoint_hour",
     "month_name",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,19 +11,48 @@ from pyspark.sql import functions as F
 TIMESTAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 
 
+_DAY_SECONDS = 24 * 60 * 60
+# Whole units below a day, in seconds. Larger units are cut on the date.
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
+
+
 def or_zero(number: Column) -> Column:
     """A missing number counts as 0 (sums, means and filters all see it)."""
     return F.coalesce(number, F.lit(0))
 
 
+def finite(number: Column) -> Column:
+    """NaN and infinities as NULL: they are texts that CSV readers accept as numbers, not measurements."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def parse_time(text: Column) -> Column:
-    """12-hour text to a zone-less timestamp; NULL for NULL and for text that is no such time."""
-    return F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+    """12-hour text to a zone-less timestamp; NULL for NULL and for text that is no such time.
+
+    The text is read with an explicit zone and rebuilt from its seconds, so the session's zone, and hours that
+    it skips or repeats, don't matter.
+    """
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{TIMESTAMP_FORMAT} Z"))
+    return _epoch() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(instant).cast("decimal(18, 6)"))
+
+
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def truncate_time(ts: Column, unit: str | None) -> Column:
     """The time cut down to a whole ``unit`` such as ``'hour'``; unchanged without a unit."""
-    return ts if unit is None else F.date_trunc(unit, ts).cast("timestamp_ntz")
+    if unit is None:
+        return ts
+    if unit not in _UNIT_SECONDS:
+        return F.trunc(ts.cast("date"), unit).cast("timestamp_ntz") if unit != "day" else ts.cast("date").cast("timestamp_ntz")
+    over = F.pmod(_seconds_of_day(ts), F.lit(_UNIT_SECONDS[unit]))
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), over)
+
+
+def _seconds_of_day(ts: Column) -> Column:
+    """With fractions. Fields of a zone-less timestamp are taken as they are written."""
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
 
 
 def speed_mph(miles: Column, seconds: Column) -> Column:
@@ -50,13 +81,14 @@ def tip_per_mile(tips: Column, miles: Column) -> Column:
 
 
 def month_name(ts: Column) -> Column:
-    """Full English month name."""
-    return F.date_format(ts, "MMMM")
+    """Full English month name. Of the date: a time would be read in the session's zone."""
+    return F.date_format(ts.cast("date"), "MMMM")
 
 
 def epoch_seconds(ts: Column) -> Column:
     """Seconds since 1970-01-01, the time read as UTC."""
-    return F.unix_timestamp(ts)
+    days = F.datediff(ts.cast("date"), F.lit(dt.date(1970, 1, 1))).cast("bigint")
+    return days * _DAY_SECONDS + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def squeeze_spaces(text: Column) -> Column:
@@ -70,8 +102,12 @@ def share_pct(part: Column, whole: Column) -> Column:
 
 
 def correlation(a: Column, b: Column) -> Column:
-    """Pearson correlation; NULL where a side is constant.
+    """Pearson correlation of the rows that have both; NULL where a side is constant or fewer than two rows count.
 
-    ``corr`` raises a division error on a constant side in ANSI mode, this form does not.
+    ``corr`` raises a division error on a constant side in ANSI mode. Constancy is decided by the extremes: merged
+    deviations of a constant can differ from 0 in their last bits, by how rows are spread over tasks.
     """
-    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    constant = (F.min(a) == F.max(a)) | (F.min(b) == F.max(b))
+    spread = F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+    return F.when(~constant, F.covar_pop(a, b) / spread)

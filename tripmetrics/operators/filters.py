@@ -31,15 +31,20 @@ def good_trips(trips: DataFrame, rules: QualityRules = QualityRules()) -> DataFr
     return trips.filter(rules.is_good())
 
 
-def year_slice(trips: DataFrame, year: int) -> DataFrame:
+def year_slice(trips: DataFrame, year: int, staged: bool = True) -> DataFrame:
     """Trips that start in one year.
 
-    Written as a time range, so that a typed table skips row groups by their statistics; a stage that
-    is partitioned by ``year`` is pruned to one folder as well.
+    On a typed table the slice is also a time range, which skips row groups by their statistics; a stage that is
+    partitioned by ``year`` is pruned to one folder. With ``staged=False``, for times that are still parsed from
+    text, only the year is compared, so that the filter parses each text once.
     """
-    first, following = (F.lit(f"{y:04d}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-    in_range = (F.col("start_ts") >= first) & (F.col("start_ts") < following)
-    return trips.filter((F.col("year") == year) & in_range)
+    # Compared with a value for an unknown year, or a test for NULL would parse the text once more.
+    in_year = F.coalesce("year", F.lit(0)) == year
+    if staged:
+        in_year = F.col("year") == year
+        first, following = (F.lit(f"{y:04d}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+        in_year &= (F.col("start_ts") >= first) & (F.col("start_ts") < following)
+    return trips.filter(in_year)
 
 
 def taxi_slice(trips: DataFrame, taxi_id: str | int) -> DataFrame:

@@ -24,7 +24,7 @@ def pickup_counts(points: DataFrame) -> DataFrame:
 
 
 def point_bounds(points: DataFrame) -> DataFrame:
-    """Bounding box of the pickup positions."""
+    """Bounding box of the pickup positions; takes points or ``pickup_counts``."""
     return valid_points(points, START).agg(
         *[f(c).alias(f"{name}_{c}") for c in START for name, f in (("min", F.min), ("max", F.max))]
     )
@@ -70,9 +70,24 @@ def cluster_silhouette(model: KMeansModel, points: DataFrame) -> DataFrame:
 
     Takes the trips, not their counts: the evaluator leaves a row's whole weight out of the row's own
     cluster, which for counts would also leave out the other trips at the same position. It compares
-    trips with cluster totals, so its work is linear in the trips.
+    trips with cluster totals, so its work is linear in the trips. NULL where fewer than two clusters are in
+    use: a silhouette compares two. Pass the two position columns of a stage: the trips are read several times.
     """
-    value = ClusteringEvaluator(predictionCol="cluster").evaluate(
-        model.transform(_with_features(valid_points(points, START)))
-    )
-    return points.sparkSession.createDataFrame([(float(value),)], "silhouette double")
+    features = _with_features(valid_points(points.select(*START), START)).select("features")
+    found = model.transform(features)
+    in_use = found.groupBy("cluster").count().limit(2).count()
+    value = float(ClusteringEvaluator(predictionCol="cluster").evaluate(found)) if in_use > 1 else None
+    return points.sparkSession.createDataFrame([(value,)], "silhouette double")
+
+
+def can_cluster(counts: DataFrame) -> bool:
+    """Whether ``pickup_counts`` has the two positions that fitting needs at least."""
+    return counts.limit(2).count() > 1
+
+
+def no_clusters(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables of centres, hotspots and silhouette where nothing can be fitted: typed and empty."""
+    spark = counts.sparkSession
+    hotspots = counts.limit(0).select(F.lit(0).alias("cluster"), *START, "trips")
+    centres = spark.createDataFrame([], "cluster int, lat double, lng double")
+    return centres, hotspots, spark.createDataFrame([], "silhouette double")

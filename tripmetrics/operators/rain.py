@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
@@ -43,19 +43,26 @@ def trips_with_rain(trips: DataFrame, rain: DataFrame, unit: str | None = None)
     )
 
 
+def _time_corr() -> list[Column]:
+    return [tm.correlation(F.col("unix_time"), F.col(m)).alias(f"time_{m}_corr") for m in ("fare", "tips")]
+
+
+def _rain_corr() -> list[Column]:
+    return [
+        tm.correlation(F.col(r), F.col(m)).alias(f"{r}_{m}_corr") for r in RAIN_METRICS for m in ("fare", "tips")
+    ]
+
+
 def time_money_corr(joined: DataFrame) -> DataFrame:
     """Correlation of time with fare and with tips, over the trips that have rain data."""
-    return joined.agg(
-        *[tm.correlation(F.col("unix_time"), F.col(m)).alias(f"time_{m}_corr") for m in ("fare", "tips")]
-    )
+    return joined.agg(*_time_corr())
 
 
 def rain_money_corr(joined: DataFrame) -> DataFrame:
     """Correlation of both rain measures with fare and with tips."""
-    return joined.agg(
-        *[
-            tm.correlation(F.col(r), F.col(m)).alias(f"{r}_{m}_corr")
-            for r in RAIN_METRICS
-            for m in ("fare", "tips")
-        ]
-    )
+    return joined.agg(*_rain_corr())
+
+
+def money_corr(joined: DataFrame) -> DataFrame:
+    """The columns of ``time_money_corr`` and ``rain_money_corr`` from one pass."""
+    return joined.agg(*_time_corr(), *_rain_corr())

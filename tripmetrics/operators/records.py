@@ -14,17 +14,17 @@ def normalize_trips(raw: DataFrame) -> DataFrame:
     """Parse and clean raw trips once.
 
     Missing numbers become 0, times become ``timestamp_ntz`` (NULL if unreadable), and speed, midpoint
-    hour and start year are added. Position columns pass through, NULLs kept. Columns that a query does
+    hour and start year are added. Position columns and the names of unreadable fields pass through, NULLs kept. Columns that a query does
     not use cost nothing: Catalyst prunes them together with their parsing.
     """
-    positions = [c for c in POSITION_COLUMNS if c in raw.columns]
+    passed_on = [c for c in (*POSITION_COLUMNS, "unreadable") if c in raw.columns]
     typed = raw.select(
         "trip_id",
         "taxi_id",
         tm.parse_time(F.col("start_text")).alias("start_ts"),
         tm.parse_time(F.col("end_text")).alias("end_ts"),
         *[tm.or_zero(F.col(c)).alias(c) for c in ("trip_seconds", "trip_miles", "fare", "tips")],
-        *positions,
+        *passed_on,
     )
     return typed.select(
         "*",

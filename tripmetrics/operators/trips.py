@@ -28,10 +28,31 @@ def trips_by_year(trips: DataFrame) -> DataFrame:
 
 
 def quality_summary(trips: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """All, good and bad trips and the share of bad ones, from one scan."""
-    counts = trips.agg(F.count("*").alias("trips"), F.count_if(rules.is_good()).alias("good"))
+    """All, good and bad trips and the share of bad ones, from one scan.
+
+    With the column ``unreadable`` of the CSV reader also the trips in which a filled field could not be read.
+    """
+    return summary_of_years(counts_by_year(trips, rules))
+
+
+def counts_by_year(trips: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """All and good trips by start year, and those with unreadable fields where that is known.
+
+    One scan for all questions about counts; trips without a readable start are the row of the NULL year.
+    """
+    counts = [F.count("*").alias("trips"), F.count_if(rules.is_good()).alias("good")]
+    if "unreadable" in trips.columns:
+        counts.append(F.count_if(F.size("unreadable") > 0).alias("unreadable"))
+    return trips.groupBy("year").agg(*counts)
+
+
+def summary_of_years(years: DataFrame) -> DataFrame:
+    """``quality_summary`` from ``counts_by_year``."""
+    names = [c for c in years.columns if c != "year"]
+    sums = years.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
     bad = F.col("trips") - F.col("good")
-    return counts.select("trips", "good", bad.alias("bad"), tm.share_pct(bad, F.col("trips")).alias("bad_pct"))
+    rest = [c for c in names if c not in ("trips", "good")]
+    return sums.select("trips", "good", bad.alias("bad"), tm.share_pct(bad, F.col("trips")).alias("bad_pct"), *rest)
 
 
 def _with_revenue(trips: DataFrame) -> DataFrame:
@@ -56,6 +77,17 @@ def taxi_revenue_per_day(trips: DataFrame) -> DataFrame:
     )
 
 
+def taxi_sums(trips: DataFrame, year: int) -> DataFrame:
+    """Number of trips and revenue by taxi, in all and in ``year``: one scan for the questions about taxis."""
+    in_year = F.col("year") == year
+    return _with_revenue(trips).groupBy("taxi_id").agg(
+        F.count("*").alias("trips"),
+        F.sum("revenue").alias("revenue"),
+        F.count_if(in_year).alias("year_trips"),
+        F.sum(F.when(in_year, F.col("revenue"))).alias("year_revenue"),
+    )
+
+
 def taxi_revenue_total(trips: DataFrame) -> DataFrame:
     """Revenue by taxi."""
     return _with_revenue(trips).groupBy("taxi_id").agg(F.sum("revenue").alias("revenue"))
@@ -82,6 +114,18 @@ def hourly_totals(trips: DataFrame) -> DataFrame:
     return group_known(trips, ["midpoint_hour"], "midpoint_hour", *totals)
 
 
+def hourly_sums(trips: DataFrame) -> DataFrame:
+    """Counts and sums by hour of the trip's midpoint, the NULL hour included: one scan for all hourly questions."""
+    sums = [F.sum(m).alias(m) for m in HOURLY_METRICS]
+    return trips.groupBy("midpoint_hour").agg(F.count("*").alias("trips"), *sums)
+
+
+def means_of_sums(sums: DataFrame) -> DataFrame:
+    """``hourly_means`` from ``hourly_sums``."""
+    means = [(F.col(m) / F.col("trips")).alias(m) for m in HOURLY_METRICS]
+    return sums.filter("midpoint_hour IS NOT NULL").select("midpoint_hour", *means)
+
+
 def hourly_peaks(means: DataFrame) -> DataFrame:
     """The hour with the highest mean, for speed, fare and tips; takes ``hourly_means``."""
     return peak_rows(means, "midpoint_hour", HOURLY_METRICS)

@@ -1,22 +1,25 @@
 """Nearest postcodes of trip ends, and the pairs of postcodes of a trip.
 
-The search is exact and joins on grid cells instead of comparing every position with every postcode.
+The search is exact and descends a tree of grid cells instead of comparing every position with every postcode.
 
-Positions become points on the unit sphere, and a cube around the sphere is cut into cells: level 0 is
-the whole cube, each level halves the side. On the sphere there is no date line and no pole to treat,
-and straight-line distance orders points as great-circle distance does.
+Positions become points on the unit sphere, and a cube around the sphere is cut into cells: level 0 is the whole
+cube, each level halves the side. On the sphere there is no date line and no pole to treat, and straight-line
+distance orders points as great-circle distance does. Every second level is used. A cell of at most ``LEAF``
+postcodes is a leaf, and only cells with more are cut further, so the tree is deep where postcodes are dense.
+Each cell is kept with its number of postcodes and the box that they fill.
 
-1. For each position take the finest level at which its own cell holds ``k`` postcodes. The farthest of any
-   ``k`` postcodes of that cell is a *reach*: the k-th nearest postcode is at most that far away.
-2. Take the finest level whose cells are at least as wide as the reach. The cells that a box of the reach
-   around the position touches, three per axis at most, hold the whole answer.
+Every position goes down the tree with a set of cells, at first the whole cube. A step puts a cell's occupied parts
+in its place. The smallest distance at which the far corners of boxes add up to ``k`` postcodes bounds the answer,
+and cells whose nearest corner is beyond it are dropped. Postcodes are joined at the leaves that are left.
 
-Dense areas get small cells and sparse areas large ones, so the number of candidates follows ``k`` and not
-the size of either table, and a crowded cell is read only for positions that are close to it.
+The bound follows the boxes and not the cells' borders, so neither a dense area beside the position nor a border of
+the grid through it makes the search wide. Nothing caps the set of cells: what is dropped can't hold an answer.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,13 +28,13 @@ from tripmetrics.functions.geo import EARTH_RADIUS_MILES
 from tripmetrics.sources import stage
 
 # Cells of level 20 are about 12 metres wide; cell numbers then stay below 2 ** 61.
-FINEST_LEVEL = 20
+LEVELS = range(0, 21, 2)
+LEAF = 8
 # A little more than the sphere's diameter, so that a coordinate of exactly 1 is inside the cube.
 CUBE_SIDE = 2.002
 # Distances are compared after different roundings; the slack is far above those and far below a metre.
-ROUNDING_SLACK = 1 + 1e-9
-SHORTEST = 1e-9
-
+ROUNDING_SLACK = 1e-9
+ROOT_CELL = 1
 
 # A cell's number. Those of a level with n cells per axis lie between n ** 3 and 2 * n ** 3, so cells of
 # different levels never share a number.
@@ -48,24 +51,6 @@ def _on_sphere(df: DataFrame) -> DataFrame:
     )
 
 
-def _in_own_cell(df: DataFrame) -> DataFrame:
-    """Add the number of the cell that the point lies in at its ``level``."""
-    own = CELL_NUMBER.format(ix="floor(x * n)", iy="floor(y * n)", iz="floor(z * n)")
-    return df.selectExpr("*", "shiftleft(1L, level) AS n").selectExpr("*", f"{own} AS cell")
-
-
-def _at_all_levels(df: DataFrame) -> DataFrame:
-    """One row per level, with the cell at that level."""
-    return _in_own_cell(df.selectExpr("*", f"explode(sequence(0, {FINEST_LEVEL})) AS level"))
-
-
-def _first_per(df: DataFrame, keys: tuple[str, ...], k: int) -> DataFrame:
-    """The ``k`` smallest postcodes per key, numbered; each task passes on at most ``k`` rows of a key."""
-    return df.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("zip"))).filter(
-        F.col("place") <= k
-    )
-
-
 def _first_zips_per_position(zips: DataFrame, k: int) -> DataFrame:
     """Postcodes that can be in an answer: of those at one position, the ``k`` smallest.
 
@@ -73,54 +58,93 @@ def _first_zips_per_position(zips: DataFrame, k: int) -> DataFrame:
     the others can never be among the first ``k``.
     """
     distinct = zips.select("zip", "lat", "lng").na.drop().distinct()
-    return _first_per(distinct, ("lat", "lng"), k).drop("place")
+    smallest = Window.partitionBy("lat", "lng").orderBy("zip")
+    return distinct.withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= k).drop("place")
 
 
-def _zips_in_cells(zips: DataFrame, k: int) -> DataFrame:
-    """Each postcode once per level, with its cell."""
-    return _at_all_levels(_on_sphere(_first_zips_per_position(zips, k))).select(
-        "cell", "level", "zip", F.col("lat").alias("zip_lat"), F.col("lng").alias("zip_lng")
+def _at_all_levels(points: DataFrame) -> DataFrame:
+    """One row per level, with the cell at that level and the cell around it at the level above."""
+    levels = ", ".join(f"{level}" for level in LEVELS)
+    own = CELL_NUMBER.format(ix="floor(x * n)", iy="floor(y * n)", iz="floor(z * n)")
+    return (
+        points.selectExpr("*", f"explode(array({levels})) AS level")
+        .selectExpr("*", "shiftleft(1L, level) AS n")
+        .selectExpr("*", f"{own} AS cell")
+        .selectExpr("* EXCEPT (n)", f"shiftleft(1L, greatest(level - {LEVELS.step}, 0)) AS n")
+        .selectExpr("* EXCEPT (n)", f"if(level = 0, NULL, {own}) AS parent")
     )
 
 
-def _miles_to_zip() -> Column:
-    return tm.haversine_miles(F.col("lat"), F.col("lng"), F.col("zip_lat"), F.col("zip_lng"))
+def cell_tree(zips: DataFrame, k: int, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The steps of the tree, and the postcodes with their leaves. This runs jobs: both are staged.
 
-
-def _with_reach(points: DataFrame, in_cells: DataFrame, k: int, max_miles: float | None) -> DataFrame:
-    """Add a distance in miles within which all of a position's answers lie; NULL if nothing limits it."""
-    some = _first_per(in_cells, ("cell",), k)
-    # The root cell counts as well, so that a position is kept when there are fewer than k postcodes.
-    enough = some.filter((F.col("place") == k) | (F.col("level") == 0)).select("cell")
-    own = _at_all_levels(points).join(enough, "cell", "left_semi").groupBy("lat", "lng").agg(
-        F.max("level").alias("level")
-    )
-    own = _in_own_cell(_on_sphere(own)).select("lat", "lng", "cell")
-    found = own.join(some.drop("level"), "cell").groupBy("lat", "lng").agg(
-        F.count("*").alias("found"), F.max(_miles_to_zip()).alias("farthest")
+    A step leads from ``parent`` to ``cell``, with the cell's count, box, level and whether it is a ``leaf``.
+    Leaves lead to themselves as well, so that one join moves every cell of a set on.
+    """
+    rows = _at_all_levels(_on_sphere(_first_zips_per_position(zips, k)))
+    box = [f(axis).alias(f"{name}_{axis}") for axis in "xyz" for name, f in (("low", F.min), ("high", F.max))]
+    cells = rows.groupBy("cell", "parent", "level").agg(F.count("*").alias("count"), *box)
+    # Each cell is small and used several times; the planner sees the real size of a stage.
+    cells = stage(cells, "zip-cells", folder)
+    large = cells.filter(f"count > {LEAF}").select(F.col("cell").alias("parent"))
+    leaf = (F.col("count") <= LEAF) | (F.col("level") == LEVELS[-1])
+    steps = cells.join(large, "parent", "left_semi").withColumn("leaf", leaf)
+    root = cells.filter("level = 0").withColumn("leaf", leaf)
+    ends = steps.unionByName(root).filter("leaf").withColumn("parent", F.col("cell"))
+    tree = stage(steps.unionByName(ends), "zip-tree", folder)
+    leaves = tree.filter("leaf").select("cell").distinct()
+    placed = rows.join(leaves, "cell", "left_semi")
+    return tree, stage(
+        placed.select("cell", "zip", F.col("lat").alias("zip_lat"), F.col("lng").alias("zip_lng")), "zip-leaves", folder
     )
-    reach = F.when(F.col("found") == k, F.col("farthest") * ROUNDING_SLACK)
-    if max_miles is not None:
-        reach = F.least(reach, F.lit(float(max_miles)))
-    return _on_sphere(found.select("lat", "lng", reach.alias("reach")))
 
 
-def _cells_in_reach(points: DataFrame) -> DataFrame:
-    """One row for each cell that can hold postcodes within the position's reach.
+def _square(expression: str) -> str:
+    return f"({expression}) * ({expression})"
+
+
+def _distances(axis_distance: str) -> str:
+    return " + ".join(_square(axis_distance.format(a=a)) for a in "xyz")
 
-    ``width`` is the reach as a straight line in units of the cube's side; without a reach it is the whole
-    side, for which level 0 is searched.
+
+def leaves_in_reach(points: DataFrame, tree: DataFrame, k: int, max_miles: float | None = None) -> DataFrame:
+    """The leaves that can hold one of the ``k`` nearest postcodes of a position, with their counts.
+
+    Distances are squares of straight lines in units of the cube's side. All steps of a position stay in one
+    window partition; only where the tree is too large to broadcast are cells shuffled to it.
     """
-    straight = f"2 * sin(least(reach / {EARTH_RADIUS_MILES}D, pi()) / 2) / {CUBE_SIDE}D * {ROUNDING_SLACK!r}D"
-    sized = (
-        points.selectExpr("*", f"if(reach IS NULL, 1D, greatest({straight}, {SHORTEST}D)) AS width")
-        .selectExpr("*", f"cast(least(greatest(floor(-log2(width)), 0), {FINEST_LEVEL}) AS int) AS level")
-        .selectExpr("*", "shiftleft(1L, level) AS n")
-    )
-    for axis in ("x", "y", "z"):
-        first, last = f"floor(({axis} - width) * n)", f"floor(({axis} + width) * n)"
-        sized = sized.selectExpr("*", f"explode(sequence(greatest({first}, 0L), least({last}, n - 1))) AS i{axis}")
-    return sized.selectExpr("lat", "lng", "reach", f"{CELL_NUMBER.format(ix='ix', iy='iy', iz='iz')} AS cell")
+    deepest = tree.filter("parent <> cell").agg(F.max("level")).first()[0] or 0
+    position = ["lat", "lng", "x", "y", "z"]
+    # Everything lies in the whole cube, cell 1. Written as its cell, so that the first join has a key as well.
+    frontier = points.selectExpr(*position, f"cast(floor(x) AS bigint) + {ROOT_CELL} AS at")
+    # At most 4 ** 3 parts of the cube, or the cube itself: every position meets these.
+    parts = F.broadcast(tree.filter(F.col("parent") == ROOT_CELL))
+    farthest = None
+    if max_miles is not None:
+        straight = 2 * math.sin(min(max_miles / EARTH_RADIUS_MILES, math.pi) / 2) / CUBE_SIDE
+        farthest = straight * straight * (1 + ROUNDING_SLACK) + ROUNDING_SLACK**2
+    of_position = Window.partitionBy("lat", "lng")
+    by_far = of_position.orderBy("far", "cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for step in range(max(1, deepest // LEVELS.step)):
+        onward = tree if step else parts
+        moved = frontier.drop("held").join(onward, F.col("at") == F.col("parent")).selectExpr(
+            *position,
+            "cell",
+            "count",
+            f"{_distances('greatest(low_{a} - {a}, {a} - high_{a}, 0D)')} AS near",
+            f"{_distances('greatest({a} - low_{a}, high_{a} - {a})')} AS far",
+        )
+        enough = F.when(F.sum("count").over(by_far) >= k, F.col("far"))
+        bounded = moved.withColumn("enough", enough).withColumn("bound", F.min("enough").over(of_position))
+        kept = F.col("bound").isNull() | (F.col("near") <= F.col("bound") * (1 + ROUNDING_SLACK) + ROUNDING_SLACK**2)
+        if farthest is not None:
+            kept &= F.col("near") <= farthest
+        frontier = bounded.filter(kept).select(*position, F.col("cell").alias("at"), F.col("count").alias("held"))
+    return frontier.select("lat", "lng", F.col("at").alias("cell"), F.col("held").alias("count"))
+
+
+def _miles_to_zip() -> Column:
+    return tm.haversine_miles(F.col("lat"), F.col("lng"), F.col("zip_lat"), F.col("zip_lng"))
 
 
 def trip_ends(trips: DataFrame) -> DataFrame:
@@ -132,28 +156,26 @@ def trip_ends(trips: DataFrame) -> DataFrame:
 
 
 def nearest_zips(
-    points: DataFrame, zips: DataFrame, k: int = 5, max_miles: float | None = None
+    points: DataFrame, zips: DataFrame, k: int = 5, max_miles: float | None = None, folder: str | None = None
 ) -> DataFrame:
     """The ``k`` nearest postcodes of each distinct position (lat, lng), nearest first.
 
     Equal distances go to the smaller postcode. With ``max_miles`` farther postcodes do not count, and a
     position may get fewer than ``k``.
 
-    This runs a job: the postcodes' cells are staged. They are used three times, and the planner cannot
+    This runs jobs: the postcodes' cells are staged. They are used at every step, and the planner cannot
     estimate how many rows come of putting each postcode into a cell per level, so it would choose
     broadcasts by a size that is far too small. A stage has a known size.
     """
     positions = _on_sphere(points.select("lat", "lng").na.drop().distinct())
-    in_cells = stage(_zips_in_cells(zips, k), "zip-cells")
-    searched = _cells_in_reach(_with_reach(positions, in_cells, k, max_miles))
-    candidates = (
-        searched.join(in_cells.drop("level"), "cell")
-        .withColumn("miles", _miles_to_zip())
-        .filter(F.col("reach").isNull() | (F.col("miles") <= F.col("reach")))
-        .select("lat", "lng", "zip", "miles")
-    )
+    tree, leaves = cell_tree(zips, k, folder)
+    searched = leaves_in_reach(positions, tree, k, max_miles)
+    candidates = searched.join(leaves, "cell").withColumn("miles", _miles_to_zip())
+    if max_miles is not None:
+        candidates = candidates.filter(F.col("miles") <= float(max_miles))
     nearest_first = Window.partitionBy("lat", "lng").orderBy("miles", "zip")
-    return candidates.withColumn("place", F.row_number().over(nearest_first)).filter(F.col("place") <= k)
+    placed = candidates.select("lat", "lng", "zip", "miles").withColumn("place", F.row_number().over(nearest_first))
+    return placed.filter(F.col("place") <= k)
 
 
 def sorted_pairs(starts: Column, ends: Column) -> Column:

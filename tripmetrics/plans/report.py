@@ -4,7 +4,7 @@
         --zips s3a://bucket/zips.csv --out s3a://bucket/report --year 2018
 
 The CSV is parsed once, into a stage table partitioned by year under ``OUT/stages/trips``; ``--trip-stage``
-uses such a table from an earlier run instead. The session needs ``spark.checkpoint.dir``.
+uses such a table from an earlier run instead. All intermediate tables go to ``OUT/stages``.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from __future__ import annotations
 import argparse
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tripmetrics.operators.filters import good_trips
 from tripmetrics.operators.rain import rain_by_time
-from tripmetrics.operators.records import normalize_trips, rain_records
+from tripmetrics.operators.records import POSITION_COLUMNS, normalize_trips, rain_records
 from tripmetrics.plans import questions
 from tripmetrics.session import build_session
 from tripmetrics.sources import load_stage, read_trips, read_weather, read_zips, save_stage, stage
@@ -33,33 +33,45 @@ def run(
     clusters: int = 308,
     rain_unit: str | None = None,
 ) -> list[str]:
-    """Write the answers under ``out`` and return their names. Questions without input are left out."""
+    """Write the answers under ``out`` and return their names. Questions without input are left out.
+
+    Each group of answers is written as soon as it is built, so what is answered stays if a later group fails.
+    Intermediate tables go to ``out/stages`` and may be removed when the job is done.
+    """
+    folder = f"{out.rstrip('/')}/stages"
     if trip_stage is None:
         if trips_csv is None:
             raise ValueError("give the trips as CSV or as a stage table")
-        trip_stage = f"{out}/stages/trips"
-        save_stage(normalize_trips(read_trips(spark, trips_csv)), trip_stage, partition_by="year")
+        trip_stage = f"{folder}/trips"
+        raw = read_trips(spark, trips_csv, flag_unreadable=True)
+        save_stage(normalize_trips(raw), trip_stage, partition_by="year")
     trips = load_stage(spark, trip_stage)
     good = good_trips(trips)
 
-    answers = {
-        **questions.record_counts(trips),
-        **questions.record_quality(trips),
-        **questions.taxi_revenue(good, year),
-        **questions.hours_of_day(good),
-        **questions.tips(good),
-        **questions.pickup_hotspots(good, clusters),
-    }
-    if zips_csv is not None:
-        answers.update(questions.postcode_pairs(good, read_zips(spark, zips_csv)))
+    groups = [
+        lambda: questions.record_counts(trips, folder=folder),
+        lambda: questions.taxi_revenue(good, year, folder),
+        lambda: questions.hours_of_day(good, folder),
+        lambda: questions.tips(good),
+    ]
+    if all(c in trips.columns for c in POSITION_COLUMNS):
+        groups.append(lambda: questions.pickup_hotspots(good, clusters, folder))
+        if zips_csv is not None:
+            groups.append(lambda: questions.postcode_pairs(good, read_zips(spark, zips_csv), folder=folder))
     if weather_csv is not None:
-        rain_means = stage(rain_by_time(rain_records(read_weather(spark, weather_csv)), rain_unit), "rain")
-        answers.update(questions.rainfall(rain_means))
-        answers.update(questions.rain_and_money(good, rain_means, rain_unit))
+        groups.append(lambda: _rain_answers(spark, good, weather_csv, rain_unit, folder))
+
+    names: list[str] = []
+    for group in groups:
+        for name, answer in group().items():
+            answer.write.mode("overwrite").parquet(f"{out}/{name}")
+            names.append(name)
+    return names
+
 
-    for name, answer in answers.items():
-        answer.write.mode("overwrite").parquet(f"{out}/{name}")
-    return list(answers)
+def _rain_answers(spark: SparkSession, good: DataFrame, path: str, unit: str | None, folder: str) -> questions.Answers:
+    means = stage(rain_by_time(rain_records(read_weather(spark, path)), unit), "rain", folder)
+    return questions.rainfall(means) | questions.rain_and_money(good, means, unit, folder)
 
 
 def main() -> None:

@@ -1,6 +1,6 @@
 """Readers for the CSV inputs, and Parquet stage tables."""
 
-from tripmetrics.sources.csv_tables import read_trips, read_weather, read_zips
+from tripmetrics.sources.csv_tables import read_trips, read_weather, read_zips, unreadable_fields
 from tripmetrics.sources.stages import load_stage, save_stage, scratch_path, stage
 
-__all__ = ["read_trips", "read_weather", "read_zips", "load_stage", "save_stage", "scratch_path", "stage"]
+__all__ = ["read_trips", "read_weather", "read_zips", "load_stage", "save_stage", "scratch_path", "stage", "unreadable_fields"]

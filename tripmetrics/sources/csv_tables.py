@@ -2,43 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmetrics.functions import finite
 from tripmetrics.schema import TRIP_COLUMNS, WEATHER_COLUMNS, ZIP_COLUMNS, SourceColumn
 
 
-def read_csv(spark: SparkSession, path: str, columns: tuple[SourceColumn, ...]) -> DataFrame:
+# Names the unreadable fields of a row.
+UNREADABLE = "unreadable"
+
+
+def read_csv(
+    spark: SparkSession, path: str, columns: tuple[SourceColumn, ...], flag_unreadable: bool = False
+) -> DataFrame:
     """Read the declared columns by header name, whatever else the file holds and in whatever order.
 
-    Only the header line is looked at up front; there is no pass over the data to guess types. A field
-    that does not fit its declared type becomes NULL. Files whose header differs from the first one's
-    are an error, not silently shifted columns.
+    Only the header line is looked at up front; there is no pass over the data to guess types. A number that
+    can't be read, NaN and infinities included, becomes NULL. Whole numbers may be written with decimals, as in
+    ``900.0``; decimals are cut off. Files whose header differs from the first one's are an error, not silently
+    shifted columns.
+
+    With ``flag_unreadable`` the column ``unreadable`` has the names of the fields that are filled and yet NULL,
+    so that they can be told from missing ones. Numbers are then read as text and converted here.
     """
     header = spark.read.option("header", True).csv(path).columns
     absent = [c.header for c in columns if c.required and c.header not in header]
     if absent:
         raise ValueError(f"{path} lacks the columns {absent}; it has {header}")
-    types = {c.header: c.type for c in columns}
-    in_file_order = T.StructType([T.StructField(h, types.get(h, T.StringType())) for h in header])
+    kinds = {c.header: _read_as(c) for c in columns if not flag_unreadable}
+    in_file_order = T.StructType([T.StructField(h, kinds.get(h, T.StringType())) for h in header])
     table = (
         spark.read.schema(in_file_order)
         .option("header", True)
         .option("enforceSchema", False)
         .csv(path)
     )
-    return table.select(
-        *[
-            (F.col(f"`{c.header}`") if c.header in header else F.lit(None).cast(c.type)).alias(c.name)
-            for c in columns
-        ]
-    )
+    present = [c for c in columns if c.header in header]
+    values = [
+        (_value(c) if c.header in header else F.lit(None).cast(c.type)).alias(c.name)
+        for c in columns
+    ]
+    if flag_unreadable:
+        numbers = [c for c in present if c.type != T.StringType()]
+        flags = [F.when((F.trim(_field(c)) != "") & _value(c).isNull(), F.lit(c.name)) for c in numbers]
+        values.append(F.array_compact(F.array(*flags)).cast("array<string>").alias(UNREADABLE))
+    return table.select(*values)
+
+
+def _read_as(column: SourceColumn) -> T.DataType:
+    return column.type if column.type == T.StringType() else T.DoubleType()
+
+
+def _field(column: SourceColumn) -> Column:
+    return F.col(f"`{column.header}`")
+
+
+def _value(column: SourceColumn) -> Column:
+    """A field in its declared type, read as text or as a double before."""
+    if column.type == T.StringType():
+        return _field(column)
+    number = finite(_field(column).try_cast("double"))
+    return number if column.type == T.DoubleType() else number.try_cast(column.type)
+
+
+def unreadable_fields(flagged: DataFrame, columns: tuple[SourceColumn, ...] = TRIP_COLUMNS) -> DataFrame:
+    """How many rows of a table read with ``flag_unreadable`` have an unreadable value, by column, 0 included.
+
+    One aggregate with a count per column; rows are not multiplied.
+    """
+    names = [c.name for c in columns if c.type != T.StringType()]
+    counts = flagged.agg(*[F.count_if(F.array_contains(UNREADABLE, n)).alias(n) for n in names])
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("unreadable")) for n in names])
+    return counts.select(F.inline(pairs))
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
+def read_trips(spark: SparkSession, path: str, flag_unreadable: bool = False) -> DataFrame:
     """Taxi trips as in the file: times still text, numbers may be NULL."""
-    return read_csv(spark, path, TRIP_COLUMNS)
+    return read_csv(spark, path, TRIP_COLUMNS, flag_unreadable)
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:

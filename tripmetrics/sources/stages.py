@@ -7,10 +7,16 @@ below ``spark.sql.autoBroadcastJoinThreshold``, and a sort-merge join with skew
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+# Beside the data of a partitioned stage; readers skip names that begin with an underscore.
+_SCHEMA = "_schema"
 
 
 def save_stage(
@@ -32,32 +38,43 @@ def save_stage(
         return
     rows = df.hint("rebalance", partition_by) if rebalance else df
     rows.write.mode(mode).partitionBy(partition_by).parquet(path)
+    # Folder names are text; without this their type would be guessed, and a taxi 007 come back as 7.
+    types = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+    types.coalesce(1).write.mode("overwrite").text(f"{path}/{_SCHEMA}")
 
 
 def load_stage(spark: SparkSession, path: str) -> DataFrame:
-    """Read a stage table; filters and column choices reach the Parquet scan."""
-    return spark.read.parquet(path)
+    """Read a stage table with the types it was written with; filters and column choices reach the Parquet scan."""
+    try:
+        types = spark.read.text(f"{path}/{_SCHEMA}").first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(path)
+    return spark.read.schema(StructType.fromJson(json.loads(types.value))).parquet(path)
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder that ``spark.checkpoint.dir`` names.
+def scratch_path(spark: SparkSession, label: str, folder: str | None = None) -> str:
+    """A new folder name under ``folder``, or else under the shared one that ``spark.checkpoint.dir`` names.
 
-    A machine-local folder is used only where the setting is missing and Spark runs in one process.
+    A machine-local folder is used only where the setting is missing and Spark runs in one process. Whoever owns
+    the folder removes what is in it once the results are no longer read.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/tripmetrics-{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to a new scratch stage and return the table read back from it.
 
     This runs a job. Use it on small results that a later plan reads more than once or joins with.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    save_stage(df, path, mode="errorifexists")
-    return load_stage(spark, path)
+    path = scratch_path(spark, label, folder)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
