@@ -317,7 +317,10 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
     """The records that the index lists, each archive read from front to back."""
-    placed = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    # As many parts as archives: an index is small, and adaptive execution would join its rows to few tasks.
+    archives = index.agg(F.count_distinct("file")).first()[0]
+    placed = index.select("file", "offset", "length").repartition(max(1, archives), "file")
+    placed = placed.sortWithinPartitions("file", "offset")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = filesystem(folder)
