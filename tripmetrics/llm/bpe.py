@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
@@ -34,9 +35,13 @@ from tripmetrics.llm.batches import extended, ragged, slices
 # Pieces and words kept between slices; a fuller cache is emptied.
 CACHE_ENTRIES = 1_600_000
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-# A space beside other white space or at an end: where these occur, words are cut by the slower pattern.
-_ODD_SPACE = re.compile(r" (?:(?<=\s )|(?=\s)|\Z)|\A ")
-_WORD_CUT = re.compile(r"(?<=\S) (?=\S)")
+# Fixed value: all white space that any of the libraries knows.
+_WHITE = " \t\n\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# A space beside other white space or at an end: where these occur, words are cut by a slower pattern.
+_ODD_SPACE = rf" [{_WHITE}]|[{_WHITE}] |\A | \z"
+_WORD_CUT = re.compile(rf"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
+# Larger slices than elsewhere: a word that comes again in a slice costs little.
+_SLICE_BYTES = 8 << 20
 # Words that may be cut around letters: no apostrophe (it may belong to letters), no space but single newlines.
 _PLAIN = re.compile(rf"(?:[\x21-\x26\x28-\x7e{_LATIN}]|(?<!\n)\n(?!\n))*")
 # Most words: letters, and at most one mark behind them.
@@ -92,12 +97,12 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class _Words(dict):
     """Number of a word in the pool of ids; a new word is encoded when it is asked for."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, before: str, pool: array, starts: array):
         super().__init__()
-        self.encode, self.pool, self.starts = encode, array("I"), array("q", [0])
+        self.encode, self.before, self.pool, self.starts = encode, before, pool, starts
 
     def __missing__(self, word: str) -> int:
-        self.pool.extend(self.encode(word))
+        self.pool.extend(self.encode(self.before + word))
         self.starts.append(len(self.pool))
         self[word] = number = len(self.starts) - 2
         return number
@@ -131,7 +136,9 @@ class Codec:
         self._clear()
 
     def _clear(self) -> None:
-        self.words = _Words(self._encode_word)
+        self.pool, self.starts = array("I"), array("q", [0])
+        # Words behind a space, and words at a text's beginning.
+        self.words, self.firsts = (_Words(self._encode_word, b, self.pool, self.starts) for b in (" ", ""))
         self.pieces: dict[str, list[int]] = {}
 
     def _encode_word(self, word: str) -> list[int]:
@@ -166,27 +173,47 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
-        if len(self.words) + len(self.pieces) > CACHE_ENTRIES:
+        if len(self.words) + len(self.firsts) + len(self.pieces) > CACHE_ENTRIES:
             self._clear()
-        number, counts, words = self.words.__getitem__, [], array("q")
-        for text in texts:
-            if not text:
-                counts.append(0)
-                continue
-            parts = _WORD_CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-            words.append(number(parts[0]))
-            words.extend(map(number, map(" ".__add__, parts[1:])))
-            counts.append(len(parts))
-        starts = np.frombuffer(self.words.starts, np.int64)
-        pool = np.frombuffer(self.words.pool, np.uint32) if len(self.words.pool) else np.zeros(0, np.uint32)
-        chosen = np.frombuffer(words, np.int64) if len(words) else np.zeros(0, np.int64)
+        odd = pa.compute.match_substring_regex(pa.array(texts, pa.large_string()), _ODD_SPACE).to_pylist()
+        odd = [o or not t for o, t in zip(odd, texts)]
+        plain, counts = self._numbers([t for t, o in zip(texts, odd) if not o])
+        if any(odd):
+            runs = iter(np.split(plain, np.cumsum(counts)[:-1]))
+            each = [self._odd_numbers(t) if o else next(runs) for t, o in zip(texts, odd)]
+            plain, counts = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
+        chosen = plain
+        starts = np.frombuffer(self.starts, np.int64)
+        pool = np.frombuffer(self.pool, np.uint32) if len(self.pool) else np.zeros(0, np.uint32)
         lengths = starts[chosen + 1] - starts[chosen]
         ids = pool[ragged(starts[chosen], lengths)]
         edges = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         before = np.concatenate([[0], np.cumsum(lengths)])
+        # The pool can't grow while an array looks into it.
         del starts, pool
         return ids, np.diff(before[edges])
 
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of texts that single spaces part, and how many each text has. Arrow splits them and
+        finds the different ones, which are looked up once."""
+        if not texts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lists = pa.compute.split_pattern(pa.array(texts, pa.large_string()), " ")
+        flat, ends = lists.flatten(), lists.offsets.to_numpy()
+        coded = flat.dictionary_encode()
+        known = np.fromiter(map(self.words.__getitem__, coded.dictionary.to_pylist()), np.int64)
+        numbers = known[coded.indices.to_numpy()]
+        # The first word of a text has no space before it.
+        firsts = flat.take(pa.array(ends[:-1])).to_pylist()
+        numbers[ends[:-1]] = np.fromiter(map(self.firsts.__getitem__, firsts), np.int64)
+        return numbers, np.diff(ends)
+
+    def _odd_numbers(self, text: str) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int64)
+        first, *rest = _WORD_CUT.split(text)
+        return np.array([self.firsts[first], *(self.words[w] for w in rest)], np.int64)
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids as one array."""
         return self.bytes[ragged(self.places[ids], self.sizes[ids])]
@@ -226,7 +253,7 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, text: str = "
     schema = extended(kept, ", ".join(f"{n} array<{'bigint' if n == 'ids' else 'int'}>" for n in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, _SLICE_BYTES):
             c, texts = codec(path, pattern), texts_of(batch.column(text))
             ids, counts = c.encode(texts)
             columns = [_split(ids, counts, pa.int64())]
@@ -263,7 +290,7 @@ def digests(docs: DataFrame, path: str, pattern: str | None = None, id_column: s
     schema = extended(docs.select(id_column), "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, _SLICE_BYTES):
             c = codec(path, pattern)
             ids, counts = c.encode(texts_of(batch.column(text)))
             ends = np.cumsum(counts)

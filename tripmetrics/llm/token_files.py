@@ -71,7 +71,7 @@ class _Lanes:
         self.pair = np.full(n * _PAIRS, -1, np.int32)
         # Before its first ids a lane's context is a number that it has not, whatever runs beside it.
         self.one, self.two = sizes.astype(np.int64), sizes.astype(np.int64)
-        self.hits, self.misses = np.zeros((2, n), np.int64), np.zeros((2, n), np.int64)
+        self.hits, self.misses = np.zeros((2, n), np.int32), np.zeros((2, n), np.int32)
         self.low, self.range = np.zeros(n, np.uint64), np.full(n, _ALL)
         self.renew(n)
 
@@ -80,9 +80,11 @@ class _Lanes:
         self.sums[:k, 0] = 0
         np.cumsum(counts, axis=1, out=self.sums[:k, 1 : self.width + 1])
         self.flat = self.sums.reshape(-1)
-        self.total = self.sums[:k, self.width].astype(np.int64)
-        share = (4 * self.hits[:, :k] + 1) * self.total
-        self.weights = np.clip(share // (4 * self.misses[:, :k] + _STEP), 1, _MOST * self.total)
+        total = self.sums[:k, self.width].astype(np.int64)
+        share = (4 * self.hits[:, :k] + 1) * total
+        # All that is mixed stays far below 2 ** 31: a block's counts are at most its ids times the step.
+        self.weights = np.clip(share // (4 * self.misses[:, :k] + _STEP), 1, _MOST * total).astype(np.int32)
+        self.total = total.astype(np.int32)
 
     def alive(self, t: int) -> int:
         return int(np.searchsorted(self.falling, -t, "left"))
@@ -225,7 +227,7 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
             lanes.renew(k)
         lanes.predict(k)
         unit = lanes.unit(k)
-        v = np.minimum(((code[:k] - lanes.low[:k]) // unit).astype(np.int64), lanes.mixed - 1)
+        v = np.minimum((code[:k] - lanes.low[:k]) // unit, lanes.mixed.astype(np.uint64) - np.uint64(1)).astype(np.int32)
         s = lanes.find(v, k)
         lanes.narrow(unit, *lanes.interval(s, k), k, shift)
         lanes.learn(s, k)
@@ -330,7 +332,7 @@ def write_ids(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, file, done = TaskContext.get().partitionId(), 0, None, []
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 8 << 20):
             file = file or IdFile(folder)
             ids, counts = codec(path).encode(texts_of(batch.column("text")))
             ends = np.cumsum(counts)
