@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
-from tripmetrics.fixtures import oracle, tables
+from fixtures import oracle, tables
 from tripmetrics.operators import filters, hotspots, rain, records, trips, zips
 from tripmetrics.session import use_utc
 from tripmetrics.sources import load_stage, read_trips, read_weather, save_stage, scratch_path, stage, unreadable_fields

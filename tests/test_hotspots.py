@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripmetrics.fixtures import tables
+from fixtures import tables
 from tripmetrics.operators import filters, hotspots
 
 

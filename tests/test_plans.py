@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from tripmetrics.fixtures import tables
+from fixtures import tables
 from tripmetrics.operators import filters, records, zips
 from tripmetrics.operators import trips as tr
 from tripmetrics.sources import load_stage, save_stage

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from tripmetrics.fixtures import tables
+from fixtures import tables
 from tripmetrics.operators import filters, records, zips
 from tripmetrics.operators import trips as tr
 from tripmetrics.plans import questions, report

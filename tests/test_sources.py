@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmetrics import schema
-from tripmetrics.fixtures import tables
+from fixtures import tables
 from tripmetrics.operators import filters, records
 from tripmetrics.sources import load_stage, read_trips, read_weather, read_zips, save_stage, scratch_path, stage, unreadable_fields
 

@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tripmetrics.fixtures import tables
+from fixtures import tables
 from tripmetrics.operators import filters, records
 from tripmetrics.operators import trips as tr
 from tripmetrics.operators.peaks import peak_rows
