@@ -192,7 +192,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         ids = found[j][0].astype("<u4")
         body = words[j, : used[j]].astype("<u2").tobytes()
         steps = np.diff(ids, prepend=ids.dtype.type(0)).astype("<u4").tobytes()
-        packed = zlib.compress(steps, 6)
+        packed = zlib.compress(steps, 1)
         check = zlib.crc32(blocks[i].astype("<u4").tobytes())
         out[i] = _HEAD.pack(lengths[j], len(ids), len(packed), len(body), check) + packed + body
     return out
