@@ -174,3 +174,9 @@ def test_unreadable_numbers_are_told_from_missing_ones(spark, tmp_path):
     assert counts == {
         "trip_seconds": 1, "trip_miles": 2, "fare": 1, "tips": 1, "start_lat": 0, "start_lng": 1, "end_lat": 0, "end_lng": 0,
     }
+
+
+def test_a_stage_without_partitions_is_loaded_as_it_is(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    save_stage(spark.createDataFrame([(1, "007")], "n int, taxi_id string"), path)
+    assert [tuple(r) for r in load_stage(spark, path).collect()] == [(1, "007")]
