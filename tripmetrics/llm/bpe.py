@@ -33,7 +33,7 @@ from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 from tripmetrics.llm.batches import extended, ragged, slices
 
 # Pieces and words kept between slices; a fuller cache is emptied.
-CACHE_ENTRIES = 1_600_000
+CACHE_ENTRIES = 1_000_000
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 # Fixed value: all white space that any of the libraries knows.
 _WHITE = " \t\n\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -102,7 +102,7 @@ class _Words(dict):
         self.encode, self.before, self.pool, self.starts = encode, before, pool, starts
 
     def __missing__(self, word: str) -> int:
-        self.pool.extend(self.encode(self.before + word))
+        self.pool.frombytes(self.encode(self.before + word))
         self.starts.append(len(self.pool))
         self[word] = number = len(self.starts) - 2
         return number
@@ -139,9 +139,10 @@ class Codec:
         self.pool, self.starts = array("I"), array("q", [0])
         # Words behind a space, and words at a text's beginning.
         self.words, self.firsts = (_Words(self._encode_word, b, self.pool, self.starts) for b in (" ", ""))
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def _encode_word(self, word: str) -> list[int]:
+    def _encode_word(self, word: str) -> bytes:
+        """The ids of a word as unsigned 32-bit numbers; so are those of pieces."""
         common = _COMMON.fullmatch(word)
         if common:
             runs = common.groups() if common[2] else common.groups()[:1]
@@ -152,24 +153,26 @@ class Codec:
             runs[0] = " " + runs[0]
         else:
             runs = _RUNS.findall(word)
-        out: list[int] = []
+        out = b""
         for run in runs:
             ids = self.pieces.get(run)
             if ids is None:
                 ids = self.pieces[run] = self._encode_piece(run)
-            out = out + ids if out else ids
+            out += ids
         return out
 
-    def _encode_piece(self, piece: str) -> list[int]:
+    def _encode_piece(self, piece: str) -> bytes:
         """One letter run goes to the model as it is; anything else is split by the tokenizer first."""
         latin = piece if piece.isascii() else piece.encode().decode("latin-1")
         if self.ranks and next(self.overlaps.iter(latin), None):
             parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
-            return [i for part, _ in parts for i in merge_by_rank(bytes(map(self.as_bytes.get, part)), self.ranks)]
-        if _LETTERS.fullmatch(piece, 1 if piece[:1] == " " else 0):
+            ids = [i for part, _ in parts for i in merge_by_rank(bytes(map(self.as_bytes.get, part)), self.ranks)]
+        elif _LETTERS.fullmatch(piece, 1 if piece[:1] == " " else 0):
             chars = latin.replace(" ", self.as_chars[32], 1) if latin is piece else latin.translate(self.as_chars)
-            return [t.id for t in self.tokenizer.model.tokenize(chars)]
-        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+            ids = [t.id for t in self.tokenizer.model.tokenize(chars)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
