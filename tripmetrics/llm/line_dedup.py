@@ -288,7 +288,7 @@ def links(docs: DataFrame, lines: DataFrame, tau: int = TAU, min_chars: int = MI
     dealt = dealt.join(many, "key").withColumn("blocks", blocks)
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # A line meets its own block and each other one, the lower number first.
-    meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k)).alias("other")
+    meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("key", "id", "asks", "own", meets)
     dealt = dealt.select("key", "id", "asks", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
 

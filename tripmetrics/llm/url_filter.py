@@ -146,7 +146,7 @@ def _by_join(pages: DataFrame, rules: DataFrame, url: str, default: str) -> Data
     )
     lengths = F.array_sort(F.collect_set(F.char_length("_start")))
     lengths = entries.agg(lengths.alias("n")).first()["n"]
-    rest = F.expr(f"substring(_url, locate('://', _url) + 3)")
+    rest = F.expr("substring(_url, locate('://', _url) + 3)")
     urls = (
         pages.select(F.col(url).alias("_url"))
         .where("locate('://', _url) > 0")
