@@ -413,8 +413,9 @@ def drop_repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CH
                         or (n, _id(line.strip(_BLANK).encode("utf-32-le", "surrogatepass"))) not in lost_here
                     ]
                     kept.append(any(line.strip(_BLANK) for line in lines))
-                    text = "\n".join(lines)
-                    sizes[i] = len(text)
+                    if len(lines) < (text or "").count("\n") + 1:
+                        text = "\n".join(lines)
+                        sizes[i] = len(text)
                 else:
                     kept.append(True)
                 texts.append(text)
