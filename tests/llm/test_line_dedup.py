@@ -72,3 +72,43 @@ def test_a_very_long_line(spark):
     line = "".join(r.choice("abcdefg ") for _ in range(300_000)) + "x"
     df = spark.createDataFrame([(1, line), (2, line[:1000] + "yy" + line[1000:]), (3, line[:50] + line[53:])], "doc_id long, text string")
     assert rows(line_dedup.line_classes(df)) == [(1, 0, 1, 0, 1), (2, 0, 1, 0, 1), (3, 0, 3, 0, 0)]
+
+
+def rule_classes(docs, allowed):
+    """Like ``brute.line_classes``, for every line that isn't blank and a number of edits by the longer line's length."""
+    at = [(d, n, s.strip(" \t\r\n\x0b\x0c")) for d, t in docs for n, s in enumerate((t or "").split("\n"))]
+    lines = sorted({s for _, _, s in at if s})
+    near = lambda a, b, t: abs(len(a) - len(b)) <= t and brute.edits(a, b) <= t
+    pairs = [(a, b) for i, a in enumerate(lines) for b in lines[i + 1 :] if near(a, b, allowed(max(len(a), len(b))))]
+    root, first = brute.components(lines, pairs), {}
+    for d, n, s in sorted(at):
+        if s:
+            first.setdefault(root[s], (d, n))
+    return sorted((d, n, *(first[root[s]] if s else (d, n)), sum(s in p for p in pairs)) for d, n, s in at)
+
+
+def short_corpus(seed=4):
+    r = random.Random(seed)
+    base = ["".join(r.choice("abcdefgh ") for _ in range(n)).strip() for n in (1, 3, 6, 7, 8, 9, 12, 18, 19, 20, 21) for _ in range(2)]
+    pool = base + [edited(r, r.choice(base), r.choice([1, 1, 2]), "abcdefgh") for _ in range(90)]
+    return [(i, "\n".join(r.choice(["", " "]) + r.choice([*pool, ""]) for _ in range(r.randrange(6)))) for i in range(50)]
+
+
+@pytest.mark.parametrize("group", [32, 2])
+def test_short_lines_have_classes_and_links(spark, monkeypatch, group):
+    """Lines of every length, also pairs of 19 and 20 characters."""
+    monkeypatch.setattr(line_dedup, "JOINED_GROUP", group)
+    docs = [*short_corpus(), (90, "of the day"), (91, "of the day"), (92, "nineteen characters"), (93, "nineteen charactersX"), (94, "abcdefg"), (95, "abcdefgh")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = rows(line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1))
+    assert got == rule_classes(docs, line_dedup.edits_allowed)
+    assert {(91, 0, 90, 0, 0), (93, 0, 92, 0, 1), (95, 0, 94, 0, 1)} <= set(got)
+
+
+def test_short_lines_stay_only_beside_own_lines(spark):
+    long, other = "a line that is long enough to count", "something else that no other document has"
+    docs = [(1, f"By me\n{long}\nThe end"), (2, f"By me\n{long}\nThe end"), (3, f"By me\n{other}"), (4, f"By me\n{long}\nown")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = lambda n: {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(df, line_dedup.edits_allowed, 1, keep_under=n).collect()}
+    assert kept(20) == {1: docs[0][1], 3: docs[2][1], 4: "By me\nown"}
+    assert kept(0) == {1: docs[0][1], 3: other, 4: "own"}

@@ -1,11 +1,12 @@
 """Line dedup by a segment-partition edit join.
 
 Lines are what a text's line feeds leave, stripped of white space at both ends. Two lines are linked if at most
-``TAU`` edits of one character turn one into the other; a class is what links connect, and its first line is the
-one with the least document id and line number. Lines of fewer than ``MIN_CHARS`` characters (which are alike by
-chance) stand for themselves and are never dropped.
+``tau`` edits of one character turn one into the other; a class is what copies and links connect, and its first
+line is the one with the least document id and line number. ``tau`` is a number or a function of the longer line's
+length, such as ``edits_allowed``. Lines of fewer than ``min_chars`` characters stand for themselves: with 1 these
+are the blank ones alone. Whether short lines leave the texts is a choice of ``drop_repeated_lines`` only.
 
-A line is cut into ``TAU + 1`` segments. Of two linked lines the longer one contains a segment of the shorter one,
+A line is cut into ``tau + 1`` segments. Of two linked lines the longer one contains a segment of the shorter one,
 at a place that the segment's number and the two lengths narrow down to a few. Hashes of segments, with length and
 number, are the index; hashes of the substrings at those places are the probes, and equal hashes make a candidate.
 Candidates are verified on their texts, cut down to where they differ, with a bit-parallel edit distance in a band.
@@ -22,7 +23,7 @@ A very long line is one line. An empty table gives no rows. Other columns don't
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ from tripmetrics.llm.components import components
 from tripmetrics.sources import stage
 
 TAU, MIN_CHARS = 2, 20
+Edits = int | Callable[[int], int]
 # Lines of a key up to which they are joined, and lines in a block beyond it.
 JOINED_GROUP, BLOCK_LINES = 32, 256
 # Bits of the map of wanted lines.
@@ -48,6 +50,21 @@ _BLANK = " \t\r\n\x0b\x0c"
 # One line
 
 
+def edits_allowed(size: int) -> int:
+    """Edits between a line of ``size`` characters and one that is not longer: none, one or two."""
+    return 0 if size < 8 else 1 if size < MIN_CHARS else TAU
+
+
+def _most(tau: Edits, size: int) -> int:
+    return tau(size) if callable(tau) else tau
+
+
+def _taken(tau: Edits, size: int) -> list[int]:
+    """Every number of edits, 0 apart, at which a line of ``size`` characters can be the shorter one of a pair."""
+    longer = range(size, size + max(_most(tau, size), _most(tau, 2 * size + MIN_CHARS)) + 1)
+    return sorted({_most(tau, n) for n in longer if n - size <= _most(tau, n)} - {0})
+
+
 def segments(size: int, tau: int = TAU) -> list[tuple[int, int]]:
     """Start and length of ``tau + 1`` segments of nearly equal length; the last ones are longer by one."""
     short, longer = divmod(size, tau + 1)
@@ -136,15 +153,15 @@ def _id(wide: bytes) -> int:
     return _signed(xxhash.xxh3_64_intdigest(wide))
 
 
-def _key(wide: bytes, i: int, start: int, n: int, size: int) -> int:
-    """Of a segment or substring; number and length of the line are the seed."""
-    return xxhash.xxh3_64_intdigest(wide[4 * start : 4 * (start + n)], size * 64 + i)
+def _key(wide: bytes, i: int, start: int, n: int, size: int, tau: int) -> int:
+    """Of a segment or substring; number, length of the line and edits are the seed."""
+    return xxhash.xxh3_64_intdigest(wide[4 * start : 4 * (start + n)], (size * 64 + i) * 64 + tau)
 
 
 # Passes over documents
 
 
-def find_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def find_lines(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id``, ``line_no``, two hashes ``h1``, ``h2`` and the index ``keys`` of every line; short lines have none."""
     schema = "doc_id bigint, line_no int, h1 bigint, h2 bigint, keys array<bigint>"
 
@@ -164,8 +181,10 @@ def find_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> D
                         continue
                     ids.append(_id(wide))
                     others.append(_signed(xxhash.xxh64_intdigest(wide)))
-                    cut = cuts.get(size) or cuts.setdefault(size, segments(size, tau))
-                    keys.append([_signed(_key(wide, i, p, n, size)) for i, (p, n) in enumerate(cut)])
+                    cut = cuts.get(size)
+                    if cut is None:
+                        cut = cuts[size] = [(t, i, p, n) for t in _taken(tau, size) for i, (p, n) in enumerate(segments(size, t))]
+                    keys.append([_signed(_key(wide, i, p, n, size, t)) for t, i, p, n in cut])
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             columns = [pa.array(c, k) for c, k in zip((docs_of, numbers, ids, others, keys), kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h1", "h2", "keys"])
@@ -173,7 +192,7 @@ def find_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> D
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
 
 
-def probes(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def probes(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """``key`` and ``id`` of the substrings that can equal a segment of another line.
 
     Substrings that are the line's own segments are left out: lines that share those share index keys. A task
@@ -197,13 +216,14 @@ def probes(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataF
                     seen.add(own)
                     where = asked.get(size)
                     if where is None:
+                        t = _most(tau, size)
                         where = asked[size] = [
-                            (i, start, n, other)
-                            for other in range(max(size - tau, min_chars), size + 1)
-                            for i, start, n in places(size, other, tau)
-                            if other < size or (start, n) != segments(size, tau)[i]
+                            (i, start, n, other, t)
+                            for other in range(max(size - t, min_chars), size + 1 if t else size)
+                            for i, start, n in places(size, other, t)
+                            if other < size or (start, n) != segments(size, t)[i]
                         ]
-                    keys += [_key(wide, i, start, n, other) for i, start, n, other in where]
+                    keys += [_key(wide, i, start, n, other, t) for i, start, n, other, t in where]
                     ids += [own] * len(where)
             if len(seen) > _SEEN:
                 seen.clear()
@@ -266,7 +286,7 @@ def _node(h1: Column, h2: Column) -> Column:
     return F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0"))
 
 
-def links(docs: DataFrame, lines: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def links(docs: DataFrame, lines: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """``a``, ``b``: the linked pairs of different lines, each once, as texts of both hashes."""
     index = lines.select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
     ends = index.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
@@ -306,18 +326,22 @@ def links(docs: DataFrame, lines: DataFrame, tau: int = TAU, min_chars: int = MI
     return _pairs_of(verified.unionByName(in_blocks))
 
 
-def _verify(tau: int):
+def _linked(a: str, b: str, tau: Edits) -> bool:
+    return within(a, b, _most(tau, max(len(a), len(b))))
+
+
+def _verify(tau: Edits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(c.to_pylist() for c in batch.columns))
-            found = [(na, nb) for na, nb, la, lb in rows if within(la, lb, tau)]
+            found = [(na, nb) for na, nb, la, lb in rows if _linked(la, lb, tau)]
             sides = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.string()) for s in sides], ["a", "b"])
 
     return run
 
 
-def _verify_block(tau: int):
+def _verify_block(tau: Edits):
     """Lines of two blocks of a key. Counts of characters are compared first: an edit changes two of them at most."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -328,12 +352,13 @@ def _verify_block(tau: int):
         for i, line in enumerate(lines):
             points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
             counts[i] = np.bincount(points % 64, minlength=64)
+        most = np.array([_most(tau, len(line)) for line in lines])
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
         a, b = [], []
         for i in left:
-            near = right[np.abs(counts[right] - counts[i]).sum(axis=1) <= 2 * tau]
+            near = right[np.abs(counts[right] - counts[i]).sum(axis=1) <= 2 * np.maximum(most[right], most[i])]
             for j in near:
-                if (x != y or i < j) and within(lines[i], lines[j], tau):
+                if (x != y or i < j) and _linked(lines[i], lines[j], tau):
                     a.append(nodes[i])
                     b.append(nodes[j])
         return pd.DataFrame({"a": pd.Series(a, dtype=str), "b": pd.Series(b, dtype=str)})
@@ -341,11 +366,11 @@ def _verify_block(tau: int):
     return run
 
 
-def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line: ``doc_id``, ``line_no``, ``class_doc``, ``class_line``, ``n_links``, ``h1``.
 
     ``class_doc`` and ``class_line`` are the first line of the class; ``n_links`` counts the different lines linked
-    to this one. Short lines are their own class.
+    to this one. Lines under ``min_chars`` are their own class.
     """
     texts = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     lines = stage(find_lines(texts, tau, min_chars), "lines")
@@ -382,10 +407,11 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     )
 
 
-def drop_repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, count: str | None = None) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS, count: str | None = None, keep_under: int = 0) -> DataFrame:
     """The documents without the lines that are not the first of their class, with the columns they came with.
 
-    A document that loses every line that isn't blank goes. ``count`` names a column of text lengths,
+    Repeated lines of fewer than ``keep_under`` characters stay in a text that has other lines left; a document
+    without a line that is the first of its class, blank ones apart, goes. ``count`` names a column of text lengths,
     which are renewed where lines go.
     """
     classes = line_classes(docs, tau=tau, min_chars=min_chars)
@@ -405,14 +431,14 @@ def drop_repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CH
             for i, (text, lost) in enumerate(both):
                 if lost:
                     lost_here = {(x["line_no"], x["h1"]) for x in lost}
-                    numbers = {n for n, _ in lost_here}
-                    lines = [
-                        line
-                        for n, line in enumerate((text or "").split("\n"))
-                        if n not in numbers
-                        or (n, _id(line.strip(_BLANK).encode("utf-32-le", "surrogatepass"))) not in lost_here
-                    ]
-                    kept.append(any(line.strip(_BLANK) for line in lines))
+                    numbers, lines, own = {n for n, _ in lost_here}, [], False
+                    for n, line in enumerate((text or "").split("\n")):
+                        bare = line.strip(_BLANK)
+                        first = n not in numbers or (n, _id(bare.encode("utf-32-le", "surrogatepass"))) not in lost_here
+                        own |= first and bool(bare)
+                        if first or len(bare) < keep_under:
+                            lines.append(line)
+                    kept.append(own)
                     if len(lines) < (text or "").count("\n") + 1:
                         text = "\n".join(lines)
                         sizes[i] = len(text)

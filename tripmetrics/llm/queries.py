@@ -30,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line with the first line of its class and the number of lines linked to it."""
-    return line_dedup.line_classes(_table(spark, sf_dir, "documents")).drop("h1")
+    return line_dedup.line_classes(_table(spark, sf_dir, "documents"), tau=line_dedup.edits_allowed, min_chars=1).drop("h1")
 
 
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
