@@ -112,3 +112,32 @@ def test_short_lines_stay_only_beside_own_lines(spark):
     kept = lambda n: {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(df, line_dedup.edits_allowed, 1, keep_under=n).collect()}
     assert kept(20) == {1: docs[0][1], 3: docs[2][1], 4: "By me\nown"}
     assert kept(0) == {1: docs[0][1], 3: other, 4: "own"}
+
+
+def test_many_edits_equal_the_full_table():
+    r = random.Random(2)
+    for _ in range(3000):
+        a = "".join(r.choice("abc") for _ in range(r.randrange(40)))
+        b = edited(r, a, r.randrange(9), "abc")
+        for tau in (3, 5, 8):
+            assert line_dedup.within(a, b, tau) == (brute.edits(a, b) <= tau), (a, b, tau)
+
+
+def test_untouched_run_is_long_enough():
+    """Every line that may have more than ``TAU`` edits keeps a run of ``GRAM + WINDOW - 1`` characters."""
+    for n in range(1, 200_000):
+        t = line_dedup.edits_allowed(n)
+        assert t <= line_dedup.TAU or -(-(n - t) // (t + 1)) >= line_dedup.GRAM + line_dedup.WINDOW - 1, n
+
+
+@pytest.mark.parametrize("group", [32, 2])
+def test_edits_grow_with_length(spark, monkeypatch, group):
+    monkeypatch.setattr(line_dedup, "JOINED_GROUP", group)
+    r = random.Random(12)
+    base = ["".join(r.choice("abcdefghij ") for _ in range(n)).strip() for n in (60, 146, 148, 150, 151, 210, 420)]
+    pool = [edited(r, s, max(0, len(s) // 50 + r.choice([-1, 0, 0, 1])), "abcdefghij") for s in base for _ in range(7)]
+    docs = list(enumerate(base + pool))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = rows(line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1))
+    assert got == rule_classes(docs, line_dedup.edits_allowed)
+    assert sum(r[4] > 0 for r in got) > sum(r[4] > 0 for r in rule_classes(docs, lambda n: 2))

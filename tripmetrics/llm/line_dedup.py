@@ -9,6 +9,11 @@ are the blank ones alone. Whether short lines leave the texts is a choice of ``d
 A line is cut into ``tau + 1`` segments. Of two linked lines the longer one contains a segment of the shorter one,
 at a place that the segment's number and the two lengths narrow down to a few. Hashes of segments, with length and
 number, are the index; hashes of the substrings at those places are the probes, and equal hashes make a candidate.
+Where a function allows more than ``TAU`` edits, segments would need very many probes. These lines have the least
+hash of every ``WINDOW`` neighbouring substrings of ``GRAM`` characters as keys instead, on both sides alike. Edits
+leave one of at most ``tau + 1`` runs of the longer line whole and at least ``GRAM + WINDOW - 1`` characters long
+(``edits_allowed`` sees to that), and its least hash is a key of both lines.
+
 Candidates are verified on their texts, cut down to where they differ, with a bit-parallel edit distance in a band.
 
 Scale: copies are reduced to one line first (an index key knows the least and greatest line with it, which combines
@@ -32,11 +37,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.batches import slices
+from tripmetrics.llm.batches import ragged, slices
 from tripmetrics.llm.components import components
 from tripmetrics.sources import stage
 
 TAU, MIN_CHARS = 2, 20
+# One edit more for so many characters; keys of lines that may have more than TAU.
+EDIT_CHARS, GRAM, WINDOW = 50, 20, 18
 Edits = int | Callable[[int], int]
 # Lines of a key up to which they are joined, and lines in a block beyond it.
 JOINED_GROUP, BLOCK_LINES = 32, 256
@@ -51,8 +58,8 @@ _BLANK = " \t\r\n\x0b\x0c"
 
 
 def edits_allowed(size: int) -> int:
-    """Edits between a line of ``size`` characters and one that is not longer: none, one or two."""
-    return 0 if size < 8 else 1 if size < MIN_CHARS else TAU
+    """Edits between a line of ``size`` characters and one that is not longer: up to two, or 2% of the length."""
+    return 0 if size < 8 else 1 if size < MIN_CHARS else max(TAU, size // EDIT_CHARS)
 
 
 def _most(tau: Edits, size: int) -> int:
@@ -65,6 +72,48 @@ def _taken(tau: Edits, size: int) -> list[int]:
     return sorted({_most(tau, n) for n in longer if n - size <= _most(tau, n)} - {0})
 
 
+def _has_grams(tau: Edits, size: int) -> bool:
+    """Whether a line of ``size`` characters can be in a pair that is found by grams."""
+    return callable(tau) and _taken(tau, size)[-1:] > [TAU]
+
+
+
+def _by_grams(tau: Edits, size: int) -> bool:
+    return callable(tau) and _most(tau, size) > TAU
+
+
+def grams(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of lines of at least ``GRAM + WINDOW - 1`` characters, and the number of the line of each."""
+    sizes = np.array([len(line) for line in lines], np.int64)
+    h = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    h = (h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    base, have, parts = 0xD6E8FEB86659FD93, 1, {1: h}
+    while 2 * have <= GRAM:
+        power = np.uint64(pow(base, have, 1 << 64))
+        h = h[: len(h) - have] * power + h[have:]
+        have *= 2
+        parts[have] = h
+    while have < GRAM:
+        n = max(k for k in parts if have + k <= GRAM)
+        after = parts[n][have:]
+        h = h[: len(after)] * np.uint64(pow(base, n, 1 << 64)) + after
+        have += n
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53), (33, 1)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    low, have = h, 1
+    while have < WINDOW:
+        n = min(have, WINDOW - have)
+        low = np.minimum(low[: len(low) - n], low[n:])
+        have += n
+    windows = sizes - (GRAM + WINDOW - 2)
+    starts = np.cumsum(sizes) - sizes
+    keys, of = low[ragged(starts, windows)], np.repeat(np.arange(len(lines)), windows)
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+    return keys[new].view(np.int64), of[new]
+
+
 def segments(size: int, tau: int = TAU) -> list[tuple[int, int]]:
     """Start and length of ``tau + 1`` segments of nearly equal length; the last ones are longer by one."""
     short, longer = divmod(size, tau + 1)
@@ -110,7 +159,7 @@ def within(a: str, b: str, tau: int = TAU) -> bool:
     a, b = a[: len(a) - same], b[: len(b) - same]
     if not a or not b:
         return max(len(a), len(b)) <= tau
-    return _banded(a, b, tau)
+    return _banded(a, b, tau) if tau <= TAU else _by_diagonals(a, b, tau)
 
 
 def _banded(a: str, b: str, tau: int) -> bool:
@@ -141,6 +190,38 @@ def _banded(a: str, b: str, tau: int) -> bool:
     return 0 <= end < width and bool(rows[-1] >> end & 1)
 
 
+def _alike(a: str, b: str, i: int, j: int) -> int:
+    """How many characters from ``i`` on equal those from ``j`` on."""
+    n, step, most = 0, 16, min(len(a) - i, len(b) - j)
+    while n < most:
+        if a[i + n : i + n + step] == b[j + n : j + n + step]:
+            n += step
+            step *= 2
+        elif step == 1:
+            break
+        else:
+            step //= 2
+    return min(n, most)
+
+
+def _by_diagonals(a: str, b: str, tau: int) -> bool:
+    """How far each number of edits gets on each diagonal ``j - i``: work grows with the edits, not the length."""
+    goal = len(b) - len(a)
+    reach = {0: _alike(a, b, 0, 0)}
+    for e in range(1, tau + 1):
+        fresh = {}
+        for d in range(max(-e, goal - tau + e), min(e, goal + tau - e) + 1):
+            i = min(max(reach.get(d, -2) + 1, reach.get(d + 1, -2) + 1, reach.get(d - 1, -2)), len(a), len(b) - d)
+            if i < 0 or i + d < 0:
+                continue
+            i += _alike(a, b, i, i + d)
+            if d == goal and i == len(a):
+                return True
+            fresh[d] = i
+        reach = fresh
+    return False
+
+
 def _lines(text: str | None) -> list[str]:
     return [line.strip(_BLANK) for line in (text or "").split("\n")]
 
@@ -183,7 +264,7 @@ def find_lines(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) ->
                     others.append(_signed(xxhash.xxh64_intdigest(wide)))
                     cut = cuts.get(size)
                     if cut is None:
-                        cut = cuts[size] = [(t, i, p, n) for t in _taken(tau, size) for i, (p, n) in enumerate(segments(size, t))]
+                        cut = cuts[size] = [(t, i, p, n) for t in _taken(tau, size) if not callable(tau) or t <= TAU for i, (p, n) in enumerate(segments(size, t))]
                     keys.append([_signed(_key(wide, i, p, n, size, t)) for t, i, p, n in cut])
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             columns = [pa.array(c, k) for c, k in zip((docs_of, numbers, ids, others, keys), kinds)]
@@ -216,10 +297,10 @@ def probes(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> Dat
                     seen.add(own)
                     where = asked.get(size)
                     if where is None:
-                        t = _most(tau, size)
+                        t = 0 if _by_grams(tau, size) else _most(tau, size)
                         where = asked[size] = [
                             (i, start, n, other, t)
-                            for other in range(max(size - t, min_chars), size + 1 if t else size)
+                            for other in range(max(size - t, min_chars), size + 1 if t else 0)
                             for i, start, n in places(size, other, t)
                             if other < size or (start, n) != segments(size, t)[i]
                         ]
@@ -234,6 +315,60 @@ def probes(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> Dat
     return docs.select("text").mapInArrow(run, "key bigint, id bigint")
 
 
+def _gram_rows(docs: DataFrame, tau: Edits, min_chars: int) -> DataFrame:
+    """``key`` and ``id`` of the grams that different lines share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: dict[int, bool] = {}
+        seen: set[int] = set()
+        for batch in slices(batches, "text"):
+            lines, ids = [], []
+            for text in batch.column("text").to_pylist():
+                for line in _lines(text):
+                    size = len(line)
+                    if size not in asked:
+                        asked[size] = size >= min_chars and _has_grams(tau, size)
+                    if not asked[size]:
+                        continue
+                    own = _id(line.encode("utf-32-le", "surrogatepass"))
+                    if own not in seen:
+                        seen.add(own)
+                        lines.append(line)
+                        ids.append(own)
+            if len(seen) > _SEEN:
+                seen.clear()
+            if lines:
+                keys, of = grams(lines)
+                own = np.array(ids, np.int64)[of]
+                for i in range(0, len(keys), _ROWS_OUT):
+                    part = [pa.array(keys[i : i + _ROWS_OUT]), pa.array(own[i : i + _ROWS_OUT])]
+                    yield pa.RecordBatch.from_arrays(part, ["key", "id"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows in order, those whose key comes with another id as well; the last row waits for the next batch."""
+        key, own, joined = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        for batch in batches:
+            key = np.concatenate([key, batch.column("key").to_numpy()])
+            own = np.concatenate([own, batch.column("id").to_numpy()])
+            if not len(key):
+                continue
+            same = key[1:] == key[:-1]
+            new = np.concatenate([[True], ~same | (own[1:] != own[:-1])])
+            key, own = key[new], own[new]
+            same, out = key[1:] == key[:-1], np.zeros(len(key), bool)
+            out[1:] |= same
+            out[:-1] |= same
+            out[0] |= joined
+            done = out[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][done]), pa.array(own[:-1][done])], ["key", "id"])
+            key, own, joined = key[-1:], own[-1:], bool(out[-1])
+        if joined:
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own)], ["key", "id"])
+
+    rows = docs.select("text").mapInArrow(run, "key bigint, id bigint")
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(shared, "key bigint, id bigint")
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
     """``h1``, ``h2`` and ``line`` of the lines whose ``h1`` is among the ids wanted, each once.
 
@@ -296,6 +431,8 @@ def links(docs: DataFrame, lines: DataFrame, tau: Edits = TAU, min_chars: int =
     live = stage(live, "lines-keys")
     indexed = stage(index.join(live, "key", "left_semi").distinct(), "lines-indexed")
 
+    if callable(tau):
+        indexed = indexed.unionByName(stage(_gram_rows(docs, tau, min_chars), "lines-grams"))
     members = indexed.unionByName(asked).groupBy("key").agg(F.count("*").alias("n"))
     many = stage(members.where(F.col("n") > JOINED_GROUP), "lines-many")
     few_i, few_a = (t.join(many, "key", "left_anti") for t in (indexed, asked))
@@ -352,12 +489,23 @@ def _verify_block(tau: Edits):
         for i, line in enumerate(lines):
             points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
             counts[i] = np.bincount(points % 64, minlength=64)
+        # Lines that share several grams are compared at the least of them only.
+        key, own_grams = int(rows["key"].iloc[0]), {}
+        long = [i for i, line in enumerate(lines) if _has_grams(tau, len(line))]
+        if long:
+            keys, of = grams([lines[i] for i in long])
+            ends = np.searchsorted(of, np.arange(len(long) + 1))
+            own_grams = {i: set(keys[ends[k] : ends[k + 1]].tolist()) for k, i in enumerate(long)}
+        nothing: set[int] = set()
         most = np.array([_most(tau, len(line)) for line in lines])
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
         a, b = [], []
         for i in left:
             near = right[np.abs(counts[right] - counts[i]).sum(axis=1) <= 2 * np.maximum(most[right], most[i])]
             for j in near:
+                both = own_grams.get(i, nothing) & own_grams.get(j, nothing)
+                if key in both and key != min(both):
+                    continue
                 if (x != y or i < j) and _linked(lines[i], lines[j], tau):
                     a.append(nodes[i])
                     b.append(nodes[j])
