@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmetrics.llm import bpe, chat, decontaminate, line_dedup, quality, simhash, spotsigs, token_files, url_filter, warc
+from tripmetrics.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    hard_negatives,
+    line_dedup,
+    merkle,
+    mixing,
+    quality,
+    simhash,
+    spotsigs,
+    token_files,
+    url_filter,
+    warc,
+)
 from tripmetrics.llm.shipping import shipped
 
 #: Fixed rules of the URL query.
@@ -90,6 +104,24 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(_table(spark, sf_dir, "conversations"))
 
 
+def hard_negative_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth id is an anchor; every seventh has the next of ten labels."""
+    number, label = F.col("vec_id"), F.col("label")
+    relabel = F.when(number % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), number % 100 == 0, relabel=relabel)
+
+
+def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document the mix takes; ``copies`` follows the columns of the contract."""
+    planned = mixing.plan_mix(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return planned.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and whether the root still follows from it after tampering."""
+    return merkle.verify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": shipped(line_dedup_query),
     "op2_quality": shipped(quality_query),
@@ -101,4 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spotsigs": shipped(spotsigs_query),
     "op9_token_files": shipped(token_file_query),
     "op10_chat": shipped(chat_query),
+    "op11_hard_negatives": shipped(hard_negative_query),
+    "op12_mixing": shipped(mixing_query),
+    "op13_merkle": shipped(merkle_query),
 }
