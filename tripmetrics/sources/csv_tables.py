@@ -12,6 +12,8 @@ from tripmetrics.schema import TRIP_COLUMNS, WEATHER_COLUMNS, ZIP_COLUMNS, Sourc
 
 # Names the unreadable fields of a row.
 UNREADABLE = "unreadable"
+# The text of a row that has too few or too many fields; NULL for a whole one.
+BROKEN = "broken"
 
 
 def read_csv(
@@ -25,7 +27,10 @@ def read_csv(
     shifted columns.
 
     With ``flag_unreadable`` the column ``unreadable`` has the names of the fields that are filled and yet NULL,
-    so that they can be told from missing ones. Numbers are then read as text and converted here.
+    so that they can be told from missing ones. Numbers are then read as text and converted here. The column
+    ``broken`` has the text of a row with fewer or more fields than the header: its values may be in the wrong
+    columns. ``whole_records`` and ``broken_records`` tell the two kinds apart. All fields of a row are split for
+    this, whatever columns a query uses.
     """
     header = spark.read.option("header", True).csv(path).columns
     absent = [c.header for c in columns if c.required and c.header not in header]
@@ -33,12 +38,14 @@ def read_csv(
         raise ValueError(f"{path} lacks the columns {absent}; it has {header}")
     kinds = {c.header: _read_as(c) for c in columns if not flag_unreadable}
     in_file_order = T.StructType([T.StructField(h, kinds.get(h, T.StringType())) for h in header])
-    table = (
-        spark.read.schema(in_file_order)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if flag_unreadable:
+        record = BROKEN
+        while record in header:
+            record += "_"
+        in_file_order = in_file_order.add(record, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", record)
+    table = reader.schema(in_file_order).csv(path)
     present = [c for c in columns if c.header in header]
     values = [
         (_value(c) if c.header in header else F.lit(None).cast(c.type)).alias(c.name)
@@ -48,6 +55,7 @@ def read_csv(
         numbers = [c for c in present if c.type != T.StringType()]
         flags = [F.when((F.trim(_field(c)) != "") & _value(c).isNull(), F.lit(c.name)) for c in numbers]
         values.append(F.array_compact(F.array(*flags)).cast("array<string>").alias(UNREADABLE))
+        values.append(F.col(f"`{record}`").alias(BROKEN))
     return table.select(*values)
 
 
@@ -78,14 +86,26 @@ def unreadable_fields(flagged: DataFrame, columns: tuple[SourceColumn, ...] = TR
     return counts.select(F.inline(pairs))
 
 
+def whole_records(flagged: DataFrame) -> DataFrame:
+    """Rows with as many fields as the header, of a table read with ``flag_unreadable`` or of a stage made from it."""
+    return flagged.where(F.col(BROKEN).isNull()).drop(BROKEN) if BROKEN in flagged.columns else flagged
+
+
+def broken_records(flagged: DataFrame) -> DataFrame:
+    """The quarantine: the texts of the rows with too few or too many fields, for whoever mends the file."""
+    if BROKEN not in flagged.columns:
+        return flagged.limit(0).select(F.lit(None).cast("string").alias(BROKEN))
+    return flagged.where(F.col(BROKEN).isNotNull()).select(BROKEN)
+
+
 def read_trips(spark: SparkSession, path: str, flag_unreadable: bool = False) -> DataFrame:
     """Taxi trips as in the file: times still text, numbers may be NULL."""
     return read_csv(spark, path, TRIP_COLUMNS, flag_unreadable)
 
 
-def read_weather(spark: SparkSession, path: str) -> DataFrame:
+def read_weather(spark: SparkSession, path: str, flag_unreadable: bool = False) -> DataFrame:
     """Weather-station measurements as in the file."""
-    return read_csv(spark, path, WEATHER_COLUMNS)
+    return read_csv(spark, path, WEATHER_COLUMNS, flag_unreadable)
 
 
 def read_zips(spark: SparkSession, path: str) -> DataFrame:
