@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+import uuid
 
 import pytest
 
 from tests.llm import brute
 from tripmetrics.llm import line_dedup
+from tripmetrics.sources import stages
 
 
 def edited(r, s, n, letters="abcé 中"):
@@ -123,16 +125,41 @@ def test_many_edits_equal_the_full_table():
             assert line_dedup.within(a, b, tau) == (brute.edits(a, b) <= tau), (a, b, tau)
 
 
-def test_untouched_run_is_long_enough():
-    """Every line that may have more than ``TAU`` edits keeps a run of ``GRAM + WINDOW - 1`` characters."""
-    for n in range(1, 200_000):
-        t = line_dedup.edits_allowed(n)
-        assert t <= line_dedup.TAU or -(-(n - t) // (t + 1)) >= line_dedup.GRAM + line_dedup.WINDOW - 1, n
-
-
-@pytest.mark.parametrize("group", [32, 2])
-def test_edits_grow_with_length(spark, monkeypatch, group):
+def test_there_are_more_separate_substrings_than_edits():
+    """Every line that may have more than ``TAU`` edits holds enough substrings that don't overlap."""
+    for n in [*range(1, 4000), *range(4000, 2_000_000, 39_989)]:
+        if line_dedup._has_grams(line_dedup.edits_allowed, n):
+            assert n // line_dedup.GRAM > line_dedup._limit(line_dedup.edits_allowed, n), n
+
+
+def test_keys_of_long_lines():
+    """Enough that don't overlap, the least hashes of the line, and every place of each."""
+    r = random.Random(3)
+    lines = ["".join(r.choice("ab cdé") for _ in range(n)) for n in (150, 151, 199, 700, 5000)]
+    lines += ["a" * 400, "ab" * 200, "-" * 149 + "x"]
+    needs = [line_dedup._limit(line_dedup.edits_allowed, len(s)) + 1 for s in lines]
+    key, of, first, last = line_dedup.grams(lines, needs)
+    for i, (line, need) in enumerate(zip(lines, needs)):
+        all_of_them = line_dedup._hashes([line])
+        own = key[of == i].view("uint64")
+        assert len(set(own.tolist())) == len(own) and set(own.tolist()) == set(all_of_them[all_of_them <= own.max()].tolist())
+        at = [p for p in range(len(all_of_them)) if all_of_them[p] <= own.max()]
+        apart, end = 0, 0
+        for p in at:
+            if p >= end:
+                apart, end = apart + 1, p + line_dedup.GRAM
+        assert apart >= need
+        for k, low, high in zip(own, first[of == i], last[of == i]):
+            spots = [p for p in at if all_of_them[p] == k]
+            assert (low, high) == (spots[0], spots[-1])
+
+
+@pytest.mark.parametrize(("group", "held", "pairs"), [(32, 2048, 4), (2, 2048, 0), (2, 3, 0)])
+def test_edits_grow_with_length(spark, monkeypatch, group, held, pairs):
+    """Also with keys that are split, and with keys of which no task holds all lines."""
     monkeypatch.setattr(line_dedup, "JOINED_GROUP", group)
+    monkeypatch.setattr(line_dedup, "HELD_LINES", held)
+    monkeypatch.setattr(line_dedup, "PAIRS_A_LINE", pairs)
     r = random.Random(12)
     base = ["".join(r.choice("abcdefghij ") for _ in range(n)).strip() for n in (60, 146, 148, 150, 151, 210, 420)]
     pool = [edited(r, s, max(0, len(s) // 50 + r.choice([-1, 0, 0, 1])), "abcdefghij") for s in base for _ in range(7)]
@@ -141,3 +168,43 @@ def test_edits_grow_with_length(spark, monkeypatch, group):
     got = rows(line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1))
     assert got == rule_classes(docs, line_dedup.edits_allowed)
     assert sum(r[4] > 0 for r in got) > sum(r[4] > 0 for r in rule_classes(docs, lambda n: 2))
+
+
+def test_every_way_of_pairing_gives_the_same(spark, monkeypatch):
+    """Lines around the border of 150 characters that share most of their segments, by pairs, split keys and blocks."""
+    r = random.Random(17)
+    stem = "".join(r.choice("abcdefgh ") for _ in range(240))
+    docs = []
+    for i in range(110):
+        size = r.choice([20, 21, 60, 61, 148, 149, 150, 151, 153, 230])
+        line = edited(r, stem[:size], r.randrange(6), "abcdefgh")
+        docs.append((i, line.strip() + ("\n" + line if i % 9 == 0 else "")))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    want = rule_classes(docs, line_dedup.edits_allowed)
+    for joined, held, pairs, block in ((32, 2048, 4, 256), (2, 2048, 0, 5), (2, 4, 0, 5), (32, 40, 1, 256)):
+        for name, value in (("JOINED_GROUP", joined), ("HELD_LINES", held), ("PAIRS_A_LINE", pairs), ("BLOCK_LINES", block)):
+            monkeypatch.setattr(line_dedup, name, value)
+        assert rows(line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1)) == want, (joined, held)
+
+
+def test_a_key_that_a_third_of_all_lines_share(spark):
+    """20,000 lines, of which every third begins alike and has the same length; the job ends and finds its links."""
+    r = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda n: "".join(r.choice(letters) for _ in range(n))
+    lines = ["the same beginning as so many others, and " + word(40) if i % 3 == 0 else word(70) for i in range(20_000)]
+    lines[9] = lines[6][:-1] + "#"
+    lines[12] = lines[3][:50] + "#" + lines[3][50:]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1)
+    linked = sorted((x.doc_id, x.class_doc, x.n_links) for x in got.where("n_links > 0").collect())
+    assert linked == [(3, 3, 1), (6, 6, 1), (9, 6, 1), (12, 3, 1)]
+
+
+def test_only_live_stages_are_kept(spark, tmp_path, monkeypatch):
+    """Two stages are left, which the result reads, and all others are gone when it is returned."""
+    monkeypatch.setattr(stages, "scratch_path", lambda spark, label, folder=None: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    df = spark.createDataFrame(corpus(), "doc_id long, text string")
+    out = line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1)
+    left = sorted(p.name.rsplit("-", 1)[0] for folder in tmp_path.iterdir() for p in folder.iterdir())
+    assert left == ["classes", "lines"] and out.count() > 0

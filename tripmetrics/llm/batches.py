@@ -41,6 +41,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so; case doesn't matter to Spark."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def extended(df: DataFrame, added: str) -> StructType:
     """The schema of ``df`` and then columns given as DDL."""
     return StructType([*df.schema.fields, *StructType.fromDDL(added).fields])

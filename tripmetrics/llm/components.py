@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.sources import stage
+from tripmetrics.sources import Stages
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,27 +31,29 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 PART_LINKS = 200_000
 
 
-def _staged(links: DataFrame, about: int) -> DataFrame:
-    """Written in as many parts as so many links need."""
-    return stage(links.coalesce(about // PART_LINKS + 1), "links")
-
-
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, into: Stages | None = None) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for every node of ``edges`` (``a``, ``b``).
 
     Loops, repeated links and their direction don't matter; links with a null end are left out. Nodes that are
     their own root are left out as well: whoever is not in the result is the root of its component. A chain of
-    n nodes takes in the order of log(n) rounds.
+    n nodes takes in the order of log(n) rounds. A round is removed when the next one is written; the last one is a
+    stage of ``into``, or stays in a folder of its own.
     """
+    own = into or Stages(edges.sparkSession, "components")
     links = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = stage(links, "links")
+    name, number = "components-0", 0
+    links = own.write(links, name)
     mark = _mark(links)
     while mark[0]:
-        links = _staged(_stars(_staged(_stars(links, True), mark[0]), False), mark[0])
+        # Written in as many parts as so many links need.
+        number, parts = number + 1, mark[0] // PART_LINKS + 1
+        links = own.write(_stars(links, True).coalesce(parts), f"components-{number}-large", done=(name,))
+        large, name = f"components-{number}-large", f"components-{number}"
+        links = own.write(_stars(links, False).coalesce(parts), name, done=(large,))
         before, mark = mark, _mark(links)
         if before == mark:
             break

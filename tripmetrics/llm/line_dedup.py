@@ -9,17 +9,23 @@ are the blank ones alone. Whether short lines leave the texts is a choice of ``d
 A line is cut into ``tau + 1`` segments. Of two linked lines the longer one contains a segment of the shorter one,
 at a place that the segment's number and the two lengths narrow down to a few. Hashes of segments, with length and
 number, are the index; hashes of the substrings at those places are the probes, and equal hashes make a candidate.
-Where a function allows more than ``TAU`` edits, segments would need very many probes. These lines have the least
-hash of every ``WINDOW`` neighbouring substrings of ``GRAM`` characters as keys instead, on both sides alike. Edits
-leave one of at most ``tau + 1`` runs of the longer line whole and at least ``GRAM + WINDOW - 1`` characters long
-(``edits_allowed`` sees to that), and its least hash is a key of both lines.
+
+Where a function allows more than ``TAU`` edits, segments would need very many probes. These lines have as keys those
+of their substrings of ``GRAM`` characters whose hashes are least, so many that ``tau`` edits can't touch all of them: an
+edit touches what it lies in, so more than ``tau`` substrings that don't overlap are enough. Say the last hash that
+one line took is not above the last one of the other. Then a key of the first line that edits leave whole is in the
+second line, and below that line's last hash, so it is a key there as well. Two such lines are compared only if their
+lengths and the places of the key differ by no more than the edits.
 
 Candidates are verified on their texts, cut down to where they differ, with a bit-parallel edit distance in a band.
 
-Scale: copies are reduced to one line first (an index key knows the least and greatest line with it, which combines
-on the map side). Texts are not shuffled with keys; those of candidates are fetched in a later pass, in which a
-bitmap of fixed size keeps most other lines back. A key that many different lines share isn't joined with itself:
-its lines are dealt into blocks, and every pair of blocks is verified inside a task, so that only links come out.
+Scale: a task gives the keys of equal lines once. All keys are shuffled once, in order, and a pass over each partition
+pairs the lines of a key. A key that more than ``JOINED_GROUP`` lines share and that would give many pairs is split by
+a second key first. Lines found by segments are without the shared one again within ``tau`` edits, so
+the segments of what is left of them are keys in turn; lines found by substrings are split by length and place. Lines
+that still share both keys aren't joined with each other: they are dealt into blocks, and every pair of blocks is verified
+inside a task, so that only links come out. Texts are not shuffled with keys; those of candidates are fetched in
+a later pass, in which a bitmap of fixed size keeps most other lines back. Stages are removed once they are read.
 
 Results for odd input: null and empty texts have one empty line. Repeated rows have the same lines, which are in
 the same class; rows that share an id with another text count as lines of that document. A null id comes last.
@@ -28,6 +34,7 @@ A very long line is one line. An empty table gives no rows. Other columns don't
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,16 +44,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.batches import ragged, slices
+from tripmetrics.llm.batches import free_name, ragged, slices
 from tripmetrics.llm.components import components
-from tripmetrics.sources import stage
+from tripmetrics.sources import Stages, stage
 
 TAU, MIN_CHARS = 2, 20
-# One edit more for so many characters; keys of lines that may have more than TAU.
-EDIT_CHARS, GRAM, WINDOW = 50, 20, 18
+# One edit more for so many characters; characters of the keys of lines that may have more than TAU.
+EDIT_CHARS, GRAM = 50, 16
 Edits = int | Callable[[int], int]
-# Lines of a key up to which they are joined, and lines in a block beyond it.
-JOINED_GROUP, BLOCK_LINES = 32, 256
+# Lines of a key up to which all of their pairs are candidates; of more lines, so many pairs a line, on average.
+JOINED_GROUP, PAIRS_A_LINE = 32, 4
+# Lines of a key that a task compares by length and place, and lines in a block.
+HELD_LINES, BLOCK_LINES = 2048, 256
+# How a key came about, and the largest number beside it that is told from larger ones.
+_INDEX, _PROBE, _GRAM, _CLIP = 0, 1, 2, (1 << 20) - 1
+# Lengths of a band differ by less; lines that are linked are in the same or in neighbouring bands.
+_BAND = math.log(1.025)
+_KEYS = "key bigint, id bigint, meta bigint"
 # Bits of the map of wanted lines.
 MAP_BITS = 1 << 23
 _ROWS_OUT = 50_000
@@ -82,9 +96,13 @@ def _by_grams(tau: Edits, size: int) -> bool:
     return callable(tau) and _most(tau, size) > TAU
 
 
-def grams(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of lines of at least ``GRAM + WINDOW - 1`` characters, and the number of the line of each."""
-    sizes = np.array([len(line) for line in lines], np.int64)
+def _limit(tau: Edits, size: int) -> int:
+    """Edits of any pair that a line of ``size`` characters is in."""
+    return max(_taken(tau, size), default=0)
+
+
+def _hashes(lines: list[str]) -> np.ndarray:
+    """Of the lines put together, a hash of the ``GRAM`` characters from every place on."""
     h = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     h = (h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
@@ -101,17 +119,48 @@ def grams(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         have += n
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53), (33, 1)):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-    low, have = h, 1
-    while have < WINDOW:
-        n = min(have, WINDOW - have)
-        low = np.minimum(low[: len(low) - n], low[n:])
-        have += n
-    windows = sizes - (GRAM + WINDOW - 2)
+    return h
+
+
+def grams(lines: list[str], needs: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the number of the line of each, and the first and last place of the key in the line.
+
+    They are the least hashes of a line, as many as it takes to have ``needs`` of them that don't overlap.
+    """
+    sizes = np.array([len(line) for line in lines], np.int64)
+    h = _hashes(lines)
     starts = np.cumsum(sizes) - sizes
-    keys, of = low[ragged(starts, windows)], np.repeat(np.arange(len(lines)), windows)
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
-    return keys[new].view(np.int64), of[new]
+    have = sizes - (GRAM - 1)
+    need = np.array(needs, np.float64)
+    # About so many are needed; of lines for which they aren't enough, twice as many are taken.
+    share = np.minimum(1.0, 1.25 * need / np.maximum(1.0, have - need * GRAM))
+    todo, keys, of, places = np.arange(len(lines)), [], [], []
+    while len(todo):
+        at = ragged(starts[todo], have[todo])
+        line = np.repeat(todo, have[todo])
+        # A share of 1 takes all; the largest double below 2 ** 64 would leave some out.
+        chosen = np.flatnonzero((h[at].astype(np.float64) < share[line] * 2.0**64) | (share[line] >= 1))
+        at, line = at[chosen], line[chosen]
+        place = at - starts[line]
+        apart, end, last = dict.fromkeys(todo.tolist(), 0), 0, -1
+        for k, p in zip(line.tolist(), place.tolist()):
+            if k != last or p >= end:
+                apart[k] += 1
+                last, end = k, p + GRAM
+        enough = np.array([apart[k] >= needs[k] or share[k] >= 1 for k in todo.tolist()])
+        done = np.isin(line, todo[enough])
+        keys.append(h[at[done]])
+        of.append(line[done])
+        places.append(place[done])
+        todo = todo[~enough]
+        share[todo] = np.minimum(1.0, 2 * share[todo])
+    key, line, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, of, places))
+    order = np.lexsort((place, key, line))
+    key, line, place = key[order], line[order], place[order]
+    new = np.ones(len(key) + 1, bool)
+    new[1:-1] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+    first, after = np.flatnonzero(new)[:-1], np.flatnonzero(new)[1:]
+    return key[first].astype(np.uint64).view(np.int64), line[first], place[first], place[after - 1]
 
 
 def segments(size: int, tau: int = TAU) -> list[tuple[int, int]]:
@@ -239,52 +288,78 @@ def _key(wide: bytes, i: int, start: int, n: int, size: int, tau: int) -> int:
     return xxhash.xxh3_64_intdigest(wide[4 * start : 4 * (start + n)], (size * 64 + i) * 64 + tau)
 
 
+def _cuts(tau: Edits, size: int) -> list[tuple[int, int, int, int]]:
+    """Edits, number, start and length of the segments of a line."""
+    edits = [t for t in _taken(tau, size) if not callable(tau) or t <= TAU]
+    return [(t, i, p, n) for t in edits for i, (p, n) in enumerate(segments(size, t))]
+
+
+def _asks(tau: Edits, size: int, min_chars: int) -> list[tuple[int, int, int, int, int]]:
+    """Number, start, length, the other line's length and edits of the substrings that can equal a segment of it.
+
+    Substrings that are the line's own segments are left out: lines that share those share index keys.
+    """
+    t = 0 if _by_grams(tau, size) else _most(tau, size)
+    return [
+        (i, start, n, other, t)
+        for other in range(max(size - t, min_chars), size + 1 if t else 0)
+        for i, start, n in places(size, other, t)
+        if other < size or (start, n) != segments(size, t)[i]
+    ]
+
+
+def _meta(kind: int, size, first=0, last=0):
+    """How a key came about, the line's length, and the key's first and last place, in one number."""
+    clip = lambda x: np.minimum(x, _CLIP)
+    return (kind << 60) + (clip(size) << 40) + (clip(first) << 20) + clip(last)
+
+
 # Passes over documents
 
 
-def find_lines(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc_id``, ``line_no``, two hashes ``h1``, ``h2`` and the index ``keys`` of every line; short lines have none."""
-    schema = "doc_id bigint, line_no int, h1 bigint, h2 bigint, keys array<bigint>"
+def find_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``doc_id``, ``line_no`` and two hashes ``h1``, ``h2`` of every line; short lines have none."""
+    schema = "doc_id bigint, line_no int, h1 bigint, h2 bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts: dict[int, list] = {}
         for batch in slices(batches, "text"):
-            numbers, docs_of, ids, others, keys = [], [], [], [], []
+            numbers, docs_of, ids, others = [], [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for number, line in enumerate(_lines(text)):
-                    wide, size = line.encode("utf-32-le", "surrogatepass"), len(line)
-                    docs_of.append(doc)
-                    numbers.append(number)
-                    if size < min_chars:
+                lines = _lines(text)
+                docs_of += [doc] * len(lines)
+                numbers += range(len(lines))
+                for line in lines:
+                    if len(line) < min_chars:
                         ids.append(None)
                         others.append(None)
-                        keys.append(None)
                         continue
+                    wide = line.encode("utf-32-le", "surrogatepass")
                     ids.append(_id(wide))
                     others.append(_signed(xxhash.xxh64_intdigest(wide)))
-                    cut = cuts.get(size)
-                    if cut is None:
-                        cut = cuts[size] = [(t, i, p, n) for t in _taken(tau, size) if not callable(tau) or t <= TAU for i, (p, n) in enumerate(segments(size, t))]
-                    keys.append([_signed(_key(wide, i, p, n, size, t)) for t, i, p, n in cut])
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            columns = [pa.array(c, k) for c, k in zip((docs_of, numbers, ids, others, keys), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h1", "h2", "keys"])
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            columns = [pa.array(c, k) for c, k in zip((docs_of, numbers, ids, others), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h1", "h2"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
 
 
-def probes(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``key`` and ``id`` of the substrings that can equal a segment of another line.
+def _batches(key: np.ndarray, own: np.ndarray, meta: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(key), _ROWS_OUT):
+        columns = [pa.array(c[i : i + _ROWS_OUT], pa.int64()) for c in (key, own, meta)]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "id", "meta"])
 
-    Substrings that are the line's own segments are left out: lines that share those share index keys. A task
-    gives a line that comes again and again once.
+
+def line_keys(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``key``, ``id`` and ``meta`` of the segments, probes and substrings of every line.
+
+    A task gives a line that comes again and again once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked: dict[int, list] = {}
-        seen: set[int] = set()
+        cuts, asks, limits, seen = {}, {}, {}, set()
         for batch in slices(batches, "text"):
-            keys, ids = [], []
+            keys, counts, ids, metas = [], [], [], []
+            long, needs, own_long = [], [], []
             for text in batch.column("text").to_pylist():
                 for line in _lines(text):
                     size = len(line)
@@ -295,78 +370,203 @@ def probes(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> Dat
                     if own in seen:
                         continue
                     seen.add(own)
-                    where = asked.get(size)
-                    if where is None:
-                        t = 0 if _by_grams(tau, size) else _most(tau, size)
-                        where = asked[size] = [
-                            (i, start, n, other, t)
-                            for other in range(max(size - t, min_chars), size + 1 if t else 0)
-                            for i, start, n in places(size, other, t)
-                            if other < size or (start, n) != segments(size, t)[i]
-                        ]
-                    keys += [_key(wide, i, start, n, other, t) for i, start, n, other, t in where]
-                    ids += [own] * len(where)
+                    if size not in cuts:
+                        cuts[size], asks[size] = _cuts(tau, size), _asks(tau, size, min_chars)
+                        limits[size] = _limit(tau, size) if _has_grams(tau, size) else 0
+                    for kind, found in (
+                        (_INDEX, [_key(wide, i, p, n, size, t) for t, i, p, n in cuts[size]]),
+                        (_PROBE, [_key(wide, i, start, n, other, t) for i, start, n, other, t in asks[size]]),
+                    ):
+                        if found:
+                            keys += found
+                            counts.append(len(found))
+                            ids.append(own)
+                            metas.append(kind << 60 | min(size, _CLIP) << 40)
+                    if limits[size]:
+                        long.append(line)
+                        needs.append(limits[size] + 1)
+                        own_long.append(own)
             if len(seen) > _SEEN:
                 seen.clear()
-            for i in range(0, len(keys), _ROWS_OUT):
-                key = np.array(keys[i : i + _ROWS_OUT], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[i : i + _ROWS_OUT], pa.int64())], ["key", "id"])
+            if keys:
+                times = np.array(counts)
+                key = np.array(keys, np.uint64).view(np.int64)
+                yield from _batches(key, np.repeat(np.array(ids, np.int64), times), np.repeat(np.array(metas, np.int64), times))
+            if long:
+                key, of, first, last = grams(long, needs)
+                size = np.array([len(line) for line in long], np.int64)[of]
+                yield from _batches(key, np.array(own_long, np.int64)[of], _meta(_GRAM, size, first, last))
+
+    return docs.select("text").mapInArrow(run, _KEYS)
+
+
+def _unpacked(meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return meta >> 60, meta >> 40 & _CLIP, meta >> 20 & _CLIP, meta & _CLIP
+
+
+class _Meeting:
+    """Pairs the lines of a key; ``edits`` is a table of the limits of line lengths, filled as they come."""
+
+    def __init__(self, tau: Edits, joined: int, held: int, pairs_a_line: int):
+        self.tau, self.joined, self.held, self.pairs_a_line = tau, joined, held, pairs_a_line
+        self.edits: dict[int, int] = {_CLIP: 1 << 40}
+
+    def limits(self, sizes: np.ndarray) -> np.ndarray:
+        found, at = np.unique(sizes, return_inverse=True)
+        for size in found.tolist():
+            if size not in self.edits:
+                self.edits[size] = _limit(self.tau, size)
+        return np.array([self.edits[s] for s in found.tolist()], np.int64)[at]
+
+    def fits(self, meta: np.ndarray, i: np.ndarray, j: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Whether rows ``i`` and ``j`` of one key can be linked."""
+        kind, size, first, last = _unpacked(meta)
+        edits = np.minimum(limit[i], limit[j])
+        near = (np.abs(size[i] - size[j]) <= edits) & (first[i] - last[j] <= edits) & (first[j] - last[i] <= edits)
+        both = (kind[i] == _GRAM) & (kind[j] == _GRAM) & near
+        return both | ((kind[i] != _GRAM) & (kind[j] != _GRAM) & ((kind[i] == _INDEX) | (kind[j] == _INDEX)))
+
+    def groups(self, key: np.ndarray, own: np.ndarray, meta: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Of whole groups in the order of key, id and meta."""
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+        key, own, meta = key[new], own[new], meta[new]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        count = np.diff(np.append(starts, len(key)))
+        several = np.repeat(count > 1, count)
+        key, own, meta, count = key[several], own[several], meta[several], count[count > 1]
+        if not len(key):
+            return
+        limit = self.limits(_unpacked(meta)[1])
+        starts = np.cumsum(count) - count
+        small = count <= self.joined
+        behind = np.repeat(np.where(small, starts + count, 0), count) - np.arange(len(key))
+        left, right = [], []
+        # In small groups, every row with the one d rows after it.
+        at, d = np.flatnonzero(behind > 1), 1
+        while len(at):
+            good = self.fits(meta, at, at + d, limit)
+            left.append(at[good])
+            right.append(at[good] + d)
+            d += 1
+            at = at[behind[at] > d]
+        for start, n in zip(starts[~small].tolist(), count[~small].tolist()):
+            i, j = np.triu_indices(n, 1)
+            good = self.fits(meta[start : start + n], i, j, limit[start : start + n])
+            i, j = i[good] + start, j[good] + start
+            if len(i) > self.pairs_a_line * n:
+                rows = np.unique(np.concatenate([i, j]))
+                yield _met(key[rows], own[rows], meta[rows])
+            else:
+                left.append(i)
+                right.append(j)
+        if left:
+            a, b = own[np.concatenate(left)], own[np.concatenate(right)]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield _met(None, pairs[0], None, pairs[1])
+
+
+def _met(key: np.ndarray | None, a: np.ndarray, meta: np.ndarray | None, b: np.ndarray | None = None) -> pa.RecordBatch:
+    """Pairs ``a``, ``b``, or rows of a key that has yet to be split."""
+    columns = [pa.nulls(len(a), pa.int64()) if c is None else pa.array(c, pa.int64()) for c in (key, a, b, meta)]
+    return pa.RecordBatch.from_arrays(columns, ["key", "a", "b", "meta"])
+
+
+def _meet(rows: DataFrame, tau: Edits) -> DataFrame:
+    """``a`` and ``b`` of candidate pairs, and ``key``, ``a``, ``meta`` of the lines of keys that have yet to be split."""
+    meeting = (tau, JOINED_GROUP, max(HELD_LINES, JOINED_GROUP), PAIRS_A_LINE)
 
-    return docs.select("text").mapInArrow(run, "key bigint, id bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _Meeting(*meeting)
+        held, hot = [np.zeros(0, np.int64)] * 3, None
+        for batch in batches:
+            columns = [c.to_numpy() for c in batch.columns]
+            if hot is not None:
+                # The rest of a key of which too many rows have come; they pass as they are.
+                n = int(np.searchsorted(columns[0], hot, "right"))
+                if n:
+                    yield _met(columns[0][:n], columns[1][:n], columns[2][:n])
+                columns = [c[n:] for c in columns]
+                if not len(columns[0]):
+                    continue
+                hot = None
+            held = [np.concatenate(c) for c in zip(held, columns)]
+            if not len(held[0]):
+                continue
+            last = int(np.searchsorted(held[0], held[0][-1], "left"))
+            yield from own.groups(*(c[:last] for c in held))
+            held = [c[last:] for c in held]
+            new = np.concatenate([[True], held[1][1:] != held[1][:-1]])
+            if new.sum() > own.held:
+                yield _met(*(c[new] for c in held))
+                held, hot = [np.zeros(0, np.int64)] * 3, int(held[0][0])
+        yield from own.groups(*held)
+
+    ordered = rows.repartition("key").sortWithinPartitions("key", "id", "meta")
+    return ordered.mapInArrow(run, "key bigint, a bigint, b bigint, meta bigint")
 
 
-def _gram_rows(docs: DataFrame, tau: Edits, min_chars: int) -> DataFrame:
-    """``key`` and ``id`` of the grams that different lines share."""
+def _split_grams(many: DataFrame, tau: Edits) -> DataFrame:
+    """Keys of lines that share a substring, split by length and by the place of the substring."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked: dict[int, bool] = {}
-        seen: set[int] = set()
-        for batch in slices(batches, "text"):
-            lines, ids = [], []
-            for text in batch.column("text").to_pylist():
-                for line in _lines(text):
-                    size = len(line)
-                    if size not in asked:
-                        asked[size] = size >= min_chars and _has_grams(tau, size)
-                    if not asked[size]:
-                        continue
-                    own = _id(line.encode("utf-32-le", "surrogatepass"))
-                    if own not in seen:
-                        seen.add(own)
-                        lines.append(line)
-                        ids.append(own)
-            if len(seen) > _SEEN:
-                seen.clear()
-            if lines:
-                keys, of = grams(lines)
-                own = np.array(ids, np.int64)[of]
-                for i in range(0, len(keys), _ROWS_OUT):
-                    part = [pa.array(keys[i : i + _ROWS_OUT]), pa.array(own[i : i + _ROWS_OUT])]
-                    yield pa.RecordBatch.from_arrays(part, ["key", "id"])
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows in order, those whose key comes with another id as well; the last row waits for the next batch."""
-        key, own, joined = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        widths: dict[int, int] = {}
+        # From this band on places aren't told apart, so that clipped numbers do no harm.
+        top = int(math.log(_CLIP >> 1) / _BAND)
         for batch in batches:
-            key = np.concatenate([key, batch.column("key").to_numpy()])
-            own = np.concatenate([own, batch.column("id").to_numpy()])
-            if not len(key):
-                continue
-            same = key[1:] == key[:-1]
-            new = np.concatenate([[True], ~same | (own[1:] != own[:-1])])
-            key, own = key[new], own[new]
-            same, out = key[1:] == key[:-1], np.zeros(len(key), bool)
-            out[1:] |= same
-            out[:-1] |= same
-            out[0] |= joined
-            done = out[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][done]), pa.array(own[:-1][done])], ["key", "id"])
-            key, own, joined = key[-1:], own[-1:], bool(out[-1])
-        if joined:
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own)], ["key", "id"])
-
-    rows = docs.select("text").mapInArrow(run, "key bigint, id bigint")
-    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(shared, "key bigint, id bigint")
+            key, own, meta = (c.to_numpy() for c in batch.columns)
+            _, size, first, last = _unpacked(meta)
+            band = np.floor(np.log(np.maximum(size, 1)) / _BAND).astype(np.int64)
+            for cell in (band, band + 1):
+                for c in np.unique(cell).tolist():
+                    if c not in widths:
+                        widths[c] = _limit(tau, math.ceil(math.exp((c + 1) * _BAND))) + 1 if c < top else 1 << 40
+                width = np.array([widths[c] for c in cell.tolist()], np.int64)
+                low, high = first // width, last // width + 1
+                times = high - low + 1
+                place = ragged(low, times)
+                name = np.repeat(key.view(np.uint64), times) * np.uint64(0x9E3779B97F4A7C15)
+                name = (name ^ np.repeat(cell, times).astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64)
+                name = (name ^ name >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
+                yield from _batches(name.view(np.int64), np.repeat(own, times), np.repeat(meta, times))
+
+    return many.select("key", "id", "meta").mapInArrow(run, _KEYS)
+
+
+def _split_segments(many: DataFrame, tau: Edits, min_chars: int) -> DataFrame:
+    """Keys of lines that share a segment, from the segments of what is left of each without it."""
+
+    def keys_of(key: int, kind: int, line: str, cuts: list, asks: list) -> Iterator[tuple[int, int]]:
+        wide, size = line.encode("utf-32-le", "surrogatepass"), len(line)
+        if kind == _INDEX:
+            shared = [(p, n, size, t) for t, i, p, n in cuts if _signed(_key(wide, i, p, n, size, t)) == key]
+        else:
+            shared = [(p, n, other, t) for i, p, n, other, t in asks if _signed(_key(wide, i, p, n, other, t)) == key]
+        for p, n, other, t in shared:
+            rest = wide[: 4 * p] + wide[4 * (p + n) :]
+            have, looked_for = len(rest) // 4, other - n
+            own = segments(have, t) if kind == _INDEX else []
+            spots = [(_INDEX, i, q, k) for i, (q, k) in enumerate(own)]
+            spots += [(_PROBE, i, q, k) for i, q, k in places(have, looked_for, t) if not own or own[i] != (q, k)]
+            for role, i, q, k in spots:
+                seed = (key * 0x9E3779B97F4A7C15 + (looked_for * 64 + i) * 64 + t) & (1 << 64) - 1
+                yield role, xxhash.xxh3_64_intdigest(rest[4 * q : 4 * (q + k)], seed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, asks = {}, {}
+        for batch in batches:
+            keys, ids, metas = [], [], []
+            for key, own, meta, line in zip(*(c.to_pylist() for c in batch.columns)):
+                size = len(line)
+                if size not in cuts:
+                    cuts[size], asks[size] = _cuts(tau, size), _asks(tau, size, min_chars)
+                for role, name in keys_of(key, meta >> 60, line, cuts[size], asks[size]):
+                    keys.append(name)
+                    ids.append(own)
+                    metas.append(role << 60 | min(size, _CLIP) << 40)
+            yield from _batches(np.array(keys, np.uint64).view(np.int64), np.array(ids, np.int64), np.array(metas, np.int64))
+
+    return many.select("key", "id", "meta", "line").mapInArrow(run, _KEYS)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
@@ -421,46 +621,43 @@ def _node(h1: Column, h2: Column) -> Column:
     return F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0"))
 
 
-def links(docs: DataFrame, lines: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``a``, ``b``: the linked pairs of different lines, each once, as texts of both hashes."""
-    index = lines.select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
-    ends = index.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    other = (F.col("least") != F.col("id")) | (F.col("most") != F.col("id"))
-    asked = stage(probes(docs, tau, min_chars).join(ends, "key").where(other).select("key", "id").distinct(), "lines-asked")
-    live = asked.select("key").unionByName(ends.where("least <> most").select("key")).distinct()
-    live = stage(live, "lines-keys")
-    indexed = stage(index.join(live, "key", "left_semi").distinct(), "lines-indexed")
-
-    if callable(tau):
-        indexed = indexed.unionByName(stage(_gram_rows(docs, tau, min_chars), "lines-grams"))
-    members = indexed.unionByName(asked).groupBy("key").agg(F.count("*").alias("n"))
-    many = stage(members.where(F.col("n") > JOINED_GROUP), "lines-many")
-    few_i, few_a = (t.join(many, "key", "left_anti") for t in (indexed, asked))
-    right = few_i.withColumnRenamed("id", "b")
-    pairs = few_i.unionByName(few_a).withColumnRenamed("id", "a").join(right, "key").where("a <> b")
-    pairs = stage(_pairs_of(pairs), "lines-pairs")
-
-    blocks = F.ceil(F.col("n") / BLOCK_LINES).cast("int")
-    dealt = indexed.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
-    dealt = dealt.join(many, "key").withColumn("blocks", blocks)
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # A line meets its own block and each other one, the lower number first.
-    meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("key", "id", "asks", "own", meets)
-    dealt = dealt.select("key", "id", "asks", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    wanted = stage(wanted.unionByName(dealt.select("id")).distinct(), "lines-wanted")
-    texts = stage(_texts(docs, wanted, min_chars), "lines-texts")
-
-    a = texts.select(F.col("h1").alias("a"), _node("h1", "h2").alias("na"), F.col("line").alias("la"))
-    b = texts.select(F.col("h1").alias("b"), _node("h1", "h2").alias("nb"), F.col("line").alias("lb"))
-    verified = pairs.join(a, "a").join(b, "b").select("na", "nb", "la", "lb").mapInArrow(_verify(tau), "a string, b string")
-    named = texts.select(F.col("h1").alias("id"), _node("h1", "h2").alias("node"), "line")
-    in_blocks = (
-        dealt.join(named, "id").groupBy("key", "x", "y").applyInPandas(_verify_block(tau), "a string, b string")
-    )
-    return _pairs_of(verified.unionByName(in_blocks))
+def links(docs: DataFrame, into: Stages, tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``a``, ``b``: the linked pairs of different lines, each once, as texts of both hashes; a stage of ``into``."""
+    with Stages(docs.sparkSession, "line-links") as own:
+        met = own.write(_meet(line_keys(docs, tau, min_chars), tau), "met")
+        is_gram = F.shiftright("meta", 60) == _GRAM
+        many = met.where("b IS NULL").select("key", F.col("a").alias("id"), "meta").distinct()
+        many = own.write(many, "many")
+        pairs = own.write(_pairs_of(met.where("b IS NOT NULL")), "pairs", done=("met",))
+        both = F.explode(F.array("a", "b")).alias("id")
+        wanted = own.write(pairs.select(both).unionByName(many.select("id")).distinct(), "wanted")
+        texts = own.write(_texts(docs, wanted, min_chars), "texts", done=("wanted",))
+
+        # Lines of keys that many share meet again by a second key; those that share it as well are dealt into blocks.
+        named = texts.select(F.col("h1").alias("id"), "line")
+        split = _split_grams(many.where(is_gram), tau).unionByName(
+            _split_segments(many.where(~is_gram).join(named, "id"), tau, min_chars)
+        )
+        met = own.write(_meet(split, tau), "met-again", done=("many",))
+        hot = met.where("b IS NULL").select("key", F.col("a").alias("id"), "meta").distinct()
+        pairs = pairs.unionByName(_pairs_of(met.where("b IS NOT NULL"))).distinct()
+        pairs = own.write(pairs, "all-pairs", done=("pairs",))
+        hot = own.write(hot, "hot", done=("met-again",))
+
+        a = texts.select(F.col("h1").alias("a"), _node("h1", "h2").alias("na"), F.col("line").alias("la"))
+        b = texts.select(F.col("h1").alias("b"), _node("h1", "h2").alias("nb"), F.col("line").alias("lb"))
+        verified = pairs.join(a, "a").join(b, "b").select("na", "nb", "la", "lb").mapInArrow(_verify(tau), "a string, b string")
+
+        sizes = hot.groupBy("key").agg(F.count("*").alias("n"))
+        dealt = hot.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK_LINES).cast("int"))
+        dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        # A line meets its own block and each other one, the lower number first.
+        meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+        dealt = dealt.select("key", "id", "own", meets)
+        dealt = dealt.select("key", "id", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        lines = texts.select(F.col("h1").alias("id"), _node("h1", "h2").alias("node"), "line")
+        in_blocks = dealt.join(lines, "id").groupBy("key", "x", "y").applyInPandas(_verify_block(tau), "a string, b string")
+        return into.write(_pairs_of(verified.unionByName(in_blocks)), "links")
 
 
 def _linked(a: str, b: str, tau: Edits) -> bool:
@@ -483,29 +680,18 @@ def _verify_block(tau: Edits):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         x, y = int(rows["x"].iloc[0]), int(rows["y"].iloc[0])
-        rows = rows.sort_values(["node", "asks"]).drop_duplicates("node")
+        rows = rows.sort_values("node").drop_duplicates("node")
         nodes, lines, own = rows["node"].tolist(), rows["line"].tolist(), rows["own"].to_numpy()
         counts = np.zeros((len(lines), 64), np.int16)
         for i, line in enumerate(lines):
             points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
             counts[i] = np.bincount(points % 64, minlength=64)
-        # Lines that share several grams are compared at the least of them only.
-        key, own_grams = int(rows["key"].iloc[0]), {}
-        long = [i for i, line in enumerate(lines) if _has_grams(tau, len(line))]
-        if long:
-            keys, of = grams([lines[i] for i in long])
-            ends = np.searchsorted(of, np.arange(len(long) + 1))
-            own_grams = {i: set(keys[ends[k] : ends[k + 1]].tolist()) for k, i in enumerate(long)}
-        nothing: set[int] = set()
         most = np.array([_most(tau, len(line)) for line in lines])
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
         a, b = [], []
         for i in left:
             near = right[np.abs(counts[right] - counts[i]).sum(axis=1) <= 2 * np.maximum(most[right], most[i])]
             for j in near:
-                both = own_grams.get(i, nothing) & own_grams.get(j, nothing)
-                if key in both and key != min(both):
-                    continue
                 if (x != y or i < j) and _linked(lines[i], lines[j], tau):
                     a.append(nodes[i])
                     b.append(nodes[j])
@@ -521,29 +707,32 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     to this one. Lines under ``min_chars`` are their own class.
     """
     texts = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    lines = stage(find_lines(texts, tau, min_chars), "lines")
-    linked = stage(links(texts, lines, tau, min_chars), "lines-links")
-    # The least place, a null id last.
-    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line_no")
-    firsts = lines.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(place).alias("first"))
-
-    ends = linked.select(F.col("a").alias("node")).unionByName(linked.select(F.col("b").alias("node")))
-    degrees = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    roots = degrees.join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = roots.join(firsts.withColumn("node", _node("h1", "h2")), "node")
-    class_first = placed.groupBy("root").agg(F.min("first").alias("class_first"))
-    near = stage(placed.join(class_first, "root").select("h1", "h2", "class_first", "n_links"), "lines-near")
-
-    all_firsts = firsts.join(near, ["h1", "h2"], "left").select(
-        F.col("h1").alias("_h1"),
-        F.col("h2").alias("_h2"),
-        F.coalesce("class_first", "first").alias("class_first"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
-    # Staged, so that both sides of the join are shuffled for it and a line that comes very often can be split.
-    all_firsts = stage(all_firsts, "lines-firsts")
+    with Stages(docs.sparkSession, "lines") as own:
+        lines = own.write(find_lines(texts, min_chars), "lines", result=True)
+        linked = links(texts, own, tau, min_chars)
+        # The least place, a null id last.
+        place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line_no")
+        firsts = lines.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(place).alias("first"))
+        firsts = own.write(firsts, "firsts")
+
+        ends = linked.select(F.explode(F.array("a", "b")).alias("node"))
+        degrees = ends.groupBy("node").agg(F.count("*").alias("n_links"))
+        roots = degrees.join(components(linked, own), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = own.write(roots.join(firsts.withColumn("node", _node("h1", "h2")), "node"), "placed")
+        class_first = placed.groupBy("root").agg(F.min("first").alias("class_first"))
+        near = placed.join(class_first, "root").select("h1", "h2", "class_first", "n_links")
+        near = own.write(near, "near", done=("placed", "links"))
+
+        all_firsts = firsts.join(near, ["h1", "h2"], "left").select(
+            F.col("h1").alias("_h1"),
+            F.col("h2").alias("_h2"),
+            F.coalesce("class_first", "first").alias("class_first"),
+            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        )
+        # Staged, so that both sides of the join are shuffled for it and a line that comes very often can be split.
+        all_firsts = own.write(all_firsts, "classes", done=("firsts", "near"), result=True)
     same = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
-    out = lines.drop("keys").join(all_firsts, same, "left")
+    out = lines.join(all_firsts, same, "left")
     short = F.isnull("class_first")
     return out.select(
         "doc_id",
@@ -564,18 +753,19 @@ def drop_repeated_lines(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_
     """
     classes = line_classes(docs, tau=tau, min_chars=min_chars)
     is_first = F.col("class_doc").eqNullSafe(F.col("doc_id")) & (F.col("class_line") == F.col("line_no"))
-    gone = classes.where(~is_first).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_set(F.struct("line_no", "h1")).alias("_lines_gone")
+    of, lost_lines = free_name("_id", docs), free_name("_lines_gone", docs)
+    gone = classes.where(~is_first).groupBy(F.col("doc_id").alias(of)).agg(
+        F.collect_set(F.struct("line_no", "h1")).alias(lost_lines)
     )
     gone = stage(gone, "lines-gone")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(of)), "left").drop(of)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts, kept = [], []
             sizes = batch.column(count).to_pylist() if count in names else [None] * batch.num_rows
-            both = zip(batch.column("text").to_pylist(), batch.column("_lines_gone").to_pylist())
+            both = zip(batch.column("text").to_pylist(), batch.column(lost_lines).to_pylist())
             for i, (text, lost) in enumerate(both):
                 if lost:
                     lost_here = {(x["line_no"], x["h1"]) for x in lost}
