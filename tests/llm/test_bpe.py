@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -52,6 +53,21 @@ def test_overlapping_merges_go_leftmost():
             assert bpe.merge_by_rank(text.encode(), ranks) == other.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("run", ["a", "0", "=", "-", "ab", "\xe9", "aaab"])
+def test_long_runs(codec, run):
+    """As tiktoken at lengths that it bears; at 200,000 characters the ids repeat and decode, in a moment."""
+    other = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    for n in (50, 333, 2000):
+        assert codec.encode([run * n])[0].tolist() == other.encode_ordinary(run * n)
+    text = run * (200_000 // len(run))
+    began = time.perf_counter()
+    ids = codec.encode([text])[0]
+    assert time.perf_counter() - began < 20
+    assert codec.decode(ids).tobytes() == text.encode()
+    half = codec.encode([text[: len(text) // 2]])[0]
+    assert ids[:1000].tolist() == half[:1000].tolist()
+
+
 def test_equals_the_library_on_whole_texts():
     codec, whole = bpe.codec(FILE), Tokenizer.from_file(FILE)
     whole.encode_special_tokens = True

@@ -1,0 +1,135 @@
+"""Hard negatives against comparing every anchor with every row."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tripmetrics.llm import hard_negatives
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, is_anchor, positives=5, negatives=5, share=80):
+    """``rows``: (id, numbers, label); floats must be exact in 32 bits."""
+    whole = {}
+    for i, v, label in rows:
+        if i is None or v is None or label is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        q = [max(-hard_negatives.LIMIT, min(hard_negatives.LIMIT, math.floor(256 * x))) for x in v]
+        whole[i] = min(whole.get(i, (label, q)), (label, q))
+    out = []
+    for a, (label, v) in whole.items():
+        if not is_anchor(a):
+            continue
+        others = [(-sum(x * y for x, y in zip(v, w)), i, other) for i, (other, w) in whole.items() if i != a and len(w) == len(v)]
+        near = sorted((s, i) for s, i, other in others if other == label)[:positives]
+        for ps, p in near:
+            far = sorted((s, i) for s, i, other in others if other != label and share * -ps <= 100 * -s <= 100 * -ps)
+            out += [(a, p, n, i, -ps, -s) for n, (s, i) in enumerate(far[:negatives], 1)]
+    return sorted(out)
+
+
+def vectors(n, size, seed, labels=4, spread=0.6):
+    r = random.Random(seed)
+    centres = [[r.gauss(0, 1) for _ in range(size)] for _ in range(6)]
+    return [(i, [float(np.float32(x + r.gauss(0, spread))) for x in r.choice(centres)], r.randrange(labels)) for i in range(n)]
+
+
+def mined(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = hard_negatives.mine(df, F.col("vec_id") % 10 == 0, **options)
+    return sorted(tuple(r) for r in got.collect())
+
+
+@pytest.mark.parametrize("size", [1, 3, 16, 50])
+def test_equals_comparing_all(spark, monkeypatch, size):
+    """Also with many small groups, and lengths that segments don't divide."""
+    monkeypatch.setattr(hard_negatives, "GROUP_ROWS", 40)
+    rows = vectors(300, size, size)
+    want = brute(rows, lambda i: i % 10 == 0)
+    assert want and mined(spark, rows) == want
+
+
+def test_odd_rows_ties_and_copies(spark, monkeypatch):
+    """Nulls, non-finite numbers, other lengths, repeated ids, very large numbers, and one vector that most rows have."""
+    monkeypatch.setattr(hard_negatives, "GROUP_ROWS", 16)
+    nan, inf = float("nan"), float("inf")
+    rows = vectors(120, 8, 3)
+    rows += [(1000 + i, rows[10][1], i % 3) for i in range(150)]
+    rows += [(None, rows[0][1], 1), (2000, None, 1), (2010, rows[0][1], None), (2020, [nan] * 8, 1), (2030, [inf] + [0.0] * 7, 1)]
+    rows += [(2040, [None] + [0.0] * 7, 1), (2050, [], 1), (2051, [], 1), (2052, [], 2), (2060, [1.0, 2.0], 1), (2061, [1.0, 2.5], 1), (2062, [1.0, 2.0], 0)]
+    rows += [(2070, [1e38, -1e38] + [1.0] * 6, 1), (2071, [1e38] + [0.5] * 7, 1), (2072, [1e37] + [0.25] * 7, 2)]
+    rows += [rows[20], rows[20], (30, rows[40][1], 2), (30, rows[41][1], 0), (-10, rows[5][1], 1), (2**62, rows[6][1], 1)]
+    want = brute(rows, lambda i: i % 10 == 0)
+    assert {2050, 2060, 2070, 1000, -10} <= {r[0] for r in want}
+    assert mined(spark, rows) == want
+
+
+def test_other_columns_parameters_and_empty_tables(spark):
+    rows = vectors(80, 6, 5)
+    want = brute(rows, lambda i: i % 10 == 0, 2, 3, 50)
+    assert mined(spark, rows, positives=2, negatives=3, share=50) == want
+    df = spark.createDataFrame([(*r, 7, 8, None, 1) for r in rows], SCHEMA + ", score int, slot int, side int, anchor_id int")
+    got = hard_negatives.mine(df, F.col("vec_id") % 10 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: i % 10 == 0)
+    assert mined(spark, []) == [] and mined(spark, rows[:1]) == []
+
+
+def test_bounds_hold_and_keep_pairs_from_being_scored():
+    r = np.random.default_rng(2)
+    for size in (1, 5, 16, 64, 70):
+        a, b = r.integers(-300, 300, (40, size)), r.integers(-300, 300, (50, size))
+        sums = [hard_negatives.summaries(x.astype(float)).astype(np.float32) for x in (a, b)]
+        exact = hard_negatives._exact(a, b, size)
+        for mine, theirs in zip(*(hard_negatives._levels(s, size) for s in sums)):
+            middle, slack = mine[0] @ theirs[0].T, mine[1] @ theirs[1].T + 0.5
+            assert (np.abs(exact - middle) <= slack).all()
+    # Vectors that change slowly are known by their segments' means.
+    walk = np.cumsum(r.normal(0, 20, (3000, 64)), axis=1).astype(np.int32)
+    block = hard_negatives.Block.__new__(hard_negatives.Block)
+    block.ids, block.labels, block.vectors = np.arange(3000), np.arange(3000) % 2, walk
+    block.summary = hard_negatives.summaries(walk.astype(float)).astype(np.float32)
+    limits = np.full((50, 1), hard_negatives._LEAST), np.full((50, 1), np.iinfo(np.int64).max)
+    search = hard_negatives.Search(block.ids[:50], block.labels[:50], walk[:50], block.summary[:50], 64, True, *limits, 5)
+    for at in range(0, 3000, 500):
+        search.add(block, at, at + 500)
+    bounded, *left, scored = search.pairs
+    assert bounded > 70_000 and left[0] > left[1] == scored and scored < bounded / 5
+    exact = walk[:50].astype(np.int64) @ walk.T.astype(np.int64)
+    for i in range(50):
+        near = sorted((-exact[i, j], j) for j in range(3000) if j != i and j % 2 == i % 2)[:5]
+        assert search.places[i, 0].tolist() == [j for _, j in near]
+
+
+def test_groups_that_begin_and_end_inside_batches(monkeypatch):
+    """The stream of a task with several groups, cut into batches anywhere."""
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 3)
+    monkeypatch.setattr(hard_negatives, "CHUNK", 7)
+    rows = vectors(60, 4, 9, labels=2)
+    found = []
+    table = []
+    for slot in range(3):
+        held = [r for r in rows if r[0] % 4 == slot]
+        table += [(4, slot, 0, *r) for r in held] + [(4, slot, 1, *r) for r in rows[:10]]
+    whole = [[math.floor(256 * x) for x in r[4]] for r in table]
+    summary = hard_negatives.summaries(np.array(whole, float)).astype(np.float32).tolist()
+    columns = [[r[0] for r in table], [r[1] for r in table], [r[2] for r in table], [r[3] for r in table], [r[5] for r in table]]
+    arrays = [pa.array(c, pa.int64()) for c in columns] + [pa.array(whole, pa.list_(pa.int32())), pa.array(summary, pa.list_(pa.float32()))]
+    batch = pa.RecordBatch.from_arrays(arrays, ["size", "slot", "side", "vec_id", "label", "vector", "summary"])
+    for step in (5, 1000):
+        pieces = [batch.slice(i, step) for i in range(0, batch.num_rows, step)]
+        out = [tuple(r.values()) for b in hard_negatives._compare(True, 2, 80)(iter(pieces)) for r in b.to_pylist()]
+        found.append(sorted(out))
+    want = []
+    for i, v, label in rows[:10]:
+        q = [math.floor(256 * x) for x in v]
+        for slot in range(3):
+            near = sorted((-sum(x * math.floor(256 * y) for x, y in zip(q, w)), j) for j, w, m in rows if j % 4 == slot and j != i and m == label)
+            want += [(i, j, -s) for s, j in near[:2]]
+    assert found[0] == found[1] == sorted(want)

@@ -59,6 +59,21 @@ def _in_input_order(rows):
     return [kinds[page, hashlib.sha1((html or "").encode()).hexdigest()] for page, _, html in rows]
 
 
+def test_every_id_and_time_has_a_date(spark, tmp_path):
+    """Least and greatest long, hashed ids, and the first id beyond the dates of four digits."""
+    ids = [-(2**63), 2**63 - 1, 253402300799, 253402300800, 300000000000, -1, 0, None, 8111222333444555666]
+    rows = [(i, f"http://a.b/{n}", "x" * 1500 if n % 2 else str(n)) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    records = warc.archive_and_read(df)
+    got = records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted((tuple(r) for r in got), key=str) == expected(rows)
+    stamps = {r.page_id: r.timestamp for r in records.collect()}
+    assert stamps[253402300799] == "9999-12-31T23:59:59Z" and stamps[253402300800] == "1970-01-01T00:00:00Z"
+    runs = warc.write_archives(df, f"file://{tmp_path}/w", timestamp=F.col("page_id"))
+    given = {r.page_id: r.timestamp for r in runs.collect()}
+    assert given[2**63 - 1] == "9999-12-31T23:59:59Z" and given[-(2**63)] == "0001-01-01T00:00:00Z"
+
+
 def test_loser_tree_equals_sorting():
     r = random.Random(1)
     for k in range(12):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.batches import extended, slices, utf8
+from tripmetrics.llm.batches import extended, free_name, slices, utf8
 from tripmetrics.sources import stage
 
 #: Labelled documents that trees are grown on, at most; the first by a hash of their ids.
@@ -223,5 +223,6 @@ def add_score(docs: DataFrame, trees: Trees, text: str = "text", name: str = "sc
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score ``threshold`` or more, with the columns they came with."""
-    scored = add_score(docs, train(docs, labels), name="_quality_score")
-    return scored.where(F.col("_quality_score") >= threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
+    score = free_name("_quality_score", docs)
+    scored = add_score(docs, train(docs, labels), name=score)
+    return scored.where(F.col(score) >= threshold).select(*(F.col(f"`{c}`") for c in docs.columns))

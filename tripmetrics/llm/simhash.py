@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.batches import extended, slices, utf8
+from tripmetrics.llm.batches import extended, free_name, slices, utf8
 from tripmetrics.llm.components import components
 from tripmetrics.sources import stage
 
@@ -170,15 +170,16 @@ def keep_first(
     prints = stage(_prints(docs, id_column, text, size), "simhash")
     judged = prints.join(_grouped(prints, id_column, distance), "bits")
     is_kept = F.col(id_column).eqNullSafe(F.col("kept_id")) & (F.col("bits") == F.col("kept_bits"))
-    dropped = judged.where(~is_kept).select(F.col(id_column).alias("_id"), F.col("bits").alias("_of")).distinct()
+    own, of, mark = (free_name(n, docs) for n in ("_id", "_of", "_simhash_bits"))
+    dropped = judged.where(~is_kept).select(F.col(id_column).alias(own), F.col("bits").alias(of)).distinct()
     repeated = judged.where(is_kept).groupBy(id_column, "bits").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = repeated.select(F.col(id_column).alias("_id"), F.col("bits").alias("_of"))
+    repeated = repeated.select(F.col(id_column).alias(own), F.col("bits").alias(of))
     dropped, repeated = stage(dropped, "simhash-dropped"), stage(repeated, "simhash-repeated")
 
-    marked = add_fingerprints(docs, text, size, "_simhash_bits")
-    same = F.col(f"`{id_column}`").eqNullSafe(F.col("_id")) & (F.col("_simhash_bits") == F.col("_of"))
+    marked = add_fingerprints(docs, text, size, mark)
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(of))
     kept = marked.join(dropped, same, "left_anti")
     single = kept.join(repeated, same, "left_anti")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    several = kept.join(repeated, same, "left_semi").groupBy(id_column, "_simhash_bits").agg(F.min_by(row, text).alias("_row"))
-    return single.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(several.select("_row.*"))
+    several = kept.join(repeated, same, "left_semi").groupBy(id_column, mark).agg(F.min_by(row, text).alias(own))
+    return single.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(several.select(f"{own}.*"))

@@ -2,7 +2,7 @@
 
 Every task writes gzip-per-record archives into a folder that all executors reach, and for each archive a run
 of index entries sorted by URL key and timestamp. The runs are ranged by key over tasks; each task lays its
-slices of the runs down in a temporary file and merges them with a loser tree, reading a batch of each at a
+slices of the runs down in a file in the shared folder and merges them with a loser tree, reading a batch of each at a
 time. The partitions of the merged index follow each other in order, so together they are globally ordered
 capture histories. A URL that holds very many captures is split over tasks by its timestamps.
 
@@ -19,8 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
-import tempfile
+import itertools
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime, timedelta, timezone
@@ -37,6 +36,8 @@ MIN_BYTES = 1000
 # An archive is closed beyond this size or number of records.
 ARCHIVE_BYTES, ARCHIVE_RECORDS = 256 << 20, 100_000
 _BATCH = 4096
+# What a date of four digits can name, in seconds since 1970.
+_FIRST_SECOND, _LAST_SECOND = -62_135_596_800, 253_402_300_799
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _INDEX = "url_key string, timestamp string, page_id bigint, record_type string, file string, offset bigint, length bigint"
 _ARROW_INDEX = pa.schema(
@@ -187,15 +188,20 @@ def write_archives(
 ) -> DataFrame:
     """Write the pages to ``folder`` and return the staged index runs.
 
-    ``timestamp`` is the capture time in seconds since 1970; it is the page id where none is given.
+    ``timestamp`` is the capture time in seconds since 1970; times before the year 1 and after 9999 count as the first
+    and the last second that a date can name. Where none is given, the time is the page id modulo the seconds from 1970
+    to the end of 9999.
     """
     responses = find_responses(pages, page_id, payload, min_bytes)
-    seconds = timestamp if timestamp is not None else F.col(page_id)
+    if timestamp is None:
+        seconds = F.pmod(F.col(page_id).cast("bigint"), F.lit(_LAST_SECOND + 1))
+    else:
+        seconds = F.greatest(F.least(timestamp.cast("bigint"), F.lit(_LAST_SECOND)), F.lit(_FIRST_SECOND))
     wide = pages.select(
         F.col(page_id).cast("bigint").alias("id"),
         F.col(url).alias("url"),
         F.encode(payload, "UTF-8").alias("payload"),
-        F.coalesce(seconds.cast("bigint"), F.lit(0)).alias("seconds"),
+        F.coalesce(seconds, F.lit(0)).alias("seconds"),
         F.when(F.octet_length(payload) >= min_bytes, F.sha1(payload)).alias("_digest"),
     ).join(responses, "_digest", "left")
     refers = F.when(~F.col("id").eqNullSafe(F.col("_response")), F.col("_response")).alias("refers_to")
@@ -268,27 +274,32 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     """The entries of all runs in global order: by URL key and timestamp within and across partitions."""
     order = ["url_key", "timestamp", "file", "offset"]
     ranged = runs.repartitionByRange(*order).sortWithinPartitions("file", *order)
+    folder = scratch_path(runs.sparkSession, "warc-merge")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with tempfile.TemporaryDirectory() as own:
-            path, places = os.path.join(own, "runs"), {}
-            with pa.OSFile(path, "wb") as out, pa.ipc.new_file(out, _ARROW_INDEX) as laid:
-                count = 0
-                for piece in _one_run_each(batches):
-                    laid.write_batch(piece)
-                    places.setdefault(piece.column("file")[0].as_py(), []).append(count)
-                    count += 1
-            with pa.memory_map(path) as mapped:
-                slices = pa.ipc.open_file(mapped) if count else None
-                tree = LoserTree([_rows(slices, numbers) for numbers in places.values()], _order)
-                merged: list[tuple] = []
-                for entry in tree:
-                    merged.append(entry)
-                    if len(merged) == _BATCH:
-                        yield _entries(merged)
-                        merged = []
-                if merged:
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
+        store, root = filesystem(folder)
+        store.create_dir(root, recursive=True)
+        path, places, count = f"{root}/{attempt_name('runs')}", {}, 0
+        with store.open_output_stream(path) as out, pa.ipc.new_file(out, _ARROW_INDEX) as laid:
+            for piece in _one_run_each(itertools.chain([first], batches)):
+                laid.write_batch(piece)
+                places.setdefault(piece.column("file")[0].as_py(), []).append(count)
+                count += 1
+        with store.open_input_file(path) as source:
+            slices = pa.ipc.open_file(source)
+            tree = LoserTree([_rows(slices, numbers) for numbers in places.values()], _order)
+            merged: list[tuple] = []
+            for entry in tree:
+                merged.append(entry)
+                if len(merged) == _BATCH:
                     yield _entries(merged)
+                    merged = []
+            if merged:
+                yield _entries(merged)
+        store.delete_file(path)
 
     return ranged.mapInArrow(merge, _INDEX)
 
