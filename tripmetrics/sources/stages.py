@@ -138,6 +138,10 @@ class Stages:
         self.remove(*done)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def live(self, prefix: str = "") -> list[str]:
+        """Names of the stages that are still there."""
+        return [name for name in self._live if name.startswith(prefix)]
+
     def remove(self, *names: str) -> None:
         for name in names:
             remove_stage(self.spark, self._live.pop(name))
