@@ -2,6 +2,12 @@
 
 Every stage works on all that the one before kept and is written as Parquet before the next one reads it, so a
 lost executor repeats at most one stage.
+
+Results for odd input, stage by stage: a null or empty text is scored like any other, has one blank line that never
+repeats, fingerprint zero, no benchmark words and no ids; of documents with equal fingerprints, null and empty texts
+included, the one with the least id stays, null last, and of repeated rows one. Very long texts are processed whole. An
+empty table gives an empty result. Columns other than ``doc_id``, ``text`` and ``n_chars`` are handed through, whatever
+their names, up to the last stage, in which added columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -22,8 +28,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @shipped
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier line of the corpus equals but for two characters."""
-    return line_dedup.drop_repeated_lines(docs, count="n_chars")
+    """Texts without the lines that an earlier line of the corpus equals within the edits that op1 allows for its length.
+
+    Short lines, such as headings and names, stay in a text that has a line of its own besides.
+    """
+    return line_dedup.drop_repeated_lines(
+        docs, line_dedup.edits_allowed, 1, count="n_chars", keep_under=line_dedup.MIN_CHARS
+    )
 
 
 @shipped
