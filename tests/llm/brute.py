@@ -6,6 +6,7 @@ import hashlib
 import re
 from itertools import combinations
 
+import numpy as np
 import xxhash
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -106,5 +107,72 @@ def without_repeated_lines(docs):
     return out
 
 
+def linked_lines(lines, allowed):
+    """Pairs of different lines within ``allowed(length of the longer)`` edits. An edit changes two counts at most."""
+    lines = sorted(lines, key=len)
+    counts = np.array([np.bincount(np.frombuffer(s.encode("utf-32-le"), np.uint32) % 64, minlength=64) for s in lines]).reshape(-1, 64)
+    sizes = np.array([len(s) for s in lines])
+    pairs = []
+    for i, a in enumerate(lines):
+        # Allowed edits grow with the length, so those of the longest line in reach bound all before it.
+        stop = i + 1
+        while stop < len(lines) and sizes[stop] - len(a) <= allowed(int(sizes[stop])):
+            stop += 1
+        apart = np.abs(counts[i + 1 : stop] - counts[i]).sum(axis=1)
+        for j in np.flatnonzero(apart <= 2 * allowed(int(sizes[stop - 1]))) + i + 1:
+            if edits_up_to(a, lines[j], allowed(len(lines[j]))):
+                pairs.append((a, lines[j]))
+    return pairs
+
+
+def edits_up_to(a, b, most):
+    """Whether ``most`` edits suffice: the cells of the full table that are near enough to its diagonal."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    far = most + 1
+    row = {j: j for j in range(min(most, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        fresh = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            best = min(row.get(j, far) + 1, fresh.get(j - 1, far) + 1)
+            if j:
+                best = min(best, row.get(j - 1, far) + (x != b[j - 1]))
+            fresh[j] = min(best, far)
+        row = fresh
+        if min(row.values()) > most:
+            return False
+    return row[len(b)] <= most
+
+
+def rule_classes(docs, allowed):
+    """Every line that isn't blank: first place of its class and number of linked lines; blank ones for themselves."""
+    at = [(d, n, s.strip(" \t\r\n\x0b\x0c")) for d, t in docs for n, s in enumerate((t or "").split("\n"))]
+    lines = sorted({s for _, _, s in at if s})
+    pairs = linked_lines(lines, allowed)
+    root, first, degree = components(lines, pairs), {}, {}
+    for pair in pairs:
+        for s in pair:
+            degree[s] = degree.get(s, 0) + 1
+    for d, n, s in sorted(at, key=lambda x: (x[0] is None, x[0] or 0, x[1])):
+        if s:
+            first.setdefault(root[s], (d, n))
+    return [(d, n, *(first[root[s]] if s else (d, n)), degree.get(s, 0)) for d, n, s in at]
+
+
+def without_lines(docs, allowed, keep_under):
+    """Texts by id (ids are different) after line dedup; short repeated lines stay beside a line of the text's own."""
+    places = {}
+    for d, n, first_doc, first_line, _ in rule_classes(docs, allowed):
+        places.setdefault(d, []).append((d, n) == (first_doc, first_line))
+    out = {}
+    for d, text in docs:
+        lines = (text or "").split("\n")
+        bare = [s.strip(" \t\r\n\x0b\x0c") for s in lines]
+        kept = [s for s, b, own in zip(lines, bare, places[d]) if own or len(b) < keep_under]
+        if all(places[d]) or any(own and b for own, b in zip(places[d], bare)):
+            out[d] = text if len(kept) == len(lines) else "\n".join(kept)
+    return out
+
+
 def sha256(raw):
     return hashlib.sha256(raw).hexdigest()

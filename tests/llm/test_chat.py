@@ -64,3 +64,17 @@ def test_a_very_large_conversation_comes_in_parts(spark, monkeypatch):
     said = [line for r in got for line in r.rendered.split("\n") if line[:1] == "t" or line[:1] == "s"]
     assert len(said) == 250 and [s for s in said if s[0] == "t"] == [f"t{i}" for i in range(50)]
     assert said.index("t2") < said.index("same turn 0") < said.index("t4")
+
+
+def test_parts_are_bounded_in_bytes_and_numbered_by_their_keys(spark, monkeypatch):
+    """The window that numbers parts sees no text."""
+    monkeypatch.setattr(chat, "PART_BYTES", 5000)
+    rows = [(1, i, "user", f"t{i} " + "x" * 900) for i in range(60)] + [(2, 0, "user", "short")] + [(None, 0, "user", "y" * 7000), (None, 1, "user", "z")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.format_chats(df)
+    got = sorted((r for r in out.collect() if r.conv_id == 1), key=lambda r: r.part)
+    assert [r.part for r in got] == list(range(len(got))) and len(got) > 10 and max(len(r.rendered) for r in got) < 12_000
+    assert [line.split()[0] for r in got for line in r.rendered.split("\n") if line[:1] == "t"] == [f"t{i}" for i in range(60)]
+    assert sorted((r.part, r.n_rows) for r in out.collect() if r.conv_id is None) == [(0, 1), (1, 1)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Window [" in line and "rendered" in line]

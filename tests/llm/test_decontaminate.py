@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tests.llm import brute
+from tripmetrics.llm import decontaminate
 from tripmetrics.llm.decontaminate import drop_contaminated, mark_passages
 
 
@@ -45,3 +46,10 @@ def test_spans_long_texts_and_clashing_columns(spark):
     assert drop_contaminated(docs, benchmark).columns == docs.columns
     assert mark_passages(docs, benchmark.limit(0)).first().n_hit == 0
     assert mark_passages(docs.limit(0), benchmark).count() == 0
+
+
+def test_windows_of_a_pass_are_built_once_for_a_worker():
+    items = tuple((str(i), f"one two three four {i}".encode()) for i in range(5))
+    first = decontaminate._passages(items, 10)
+    assert decontaminate._passages(tuple(items), 10) is first
+    assert decontaminate._passages(items[:2], 10) is not first

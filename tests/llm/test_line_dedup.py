@@ -77,16 +77,7 @@ def test_a_very_long_line(spark):
 
 
 def rule_classes(docs, allowed):
-    """Like ``brute.line_classes``, for every line that isn't blank and a number of edits by the longer line's length."""
-    at = [(d, n, s.strip(" \t\r\n\x0b\x0c")) for d, t in docs for n, s in enumerate((t or "").split("\n"))]
-    lines = sorted({s for _, _, s in at if s})
-    near = lambda a, b, t: abs(len(a) - len(b)) <= t and brute.edits(a, b) <= t
-    pairs = [(a, b) for i, a in enumerate(lines) for b in lines[i + 1 :] if near(a, b, allowed(max(len(a), len(b))))]
-    root, first = brute.components(lines, pairs), {}
-    for d, n, s in sorted(at):
-        if s:
-            first.setdefault(root[s], (d, n))
-    return sorted((d, n, *(first[root[s]] if s else (d, n)), sum(s in p for p in pairs)) for d, n, s in at)
+    return sorted(brute.rule_classes(docs, allowed))
 
 
 def short_corpus(seed=4):

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import hashlib
 
+import zlib
+
 import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
 from tests.compare import assert_same_rows
-from tests.llm import brute
-from tripmetrics.llm import bpe, oracle, quality, queries
+from tests.llm import brute, test_spotsigs
+from tripmetrics.llm import bpe, line_dedup, oracle, quality, queries
 
 
 def test_stages(spark, sf_dir):
@@ -29,7 +34,7 @@ def test_stages(spark, sf_dir):
     assert kept.columns == columns and {r.doc_id: r.text for r in kept.collect()} == good and len(good) < len(texts)
 
     lined = steps["line_dedup"](spark, kept, sf_dir)
-    texts = brute.without_repeated_lines(list(good.items()))
+    texts = brute.without_lines(list(good.items()), line_dedup.edits_allowed, line_dedup.MIN_CHARS)
     got = lined.collect()
     assert lined.columns == columns and {r.doc_id: r.text for r in got} == texts and texts != good
     assert all(r.n_chars == len(r.text) for r in got if r.text != good[r.doc_id])
@@ -60,5 +65,88 @@ def test_queries_are_registered_and_equal_their_sql(spark, sf_dir):
     assert [n for n in found if n.startswith("op") or n == "pipeline"] == [*queries.QUERIES, "pipeline"]
     for name, sql in oracle.SQL.items():
         assert assert_same_rows(found[name](spark, sf_dir), sql, sf_dir) > 0
-    for name in ("op1_line_dedup", "op2_quality", "op6_bpe", "op7_simhash", "op8_spotsigs", "op9_token_files"):
-        assert found[name](spark, sf_dir).count() > 0
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf_dir):
+    return sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+
+
+def rows_of(spark, sf_dir, name):
+    return sorted(tuple(r) for r in spark_entry.queries()[name](spark, sf_dir).collect())
+
+
+def test_op1_on_the_given_table(spark, sf_dir, documents):
+    assert rows_of(spark, sf_dir, "op1_line_dedup") == sorted(brute.rule_classes(documents, line_dedup.edits_allowed))
+
+
+def test_op2_on_the_given_table(spark, sf_dir, documents):
+    """Scores of the plain walk, the fold by CRC-32, and labels that are met on the fold kept back."""
+    got = {r[0]: r for r in rows_of(spark, sf_dir, "op2_quality")}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    trees = quality.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scores = trees.score(quality.statistics([(t or "").encode() for _, t in documents]))
+    for (doc, _), score in zip(documents, scores):
+        _, held, own, predicted = got[doc]
+        assert held == (zlib.crc32(str(doc).encode()) % 5 == 0) and abs(own - score) < 1e-12 and predicted == (score >= 0.3)
+    right = [got[d][3] == q for d, q in labels.items() if q is not None and d in got and got[d][1]]
+    assert right and sum(right) / len(right) > 0.8
+
+
+def test_op6_and_op9_on_the_given_table(spark, sf_dir, documents):
+    other = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path(queries.RANKS)), special_tokens={})
+    whole, start, coded, filed = Tokenizer.from_file(P.path(queries.TOKENIZER)), 0, [], []
+    for doc, text in documents:
+        ids = np.array(other.encode_ordinary(text or ""), "<u4").tobytes()
+        coded.append((doc, len(ids) // 4, brute.sha256(ids), brute.sha256((text or "").encode())))
+        ids = np.array([*whole.encode(text or "", add_special_tokens=False).ids, queries.END_ID], "<u4").tobytes()
+        filed.append((doc, start, len(ids) // 4, zlib.crc32(ids)))
+        start += len(ids) // 4
+    assert rows_of(spark, sf_dir, "op6_bpe") == coded
+    assert rows_of(spark, sf_dir, "op9_token_files") == filed
+
+
+def test_op7_and_op8_on_the_given_table(spark, sf_dir, documents):
+    prints, root = brute.simhash_components([t for _, t in documents])
+    want = [(doc, f"{prints[i]:016x}", documents[root[i]][0]) for i, (doc, _) in enumerate(documents)]
+    assert rows_of(spark, sf_dir, "op7_simhash") == want
+    text_of = lambda hashes: "".join(f"{h & (1 << 64) - 1:016x}" for h in hashes)
+    want = []
+    for (doc, text), (_, after) in zip(documents, documents[1:] + documents[:1]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        own, new, other = map(test_spotsigs.slow, (text, edited, after))
+        near = (round(test_spotsigs.likeness(own, x), 9) for x in (new, other))
+        want.append((doc, len(text), brute.sha256(edited.encode()), text_of(own), text_of(new), *near))
+    got = [(*r[:5], round(r[5], 9), round(r[6], 9)) for r in rows_of(spark, sf_dir, "op8_spotsigs")]
+    assert got == want
+
+
+def odd_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    long = "word of a very long text " * 20_000
+    odd = [(9001, None, None, None, None), (9002, "", "en", "s", 0), (None, "a text without an id, which is long enough", "en", None, 42)]
+    odd += [(9003, "twice the same row here", "en", "s", 23)] * 3 + [(9004, long, "en", "s", len(long)), (9005, "\n\n", None, "", None)]
+    clashing = ("_id", "_of", "_lines_gone", "_quality_score", "_simhash_bits", "key", "n_hit")
+    return docs.unionByName(spark.createDataFrame(odd, docs.schema)).withColumns({c: F.lit(c) for c in clashing})
+
+
+def test_pipeline_on_odd_documents_and_on_none(spark, sf_dir, tmp_path):
+    """Every stage hands its rows on with all columns; what isn't junk, copied or contaminated comes out."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = odd_documents(spark, sf_dir)
+    columns = docs.columns
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, str(tmp_path))
+        assert out.columns == columns and out.where("`_id` <> '_id' OR key <> 'key'").count() == 0, name
+        # The next stage gets odd rows whatever this one thinks of them.
+        assert out.count() <= docs.count()
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    coded = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len({r.doc_id for r in coded}) == len(coded) > 0
+    empty = tmp_path / "none"
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{empty}/{name}.parquet")
+    docs.limit(0).write.parquet(f"{empty}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tripmetrics.llm import simhash
+from tripmetrics.sources import Stages
 from tripmetrics.llm.components import components
 
 
@@ -27,7 +28,7 @@ def test_links_have_the_components_of_all_close_pairs(spark):
     prints = sorted(map(signed, prints))
     pairs = [(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2]
     want = brute.components(prints, pairs)
-    found = simhash.links(spark.createDataFrame([(p,) for p in prints], "bits long"))
+    found = simhash.links(spark.createDataFrame([(p,) for p in prints], "bits long"), Stages(spark, "simhash"))
     assert brute.components(prints, [(x.a, x.b) for x in found.collect()]) == want
 
 

@@ -73,3 +73,20 @@ def test_several_files_for_a_task(spark, monkeypatch, tmp_path):
     read = [(d, np.concatenate(list(p)).tolist()) for d, _, p in tf.read_ids(f"file://{tmp_path}/ids", name)]
     assert [x for _, y in read for x in y] == ids.tolist() and [d for d, _ in read] == [d for d, _ in rows]
     assert df.count() == 40
+
+
+def test_files_close_by_documents_too(spark, monkeypatch):
+    """Very many short texts: with a lowered bound a task writes several files, and rows come out in pieces."""
+    monkeypatch.setattr(tf, "FILE_DOCS", 100)
+    monkeypatch.setattr(tf, "_ROWS_OUT", 30)
+    df = spark.range(0, 3000, 1, 2).selectExpr("id AS doc_id", "if(id % 3 = 0, 'a b', '') AS text")
+    folder = tf.scratch_path(spark, "ids")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        manifest = tf.write_ids(df, folder, FILE)
+        got = sorted(tf.read_documents(manifest, folder).collect(), key=lambda x: x.doc_id)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert manifest.count() > 10 and max(r.docs for r in manifest.collect()) < 200
+    assert [(r.doc_id, r.n_tokens) for r in got] == [(i, 3 if i % 3 == 0 else 1) for i in range(3000)]
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(0, 3000)]

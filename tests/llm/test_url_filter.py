@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -54,3 +55,29 @@ def test_longest_entry_wins_over_shorter_of_either_kind():
     assert trie.match("b.org", "/x/1") == ("b.org/x/1", "allow")
     assert trie.match("b.org", "/x/2") == ("b.org/x/", "block")
     assert trie.match("net", "/") is None
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("turn", [1, -1])
+def test_rules_that_say_the_same_have_one_answer(spark, limit, turn):
+    """Block before allow, then the greatest rule text, in either form and whatever the order of the rules."""
+    rules = [("Org/", "allow"), ("org/", "allow"), ("oRG/a", "block"), ("org/a", "allow"), ("b.ORG/", "block"), ("B.org/", "block")][::turn]
+    pages = spark.createDataFrame([(1, "http://x.org/"), (2, "http://org/abc"), (3, "http://b.org/q")], "page_id long, url string")
+    found = judge_urls(pages, spark.createDataFrame(rules, "rule string, verdict string"), max_trie_bytes=limit)
+    assert {r.page_id: (r.rule, r.verdict) for r in found.collect()} == {1: ("org/", "allow"), 2: ("oRG/a", "block"), 3: ("b.ORG/", "block")}
+
+
+def test_many_rules_in_one_folder_and_very_many_labels(spark):
+    rules = [(f"example.org/folder/{i:06d}", "block") for i in range(100_000)] + [("example.org/folder/", "allow"), ("example.org/folder/00004", "allow")]
+    trie = UrlTrie(rules)
+    began = time.perf_counter()
+    for i in range(2000):
+        assert trie.match("www.example.org", f"/folder/{i:06d}x") == (f"example.org/folder/{i:06d}", "block")
+        assert trie.match("example.org", "/folder/x") == ("example.org/folder/", "allow")
+    assert (time.perf_counter() - began) / 4000 < 1e-4
+    assert trie.match("example.org", "/folder/00004") == ("example.org/folder/00004", "allow")
+    host = ".".join(["a"] * 12_000)
+    pages = spark.createDataFrame([(1, f"http://x.{host}/")], "page_id long, url string")
+    rules = spark.createDataFrame([(host + "/", "block")], "rule string, verdict string")
+    for limit in (1 << 20, 0):
+        assert [r.verdict for r in judge_urls(pages, rules, max_trie_bytes=limit).collect()] == ["block"]

@@ -8,8 +8,9 @@ number of rows. Hashes roll within blocks of turns and over the blocks' totals,
 conversation is spread over tasks. Equal prefixes are reduced to one before they meet in the anti-join.
 
 Rendering joins the rows of a conversation by turn, then role and text. A conversation of more than
-``BLOCK_TURNS`` turns is rendered in several parts, one row each, and one that has more than ``PART_ROWS`` rows
-there in more; the parts in order are the whole. Marks (``<|``) inside roles and texts are written as ``<\\|``.
+``BLOCK_TURNS`` turns is rendered in several parts, one row each, and one that has more than ``PART_ROWS`` rows or
+``PART_BYTES`` bytes there in more; the parts in order are the whole. Parts are numbered by their keys alone, so no
+task sees all texts of one conversation. Marks (``<|``) inside roles and texts are written as ``<\\|``.
 
 Results for odd input: rows with a null id form one conversation, which loses to an equal one with an id; a null
 turn comes before all others; null roles and texts differ from empty ones in comparisons and are rendered as
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tripmetrics.sources import stage
 
-BLOCK_TURNS, PART_ROWS = 1024, 4096
+BLOCK_TURNS, PART_ROWS, PART_BYTES = 1024, 4096, 16 << 20
 
 
 def _row_hash(salt: int) -> Column:
@@ -87,12 +88,14 @@ def maximal(rows: DataFrame) -> DataFrame:
 
 def render(rows: DataFrame) -> DataFrame:
     """``conv_id``, ``part``, ``n_rows`` and ``rendered``: the conversations as text, in parts where they are long."""
-    blocks = rows.groupBy("conv_id", "block").agg(F.count("*").alias("_in_block"))
-    crowded = stage(blocks.where(F.col("_in_block") > PART_ROWS).select("conv_id", "block"), "chat-crowded")
+    size = F.octet_length(F.coalesce("role", F.lit(""))) + F.octet_length(F.coalesce("text", F.lit("")))
+    pieces = F.greatest(F.ceil(F.count("*") / PART_ROWS), F.ceil(F.sum(size) / PART_BYTES))
+    blocks = rows.groupBy("conv_id", "block").agg(pieces.alias("_pieces"))
+    crowded = stage(blocks.where("_pieces > 1").select("conv_id", "block"), "chat-crowded")
     crowded_turns = (
         rows.join(crowded.toDF("_c", "_b"), _same("conv_id", "_c") & _same("block", "_b"), "left_semi")
         .groupBy("conv_id", "turn")
-        .agg(F.ceil(F.count("*") / PART_ROWS).alias("_pieces"))
+        .agg(pieces.alias("_pieces"))
         .toDF("_conv", "_turn", "_pieces")
     )
     split = rows.join(crowded_turns, _same("conv_id", "_conv") & _same("turn", "_turn"), "left")
@@ -105,11 +108,15 @@ def render(rows: DataFrame) -> DataFrame:
     gathered = parts.groupBy("conv_id", "_start", "_piece").agg(
         F.count("*").alias("n_rows"), F.array_sort(F.collect_list(F.struct("turn", "role", "text", "said"))).alias("_rows")
     )
-    order = W.partitionBy("conv_id").orderBy("_start", "_piece")
     texts = gathered.select(
         "conv_id", "_start", "_piece", "n_rows", F.array_join(F.col("_rows.said"), "").alias("rendered")
     )
-    return texts.select("conv_id", (F.row_number().over(order) - 1).alias("part"), "n_rows", "rendered")
+    order = W.partitionBy("conv_id").orderBy("_start", "_piece")
+    numbers = parts.select("conv_id", "_start", "_piece").distinct().withColumn("part", F.row_number().over(order) - 1)
+    # All but the first parts, which are few: most conversations have one.
+    later = stage(numbers.where("part > 0"), "chat-parts").toDF("_conv", "_from", "_of", "part")
+    placed = texts.join(later, _same("conv_id", "_conv") & _same("_start", "_from") & (F.col("_piece") == F.col("_of")), "left")
+    return placed.select("conv_id", F.coalesce("part", F.lit(0)).alias("part"), "n_rows", "rendered")
 
 
 def format_chats(

@@ -24,8 +24,9 @@ from tripmetrics.llm.batches import extended, slices, utf8
 from tripmetrics.sources import stage
 
 WINDOW = 10
-# Benchmark text up to this size is searched for in one pass; more goes in several passes over the documents.
-MAX_PASS_BYTES = 16 << 20
+# Benchmark text up to this size is searched for in one pass; more goes in several passes over the documents. A pass's
+# windows take about 120 times their text in a Python worker.
+MAX_PASS_BYTES = 2 << 20
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
@@ -107,6 +108,18 @@ class Passages:
         return len(w), merge(found), {i for i in items if i is not None}
 
 
+_BUILT: dict[tuple, Passages] = {}
+
+
+def _passages(items: tuple, size: int) -> Passages:
+    """The windows of one pass, built once per Python worker."""
+    key = (items, size)
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Passages(items, size)
+    return _BUILT[key]
+
+
 def merge(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, stop in sorted(spans):
@@ -153,7 +166,7 @@ def _pass(docs: DataFrame, items: list, text: str, size: int, again: bool, prefi
     schema = docs.schema if again else extended(docs, kinds)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passages = Passages(sent.value, size)
+        passages = _passages(tuple(sent.value), size)
         for batch in slices(batches, text):
             before = zip(*(batch.column(added[k]).to_pylist() for k in (4, 3))) if again else None
             rows = []

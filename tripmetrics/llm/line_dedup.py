@@ -506,52 +506,79 @@ def _meet(rows: DataFrame, tau: Edits) -> DataFrame:
     return ordered.mapInArrow(run, "key bigint, a bigint, b bigint, meta bigint")
 
 
+class _Cells:
+    """Second keys of lines that share a substring: by length and by the place of the substring.
+
+    A line is in the band of its length and the one above it, and in every cell of a band that the places of the substring
+    reach and the one behind. Lines whose lengths and places fit share a cell.
+    """
+
+    def __init__(self, tau: Edits):
+        self.tau, self.widths = tau, {}
+        # From this band on places aren't told apart, so that clipped numbers do no harm.
+        self.top = int(math.log(_CLIP >> 1) / _BAND)
+
+    def _width(self, band: int) -> int:
+        if band not in self.widths:
+            longest = math.ceil(math.exp((band + 1) * _BAND))
+            self.widths[band] = _limit(self.tau, longest) + 1 if band < self.top else 1 << 40
+        return self.widths[band]
+
+    def names(self, key: np.ndarray, size: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Second keys, and the number of the row of each."""
+        out, rows = [], []
+        own = np.floor(np.log(np.maximum(size, 1)) / _BAND).astype(np.int64)
+        for band in (own, own + 1):
+            width = np.array([self._width(b) for b in band.tolist()], np.int64)
+            low = first // width
+            times = last // width + 2 - low
+            row = np.repeat(np.arange(len(key)), times)
+            name = key.view(np.uint64)[row] * np.uint64(0x9E3779B97F4A7C15)
+            name = (name ^ band[row].astype(np.uint64) << np.uint64(32)) + ragged(low, times).astype(np.uint64)
+            name = (name ^ name >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
+            out.append(name.view(np.int64))
+            rows.append(row)
+        return np.concatenate(out), np.concatenate(rows)
+
+
 def _split_grams(many: DataFrame, tau: Edits) -> DataFrame:
     """Keys of lines that share a substring, split by length and by the place of the substring."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths: dict[int, int] = {}
-        # From this band on places aren't told apart, so that clipped numbers do no harm.
-        top = int(math.log(_CLIP >> 1) / _BAND)
+        cells = _Cells(tau)
         for batch in batches:
             key, own, meta = (c.to_numpy() for c in batch.columns)
             _, size, first, last = _unpacked(meta)
-            band = np.floor(np.log(np.maximum(size, 1)) / _BAND).astype(np.int64)
-            for cell in (band, band + 1):
-                for c in np.unique(cell).tolist():
-                    if c not in widths:
-                        widths[c] = _limit(tau, math.ceil(math.exp((c + 1) * _BAND))) + 1 if c < top else 1 << 40
-                width = np.array([widths[c] for c in cell.tolist()], np.int64)
-                low, high = first // width, last // width + 1
-                times = high - low + 1
-                place = ragged(low, times)
-                name = np.repeat(key.view(np.uint64), times) * np.uint64(0x9E3779B97F4A7C15)
-                name = (name ^ np.repeat(cell, times).astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64)
-                name = (name ^ name >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
-                yield from _batches(name.view(np.int64), np.repeat(own, times), np.repeat(meta, times))
+            name, row = cells.names(key, size, first, last)
+            yield from _batches(name, own[row], meta[row])
 
     return many.select("key", "id", "meta").mapInArrow(run, _KEYS)
 
 
+def _segment_names(line: str, cuts: list, asks: list, only: tuple[int, int] | None = None) -> Iterator[tuple[int, int]]:
+    """Kinds and second keys of a line that shares a segment: from the segments of what is left of it without that one.
+
+    Of all its keys, or of ``only`` one, given with its kind.
+    """
+    wide, size = line.encode("utf-32-le", "surrogatepass"), len(line)
+    shared = [(_INDEX, _signed(_key(wide, i, p, n, size, t)), p, n, size, t) for t, i, p, n in cuts]
+    shared += [(_PROBE, _signed(_key(wide, i, p, n, other, t)), p, n, other, t) for i, p, n, other, t in asks]
+    for kind, key, p, n, other, t in shared:
+        if only and (kind, key) != only:
+            continue
+        rest = wide[: 4 * p] + wide[4 * (p + n) :]
+        have, looked_for = len(rest) // 4, other - n
+        own = segments(have, t) if kind == _INDEX else []
+        spots = [(_INDEX, i, q, k) for i, (q, k) in enumerate(own)]
+        spots += [(_PROBE, i, q, k) for i, q, k in places(have, looked_for, t) if not own or own[i] != (q, k)]
+        for role, i, q, k in spots:
+            seed = (key * 0x9E3779B97F4A7C15 + (looked_for * 64 + i) * 64 + t) & (1 << 64) - 1
+            yield role, _signed(xxhash.xxh3_64_intdigest(rest[4 * q : 4 * (q + k)], seed))
+
+
 def _split_segments(many: DataFrame, tau: Edits, min_chars: int) -> DataFrame:
     """Keys of lines that share a segment, from the segments of what is left of each without it."""
 
-    def keys_of(key: int, kind: int, line: str, cuts: list, asks: list) -> Iterator[tuple[int, int]]:
-        wide, size = line.encode("utf-32-le", "surrogatepass"), len(line)
-        if kind == _INDEX:
-            shared = [(p, n, size, t) for t, i, p, n in cuts if _signed(_key(wide, i, p, n, size, t)) == key]
-        else:
-            shared = [(p, n, other, t) for i, p, n, other, t in asks if _signed(_key(wide, i, p, n, other, t)) == key]
-        for p, n, other, t in shared:
-            rest = wide[: 4 * p] + wide[4 * (p + n) :]
-            have, looked_for = len(rest) // 4, other - n
-            own = segments(have, t) if kind == _INDEX else []
-            spots = [(_INDEX, i, q, k) for i, (q, k) in enumerate(own)]
-            spots += [(_PROBE, i, q, k) for i, q, k in places(have, looked_for, t) if not own or own[i] != (q, k)]
-            for role, i, q, k in spots:
-                seed = (key * 0x9E3779B97F4A7C15 + (looked_for * 64 + i) * 64 + t) & (1 << 64) - 1
-                yield role, xxhash.xxh3_64_intdigest(rest[4 * q : 4 * (q + k)], seed)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts, asks = {}, {}
         for batch in batches:
@@ -560,11 +587,11 @@ def _split_segments(many: DataFrame, tau: Edits, min_chars: int) -> DataFrame:
                 size = len(line)
                 if size not in cuts:
                     cuts[size], asks[size] = _cuts(tau, size), _asks(tau, size, min_chars)
-                for role, name in keys_of(key, meta >> 60, line, cuts[size], asks[size]):
+                for role, name in _segment_names(line, cuts[size], asks[size], (meta >> 60, key)):
                     keys.append(name)
                     ids.append(own)
                     metas.append(role << 60 | min(size, _CLIP) << 40)
-            yield from _batches(np.array(keys, np.uint64).view(np.int64), np.array(ids, np.int64), np.array(metas, np.int64))
+            yield from _batches(*(np.array(c, np.int64) for c in (keys, ids, metas)))
 
     return many.select("key", "id", "meta", "line").mapInArrow(run, _KEYS)
 
@@ -656,7 +683,10 @@ def links(docs: DataFrame, into: Stages, tau: Edits = TAU, min_chars: int = MIN_
         dealt = dealt.select("key", "id", "own", meets)
         dealt = dealt.select("key", "id", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
         lines = texts.select(F.col("h1").alias("id"), _node("h1", "h2").alias("node"), "line")
-        in_blocks = dealt.join(lines, "id").groupBy("key", "x", "y").applyInPandas(_verify_block(tau), "a string, b string")
+        # Blocks are small and take long, so they are spread by number and not by size.
+        spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = dealt.join(lines, "id").repartition(spread, "key", "x", "y")
+        in_blocks = dealt.groupBy("key", "x", "y").applyInPandas(_verify_block(tau, min_chars), "a string, b string")
         return into.write(_pairs_of(verified.unionByName(in_blocks)), "links")
 
 
@@ -675,24 +705,57 @@ def _verify(tau: Edits):
     return run
 
 
-def _verify_block(tau: Edits):
+def _second_keys(lines: list[str], tau: Edits, min_chars: int) -> list[dict[int, tuple[int, int, int]]]:
+    """All second keys of every line, with kind and first and last place."""
+    found: list[dict] = [{} for _ in lines]
+    for own, line in zip(found, lines):
+        for kind, name in _segment_names(line, _cuts(tau, len(line)), _asks(tau, len(line), min_chars)):
+            own[name] = min(own.get(name, (kind, 0, 0)), (kind, 0, 0))
+    long = [i for i, line in enumerate(lines) if _has_grams(tau, len(line))]
+    if long:
+        size = np.array([len(lines[i]) for i in long])
+        key, of, first, last = grams([lines[i] for i in long], [_limit(tau, n) + 1 for n in size.tolist()])
+        first, last = np.minimum(first, _CLIP), np.minimum(last, _CLIP)
+        name, row = _Cells(tau).names(key, np.minimum(size, _CLIP)[of], first, last)
+        for n, k, low, high in zip(name.tolist(), of[row].tolist(), first[row].tolist(), last[row].tolist()):
+            found[long[k]][n] = (_GRAM, low, high)
+    return found
+
+
+def _first_meeting(a: dict, b: dict, edits: int) -> int | None:
+    """The least second key at which two lines meet; they may meet at many, and are compared at one."""
+    least = None
+    for name in a.keys() & b.keys():
+        (kind, low, high), (other, other_low, other_high) = a[name], b[name]
+        if (kind == _GRAM) != (other == _GRAM) or kind == other == _PROBE:
+            continue
+        if low - other_high <= edits and other_low - high <= edits and (least is None or name < least):
+            least = name
+    return least
+
+
+def _verify_block(tau: Edits, min_chars: int):
     """Lines of two blocks of a key. Counts of characters are compared first: an edit changes two of them at most."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x, y = int(rows["x"].iloc[0]), int(rows["y"].iloc[0])
+        key, x, y = (int(rows[c].iloc[0]) for c in ("key", "x", "y"))
         rows = rows.sort_values("node").drop_duplicates("node")
         nodes, lines, own = rows["node"].tolist(), rows["line"].tolist(), rows["own"].to_numpy()
         counts = np.zeros((len(lines), 64), np.int16)
         for i, line in enumerate(lines):
             points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-            counts[i] = np.bincount(points % 64, minlength=64)
-        most = np.array([_most(tau, len(line)) for line in lines])
+            counts[i] = np.minimum(np.bincount(points % 64, minlength=64), 30_000)
+        names = _second_keys(lines, tau, min_chars)
+        most, limits = (np.array([f(tau, len(line)) for line in lines]) for f in (_most, _limit))
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
         a, b = [], []
         for i in left:
-            near = right[np.abs(counts[right] - counts[i]).sum(axis=1) <= 2 * np.maximum(most[right], most[i])]
-            for j in near:
-                if (x != y or i < j) and _linked(lines[i], lines[j], tau):
+            others = right if x != y else right[right > i]
+            apart = np.abs(counts[others].astype(np.int32) - counts[i]).sum(axis=1)
+            for j in others[apart <= 2 * np.maximum(most[others], most[i])]:
+                if _first_meeting(names[i], names[j], min(limits[i], limits[j])) not in (None, key):
+                    continue
+                if _linked(lines[i], lines[j], tau):
                     a.append(nodes[i])
                     b.append(nodes[j])
         return pd.DataFrame({"a": pd.Series(a, dtype=str), "b": pd.Series(b, dtype=str)})

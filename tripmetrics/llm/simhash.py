@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tripmetrics.llm.batches import extended, free_name, slices, utf8
 from tripmetrics.llm.components import components
-from tripmetrics.sources import stage
+from tripmetrics.sources import Stages
 
 SHINGLE, DISTANCE, BLOCKS, SEED = 3, 2, 5, 42
 # Fingerprints of a key up to which they are joined with each other.
@@ -89,10 +89,10 @@ def _flips(mask: int, radius: int) -> list[int]:
     return [_signed(sum(1 << b for b in c)) for r in range(radius + 1) for c in combinations(free, r)]
 
 
-def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+def links(prints: DataFrame, into: Stages, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """Links ``a``, ``b`` whose components are those of all pairs at most ``distance`` (even) bits apart.
 
-    ``prints`` has different fingerprints in ``bits``.
+    ``prints`` has different fingerprints in ``bits``. The result reads the stage ``keys`` of ``into``.
     """
     if distance % 2:
         raise ValueError("the distance must be even")
@@ -100,7 +100,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) ->
     keyed = F.explode(F.array(*[_key(i, F.col("bits").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)]))
     keys = prints.select("bits", keyed.alias("k")).select("bits", "k.*")
     sizes = keys.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(keys.join(sizes, ["mask", "key"]), "simhash-keys")
+    shared = into.write(keys.join(sizes, ["mask", "key"]), "keys")
     few = shared.where(F.col("n") <= JOINED_GROUP)
     pairs = (
         few.select("mask", "key", F.col("bits").alias("a"))
@@ -123,20 +123,20 @@ def _key(i: int, key: Column) -> Column:
     return F.struct(F.lit(i).alias("mask"), key.alias("key"))
 
 
-def _grouped(prints: DataFrame, id_column: str, distance: int) -> DataFrame:
+def _grouped(prints: DataFrame, id_column: str, distance: int, into: Stages, result: bool) -> DataFrame:
     """For every fingerprint, id and fingerprint of the document that stands for its component.
 
     That is the document with the least id, null last, and of several fingerprints with it the least.
     """
     firsts = prints.groupBy("bits").agg(F.min(id_column).alias("first"))
-    roots = components(links(firsts.select("bits"), distance))
+    roots = components(links(firsts.select("bits"), into, distance), into)
     grouped = firsts.join(roots, F.col("bits") == F.col("node"), "left").select(
         "bits", "first", F.coalesce("root", "bits").alias("root")
     )
     rank = F.struct(F.isnull("first").alias("last"), "first", F.col("bits").alias("of"))
     best = grouped.groupBy("root").agg(F.min(rank).alias("best"))
     picked = grouped.join(best, "root").select("bits", F.col("best.first").alias("kept_id"), F.col("best.of").alias("kept_bits"))
-    return stage(picked, "simhash-groups")
+    return into.write(picked, "groups", done=("keys", *into.live("components")), result=result)
 
 
 def near_duplicates(
@@ -150,8 +150,10 @@ def near_duplicates(
 
     ``component_id`` is the least id that links reach, the document's own included.
     """
-    prints = stage(_prints(docs, id_column, text, size), "simhash")
-    return prints.join(_grouped(prints, id_column, distance), "bits").select(
+    with Stages(docs.sparkSession, "simhash") as own:
+        prints = own.write(_prints(docs, id_column, text, size), "prints", result=True)
+        groups = _grouped(prints, id_column, distance, own, True)
+    return prints.join(groups, "bits").select(
         id_column, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), F.col("kept_id").alias("component_id")
     )
 
@@ -167,14 +169,16 @@ def keep_first(
 
     It is the one with the least id. Null ids come last; of rows that share id and fingerprint the least text stays.
     """
-    prints = stage(_prints(docs, id_column, text, size), "simhash")
-    judged = prints.join(_grouped(prints, id_column, distance), "bits")
-    is_kept = F.col(id_column).eqNullSafe(F.col("kept_id")) & (F.col("bits") == F.col("kept_bits"))
     own, of, mark = (free_name(n, docs) for n in ("_id", "_of", "_simhash_bits"))
-    dropped = judged.where(~is_kept).select(F.col(id_column).alias(own), F.col("bits").alias(of)).distinct()
-    repeated = judged.where(is_kept).groupBy(id_column, "bits").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = repeated.select(F.col(id_column).alias(own), F.col("bits").alias(of))
-    dropped, repeated = stage(dropped, "simhash-dropped"), stage(repeated, "simhash-repeated")
+    with Stages(docs.sparkSession, "simhash") as stages:
+        prints = stages.write(_prints(docs, id_column, text, size), "prints")
+        judged = prints.join(_grouped(prints, id_column, distance, stages, False), "bits")
+        is_kept = F.col(id_column).eqNullSafe(F.col("kept_id")) & (F.col("bits") == F.col("kept_bits"))
+        dropped = judged.where(~is_kept).select(F.col(id_column).alias(own), F.col("bits").alias(of)).distinct()
+        repeated = judged.where(is_kept).groupBy(id_column, "bits").agg(F.count("*").alias("n")).where("n > 1")
+        repeated = repeated.select(F.col(id_column).alias(own), F.col("bits").alias(of))
+        dropped = stages.write(dropped, "dropped", result=True)
+        repeated = stages.write(repeated, "repeated", result=True)
 
     marked = add_fingerprints(docs, text, size, mark)
     same = F.col(f"`{id_column}`").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(of))

@@ -40,6 +40,9 @@ BLOCK_IDS, LANES = 2048, 2048
 EPOCH = 128
 # Ids in a file, about; a document is never cut.
 FILE_IDS = 32 << 20
+# And beyond so many documents: of empty texts there may be as many as ids.
+FILE_DOCS = 1 << 20
+_ROWS_OUT = 20_000
 MAGIC = b"IDMIX1\n\0"
 _PAIRS = 1024
 _STEP, _MOST = 24, 64
@@ -337,7 +340,7 @@ def write_ids(
             ids, counts = codec(path).encode(texts_of(batch.column("text")))
             ends = np.cumsum(counts)
             file.add(batch.column("id").to_pylist(), np.insert(ids, ends, end_id).astype(np.uint32), counts + 1)
-            if file.ids >= FILE_IDS:
+            if file.ids >= FILE_IDS or file.docs >= FILE_DOCS:
                 done.append((part, number, *file.close()))
                 number, file = number + 1, None
         if file:
@@ -350,6 +353,11 @@ def write_ids(
     return stage(ranged.mapInArrow(write, _MANIFEST), "ids-manifest")
 
 
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+
+
 def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
     """From the files: ``doc_id``, ``start``, ``n_tokens`` and ``ids_crc32``.
 
@@ -370,9 +378,11 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                         check = zlib.crc32(piece.astype("<u4").tobytes(), check)
                     rows.append((doc, start, count, check))
                     start += count
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"]
-                )
+                    if len(rows) == _ROWS_OUT:
+                        yield _found(rows)
+                        rows = []
+                if rows:
+                    yield _found(rows)
 
     return files.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 

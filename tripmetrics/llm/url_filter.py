@@ -61,9 +61,16 @@ class UrlTrie:
         segments = path.split("/")
         for segment in segments[:-1]:
             node = node.setdefault(segment, {})
-        starts = node.setdefault("/", {})
-        if starts.get(segments[-1], (rule, ALLOW))[1] != BLOCK:
-            starts[segments[-1]] = (rule, verdict)
+        starts, start = node.setdefault("/", {}), segments[-1]
+        lengths = node.setdefault("//", [])
+        if start not in starts:
+            if len(start) not in lengths:
+                lengths.append(len(start))
+                lengths.sort(reverse=True)
+            starts[start] = (rule, verdict)
+        else:
+            # Of rules that say the same of a host and path, block before allow, then the greatest text.
+            starts[start] = max(starts[start], (rule, verdict), key=lambda x: (x[1], x[0]))
 
     def match(self, host: str, path: str) -> tuple[str, str] | None:
         found = []
@@ -85,9 +92,11 @@ class UrlTrie:
     def _longest(node: dict, segments: list[str]) -> tuple[str, str] | None:
         best = None
         for segment in segments:
-            fitting = [s for s in node.get("/", ()) if segment.startswith(s)]
-            if fitting:
-                best = node["/"][max(fitting, key=len)]
+            starts = node.get("/")
+            if starts:
+                # One look a length: rules of one folder have few different ones, however many they are.
+                fitting = (starts.get(segment[:n]) for n in node["//"] if n <= len(segment))
+                best = next(filter(None, fitting), best)
             node = node.get(segment)
             if node is None:
                 break
@@ -118,7 +127,7 @@ def _by_trie(pages: DataFrame, rules: DataFrame, url: str, default: str) -> Data
     schema = extended(kept, ", ".join(f"{n} string" for n in names))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = UrlTrie(sent.value)
+        trie = _trie(tuple(sent.value))
         for batch in batches:
             parts = [split_url(u) for u in batch.column(url).to_pylist()]
             verdicts = [trie.match(*p) or (None, default) for p in parts]
@@ -130,6 +139,17 @@ def _by_trie(pages: DataFrame, rules: DataFrame, url: str, default: str) -> Data
     return kept.mapInArrow(judge, schema)
 
 
+_TRIES: dict[tuple, UrlTrie] = {}
+
+
+def _trie(rules: tuple) -> UrlTrie:
+    """One trie per Python worker and set of rules."""
+    if rules not in _TRIES:
+        _TRIES.clear()
+        _TRIES[rules] = UrlTrie(rules)
+    return _TRIES[rules]
+
+
 def _by_join(pages: DataFrame, rules: DataFrame, url: str, default: str) -> DataFrame:
     """Every host suffix and every path beginning of a rule's length is a key; equal keys meet in a join."""
     lower = lambda c: F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -157,7 +177,7 @@ def _by_join(pages: DataFrame, rules: DataFrame, url: str, default: str) -> Data
     )
     suffixes = F.expr(
         "transform(sequence(1, size(split(_host, '[.]'))), "
-        "i -> struct(size(split(_host, '[.]')) - i + 1 AS labels, array_join(slice(split(_host, '[.]'), i, 10000), '.') AS host))"
+        "i -> struct(size(split(_host, '[.]')) - i + 1 AS labels, array_join(slice(split(_host, '[.]'), i, size(split(_host, '[.]'))), '.') AS host))"
     )
     starts = F.transform(
         F.filter(F.lit(lengths), lambda n: n <= F.char_length("_path")), lambda n: F.substring(F.col("_path"), 1, n)

@@ -212,7 +212,7 @@ def write_archives(
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 archive = archive or _Archive(folder)
                 number, address, raw, second, refers_to = row
-                stamp = (datetime(1970, 1, 1) + timedelta(seconds=second)).strftime("%Y-%m-%dT%H:%M:%SZ")
+                stamp = f"{(datetime(1970, 1, 1) + timedelta(seconds=second)).isoformat()}Z"
                 archive.add(number, address, stamp, raw or b"", refers_to)
                 if archive.size >= ARCHIVE_BYTES or len(archive.run) >= ARCHIVE_RECORDS:
                     yield from archive.close()
