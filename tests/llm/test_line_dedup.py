@@ -172,7 +172,7 @@ def test_every_way_of_pairing_gives_the_same(spark, monkeypatch):
         docs.append((i, line.strip() + ("\n" + line if i % 9 == 0 else "")))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
     want = rule_classes(docs, line_dedup.edits_allowed)
-    for joined, held, pairs, block in ((32, 2048, 4, 256), (2, 2048, 0, 5), (2, 4, 0, 5), (32, 40, 1, 256)):
+    for joined, held, pairs, block in ((32, 2048, 4, 256), (2, 2048, 0, 30), (2, 4, 0, 30), (32, 40, 1, 256)):
         for name, value in (("JOINED_GROUP", joined), ("HELD_LINES", held), ("PAIRS_A_LINE", pairs), ("BLOCK_LINES", block)):
             monkeypatch.setattr(line_dedup, name, value)
         assert rows(line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1)) == want, (joined, held)

@@ -23,9 +23,11 @@ Scale: a task gives the keys of equal lines once. All keys are shuffled once, in
 pairs the lines of a key. A key that more than ``JOINED_GROUP`` lines share and that would give many pairs is split by
 a second key first. Lines found by segments are without the shared one again within ``tau`` edits, so
 the segments of what is left of them are keys in turn; lines found by substrings are split by length and place. Lines
-that still share both keys aren't joined with each other: they are dealt into blocks, and every pair of blocks is verified
-inside a task, so that only links come out. Texts are not shuffled with keys; those of candidates are fetched in
-a later pass, in which a bitmap of fixed size keeps most other lines back. Stages are removed once they are read.
+that still share both keys aren't joined with each other: they are dealt into blocks, and in every pair of blocks a task
+compares their counts of characters, of which an edit changes two at most, so that only pairs that can be linked come
+out. Texts are not shuffled with keys; those of candidates are fetched in a later pass, in which a bitmap of fixed size
+keeps most other lines back. Stages are removed once they are read. What is left is work on pairs of
+different lines that are alike: a family of n variants of one line is looked at n * n / 2 times.
 
 Results for odd input: null and empty texts have one empty line. Repeated rows have the same lines, which are in
 the same class; rows that share an id with another text count as lines of that document. A null id comes last.
@@ -536,11 +538,21 @@ class _Cells:
             name = key.view(np.uint64)[row] * np.uint64(0x9E3779B97F4A7C15)
             name = (name ^ band[row].astype(np.uint64) << np.uint64(32)) + ragged(low, times).astype(np.uint64)
             name = (name ^ name >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
-            out.append(name.view(np.int64))
+            # The last bits say which cell it is.
+            cell = (band[row] & 63) << 6 | ragged(low, times) & 63
+            out.append(name.view(np.int64) & ~0xFFF | cell)
             rows.append(row)
         return np.concatenate(out), np.concatenate(rows)
 
 
+    def is_first(self, name: int, size: np.ndarray, first: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+        """Whether ``name`` is the first cell in which rows ``i`` and ``others`` meet; they may meet in four."""
+        own = np.floor(np.log(np.maximum(size, 1)) / _BAND).astype(np.int64)
+        band = int(own[i]) + (int(own[i]) & 63 != name >> 6 & 63)
+        low = first // self._width(band)
+        return (np.maximum(own[i], own[others]) == band) & (np.maximum(low[i], low[others]) & 63 == name & 63)
+
+
 def _split_grams(many: DataFrame, tau: Edits) -> DataFrame:
     """Keys of lines that share a substring, split by length and by the place of the substring."""
 
@@ -667,27 +679,70 @@ def links(docs: DataFrame, into: Stages, tau: Edits = TAU, min_chars: int = MIN_
         )
         met = own.write(_meet(split, tau), "met-again", done=("many",))
         hot = met.where("b IS NULL").select("key", F.col("a").alias("id"), "meta").distinct()
-        pairs = pairs.unionByName(_pairs_of(met.where("b IS NOT NULL"))).distinct()
-        pairs = own.write(pairs, "all-pairs", done=("pairs",))
-        hot = own.write(hot, "hot", done=("met-again",))
+        hot = own.write(hot, "hot")
+        blocks = _block_pairs(hot, texts, tau)
+        found = pairs.unionByName(met.where("b IS NOT NULL").select("a", "b")).unionByName(blocks)
+        pairs = own.write(_pairs_of(found), "all-pairs", done=("pairs", "met-again", "hot"))
 
         a = texts.select(F.col("h1").alias("a"), _node("h1", "h2").alias("na"), F.col("line").alias("la"))
         b = texts.select(F.col("h1").alias("b"), _node("h1", "h2").alias("nb"), F.col("line").alias("lb"))
         verified = pairs.join(a, "a").join(b, "b").select("na", "nb", "la", "lb").mapInArrow(_verify(tau), "a string, b string")
+        return into.write(_pairs_of(verified), "links")
+
+
+def _block_pairs(hot: DataFrame, texts: DataFrame, tau: Edits) -> DataFrame:
+    """Candidate pairs ``a``, ``b`` of lines that share both keys with very many others."""
+    sizes = hot.groupBy("key").agg(F.count("*").alias("n"))
+    dealt = hot.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK_LINES).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    counts = texts.select(F.col("h1").alias("id"), "line").mapInArrow(_count_characters, "id bigint, counts binary")
+    dealt = dealt.join(counts, "id")
+    # A line meets its own block and each other one, the lower number first.
+    meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("key", "id", "meta", "counts", "own", meets)
+    x, y = F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
+    # Blocks are small and take long, so they are spread by number and not by size.
+    spread = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.select("key", "id", "meta", "counts", "own", x, y).repartition(spread, "key", "x", "y")
+    return dealt.groupBy("key", "x", "y").applyInPandas(_compare_block(tau), "a bigint, b bigint")
+
+
+def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every line how often characters of each of 64 kinds occur, up to 255 times."""
+    for batch in batches:
+        out = []
+        for line in batch.column("line").to_pylist():
+            points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+            out.append(np.minimum(np.bincount(points % 64, minlength=64), 255).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], ["id", "counts"])
+
+
+def _compare_block(tau: Edits):
+    """Pairs of two blocks of a key whose lengths, places and counts of characters fit."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        key, x, y = (int(rows[c].iloc[0]) for c in ("key", "x", "y"))
+        rows = rows.sort_values(["id", "meta"]).drop_duplicates("id")
+        ids, meta, own = (rows[c].to_numpy() for c in ("id", "meta", "own"))
+        counts = np.frombuffer(b"".join(rows["counts"]), np.uint8).reshape(-1, 64).astype(np.int16)
+        meeting, cells = _Meeting(tau, 0, 0, 0), _Cells(tau)
+        kind, size, first, _ = _unpacked(meta)
+        limit = meeting.limits(size)
+        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        a, b = [], []
+        for i in left.tolist():
+            others = right if x != y else right[right > i]
+            others = others[meeting.fits(meta, np.full(len(others), i), others, limit)]
+            if kind[i] == _GRAM:
+                others = others[cells.is_first(key, size, first, i, others)]
+            apart = np.abs(counts[others] - counts[i]).sum(axis=1)
+            others = others[apart <= 2 * np.minimum(limit[i], limit[others])]
+            a.append(np.full(len(others), ids[i]))
+            b.append(ids[others])
+        a, b = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (a, b))
+        return pd.DataFrame({"a": a, "b": b})
 
-        sizes = hot.groupBy("key").agg(F.count("*").alias("n"))
-        dealt = hot.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK_LINES).cast("int"))
-        dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        # A line meets its own block and each other one, the lower number first.
-        meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-        dealt = dealt.select("key", "id", "own", meets)
-        dealt = dealt.select("key", "id", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-        lines = texts.select(F.col("h1").alias("id"), _node("h1", "h2").alias("node"), "line")
-        # Blocks are small and take long, so they are spread by number and not by size.
-        spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = dealt.join(lines, "id").repartition(spread, "key", "x", "y")
-        in_blocks = dealt.groupBy("key", "x", "y").applyInPandas(_verify_block(tau, min_chars), "a string, b string")
-        return into.write(_pairs_of(verified.unionByName(in_blocks)), "links")
+    return run
 
 
 def _linked(a: str, b: str, tau: Edits) -> bool:
@@ -705,64 +760,6 @@ def _verify(tau: Edits):
     return run
 
 
-def _second_keys(lines: list[str], tau: Edits, min_chars: int) -> list[dict[int, tuple[int, int, int]]]:
-    """All second keys of every line, with kind and first and last place."""
-    found: list[dict] = [{} for _ in lines]
-    for own, line in zip(found, lines):
-        for kind, name in _segment_names(line, _cuts(tau, len(line)), _asks(tau, len(line), min_chars)):
-            own[name] = min(own.get(name, (kind, 0, 0)), (kind, 0, 0))
-    long = [i for i, line in enumerate(lines) if _has_grams(tau, len(line))]
-    if long:
-        size = np.array([len(lines[i]) for i in long])
-        key, of, first, last = grams([lines[i] for i in long], [_limit(tau, n) + 1 for n in size.tolist()])
-        first, last = np.minimum(first, _CLIP), np.minimum(last, _CLIP)
-        name, row = _Cells(tau).names(key, np.minimum(size, _CLIP)[of], first, last)
-        for n, k, low, high in zip(name.tolist(), of[row].tolist(), first[row].tolist(), last[row].tolist()):
-            found[long[k]][n] = (_GRAM, low, high)
-    return found
-
-
-def _first_meeting(a: dict, b: dict, edits: int) -> int | None:
-    """The least second key at which two lines meet; they may meet at many, and are compared at one."""
-    least = None
-    for name in a.keys() & b.keys():
-        (kind, low, high), (other, other_low, other_high) = a[name], b[name]
-        if (kind == _GRAM) != (other == _GRAM) or kind == other == _PROBE:
-            continue
-        if low - other_high <= edits and other_low - high <= edits and (least is None or name < least):
-            least = name
-    return least
-
-
-def _verify_block(tau: Edits, min_chars: int):
-    """Lines of two blocks of a key. Counts of characters are compared first: an edit changes two of them at most."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        key, x, y = (int(rows[c].iloc[0]) for c in ("key", "x", "y"))
-        rows = rows.sort_values("node").drop_duplicates("node")
-        nodes, lines, own = rows["node"].tolist(), rows["line"].tolist(), rows["own"].to_numpy()
-        counts = np.zeros((len(lines), 64), np.int16)
-        for i, line in enumerate(lines):
-            points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-            counts[i] = np.minimum(np.bincount(points % 64, minlength=64), 30_000)
-        names = _second_keys(lines, tau, min_chars)
-        most, limits = (np.array([f(tau, len(line)) for line in lines]) for f in (_most, _limit))
-        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-        a, b = [], []
-        for i in left:
-            others = right if x != y else right[right > i]
-            apart = np.abs(counts[others].astype(np.int32) - counts[i]).sum(axis=1)
-            for j in others[apart <= 2 * np.maximum(most[others], most[i])]:
-                if _first_meeting(names[i], names[j], min(limits[i], limits[j])) not in (None, key):
-                    continue
-                if _linked(lines[i], lines[j], tau):
-                    a.append(nodes[i])
-                    b.append(nodes[j])
-        return pd.DataFrame({"a": pd.Series(a, dtype=str), "b": pd.Series(b, dtype=str)})
-
-    return run
-
-
 def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line: ``doc_id``, ``line_no``, ``class_doc``, ``class_line``, ``n_links``, ``h1``.
 
