@@ -131,7 +131,8 @@ def test_keys_of_long_lines():
     needs = [line_dedup._limit(line_dedup.edits_allowed, len(s)) + 1 for s in lines]
     key, of, first, last = line_dedup.grams(lines, needs)
     for i, (line, need) in enumerate(zip(lines, needs)):
-        all_of_them = line_dedup._hashes([line])
+        high, low = (line_dedup._hashes([line], base).astype("uint64") for base in line_dedup._BASES)
+        all_of_them = high * 2**32 + low
         own = key[of == i].view("uint64")
         assert len(set(own.tolist())) == len(own) and set(own.tolist()) == set(all_of_them[all_of_them <= own.max()].tolist())
         at = [p for p in range(len(all_of_them)) if all_of_them[p] <= own.max()]
@@ -199,3 +200,24 @@ def test_only_live_stages_are_kept(spark, tmp_path, monkeypatch):
     out = line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1)
     left = sorted(p.name.rsplit("-", 1)[0] for folder in tmp_path.iterdir() for p in folder.iterdir())
     assert left == ["classes", "lines"] and out.count() > 0
+
+
+def test_pairs_looked_at_together_equal_the_full_table():
+    """No pair within its edits is ruled out, and of others only those that 16 bits can't tell."""
+    r = random.Random(21)
+    a, b, edits = [], [], []
+    for i in range(500):
+        line = "".join(r.choice("abcdefgh é中") for _ in range(r.choice([64, 70, 150, 200, 333])))
+        other = edited(r, line, r.choice([0, 1, 2, 3, 5, 8, 13, 20, 31, 33, 60]), "abcdefgh")
+        if i % 5 == 0:
+            # Moved words, and edits at both ends.
+            other = other[9:] + other[:9] if i % 2 else "xx" + other[:-3]
+        most = r.choice([3, 4, 7, 12, 31])
+        if abs(len(line) - len(other)) <= most and min(len(line), len(other)) > 62:
+            a.append(line)
+            b.append(other)
+            edits.append(most)
+    got = line_dedup._can_be_within(a, b, edits)
+    want = [brute.edits_up_to(x, y, t) for x, y, t in zip(a, b, edits)]
+    assert got.tolist() == want and 50 < sum(want) < len(want) - 50
+    assert line_dedup._can_be_within(["\U00010041" * 100], ["A" * 100], [3]).tolist() == [True]

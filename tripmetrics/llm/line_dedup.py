@@ -36,6 +36,7 @@ A very long line is one line. An empty table gives no rows. Other columns don't
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Iterator
 
@@ -53,11 +54,14 @@ from tripmetrics.sources import Stages, stage
 TAU, MIN_CHARS = 2, 20
 # One edit more for so many characters; characters of the keys of lines that may have more than TAU.
 EDIT_CHARS, GRAM = 50, 16
+_BASES = 0x6C078965, 0x2C1B3C6D
 Edits = int | Callable[[int], int]
 # Lines of a key up to which all of their pairs are candidates; of more lines, so many pairs a line, on average.
 JOINED_GROUP, PAIRS_A_LINE = 32, 4
 # Lines of a key that a task compares by length and place, and lines in a block.
 HELD_LINES, BLOCK_LINES = 2048, 256
+# Lines of blocks, about, for a task.
+SPREAD_LINES = 5000
 # How a key came about, and the largest number beside it that is told from larger ones.
 _INDEX, _PROBE, _GRAM, _CLIP = 0, 1, 2, (1 << 20) - 1
 # Lengths of a band differ by less; lines that are linked are in the same or in neighbouring bands.
@@ -66,6 +70,8 @@ _KEYS = "key bigint, id bigint, meta bigint"
 # Bits of the map of wanted lines.
 MAP_BITS = 1 << 23
 _ROWS_OUT = 50_000
+# Edits that are looked at for many pairs at once, and how many pairs; characters of lines whose keys are made at once.
+_WIDE, _TOGETHER, _HASHED_CHARS = 31, 2000, 1 << 16
 _SEEN = 500_000
 _BLANK = " \t\r\n\x0b\x0c"
 
@@ -82,6 +88,7 @@ def _most(tau: Edits, size: int) -> int:
     return tau(size) if callable(tau) else tau
 
 
+@functools.lru_cache(1 << 16)
 def _taken(tau: Edits, size: int) -> list[int]:
     """Every number of edits, 0 apart, at which a line of ``size`` characters can be the shorter one of a pair."""
     longer = range(size, size + max(_most(tau, size), _most(tau, 2 * size + MIN_CHARS)) + 1)
@@ -103,45 +110,41 @@ def _limit(tau: Edits, size: int) -> int:
     return max(_taken(tau, size), default=0)
 
 
-def _hashes(lines: list[str]) -> np.ndarray:
+def _hashes(lines: list[str], base: int) -> np.ndarray:
     """Of the lines put together, a hash of the ``GRAM`` characters from every place on."""
-    h = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    h = (h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(29)
-    base, have, parts = 0xD6E8FEB86659FD93, 1, {1: h}
-    while 2 * have <= GRAM:
-        power = np.uint64(pow(base, have, 1 << 64))
-        h = h[: len(h) - have] * power + h[have:]
-        have *= 2
-        parts[have] = h
+    h = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    h = (h + np.uint32(1)) * np.uint32(0x9E3779B1)
+    h ^= h >> np.uint32(15)
+    have = 1
     while have < GRAM:
-        n = max(k for k in parts if have + k <= GRAM)
-        after = parts[n][have:]
-        h = h[: len(after)] * np.uint64(pow(base, n, 1 << 64)) + after
-        have += n
-    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53), (33, 1)):
-        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-    return h
+        h = h[: len(h) - have] * np.uint32(pow(base, have, 1 << 32)) + h[have:]
+        have *= 2
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h ^= h >> np.uint32(shift)
+        h *= np.uint32(factor)
+    return h ^ h >> np.uint32(16)
 
 
 def grams(lines: list[str], needs: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys, the number of the line of each, and the first and last place of the key in the line.
 
-    They are the least hashes of a line, as many as it takes to have ``needs`` of them that don't overlap.
+    They are the least hashes of a line, as many as it takes to have ``needs`` of them that don't overlap. A key has two
+    hashes; the first decides.
     """
     sizes = np.array([len(line) for line in lines], np.int64)
-    h = _hashes(lines)
+    h, more = (_hashes(lines, base) for base in _BASES)
     starts = np.cumsum(sizes) - sizes
     have = sizes - (GRAM - 1)
     need = np.array(needs, np.float64)
-    # About so many are needed; of lines for which they aren't enough, twice as many are taken.
-    share = np.minimum(1.0, 1.25 * need / np.maximum(1.0, have - need * GRAM))
+    # About so many are needed; of lines for which they aren't enough, half as many again are taken.
+    share = np.minimum(1.0, 1.05 * need / np.maximum(1.0, have - need * GRAM))
     todo, keys, of, places = np.arange(len(lines)), [], [], []
     while len(todo):
         at = ragged(starts[todo], have[todo])
         line = np.repeat(todo, have[todo])
-        # A share of 1 takes all; the largest double below 2 ** 64 would leave some out.
-        chosen = np.flatnonzero((h[at].astype(np.float64) < share[line] * 2.0**64) | (share[line] >= 1))
+        # A share of 1 takes all of them.
+        bound = np.minimum(share * 2.0**32, 2.0**32 - 1).astype(np.uint32)
+        chosen = np.flatnonzero(h[at] <= bound[line])
         at, line = at[chosen], line[chosen]
         place = at - starts[line]
         apart, end, last = dict.fromkeys(todo.tolist(), 0), 0, -1
@@ -151,11 +154,11 @@ def grams(lines: list[str], needs: list[int]) -> tuple[np.ndarray, np.ndarray, n
                 last, end = k, p + GRAM
         enough = np.array([apart[k] >= needs[k] or share[k] >= 1 for k in todo.tolist()])
         done = np.isin(line, todo[enough])
-        keys.append(h[at[done]])
+        keys.append(h[at[done]].astype(np.uint64) << np.uint64(32) | more[at[done]])
         of.append(line[done])
         places.append(place[done])
         todo = todo[~enough]
-        share[todo] = np.minimum(1.0, 2 * share[todo])
+        share[todo] = np.minimum(1.0, 1.5 * share[todo])
     key, line, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, of, places))
     order = np.lexsort((place, key, line))
     key, line, place = key[order], line[order], place[order]
@@ -394,10 +397,12 @@ def line_keys(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) ->
                 times = np.array(counts)
                 key = np.array(keys, np.uint64).view(np.int64)
                 yield from _batches(key, np.repeat(np.array(ids, np.int64), times), np.repeat(np.array(metas, np.int64), times))
-            if long:
-                key, of, first, last = grams(long, needs)
-                size = np.array([len(line) for line in long], np.int64)[of]
-                yield from _batches(key, np.array(own_long, np.int64)[of], _meta(_GRAM, size, first, last))
+            # As many lines at once as a processor's cache holds.
+            chars = np.cumsum([len(line) for line in long]) // _HASHED_CHARS
+            for start, stop in zip(*(np.searchsorted(chars, np.unique(chars), side) for side in ("left", "right"))):
+                key, of, first, last = grams(long[start:stop], needs[start:stop])
+                size = np.array([len(line) for line in long[start:stop]], np.int64)[of]
+                yield from _batches(key, np.array(own_long[start:stop], np.int64)[of], _meta(_GRAM, size, first, last))
 
     return docs.select("text").mapInArrow(run, _KEYS)
 
@@ -702,7 +707,8 @@ def _block_pairs(hot: DataFrame, texts: DataFrame, tau: Edits) -> DataFrame:
     dealt = dealt.select("key", "id", "meta", "counts", "own", meets)
     x, y = F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     # Blocks are small and take long, so they are spread by number and not by size.
-    spread = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = min(most, hot.count() // SPREAD_LINES + 1)
     dealt = dealt.select("key", "id", "meta", "counts", "own", x, y).repartition(spread, "key", "x", "y")
     return dealt.groupBy("key", "x", "y").applyInPandas(_compare_block(tau), "a bigint, b bigint")
 
@@ -750,16 +756,80 @@ def _linked(a: str, b: str, tau: Edits) -> bool:
 
 
 def _verify(tau: Edits):
+    """The pairs of a batch within their edits; those of many edits are looked at together first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns))
-            found = [(na, nb) for na, nb, la, lb in rows if _linked(la, lb, tau)]
-            sides = zip(*found) if found else ((), ())
+            na, nb, la, lb = (c.to_pylist() for c in batch.columns)
+            edits = [_most(tau, max(len(a), len(b))) for a, b in zip(la, lb)]
+            together = [i for i, t in enumerate(edits) if TAU < t <= _WIDE and min(len(la[i]), len(lb[i])) > 2 * _WIDE]
+            together.sort(key=lambda i: (edits[i], len(la[i])))
+            apart = set()
+            for k in range(0, len(together), _TOGETHER):
+                part = together[k : k + _TOGETHER]
+                near = _can_be_within([la[i] for i in part], [lb[i] for i in part], [edits[i] for i in part])
+                apart.update(i for i, n in zip(part, near.tolist()) if not n)
+            found = [i for i, t in enumerate(edits) if i not in apart and within(la[i], lb[i], t)]
+            sides = ([n[i] for i in found] for n in (na, nb))
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.string()) for s in sides], ["a", "b"])
 
     return run
 
 
+def _can_be_within(a: list[str], b: list[str], edits: list[int]) -> np.ndarray:
+    """For many pairs at once, whether their edit distance can be at most ``edits`` (up to ``_WIDE``).
+
+    Bit-parallel along the diagonal: one 64-bit number a pair has the vertical differences of a column in a band of
+    ``2 * most + 1`` rows, and moves down a row with each character of the shorter line. Characters are compared by 16 bits
+    and paths outside the band count for nothing, so a pair within its edits is never ruled out.
+    """
+    limit, most = np.array(edits), max(edits)
+    first, second = zip(*((x, y) if len(x) >= len(y) else (y, x) for x, y in zip(a, b)))
+    n, m = (np.array([len(x) for x in side]) for side in (first, second))
+    order = np.argsort(-m, kind="stable")
+    n, m, limit = n[order], m[order], limit[order]
+    longer = np.full((len(a), int(n.max()) + 2 * most + 2), 0xFFFF, np.uint16)
+    shorter = np.zeros((len(a), int(m.max())), np.uint16)
+    for k, i in enumerate(order.tolist()):
+        for side, line, at in ((longer, first[i], most), (shorter, second[i], 0)):
+            points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+            side[k, at : at + len(points)] = np.minimum(points & 0xFFFF, 0xFFFE)
+
+    one, width = np.uint64(1), 2 * most + 1
+    shift = np.uint64(64 - width)
+    below = np.full(len(a), (1 << 64) - (1 << (63 - most)), np.uint64)
+    above, distance = np.zeros(len(a), np.uint64), np.full(len(a), most)
+    equal = np.zeros((len(a), 64), bool)
+    rows, near = np.arange(len(a)), np.zeros(len(a), bool)
+    column = 0
+    while len(rows):
+        # Lines are in order of their lengths, so the finished ones are the last.
+        done = m <= column
+        if done.any():
+            near[order[rows[done]]] = distance[done] <= limit[done]
+        # What is on the lowest diagonal can fall again by as many characters as are left below it.
+        keep = ~done & (distance <= limit + most + m - n) if column % 32 == 0 else ~done
+        if not keep.all():
+            rows, n, m, limit, below, above, distance = (x[keep] for x in (rows, n, m, limit, below, above, distance))
+            longer, shorter = longer[keep], shorter[keep]
+            continue
+        bits = equal[: len(rows)]
+        bits[:, :width] = longer[:, column : column + width] == shorter[:, column : column + 1]
+        x = np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel() << shift
+        diagonal = (((x & below) + below) ^ below) | x | above
+        plus = above | ~(diagonal | below)
+        minus = diagonal & below
+        end = n - most - 1 - column
+        in_band = end >= 0
+        mark = one << (np.uint64(63) + np.minimum(end, 0).astype(np.int64)).astype(np.uint64)
+        step = ((plus & mark) != 0).astype(np.int64) - ((minus & mark) != 0)
+        distance = distance + np.where(in_band, (diagonal >> np.uint64(63)) == 0, step)
+        moved = diagonal >> one
+        below, above = minus | ~(moved | plus), moved & plus
+        column += 1
+    return near
+
+
 def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line: ``doc_id``, ``line_no``, ``class_doc``, ``class_line``, ``n_links``, ``h1``.
 

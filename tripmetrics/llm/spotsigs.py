@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripmetrics.sources import stage
+from tripmetrics.sources import Stages, stage
 
 # Fixed word lists: English, French, Spanish, German. Anchors begin chains, all common words are skipped in them.
 ANCHORS = (
@@ -118,18 +118,18 @@ def similar_pairs(prints: DataFrame, least: float = 0.8) -> DataFrame:
     return scored.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
 
 
-def _neighbours(docs: DataFrame) -> DataFrame:
+def _neighbours(docs: DataFrame, into: Stages) -> DataFrame:
     """For every different id the one before it, how many characters that one's longest text takes, and its rows.
 
     Only ids and lengths are ranged over tasks. Each task's ids are in order; its first one follows the last of
-    the task before, which one row per task tells.
+    the task before, which one row per task tells. The result reads the stage ``ids`` of ``into``.
     """
     ids = docs.groupBy("doc_id").agg(
         F.max(F.expr("char_length(coalesce(text, '')) div 2")).alias("half"), F.count("*").alias("copies")
     )
     known = F.isnotnull("doc_id").alias("known")
     ranged = ids.select(known, "doc_id", "half", "copies").repartitionByRange("known", "doc_id")
-    ranged = stage(ranged.withColumn("slot", F.spark_partition_id()), "spots-ids")
+    ranged = into.write(ranged.withColumn("slot", F.spark_partition_id()), "ids")
     row = F.struct("known", "doc_id", "half")
     ends = ranged.groupBy("slot").agg(F.max(row).alias("last"))
     by_slot = W.orderBy("slot")
@@ -150,7 +150,8 @@ def edit_and_compare(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     ``near_next``. A document's own text is shuffled once, and of the next one only the beginning that is needed.
     """
     texts = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    near = stage(_neighbours(texts), "spots-next")
+    with Stages(docs.sparkSession, "spots") as own:
+        near = own.write(_neighbours(texts, own), "next", done=("ids",), result=True)
     placed = texts.join(near, F.col("doc_id").eqNullSafe(F.col("_id")))
     starts = add_fingerprint(placed.select("before_id", "half", "copies", "text"), "text", "next_hashes")
     starts = starts.withColumn("start", F.expr("left(text, cast(half AS int))"))
