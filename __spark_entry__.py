@@ -10,20 +10,34 @@ import functools
 from collections.abc import Callable
 
 from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
 from fixtures import oracle, tables
 from tripmetrics.operators import filters, hotspots, rain, records, trips, zips
 from tripmetrics.session import use_utc
-from tripmetrics.sources import load_stage, read_trips, read_weather, save_stage, scratch_path, stage, unreadable_fields
+from tripmetrics.sources import (
+    load_stage,
+    read_trips,
+    read_weather,
+    record_summary,
+    save_stage,
+    scratch_path,
+    stage,
+    unreadable_fields,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SLICE_YEAR = 2025
 CLUSTERS = 10
 # Larger than the default, which would pick about one row of the smallest tables.
 SAMPLE_FRACTION = 0.01
+# In degrees. Spark's fit ends when no centre moves by more than 1e-4; trips that change sides in that step add to it.
+CENTRE_TOLERANCE = 1e-3
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -106,8 +120,10 @@ def _sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the samples that the source has not, and ids that the sample without replacement repeats."""
     source, points = _trips(spark, sf_dir), tables.trip_points(spark, sf_dir)
     sample = filters.sample_trips(source, SAMPLE_FRACTION)
+    # Times are left out: each of them would be parsed for the sample and for the source.
+    fields = ["trip_id", "taxi_id", "trip_seconds", "trip_miles", "fare", "tips", "speed_mph"]
     return _counted(
-        foreign=sample.join(_trips(spark, sf_dir), sample.columns, "left_anti"),
+        foreign=sample.join(_trips(spark, sf_dir), fields, "left_anti"),
         repeated=sample.groupBy("trip_id").count().where("count > 1"),
         foreign_points=filters.bootstrap_points(points).join(tables.trip_points(spark, sf_dir), "trip_id", "left_anti"),
     )
@@ -141,6 +157,66 @@ def _hotspot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clustered(spark, sf_dir)[2].groupBy("start_lat", "start_lng").agg(F.sum("trips").alias("trips"))
 
 
+def _centre_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centres, those that are not the mean of their trips, and hotspots that are listed before a busier one.
+
+    A fit ends when no centre moves by more than its tolerance; what its last step moved is left between a centre and
+    the mean of its trips.
+    """
+    counts = _pickup_counts(spark, sf_dir)
+    model = hotspots.fit_clusters(counts, CLUSTERS, max_iter=200)
+    listed = hotspots.cluster_hotspots(model, counts)
+    mean = [(F.sum(F.col(c) * F.col("trips")) / F.sum("trips")).alias(c) for c in hotspots.START]
+    means = listed.groupBy("cluster").agg(*mean)
+    off = (F.col("start_lat") - F.col("lat")) ** 2 + (F.col("start_lng") - F.col("lng")) ** 2
+    centres = hotspots.cluster_centers(spark, model)
+    # Rows of a sorted table are in order within and over its parts.
+    placed = listed.select("trips", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    inside = F.lag("trips").over(W.partitionBy("part").orderBy("at"))
+    parts = placed.groupBy("part").agg(F.max("trips").alias("trips"), F.min("trips").alias("least"))
+    between = F.lag("least").over(W.orderBy("part"))
+    return _counted(
+        centres=centres,
+        not_mean=centres.join(means, "cluster").where(off > CENTRE_TOLERANCE**2),
+        out_of_order=placed.withColumn("before", inside).where("trips > before"),
+        parts_out_of_order=parts.withColumn("before", between).where("trips > before"),
+    )
+
+
+def _silhouette_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouettes out of their range, and those that are not what Spark's evaluator finds on the single trips."""
+    points, model, _ = _clustered(spark, sf_dir)
+    own = hotspots.cluster_silhouette(model, _pickup_counts(spark, sf_dir))
+    features = VectorAssembler(inputCols=list(hotspots.START), outputCol="features").transform(points)
+    expected = ClusteringEvaluator(predictionCol="cluster").evaluate(features)
+    return _counted(
+        out_of_range=own.where("abs(silhouette) > 1 OR silhouette IS NULL"),
+        not_equal=own.where(F.abs(F.col("silhouette") - expected) > 1e-9),
+    )
+
+
+def _broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole and broken rows of both exports, and whole rows with an unreadable field."""
+    found = []
+    for name, lines, read in (
+        ("trips", tables.trips_lines, read_trips),
+        ("weather", tables.weather_lines, read_weather),
+    ):
+        path = scratch_path(spark, f"{name}-lines")
+        tables.write_lines(lines(spark, sf_dir), path)
+        flagged = read(spark, path, flag_unreadable=True)
+        found.append(record_summary(flagged).select(F.lit(name).alias("name"), "whole", "broken", "unreadable"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _quality_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality summary of an export with broken rows."""
+    path = scratch_path(spark, "trips-lines")
+    tables.write_lines(tables.trips_lines(spark, sf_dir), path)
+    trips_read = records.normalize_trips(read_trips(spark, path, flag_unreadable=True))
+    return _rounded(trips.quality_summary(trips_read), 6, "bad_pct")
+
+
 def _scan_csv_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "weather-csv")
     headers = {
@@ -175,8 +251,8 @@ def _cluster_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cluster_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = hotspots.fit_clusters(_pickup_counts(spark, sf_dir), CLUSTERS)
-    return hotspots.cluster_silhouette(model, tables.trip_points(spark, sf_dir))
+    counts = _pickup_counts(spark, sf_dir)
+    return hotspots.cluster_silhouette(hotspots.fit_clusters(counts, CLUSTERS), counts)
 
 
 def _zip_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +270,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_csv_trips": _scan_csv_trips,
     "scan_csv_weather": _scan_csv_weather,
     "unreadable_fields": _unreadable_fields,
+    "broken_records": _broken_records,
+    "quality_of_lines": _quality_of_lines,
     "stage_roundtrip": _stage_roundtrip,
     # projections
     "trip_defaults": lambda s, d: _trips(s, d).select("trip_id", "trip_seconds", "trip_miles", "fare", "tips"),
@@ -274,6 +352,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_silhouette": _cluster_silhouette,
     "cluster_check": _cluster_check,
     "hotspot_check": _hotspot_check,
+    "centre_check": _centre_check,
+    "silhouette_check": _silhouette_check,
     "nearest_zips": lambda s, d: _rounded(_nearest(s, d), 6, "miles"),
     "zip_pairs": _zip_pairs,
 }
@@ -310,5 +390,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same questions as SQL. Samples and K-means results have none: they are not unique answers."""
+    """The same questions as SQL. K-means results have none: they are not unique answers."""
     return {**oracle.oracle_sql(), **_LLM_SQL}

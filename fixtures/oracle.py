@@ -137,6 +137,8 @@ def _geo(select: str, extra: str = "") -> str:
     return "WITH" + _POINTS + extra + "\n" + select
 
 
+# The first 32 bits of the MD5 of the seed and the key.
+_DIGEST = "CAST('0x' || substr(md5('81=' || CAST(trip_id AS VARCHAR)), 1, 8) AS BIGINT)"
 _RAW_TRIPS_ONLY = "WITH" + _TRIPS_RAW.replace("{unit}", "second") + "\n"
 _TRIP_FIELDS = "trip_id, taxi_id, start_ts, end_ts, trip_seconds, trip_miles, fare, tips, speed_mph, midpoint_hour, year"
 _PREPARED = "trip_id, fare, tips, speed_mph, start_ts, end_ts, midpoint_hour, trip_miles"
@@ -176,6 +178,34 @@ def oracle_sql() -> dict[str, str]:
   UNION ALL SELECT 'fare', count(*) FROM trips_raw WHERE trip_id % 13 = 4 AND fare IS NOT NULL
   UNION ALL SELECT 'tips', count(*) FROM trips_raw WHERE trip_id % 17 = 5
   UNION ALL SELECT unnest(['start_lat', 'start_lng', 'end_lat', 'end_lng']), CAST(0 AS BIGINT))""",
+        "broken_records": "WITH" + _TRIPS_RAW.replace("{unit}", "second") + "," + _WEATHER + """,
+trip_rows AS (
+  SELECT trip_id % 19 = 6 OR trip_id % 23 = 8 AS broken,
+         trip_id % 11 = 3 OR (trip_id % 13 = 4 AND fare IS NOT NULL) OR trip_id % 17 = 5 AS unreadable
+  FROM trips_raw),
+weather_rows AS (
+  SELECT CAST(measurement_id AS BIGINT) % 19 = 6 OR CAST(measurement_id AS BIGINT) % 23 = 8 AS broken,
+         CAST(measurement_id AS BIGINT) % 29 = 3 AND interval_rain IS NOT NULL AS unreadable
+  FROM weather_raw)
+SELECT 'trips' AS name, count(*) FILTER (NOT broken) AS whole, count(*) FILTER (broken) AS broken,
+       count(*) FILTER (NOT broken AND unreadable) AS unreadable FROM trip_rows
+UNION ALL SELECT 'weather', count(*) FILTER (NOT broken), count(*) FILTER (broken),
+       count(*) FILTER (NOT broken AND unreadable) FROM weather_rows""",
+        "quality_of_lines": "WITH" + _TRIPS_RAW.replace("{unit}", "second") + """,
+as_read AS (
+  SELECT trip_id % 19 = 6 OR trip_id % 23 = 8 AS broken,
+         trip_id % 11 = 3 OR (trip_id % 13 = 4 AND fare IS NOT NULL) OR trip_id % 17 = 5 AS unreadable,
+         coalesce(trip_seconds, 0) AS seconds,
+         CASE WHEN trip_id % 11 = 3 THEN 0 ELSE coalesce(trip_miles, 0) END AS miles,
+         CASE WHEN trip_id % 13 = 4 THEN 0 ELSE coalesce(fare, 0) END AS fare
+  FROM trips_raw),
+judged AS (
+  SELECT *, seconds >= 60 AND miles <= 1000 AND fare <= 2000 AND miles / seconds * 3600 <= 100 AS good FROM as_read)
+SELECT count(*) FILTER (NOT broken) AS trips, count(*) FILTER (NOT broken AND good) AS good,
+       count(*) FILTER (NOT broken AND NOT good) AS bad,
+       round(CAST(count(*) FILTER (NOT broken AND NOT good) AS DOUBLE) / count(*) FILTER (NOT broken) * 100 + 1e-10, 6) AS bad_pct,
+       count(*) FILTER (NOT broken AND unreadable) AS unreadable, count(*) FILTER (broken) AS broken
+FROM judged""",
         "stage_roundtrip": _trips(f"SELECT {_TRIP_FIELDS} FROM trips"),
         # projections
         "trip_defaults": _trips("SELECT trip_id, trip_seconds, trip_miles, fare, tips FROM trips"),
@@ -198,6 +228,15 @@ def oracle_sql() -> dict[str, str]:
         "year_slice": _trips(f"SELECT {_TRIP_FIELDS} FROM good WHERE year = 2025"),
         "taxi_slice": _trips("SELECT trip_id, taxi_id, start_ts, fare, tips FROM good WHERE taxi_id = 7"),
         "valid_points": _geo("SELECT * FROM points WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL"),
+        "sample_trips": _trips(f"SELECT {_TRIP_FIELDS} FROM trips WHERE {_DIGEST} < 42949672"),
+        # As many copies of a row as limits of the Poisson distribution lie below its digest.
+        "bootstrap_points": _geo(
+            f"SELECT points.* FROM points JOIN limits ON {_DIGEST} >= copies_from",
+            """,
+limits AS (
+  SELECT floor(sum(exp(-0.1) * pow(0.1, i) / factorial(CAST(i AS INTEGER))) OVER (ORDER BY i) * 4294967296) AS copies_from
+  FROM (SELECT unnest(range(9)) AS i))""",
+        ),
         "sample_check": "SELECT unnest(['foreign', 'repeated', 'foreign_points']) AS name, CAST(0 AS BIGINT) AS rows",
         # counts and quality
         "trip_count": _trips("SELECT count(*) AS trips FROM trips"),
@@ -287,6 +326,12 @@ def oracle_sql() -> dict[str, str]:
             "SELECT start_lat, start_lng, count(*) AS trips FROM points "
             "WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL GROUP BY start_lat, start_lng"
         ),
+        "centre_check": _geo(
+            "SELECT 'centres' AS name, least(10, count(*)) AS rows FROM (SELECT DISTINCT start_lat, start_lng FROM points "
+            "WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL) "
+            "UNION ALL SELECT unnest(['not_mean', 'out_of_order', 'parts_out_of_order']), CAST(0 AS BIGINT)"
+        ),
+        "silhouette_check": "SELECT unnest(['out_of_range', 'not_equal']) AS name, CAST(0 AS BIGINT) AS rows",
         "nearest_zips": _geo("SELECT lat, lng, place, zip, round(miles + 1e-10, 6) AS miles FROM nearest", _NEAREST),
         "zip_pairs": _geo(
             "SELECT DISTINCT p.trip_id, least(s.zip, e.zip) AS zip_a, greatest(s.zip, e.zip) AS zip_b "

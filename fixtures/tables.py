@@ -58,6 +58,36 @@ def trips_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines(df: DataFrame, event: Column) -> DataFrame:
+    """The rows of an export as lines of text under a header line; some lack their last two fields, some have one more."""
+    fields = F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns])
+    fields = F.when(event % 19 == 6, F.slice(fields, 1, len(df.columns) - 2)).otherwise(fields)
+    fields = F.when((event % 19 != 6) & (event % 23 == 8), F.array_append(fields, F.lit("more"))).otherwise(fields)
+    return df.select(F.array_join(fields, ",").alias(",".join(df.columns)))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """As they are: nothing is quoted, and every file begins with the header."""
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+
+
+def trips_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(trips_text(spark, sf_dir), F.col("Trip ID"))
+
+
+def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    event = F.col("measurement_id").cast("bigint")
+    rain = F.when(event % 29 == 3, F.concat(F.col("interval_rain").cast("string"), F.lit("mm")))
+    export = weather_raw(spark, sf_dir).select(
+        F.col("measurement_id").alias("Measurement ID"),
+        F.col("station").alias("Station Name"),
+        F.col("measured_text").alias("Measurement Timestamp"),
+        rain.otherwise(F.col("interval_rain").cast("string")).alias("Interval Rain"),
+        F.col("intensity").alias("Rain Intensity"),
+    )
+    return _lines(export, F.col("Measurement ID").cast("bigint"))
+
+
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw weather measurements from ``events``, hourly, over six months and three stations."""
     measured = _shifted(truncate_time(F.col("ts"), "hour"), 6)

@@ -80,3 +80,43 @@ def test_silhouette_against_brute_force(spark, points, model):
         outside = min(squared[i, cluster == c].mean() for c in set(cluster) - {own})
         values.append((outside - inside) / max(inside, outside))
     assert hotspots.cluster_silhouette(model, points).first().silhouette == pytest.approx(np.mean(values), abs=1e-9)
+
+
+def brute_silhouette(where, cluster):
+    squared = ((where[:, None, :] - where[None, :, :]) ** 2).sum(axis=2)
+    values = []
+    for i, own in enumerate(cluster):
+        members = cluster == own
+        inside = squared[i, members].sum() / max(members.sum() - 1, 1)
+        outside = min(squared[i, cluster == c].mean() for c in set(cluster) - {own})
+        values.append(0.0 if members.sum() == 1 else (outside - inside) / max(inside, outside))
+    return np.mean(values)
+
+
+def test_silhouette_with_heavy_positions_alone_and_far_from_zero(spark):
+    """Positions that very many trips share, a trip alone in its cluster, and clusters a few metres wide."""
+    r = np.random.default_rng(4)
+    rows = [(41.9, -87.6)] * 300 + [(41.90001, -87.60002)] * 7 + [(10.0, 10.0)]
+    rows += [(41.8 + x, -87.7 + y) for x, y in r.normal(0, 1e-5, (40, 2)).tolist()]
+    trips = spark.createDataFrame(rows, "start_lat double, start_lng double")
+    counts = hotspots.pickup_counts(trips)
+    model = hotspots.fit_clusters(counts, 3)
+    placed = hotspots.cluster_points(model, trips).collect()
+    want = brute_silhouette(np.array([(p.start_lat, p.start_lng) for p in placed]), np.array([p.cluster for p in placed]))
+    assert len({p.cluster for p in placed}) == 3
+    for table in (trips, counts):
+        assert hotspots.cluster_silhouette(model, table).first().silhouette == pytest.approx(want, abs=1e-9)
+
+
+def test_silhouette_needs_two_clusters(spark, model):
+    one = spark.createDataFrame([(0.1, 0.1)] * 3, "start_lat double, start_lng double")
+    assert hotspots.cluster_silhouette(model, one).first().silhouette is None
+    assert hotspots.cluster_silhouette(model, one.limit(0)).first().silhouette is None
+
+
+def test_silhouette_reads_the_positions_once(spark, counts, model, tmp_path):
+    """After the moments of the clusters are known, one pass; the trips aren't read."""
+    path = str(tmp_path / "counts")
+    counts.write.parquet(path)
+    plan = hotspots.cluster_silhouette(model, spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1

@@ -8,8 +8,6 @@ import __spark_entry__ as spark_entry
 from tests.compare import assert_same_rows
 
 ROWS_ONLY = {
-    "sample_trips",
-    "bootstrap_points",
     "cluster_points",
     "cluster_centers",
     "cluster_hotspots",
@@ -29,13 +27,13 @@ def test_every_key_has_sql_or_is_listed():
 @pytest.mark.parametrize("name", sorted(OWN & set(spark_entry.oracle_sql())))
 def test_same_rows_as_sql(spark, sf_dir, name):
     rows = assert_same_rows(spark_entry.queries()[name](spark, sf_dir), spark_entry.oracle_sql()[name], sf_dir)
-    assert rows > 0
+    assert rows > 0 or name == "sample_trips"
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only(spark, sf_dir, name):
     df = spark_entry.queries()[name](spark, sf_dir)
-    assert df.count() >= (0 if name == "sample_trips" else 1)
+    assert df.count() >= 1
 
 
 def test_entry(spark):

@@ -11,7 +11,7 @@ from tripmetrics.operators import filters, records, zips
 from tripmetrics.operators import trips as tr
 from tripmetrics.sources import load_stage, save_stage
 
-WRITES_OR_FITS = {"cluster_centers", "cluster_silhouette"}
+WRITES_OR_FITS = {"cluster_centers", "centre_check"}
 
 
 def plan_of(df) -> str:
@@ -52,6 +52,27 @@ def test_text_times_are_parsed_once_per_row(spark, sf_dir):
     assert plan.count("try_to_timestamp") == 1
 
 
+@pytest.mark.parametrize("name", ["trips_with_rain_hourly", "time_money_corr", "rain_money_corr"])
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_the_key_of_the_rain_join_is_parsed_once(spark, sf_dir, name, limit):
+    """Of trips only: rain is a stage by then. No filter below the join tests the key for NULL."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        plan = plan_of(spark_entry.queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("try_to_timestamp") == 1, plan
+
+
+def test_the_summary_of_quality_parses_no_time(spark, sf_dir):
+    assert "try_to_timestamp" not in plan_of(spark_entry.queries()["quality_summary"](spark, sf_dir))
+
+
+def test_epoch_seconds_of_text_parse_once(spark, sf_dir):
+    assert plan_of(spark_entry.queries()["trip_unix_time"](spark, sf_dir)).count("try_to_timestamp") == 1
+
+
 def test_a_year_of_text_times_is_parsed_once_in_the_filter(spark, sf_dir):
     trips = records.normalize_trips(tables.trips_raw(spark, sf_dir))
     plan = plan_of(filters.year_slice(trips, 2025, staged=False).select("trip_id"))

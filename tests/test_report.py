@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from fixtures import tables
@@ -12,7 +14,7 @@ from tripmetrics.schema import TRIP_COLUMNS, WEATHER_COLUMNS
 from tripmetrics.sources import load_stage, read_trips, save_stage, stage
 
 ANSWERS = {
-    "trip_count", "trips_by_year", "quality_summary", "good_trips_by_year",
+    "broken_records", "trip_count", "trips_by_year", "quality_summary", "good_trips_by_year",
     "taxi_revenue_per_trip", "taxi_revenue_per_day", "top_taxis_per_trip", "top_taxi_total",
     "hourly_means", "hourly_totals", "hourly_peaks", "hourly_total_peaks", "metric_maxima",
     "overall_tip_pct", "top_tips_per_mile", "first_trips", "monthly_tip_means",
@@ -55,6 +57,9 @@ def test_report(spark, sf_dir, inputs):
     assert answer("top_taxis_per_trip").count() == 6
     assert answer("zip_pairs").count() > 0
     assert answer("rain_money_corr").count() == 1
+    assert answer("broken_records").count() == answer("quality_summary").first().broken == 0
+    # What the groups of answers staged is gone; the trips stay for later runs.
+    assert [p.name for p in (Path(inputs["out"]) / "stages").iterdir()] == ["trips"]
 
     again = {**inputs, "trips_csv": None, "trip_stage": f"{inputs['out']}/stages/trips", "zips_csv": None}
     again["out"] = inputs["out"] + "-again"
@@ -100,6 +105,20 @@ def test_report_answers_what_its_input_allows(spark, tmp_path, positions, centre
     assert len(answer("point_bounds").collect()) == 1
 
 
+def test_broken_rows_are_counted_and_listed_and_no_trips(spark, tmp_path):
+    path = small_csv(tmp_path, [(41.8, -87.6)])
+    with open(path, "a") as out:
+        out.write("100,000,01/01/2025 01:15:00 PM\n101,000,01/01/2025 01:15:00 PM,,60,1,5,5,1,2,3,4,extra\n")
+    out = str(tmp_path / "out")
+    report.run(spark, out, trips_csv=path, year=2025)
+    answer = lambda name: spark.read.parquet(f"{out}/{name}")
+    summary = answer("quality_summary").first()
+    assert (summary.trips, summary.good, summary.broken) == (40, 40, 2)
+    assert sorted(r.broken[:3] for r in answer("broken_records").collect()) == ["100", "101"]
+    assert answer("trip_count").first().trips == 40 and answer("trips_by_year").first().trips == 40
+    assert answer("taxi_revenue_per_trip").count() == 3
+
+
 def test_answers_before_a_failing_group_are_kept(spark, tmp_path, monkeypatch):
     def fail(*_, **__):
         raise RuntimeError("no clusters today")

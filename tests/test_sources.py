@@ -5,10 +5,25 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tripmetrics import functions as tm
 from tripmetrics import schema
 from fixtures import tables
-from tripmetrics.operators import filters, records
-from tripmetrics.sources import load_stage, read_trips, read_weather, read_zips, save_stage, scratch_path, stage, unreadable_fields
+from tripmetrics.operators import filters, records, trips
+from tripmetrics.schema import WEATHER_COLUMNS
+from tripmetrics.sources import (
+    Stages,
+    broken_records,
+    load_stage,
+    read_trips,
+    read_weather,
+    read_zips,
+    record_summary,
+    save_stage,
+    scratch_path,
+    stage,
+    unreadable_fields,
+    whole_records,
+)
 
 HEADER = (
     "Company,Fare,Taxi ID,Trip Start Timestamp,Trip End Timestamp,Trip Seconds,Trip Miles,Tips,"
@@ -176,6 +191,115 @@ def test_unreadable_numbers_are_told_from_missing_ones(spark, tmp_path):
     }
 
 
+def rows_read(df):
+    """Rows that the scan of a table gives, after row groups were skipped."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_row_groups_are_skipped(spark, tmp_path):
+    """For a taxi that drives all year, by the ranges of a stage in order of taxis; in any order for one that isn't there."""
+    n = 60_000
+    trips = spark.range(n).select(
+        F.col("id").alias("trip_id"),
+        F.concat(F.lit("taxi-"), F.lpad((F.col("id") % 500).cast("string"), 4, "0")).alias("taxi_id"),
+        (tm.year_one() + F.make_dt_interval(F.lit(736_000), F.lit(0), F.col("id").cast("int"))).alias("start_ts"),
+        F.md5(F.col("id").cast("string")).alias("text"),
+        F.lit(2018).alias("year"),
+    )
+    plain, ordered = str(tmp_path / "plain"), str(tmp_path / "ordered")
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "131072")
+    try:
+        save_stage(trips, plain, partition_by="year")
+        save_stage(trips, ordered, partition_by="year", sort_by=("taxi_id", "start_ts"), look_up=("taxi_id",))
+    finally:
+        hadoop.unset("parquet.block.size")
+    read = {}
+    for path in (plain, ordered):
+        for taxi in ("taxi-0077", "taxi-0077x"):
+            found = filters.taxi_slice(load_stage(spark, path), taxi)
+            assert found.count() == (120 if taxi == "taxi-0077" else 0)
+            read[path, taxi] = rows_read(found)
+    assert read[plain, "taxi-0077"] > n / 2 and read[ordered, "taxi-0077"] < n / 5, read
+    assert read[ordered, "taxi-0077x"] == 0, read
+    first = load_stage(spark, ordered).where("taxi_id = 'taxi-0003'").select("start_ts").collect()
+    assert [r.start_ts for r in first] == sorted(r.start_ts for r in first)
+
+
+def test_stages_hold_what_is_still_read(spark, tmp_path):
+    live = lambda: sorted(p.name.rsplit("-", 1)[0] for top in tmp_path.iterdir() for p in top.iterdir())
+    with Stages(spark, "sums", str(tmp_path)) as own:
+        first = own.write(spark.range(100), "first")
+        second = own.write(first.where("id > 50"), "second")
+        assert live() == ["first", "second"]
+        third = own.write(first.join(second, "id"), "third", done=("first", "second"), result=True)
+        assert live() == ["third"]
+        own.write(third.limit(1), "left behind")
+        with pytest.raises(ValueError):
+            own.write(third, "third")
+    assert live() == ["third"] and third.count() == 49
+    with pytest.raises(RuntimeError):
+        with Stages(spark, "failed", str(tmp_path)) as own:
+            own.write(spark.range(3), "result", result=True)
+            raise RuntimeError
+    assert live() == ["third"] and len(list(tmp_path.iterdir())) == 1
+
+
+def test_a_task_that_is_repeated_finds_its_input(spark, tmp_path):
+    """A stage is removed after what reads it is complete: failing tasks are tried again on the same files."""
+    with Stages(spark, "again", str(tmp_path)) as own:
+        first = own.write(spark.range(0, 1000, 1, 4), "first")
+        flag = tmp_path / "tried"
+
+        def fail_once(batches):
+            for batch in batches:
+                if 500 in batch.column(0).to_pylist() and not flag.exists():
+                    flag.touch()
+                    raise RuntimeError("lost")
+                yield batch
+
+        if spark.conf.get("spark.task.maxFailures", "1") == "1" and spark.sparkContext.master.startswith("local["):
+            with pytest.raises(Exception, match="lost"):
+                own.write(first.mapInArrow(fail_once, "id long"), "broken", done=("first",))
+            assert first.count() == 1000
+        again = own.write(first.mapInArrow(fail_once, "id long"), "second", done=("first",), result=True)
+    assert again.count() == 1000
+
+
+TRIPS_HEADER = "Trip ID,Taxi ID,Trip Start Timestamp,Trip End Timestamp,Trip Seconds,Trip Miles,Fare,Tips"
+
+
+def test_broken_rows_are_told_from_whole_ones(spark, tmp_path):
+    whole = "1,007,01/05/2025 01:15:00 PM,01/05/2025 01:45:00 PM,1800,2.5,10,2"
+    lines = [whole, "2,007,01/05/2025 01:15:00 PM,01/05/2025 01:45:00 PM", whole + ",9", "4" + whole[1:-1], "5,,,,,,,", "6", '"7, and more"' + whole[1:]]
+    (tmp_path / "trips.csv").write_text("\n".join([TRIPS_HEADER, *lines]) + "\n")
+    flagged = read_trips(spark, str(tmp_path / "trips.csv"), flag_unreadable=True)
+    assert sorted(r.trip_id for r in whole_records(flagged).collect()) == ["1", "4", "5", "7, and more"]
+    assert sorted(r.broken for r in broken_records(flagged).collect()) == sorted([lines[1], lines[2], lines[5]])
+    assert tuple(record_summary(flagged).first()) == (4, 3, 0)
+    summary = trips.quality_summary(records.normalize_trips(flagged)).first()
+    assert (summary.trips, summary.good, summary.broken) == (4, 3, 3)
+    # Also where a question uses few columns, and after a stage.
+    assert whole_records(flagged).agg(F.sum("fare")).first()[0] == 30
+    save_stage(records.normalize_trips(flagged), str(tmp_path / "stage"), partition_by="year")
+    staged = load_stage(spark, str(tmp_path / "stage"))
+    assert whole_records(staged).count() == 4 and broken_records(staged).count() == 3
+    assert "broken" not in read_trips(spark, str(tmp_path / "trips.csv")).columns
+    assert broken_records(read_trips(spark, str(tmp_path / "trips.csv"))).count() == 0
+
+
+def test_broken_weather_and_a_column_of_the_same_name(spark, tmp_path):
+    (tmp_path / "w.csv").write_text(
+        "Station Name,broken,Measurement ID,Measurement Timestamp,Interval Rain,Rain Intensity\n"
+        "Oak Street,x,m1,01/05/2025 01:00:00 PM,0.5,wet\nOak Street,x,m2,01/05/2025 01:00:00 PM\n"
+    )
+    flagged = read_weather(spark, str(tmp_path / "w.csv"), flag_unreadable=True)
+    assert tuple(record_summary(flagged).first()) == (1, 1, 1)
+    assert {tuple(r) for r in unreadable_fields(whole_records(flagged), WEATHER_COLUMNS).collect()} == {("interval_rain", 0), ("intensity", 1)}
+
+
 def test_a_stage_without_partitions_is_loaded_as_it_is(spark, tmp_path):
     path = str(tmp_path / "plain")
     save_stage(spark.createDataFrame([(1, "007")], "n int, taxi_id string"), path)

@@ -1,8 +1,10 @@
 """Column functions. All of them are compositions of Spark's built-in functions."""
 
 from tripmetrics.functions.columns import (
+    DIGESTS,
     TIMESTAMP_FORMAT,
     correlation,
+    digest_number,
     epoch_seconds,
     finite,
     midpoint_hour,
@@ -16,12 +18,15 @@ from tripmetrics.functions.columns import (
     tip_pct,
     tip_per_mile,
     truncate_time,
+    year_one,
 )
 from tripmetrics.functions.geo import haversine_miles
 
 __all__ = [
+    "DIGESTS",
     "TIMESTAMP_FORMAT",
     "correlation",
+    "digest_number",
     "epoch_seconds",
     "finite",
     "haversine_miles",
@@ -36,4 +41,5 @@ __all__ = [
     "tip_pct",
     "tip_per_mile",
     "truncate_time",
+    "year_one",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,9 +9,10 @@ from pyspark.sql import functions as F
 TIMESTAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 
 
-_DAY_SECONDS = 24 * 60 * 60
-# Whole units below a day, in seconds. Larger units are cut on the date.
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
+# Whole units below a day. Larger units are cut on the date.
+_SMALL_UNITS = ("second", "minute", "hour")
+# Times are counted from the year 1, so that none is negative: counts are cut towards zero.
+_SECONDS_TO_1970 = 62_135_596_800
 
 
 def or_zero(number: Column) -> Column:
@@ -41,18 +40,24 @@ def _epoch() -> Column:
 
 
 def truncate_time(ts: Column, unit: str | None) -> Column:
-    """The time cut down to a whole ``unit`` such as ``'hour'``; unchanged without a unit."""
+    """The time cut down to a whole ``unit`` such as ``'hour'``; unchanged without a unit.
+
+    The time is named once, so one that comes from text is parsed once wherever the result is used.
+    """
     if unit is None:
         return ts
-    if unit not in _UNIT_SECONDS:
+    if unit not in _SMALL_UNITS:
         return F.trunc(ts.cast("date"), unit).cast("timestamp_ntz") if unit != "day" else ts.cast("date").cast("timestamp_ntz")
-    over = F.pmod(_seconds_of_day(ts), F.lit(_UNIT_SECONDS[unit]))
-    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), over)
+    passed = ts - year_one()
+    if unit != "second":
+        return year_one() + passed.cast(f"interval day to {unit}")
+    seconds = passed.cast("interval second").cast("bigint").cast("decimal(18, 6)")
+    return year_one() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
-def _seconds_of_day(ts: Column) -> Column:
-    """With fractions. Fields of a zone-less timestamp are taken as they are written."""
-    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
+def year_one() -> Column:
+    """The time from which times are counted, without a zone."""
+    return F.expr("TIMESTAMP_NTZ'0001-01-01 00:00:00'")
 
 
 def speed_mph(miles: Column, seconds: Column) -> Column:
@@ -86,9 +91,18 @@ def month_name(ts: Column) -> Column:
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970-01-01, the time read as UTC."""
-    days = F.datediff(ts.cast("date"), F.lit(dt.date(1970, 1, 1))).cast("bigint")
-    return days * _DAY_SECONDS + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    """Seconds since 1970-01-01, the time read as UTC. The time is named once (see ``truncate_time``)."""
+    return (ts - year_one()).cast("interval second").cast("bigint") - _SECONDS_TO_1970
+
+
+# Digest numbers lie below this.
+DIGESTS = 1 << 32
+
+
+def digest_number(seed: int, *columns: str) -> Column:
+    """The first 32 bits of the MD5 of a seed and of values, as a number: alike for equal rows wherever they are."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.conv(F.left(F.md5(F.concat(F.lit(str(seed)), *values)), F.lit(8)), 16, 10).cast("bigint")
 
 
 def squeeze_spaces(text: Column) -> Column:

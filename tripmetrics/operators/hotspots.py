@@ -8,7 +8,6 @@ that is as small as the number of positions and in which a busy position is one
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,18 +65,45 @@ def cluster_hotspots(model: KMeansModel, counts: DataFrame) -> DataFrame:
 
 
 def cluster_silhouette(model: KMeansModel, points: DataFrame) -> DataFrame:
-    """Mean silhouette (squared Euclidean) of all trips as one row. This runs jobs.
+    """Mean silhouette (squared Euclidean) of all trips as one row. Takes ``pickup_counts`` or the trips' points.
 
-    Takes the trips, not their counts: the evaluator leaves a row's whole weight out of the row's own
-    cluster, which for counts would also leave out the other trips at the same position. It compares
-    trips with cluster totals, so its work is linear in the trips. NULL where fewer than two clusters are in
-    use: a silhouette compares two. Pass the two position columns of a stage: the trips are read several times.
+    The mean squared distance from a position to the trips of a cluster is its squared distance to their mean plus
+    their variance. So a cluster is known by its number of trips, its mean and its variance, one aggregate gives these,
+    and a second pass over the positions the silhouettes. In its own cluster a trip is left out of the trips that it is
+    compared with, and the others at its position are not. Sums are taken from the centres, so that they stay small.
+
+    A trip alone in its cluster has silhouette 0. NULL where fewer than two clusters are in use: a silhouette compares
+    two. Runs a job for one row a cluster; pass the counts as a stage and the trips are not read.
     """
-    features = _with_features(valid_points(points.select(*START), START)).select("features")
-    found = model.transform(features)
-    in_use = found.groupBy("cluster").count().limit(2).count()
-    value = float(ClusteringEvaluator(predictionCol="cluster").evaluate(found)) if in_use > 1 else None
-    return points.sparkSession.createDataFrame([(value,)], "silhouette double")
+    counts = points if "trips" in points.columns else pickup_counts(points)
+    placed = model.transform(_with_features(valid_points(counts, START))).select("cluster", *START, "trips")
+    centres = [tuple(map(float, c)) for c in model.clusterCenters()]
+    at = F.get(F.array(*[F.array(F.lit(lat), F.lit(lng)) for lat, lng in centres]), F.col("cluster"))
+    off = [F.col(c) - at[i] for i, c in enumerate(START)]
+    sums = placed.groupBy("cluster").agg(
+        F.sum("trips"), *[F.sum(F.col("trips") * o) for o in off], F.sum(F.col("trips") * (off[0] * off[0] + off[1] * off[1]))
+    )
+    moments = []
+    for cluster, n, *shift, squares in sums.collect():
+        shift = [s / n for s in shift]
+        mean = [c + s for c, s in zip(centres[cluster], shift)]
+        moments.append((cluster, n, *mean, max(0.0, squares / n - shift[0] ** 2 - shift[1] ** 2)))
+    if len(moments) < 2:
+        return points.sparkSession.createDataFrame([(None,)], "silhouette double")
+
+    names = ("of", "n", *START, "spread")
+    known = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in moments])
+    far = lambda m: sum((F.col(c) - m[c]) * (F.col(c) - m[c]) for c in START) + m["spread"]
+    outside = F.array_min(F.transform(known, lambda m: F.when(m["of"] != F.col("cluster"), far(m))))
+    own = F.filter(known, lambda m: m["of"] == F.col("cluster"))[0]
+    n = own["n"].cast("double")
+    inside = far(own) * n / F.nullif(n - 1, F.lit(0.0))
+    valued = placed.select("trips", outside.alias("outside"), inside.alias("inside"))
+    most = F.nullif(F.greatest("outside", "inside"), F.lit(0.0))
+    value = F.when(F.col("inside").isNull(), F.lit(0.0)).otherwise(
+        F.coalesce((F.col("outside") - F.col("inside")) / most, F.lit(0.0))
+    )
+    return valued.agg((F.sum(F.col("trips") * value) / F.sum("trips")).alias("silhouette"))
 
 
 def can_cluster(counts: DataFrame) -> bool:

@@ -14,10 +14,10 @@ def normalize_trips(raw: DataFrame) -> DataFrame:
     """Parse and clean raw trips once.
 
     Missing numbers become 0, times become ``timestamp_ntz`` (NULL if unreadable), and speed, midpoint
-    hour and start year are added. Position columns and the names of unreadable fields pass through, NULLs kept. Columns that a query does
-    not use cost nothing: Catalyst prunes them together with their parsing.
+    hour and start year are added. Position columns, the names of unreadable fields and the text of broken rows pass
+    through, NULLs kept. Columns that a query does not use cost nothing: Catalyst prunes them with their parsing.
     """
-    passed_on = [c for c in (*POSITION_COLUMNS, "unreadable") if c in raw.columns]
+    passed_on = [c for c in (*POSITION_COLUMNS, "unreadable", "broken") if c in raw.columns]
     typed = raw.select(
         "trip_id",
         "taxi_id",

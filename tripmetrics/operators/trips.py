@@ -6,7 +6,7 @@ on how many trips the largest group has.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
@@ -30,28 +30,43 @@ def trips_by_year(trips: DataFrame) -> DataFrame:
 def quality_summary(trips: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """All, good and bad trips and the share of bad ones, from one scan.
 
-    With the column ``unreadable`` of the CSV reader also the trips in which a filled field could not be read.
+    With the column ``unreadable`` of the CSV reader also the trips in which a filled field could not be read, and
+    with ``broken`` the rows with too few or too many fields, which are neither trips nor counted as such.
+    One aggregate over all rows: the start year, which would be parsed for each of them, plays no part.
     """
-    return summary_of_years(counts_by_year(trips, rules))
+    return _summary(trips.agg(*_quality_counts(trips, rules)))
+
+
+def _quality_counts(trips: DataFrame, rules: QualityRules) -> list[Column]:
+    if "broken" not in trips.columns:
+        counts = [F.count("*").alias("trips"), F.count_if(rules.is_good()).alias("good")]
+        if "unreadable" in trips.columns:
+            counts.append(F.count_if(F.size("unreadable") > 0).alias("unreadable"))
+        return counts
+    whole = F.col("broken").isNull()
+    counts = [F.count_if(whole).alias("trips"), F.count_if(whole & rules.is_good()).alias("good")]
+    if "unreadable" in trips.columns:
+        counts.append(F.count_if(whole & (F.size("unreadable") > 0)).alias("unreadable"))
+    return [*counts, F.count("broken").alias("broken")]
 
 
 def counts_by_year(trips: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """All and good trips by start year, and those with unreadable fields where that is known.
+    """All and good trips by start year, and those with unreadable fields and broken rows where that is known.
 
     One scan for all questions about counts; trips without a readable start are the row of the NULL year.
     """
-    counts = [F.count("*").alias("trips"), F.count_if(rules.is_good()).alias("good")]
-    if "unreadable" in trips.columns:
-        counts.append(F.count_if(F.size("unreadable") > 0).alias("unreadable"))
-    return trips.groupBy("year").agg(*counts)
+    return trips.groupBy("year").agg(*_quality_counts(trips, rules))
 
 
 def summary_of_years(years: DataFrame) -> DataFrame:
     """``quality_summary`` from ``counts_by_year``."""
     names = [c for c in years.columns if c != "year"]
-    sums = years.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    return _summary(years.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]))
+
+
+def _summary(sums: DataFrame) -> DataFrame:
     bad = F.col("trips") - F.col("good")
-    rest = [c for c in names if c not in ("trips", "good")]
+    rest = [c for c in sums.columns if c not in ("trips", "good")]
     return sums.select("trips", "good", bad.alias("bad"), tm.share_pct(bad, F.col("trips")).alias("bad_pct"), *rest)
 
 

@@ -35,6 +35,8 @@ CUBE_SIDE = 2.002
 # Distances are compared after different roundings; the slack is far above those and far below a metre.
 ROUNDING_SLACK = 1e-9
 ROOT_CELL = 1
+# Parts of the cube that every position meets at first; a step leads to no more than this from one cell.
+FIRST_PARTS = 4**3
 
 # A cell's number. Those of a level with n cells per axis lie between n ** 3 and 2 * n ** 3, so cells of
 # different levels never share a number.
@@ -107,26 +109,43 @@ def _distances(axis_distance: str) -> str:
     return " + ".join(_square(axis_distance.format(a=a)) for a in "xyz")
 
 
+def _first_parts(tree: DataFrame) -> tuple[int, int, DataFrame]:
+    """The level that the search starts on, the deepest level, and the cells that every position meets first.
+
+    Postcodes of one country lie in few cells of the upper levels. All levels down to the last one on which there are at
+    most ``FIRST_PARTS`` cells, leaves above it included, are one step.
+    """
+    counts = tree.filter("parent <> cell").groupBy("level").agg(F.count("*").alias("n"), F.count_if("leaf").alias("leaves"))
+    levels = sorted(tuple(r) for r in counts.collect())
+    if not levels:
+        return 0, 0, F.broadcast(tree.filter(F.col("parent") == ROOT_CELL))
+    start, above = levels[0][0], 0
+    for level, n, leaves in levels:
+        if n + above <= FIRST_PARTS:
+            start = level
+        above += leaves
+    parts = tree.filter("parent <> cell").filter((F.col("level") == start) | (F.col("leaf") & (F.col("level") < start)))
+    return start, levels[-1][0], F.broadcast(parts.withColumn("parent", F.lit(ROOT_CELL).cast("bigint")))
+
+
 def leaves_in_reach(points: DataFrame, tree: DataFrame, k: int, max_miles: float | None = None) -> DataFrame:
     """The leaves that can hold one of the ``k`` nearest postcodes of a position, with their counts.
 
     Distances are squares of straight lines in units of the cube's side. All steps of a position stay in one
     window partition; only where the tree is too large to broadcast are cells shuffled to it.
     """
-    deepest = tree.filter("parent <> cell").agg(F.max("level")).first()[0] or 0
+    start, deepest, parts = _first_parts(tree)
     position = ["lat", "lng", "x", "y", "z"]
     # Everything lies in the whole cube, cell 1. Written as its cell, so that the first join has a key as well.
     frontier = points.selectExpr(*position, f"cast(floor(x) AS bigint) + {ROOT_CELL} AS at")
-    # At most 4 ** 3 parts of the cube, or the cube itself: every position meets these.
-    parts = F.broadcast(tree.filter(F.col("parent") == ROOT_CELL))
     farthest = None
     if max_miles is not None:
         straight = 2 * math.sin(min(max_miles / EARTH_RADIUS_MILES, math.pi) / 2) / CUBE_SIDE
         farthest = straight * straight * (1 + ROUNDING_SLACK) + ROUNDING_SLACK**2
     of_position = Window.partitionBy("lat", "lng")
     by_far = of_position.orderBy("far", "cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for step in range(max(1, deepest // LEVELS.step)):
-        onward = tree if step else parts
+    for level in range(start, max(start, deepest) + 1, LEVELS.step):
+        onward = parts if level == start else tree
         moved = frontier.drop("held").join(onward, F.col("at") == F.col("parent")).selectExpr(
             *position,
             "cell",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripmetrics import functions as tm
 from tripmetrics.operators import filters, hotspots, rain, records, trips as tr, zips
-from tripmetrics.sources import stage
+from tripmetrics.sources import broken_records, stage
 
 Answers = dict[str, DataFrame]
 
@@ -20,12 +20,16 @@ Answers = dict[str, DataFrame]
 def record_counts(
     trips: DataFrame, rules: filters.QualityRules = filters.QualityRules(), folder: str | None = None
 ) -> Answers:
-    """How many trips are there, in all and by year, how many are bad, and how many good ones by year?"""
+    """How many trips are there, in all and by year, how many are bad, and how many good ones by year?
+
+    Takes a table with its broken rows, if it was read with them, and lists their texts as well.
+    """
     years = stage(tr.counts_by_year(trips, rules), "years", folder)
     known = years.filter("year IS NOT NULL")
-    return {
+    quarantine = {"broken_records": broken_records(trips)} if "broken" in trips.columns else {}
+    return quarantine | {
         "trip_count": years.agg(F.coalesce(F.sum("trips"), F.lit(0)).alias("trips")),
-        "trips_by_year": known.select("year", "trips"),
+        "trips_by_year": known.filter("trips > 0").select("year", "trips"),
         "quality_summary": tr.summary_of_years(years),
         "good_trips_by_year": known.filter("good > 0").select("year", F.col("good").alias("trips")),
     }
@@ -82,7 +86,7 @@ def pickup_hotspots(good: DataFrame, clusters: int, folder: str | None = None) -
         found = (
             hotspots.cluster_centers(good.sparkSession, model),
             hotspots.cluster_hotspots(model, counts),
-            hotspots.cluster_silhouette(model, good),
+            hotspots.cluster_silhouette(model, counts),
         )
     else:
         found = hotspots.no_clusters(counts)

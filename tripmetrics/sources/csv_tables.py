@@ -44,7 +44,8 @@ def read_csv(
         while record in header:
             record += "_"
         in_file_order = in_file_order.add(record, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", record)
+        # With pruning only the fields that a query uses are split, and rows look whole.
+        reader = reader.option("columnNameOfCorruptRecord", record).option("columnPruning", False)
     table = reader.schema(in_file_order).csv(path)
     present = [c for c in columns if c.header in header]
     values = [
@@ -55,7 +56,9 @@ def read_csv(
         numbers = [c for c in present if c.type != T.StringType()]
         flags = [F.when((F.trim(_field(c)) != "") & _value(c).isNull(), F.lit(c.name)) for c in numbers]
         values.append(F.array_compact(F.array(*flags)).cast("array<string>").alias(UNREADABLE))
-        values.append(F.col(f"`{record}`").alias(BROKEN))
+        # Spark refuses a query of the broken records alone; this names another column and is never true.
+        never = F.length(F.col(f"`{header[0]}`").cast("string")) < 0
+        values.append(F.coalesce(F.when(never, F.lit("")), F.col(f"`{record}`")).alias(BROKEN))
     return table.select(*values)
 
 
@@ -98,6 +101,16 @@ def broken_records(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.col(BROKEN).isNotNull()).select(BROKEN)
 
 
+def record_summary(flagged: DataFrame) -> DataFrame:
+    """Whole rows, broken rows, and whole rows with an unreadable field, of a table read with ``flag_unreadable``."""
+    whole = F.col(BROKEN).isNull()
+    return flagged.agg(
+        F.count_if(whole).alias("whole"),
+        F.count_if(~whole).alias("broken"),
+        F.count_if(whole & (F.size(UNREADABLE) > 0)).alias("unreadable"),
+    )
+
+
 def read_trips(spark: SparkSession, path: str, flag_unreadable: bool = False) -> DataFrame:
     """Taxi trips as in the file: times still text, numbers may be NULL."""
     return read_csv(spark, path, TRIP_COLUMNS, flag_unreadable)
