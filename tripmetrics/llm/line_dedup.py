@@ -23,9 +23,9 @@ Scale: a task gives the keys of equal lines once. All keys are shuffled once, in
 pairs the lines of a key. A key that more than ``JOINED_GROUP`` lines share and that would give many pairs is split by
 a second key first. Lines found by segments are without the shared one again within ``tau`` edits, so
 the segments of what is left of them are keys in turn; lines found by substrings are split by length and place. Lines
-that still share both keys aren't joined with each other: they are dealt into blocks, and in every pair of blocks a task
-compares their counts of characters, of which an edit changes two at most, so that only pairs that can be linked come
-out. Texts are not shuffled with keys; those of candidates are fetched in a later pass, in which a bitmap of fixed size
+that still share both keys aren't joined with each other: they are dealt into blocks, and every pair of blocks is
+compared inside a task, so that only links come out: by length and place, by counts of characters, of which an edit
+changes two at most, at the least of the keys that two lines share and not at the others, and then on their texts. Texts are not shuffled with keys; those of candidates are fetched in a later pass, in which a bitmap of fixed size
 keeps most other lines back. Stages are removed once they are read. What is left is work on pairs of
 different lines that are alike: a family of n variants of one line is looked at n * n / 2 times.
 
@@ -685,92 +685,130 @@ def links(docs: DataFrame, into: Stages, tau: Edits = TAU, min_chars: int = MIN_
         met = own.write(_meet(split, tau), "met-again", done=("many",))
         hot = met.where("b IS NULL").select("key", F.col("a").alias("id"), "meta").distinct()
         hot = own.write(hot, "hot")
-        blocks = _block_pairs(hot, texts, tau)
-        found = pairs.unionByName(met.where("b IS NOT NULL").select("a", "b")).unionByName(blocks)
-        pairs = own.write(_pairs_of(found), "all-pairs", done=("pairs", "met-again", "hot"))
+        found = pairs.unionByName(met.where("b IS NOT NULL").select("a", "b"))
+        pairs = own.write(_pairs_of(found), "all-pairs", done=("pairs", "met-again"))
 
         a = texts.select(F.col("h1").alias("a"), _node("h1", "h2").alias("na"), F.col("line").alias("la"))
         b = texts.select(F.col("h1").alias("b"), _node("h1", "h2").alias("nb"), F.col("line").alias("lb"))
         verified = pairs.join(a, "a").join(b, "b").select("na", "nb", "la", "lb").mapInArrow(_verify(tau), "a string, b string")
-        return into.write(_pairs_of(verified), "links")
+        blocks = own.write(_block_links(hot, texts, tau), "block-links")
+        return into.write(_pairs_of(verified.unionByName(blocks)), "links")
 
 
-def _block_pairs(hot: DataFrame, texts: DataFrame, tau: Edits) -> DataFrame:
-    """Candidate pairs ``a``, ``b`` of lines that share both keys with very many others."""
+def _block_links(hot: DataFrame, texts: DataFrame, tau: Edits) -> DataFrame:
+    """Links ``a``, ``b`` of lines that share both keys with very many others."""
     sizes = hot.groupBy("key").agg(F.count("*").alias("n"))
     dealt = hot.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK_LINES).cast("int"))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    counts = texts.select(F.col("h1").alias("id"), "line").mapInArrow(_count_characters, "id bigint, counts binary")
-    dealt = dealt.join(counts, "id")
+    lines = texts.select(F.col("h1").alias("id"), _node("h1", "h2").alias("node"), "line")
+    lines = lines.join(hot.select("id").distinct(), "id", "left_semi")
+    described = lines.mapInArrow(_describe(tau), "id bigint, node string, line string, counts binary, keys binary")
+    dealt = dealt.join(described, "id")
     # A line meets its own block and each other one, the lower number first.
     meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("key", "id", "meta", "counts", "own", meets)
+    names = ("key", "meta", "node", "line", "counts", "keys", "own")
     x, y = F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     # Blocks are small and take long, so they are spread by number and not by size.
     most = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = min(most, hot.count() // SPREAD_LINES + 1)
-    dealt = dealt.select("key", "id", "meta", "counts", "own", x, y).repartition(spread, "key", "x", "y")
-    return dealt.groupBy("key", "x", "y").applyInPandas(_compare_block(tau), "a bigint, b bigint")
+    dealt = dealt.select(*names, meets).select(*names, x, y).repartition(spread, "key", "x", "y")
+    return dealt.groupBy("key", "x", "y").applyInPandas(_compare_block(tau), "a string, b string")
 
 
-def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of every line how often characters of each of 64 kinds occur, up to 255 times."""
-    for batch in batches:
-        out = []
-        for line in batch.column("line").to_pylist():
-            points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-            out.append(np.minimum(np.bincount(points % 64, minlength=64), 255).astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], ["id", "counts"])
+def _describe(tau: Edits):
+    """Add how often characters of each of 64 kinds occur, up to 255 times, and the substring keys with their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, keys = [], []
+            for line in batch.column("line").to_pylist():
+                points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+                counts.append(np.minimum(np.bincount(points % 64, minlength=64), 255).astype(np.uint8).tobytes())
+                key, first, last = np.zeros((3, 0), np.int64)
+                if _has_grams(tau, len(line)):
+                    key, _, first, last = grams([line], [_limit(tau, len(line)) + 1])
+                keys.append(np.stack([key, np.minimum(first, _CLIP), np.minimum(last, _CLIP)]).tobytes())
+            added = [pa.array(c, pa.binary()) for c in (counts, keys)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "counts", "keys"])
+
+    return run
+
+
+def _least_shared(tables: list[np.ndarray], i: np.ndarray, j: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """The least key that both lines of a pair have at places that fit; the largest number where there is none."""
+    none = np.iinfo(np.int64).max
+    width = max(t.shape[1] for t in tables)
+    key, first, last = (np.full((len(tables), width), fill) for fill in (none, 0, 0))
+    for row, table in enumerate(tables):
+        for side, values in zip((key, first, last), table):
+            side[row, : table.shape[1]] = values
+    out = np.full(len(i), none)
+    step = max(1, (1 << 22) // max(1, width * width))
+    for k in range(0, len(i), step):
+        a, b, most = i[k : k + step], j[k : k + step], edits[k : k + step, None, None]
+        same = key[a][:, :, None] == key[b][:, None, :]
+        same &= first[a][:, :, None] - last[b][:, None, :] <= most
+        same &= first[b][:, None, :] - last[a][:, :, None] <= most
+        out[k : k + step] = np.where(same.any(axis=2), key[a], none).min(axis=1, initial=none)
+    return out
 
 
 def _compare_block(tau: Edits):
-    """Pairs of two blocks of a key whose lengths, places and counts of characters fit."""
+    """Links of two blocks of a key."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        key, x, y = (int(rows[c].iloc[0]) for c in ("key", "x", "y"))
-        rows = rows.sort_values(["id", "meta"]).drop_duplicates("id")
-        ids, meta, own = (rows[c].to_numpy() for c in ("id", "meta", "own"))
+        name, x, y = (int(rows[c].iloc[0]) for c in ("key", "x", "y"))
+        rows = rows.sort_values(["node", "meta"]).drop_duplicates("node")
+        nodes, lines = rows["node"].to_numpy(), rows["line"].tolist()
+        meta, own = rows["meta"].to_numpy(), rows["own"].to_numpy()
         counts = np.frombuffer(b"".join(rows["counts"]), np.uint8).reshape(-1, 64).astype(np.int16)
         meeting, cells = _Meeting(tau, 0, 0, 0), _Cells(tau)
         kind, size, first, _ = _unpacked(meta)
         limit = meeting.limits(size)
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-        a, b = [], []
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left.tolist():
             others = right if x != y else right[right > i]
             others = others[meeting.fits(meta, np.full(len(others), i), others, limit)]
             if kind[i] == _GRAM:
-                others = others[cells.is_first(key, size, first, i, others)]
+                others = others[cells.is_first(name, size, first, i, others)]
             apart = np.abs(counts[others] - counts[i]).sum(axis=1)
             others = others[apart <= 2 * np.minimum(limit[i], limit[others])]
-            a.append(np.full(len(others), ids[i]))
-            b.append(ids[others])
-        a, b = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (a, b))
-        return pd.DataFrame({"a": a, "b": b})
+            a.append(np.full(len(others), i))
+            b.append(others)
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a) and kind[0] == _GRAM:
+            tables = [np.frombuffer(k, np.int64).reshape(3, -1) for k in rows["keys"]]
+            # Which of the first line's keys this block is about; all of them have it.
+            names, of = cells.names(tables[0][0], np.full(tables[0].shape[1], size[0]), *tables[0][1:])
+            about = tables[0][0][of[names == name]]
+            once = np.isin(_least_shared(tables, a, b, np.minimum(limit[a], limit[b])), about)
+            a, b = a[once], b[once]
+        good = _linked([lines[i] for i in a], [lines[j] for j in b], tau)
+        return pd.DataFrame({"a": nodes[a[good]].astype(str), "b": nodes[b[good]].astype(str)})
 
     return run
 
 
-def _linked(a: str, b: str, tau: Edits) -> bool:
-    return within(a, b, _most(tau, max(len(a), len(b))))
+def _linked(a: list[str], b: list[str], tau: Edits) -> np.ndarray:
+    """The numbers of the pairs within their edits; those of many edits are looked at together first."""
+    edits = [_most(tau, max(len(x), len(y))) for x, y in zip(a, b)]
+    together = [i for i, t in enumerate(edits) if TAU < t <= _WIDE and min(len(a[i]), len(b[i])) > 2 * _WIDE]
+    together.sort(key=lambda i: (edits[i], len(a[i])))
+    apart = set()
+    for k in range(0, len(together), _TOGETHER):
+        part = together[k : k + _TOGETHER]
+        near = _can_be_within([a[i] for i in part], [b[i] for i in part], [edits[i] for i in part])
+        apart.update(i for i, n in zip(part, near.tolist()) if not n)
+    return np.array([i for i, t in enumerate(edits) if i not in apart and within(a[i], b[i], t)], np.int64)
 
 
 def _verify(tau: Edits):
-    """The pairs of a batch within their edits; those of many edits are looked at together first."""
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb, la, lb = (c.to_pylist() for c in batch.columns)
-            edits = [_most(tau, max(len(a), len(b))) for a, b in zip(la, lb)]
-            together = [i for i, t in enumerate(edits) if TAU < t <= _WIDE and min(len(la[i]), len(lb[i])) > 2 * _WIDE]
-            together.sort(key=lambda i: (edits[i], len(la[i])))
-            apart = set()
-            for k in range(0, len(together), _TOGETHER):
-                part = together[k : k + _TOGETHER]
-                near = _can_be_within([la[i] for i in part], [lb[i] for i in part], [edits[i] for i in part])
-                apart.update(i for i, n in zip(part, near.tolist()) if not n)
-            found = [i for i, t in enumerate(edits) if i not in apart and within(la[i], lb[i], t)]
-            sides = ([n[i] for i in found] for n in (na, nb))
+            good = _linked(la, lb, tau).tolist()
+            sides = ([n[i] for i in good] for n in (na, nb))
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.string()) for s in sides], ["a", "b"])
 
     return run
