@@ -30,7 +30,9 @@ def _never(trip: Column) -> Column:
     that comes from text is parsed once more. There are a thousand of them, so that very many such trips are no single key.
     """
     fraction = (F.pmod(F.xxhash64(trip), F.lit(1000)) + 1).cast("decimal(18, 6)") / 1_000_000
-    return tm.year_one() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction.cast("decimal(18, 6)"))
+    spread = tm.year_one() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction.cast("decimal(18, 6)"))
+    # The planner can't tell that the sum is never NULL, and can of a constant.
+    return F.coalesce(spread, tm.year_one())
 
 
 def trips_with_rain(trips: DataFrame, rain: DataFrame, unit: str | None = None) -> DataFrame:
