@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
@@ -75,6 +77,56 @@ def test_equals_the_library_on_whole_texts():
         assert codec.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_memory_does_not_grow_with_the_positions_of_a_slice(codec):
+    """Work arrays hold a bounded number of positions, not eight bytes and more for every byte of a slice."""
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefghij") for _ in range(8)) for _ in range(1000)]
+    texts = [" ".join(r.choice(words) for _ in range(50_000)) for _ in range(9)]
+    codec.encode(texts[:1])
+    tracemalloc.start()
+    try:
+        ids, _ = codec.encode(texts)
+        at_encoding = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        decoded = codec.decode(ids)
+        at_decoding = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    size = sum(map(len, texts))
+    assert decoded.tobytes() == "".join(texts).encode()
+    assert at_encoding < 10 * size and at_decoding < 6 * size
+
+
+def test_joined_words_equal_the_library(codec):
+    """Many new words of a slice: letters with marks, accents, newlines and runs whose merges overlap."""
+    r = random.Random(13)
+    parts = ["a", "an", "é", "Ü", "ing", "re", "aaa", "q", "ß", "ñ", "T"]
+    word = lambda: "".join(r.choice(parts) for _ in range(r.randrange(1, 6))) + r.choice(["", "", ".", ",", "!", ".\n", "\nx", "..", "1"])
+    samples = [" ".join(word() for _ in range(400)) for _ in range(8)]
+    other = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    library = Tokenizer.from_file(FILE)
+    for own, want in (
+        (codec, other.encode_ordinary),
+        (bpe.codec(FILE), lambda t: library.encode(t, add_special_tokens=False).ids),
+    ):
+        assert own.joins
+        for _ in range(2):
+            ids, counts = own.encode(samples)
+            assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [want(t) for t in samples]
+            own._clear()
+
+
+def test_words_are_not_joined_where_a_token_reaches_over_a_cut(tmp_path):
+    ranks = {bytes([b]): b for b in range(256)} | {b"o ": 256, b"to": 257}
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % n for t, n in ranks.items()))
+    own = bpe.Codec(str(path), P.PATTERN)
+    other = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert not own.joins
+    assert own.encode(["go to do to"])[0].tolist() == other.encode_ordinary("go to do to")
+
+
 def test_columns_digests_and_split_characters(spark):
     rows = [(1, "héllo 中文", 0), (2, None, 0), (3, "", 0), (1, "héllo 中文", 0), (None, "x " * 300_000, 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")

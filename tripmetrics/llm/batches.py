@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 # A slice holds at most this many bytes of text, or one text that is longer.
 SLICE_BYTES = 4 << 20
+_RUNS = 1 << 16
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -41,6 +42,19 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def gather(source: np.ndarray, starts: np.ndarray, lengths: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of a table of runs of ``source``, the runs ``rows``, one after the other; positions of ``_RUNS`` are held at a time."""
+    parts = [rows[i : i + _RUNS] for i in range(0, len(rows), _RUNS)]
+    out = np.empty(sum(int(lengths[p].sum()) for p in parts), source.dtype)
+    at = 0
+    for part in parts:
+        positions = ragged(starts[part], lengths[part])
+        # Positions are in bounds; without a mode numpy would copy them once more.
+        np.take(source, positions, out=out[at : at + len(positions)], mode="clip")
+        at += len(positions)
+    return out
+
+
 def free_name(name: str, df: DataFrame) -> str:
     """``name``, with underscores behind it until no column of ``df`` is called so; case doesn't matter to Spark."""
     taken = {c.lower() for c in df.columns}

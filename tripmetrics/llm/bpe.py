@@ -2,7 +2,8 @@
 
 The tokenizers library merges; this module feeds it. A text is cut only where the splitting pattern always
 cuts (before a single space between two other characters, and around runs of Latin letters), and equal pieces
-of a slice are encoded once. Every byte of a piece is written as one character, the byte table that byte-level
+of a slice are encoded once. Where no token reaches over such a cut, no merge does, and the model gets many new words in
+one string. Every byte of a piece is written as one character, the byte table that byte-level
 vocabularies use; decoding reverses the table, so characters that are split over ids come back whole.
 
 Two sources of a vocabulary: a tokenizers file, or a file of ranks, for which the merges are derived: every way
@@ -23,6 +24,7 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -31,22 +33,26 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-from tripmetrics.llm.batches import extended, ragged, slices
+from tripmetrics.llm.batches import extended, gather, slices
 
 # Pieces and words kept between slices; a fuller cache is emptied.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
+# New words that the model gets in one string.
+_JOINED = 32
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 # Fixed value: all white space that any of the libraries knows.
 _WHITE = " \t\n\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # A space beside other white space or at an end: where these occur, words are cut by a slower pattern.
 _ODD_SPACE = rf" [{_WHITE}]|[{_WHITE}] |\A | \z"
 _WORD_CUT = re.compile(rf"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
-# Larger slices than elsewhere: a word that comes again in a slice costs little.
-_SLICE_BYTES = 8 << 20
 # Words that may be cut around letters: no apostrophe (it may belong to letters), no space but single newlines.
 _PLAIN = re.compile(rf"(?:[\x21-\x26\x28-\x7e{_LATIN}]|(?<!\n)\n(?!\n))*")
 # Most words: letters, and at most one mark behind them.
 _COMMON = re.compile(rf"( ?[{_LATIN}]+)([.,;:!?]?)")
+_JOINABLE = rf"\A[{_LATIN}]+[.,;:!?]?(?:\n[{_LATIN}]+[.,;:!?]?)*\z"
+# What joined words have where they are cut: anything else behind letters, and letters or a space behind anything else.
+_LAST = rb"(?:[A-Za-z]|(?:\A|\xc3)[\x80-\x96\x98-\xb6\xb8-\xbf])"
+_OVER_CUT = re.compile(_LAST + rb"[ \n.,;:!?]|[.,;:!?] |[\n.,;:!?][A-Za-z\xc3]")
 _RUNS = re.compile(rf"[{_LATIN}]+|[^{_LATIN}]+")
 _LETTERS = re.compile(rf"[{_LATIN}]+")
 
@@ -116,20 +122,6 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Words(dict):
-    """Number of a word in the pool of ids; a new word is encoded when it is asked for."""
-
-    def __init__(self, encode, before: str, pool: array, starts: array):
-        super().__init__()
-        self.encode, self.before, self.pool, self.starts = encode, before, pool, starts
-
-    def __missing__(self, word: str) -> int:
-        self.pool.frombytes(self.encode(self.before + word))
-        self.starts.append(len(self.pool))
-        self[word] = number = len(self.starts) - 2
-        return number
-
-
 class Codec:
     """Encodes and decodes texts of one vocabulary."""
 
@@ -152,17 +144,75 @@ class Codec:
         self.token_bytes = [b""] * (vocabulary[-1][0] + 1)
         for i, token in vocabulary:
             self.token_bytes[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
-        self.sizes = np.array([len(t) for t in self.token_bytes], np.int64)
+        self.sizes = np.array([len(t) for t in self.token_bytes], np.int32)
         self.places = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(self.token_bytes), np.uint8)
+        self.joins = self._can_join()
         self._clear()
 
     def _clear(self) -> None:
+        """Numbers of words in the pool of ids: of words behind a space, and of words at a text's beginning."""
         self.pool, self.starts = array("I"), array("q", [0])
-        # Words behind a space, and words at a text's beginning.
-        self.words, self.firsts = (_Words(self._encode_word, b, self.pool, self.starts) for b in (" ", ""))
+        self.words: dict[str, int] = {}
+        self.firsts: dict[str, int] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def _can_join(self) -> bool:
+        """Whether no token reaches over a cut of joined words, and every token of a word is what merges make of it."""
+        if any(_OVER_CUT.search(t) for t in self.token_bytes):
+            return False
+        merge = lambda chars: [t.id for t in self.tokenizer.model.tokenize(chars)]
+        for mark in ("\n", *(m + "\n" for m in ".,;:!?")):
+            if self.tokenizer.encode(mark, add_special_tokens=False).ids != merge(mark.translate(self.as_chars)):
+                return False
+        whole = [i for i, t in enumerate(self.token_bytes) if re.fullmatch(rb" [A-Za-z\x80-\xff]+", t)]
+        names = map(self.tokenizer.id_to_token, whole)
+        # A string of two words is no token itself, so it is merged even where whole tokens are looked up first.
+        end = self.as_chars[32] + self.as_chars[46]
+        return all(merge(name + end)[:1] == [i] for i, name in zip(whole, names))
+
+    def _joined(self, words: list[str]) -> np.ndarray | None:
+        """The ids of words, each behind a space; nothing where two merges may overlap."""
+        text = " " + " ".join(words)
+        latin = text if text.isascii() else text.encode().decode("latin-1")
+        if len(self.overlaps) and next(self.overlaps.iter(latin), None):
+            return None
+        chars = text.replace(" ", self.as_chars[32]).replace("\n", self.as_chars[10]) if latin is text else latin.translate(self.as_chars)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(chars)], np.uint32)
+
+    def _lookup(self, words: pa.Array, known: dict[str, int], before: str) -> np.ndarray:
+        """Numbers of different words; new ones are encoded."""
+        listed = words.to_pylist()
+        numbers = np.array([*map(known.get, listed, repeat(-1))], np.int64)
+        missing = np.flatnonzero(numbers < 0)
+        if not len(missing):
+            return numbers
+        joins = np.zeros(len(missing), bool)
+        if self.joins and before == " ":
+            new = words.take(pa.array(missing))
+            joins = pa.compute.match_substring_regex(new, _JOINABLE).to_numpy(zero_copy_only=False)
+        alone, together = missing[~joins].tolist(), missing[joins].tolist()
+        sizes = pa.compute.binary_length(words.take(pa.array(missing[joins]))).to_numpy() + 1
+        for k in range(0, len(together), _JOINED):
+            part = together[k : k + _JOINED]
+            texts = [listed[i] for i in part]
+            ids = self._joined(texts)
+            if ids is None:
+                alone += part
+                continue
+            ends = np.cumsum(sizes[k : k + _JOINED])
+            numbers[part] = np.arange(len(part)) + (len(self.starts) - 1)
+            # A word's last token ends where the word does.
+            stops = len(self.pool) + 1 + np.searchsorted(np.cumsum(self.sizes[ids]), ends)
+            self.starts.frombytes(stops.astype(np.int64).tobytes())
+            self.pool.frombytes(ids.tobytes())
+        for i in alone:
+            numbers[i] = len(self.starts) - 1
+            self.pool.frombytes(self._encode_word(before + listed[i]))
+            self.starts.append(len(self.pool))
+        known.update(zip([listed[i] for i in missing.tolist()], numbers[missing].tolist()))
+        return numbers
+
     def _encode_word(self, word: str) -> bytes:
         """The ids of a word as unsigned 32-bit numbers; so are those of pieces."""
         common = _COMMON.fullmatch(word)
@@ -186,7 +236,7 @@ class Codec:
     def _encode_piece(self, piece: str) -> bytes:
         """One letter run goes to the model as it is; anything else is split by the tokenizer first."""
         latin = piece if piece.isascii() else piece.encode().decode("latin-1")
-        if self.ranks and next(self.overlaps.iter(latin), None):
+        if len(self.overlaps) and next(self.overlaps.iter(latin), None):
             parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
             ids = [i for part, _ in parts for i in merge_by_rank(bytes(map(self.as_bytes.get, part)), self.ranks)]
         elif _LETTERS.fullmatch(piece, 1 if piece[:1] == " " else 0):
@@ -207,13 +257,12 @@ class Codec:
             runs = iter(np.split(plain, np.cumsum(counts)[:-1]))
             each = [self._odd_numbers(t) if o else next(runs) for t, o in zip(texts, odd)]
             plain, counts = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
-        chosen = plain
         starts = np.frombuffer(self.starts, np.int64)
         pool = np.frombuffer(self.pool, np.uint32) if len(self.pool) else np.zeros(0, np.uint32)
-        lengths = starts[chosen + 1] - starts[chosen]
-        ids = pool[ragged(starts[chosen], lengths)]
+        lengths = np.diff(starts)
+        ids = gather(pool, starts, lengths, plain)
         edges = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        before = np.concatenate([[0], np.cumsum(lengths)])
+        before = np.concatenate([[0], np.cumsum(lengths[plain])])
         # The pool can't grow while an array looks into it.
         del starts, pool
         return ids, np.diff(before[edges])
@@ -226,22 +275,25 @@ class Codec:
         lists = pa.compute.split_pattern(pa.array(texts, pa.large_string()), " ")
         flat, ends = lists.flatten(), lists.offsets.to_numpy()
         coded = flat.dictionary_encode()
-        known = np.fromiter(map(self.words.__getitem__, coded.dictionary.to_pylist()), np.int64)
-        numbers = known[coded.indices.to_numpy()]
+        numbers = self._lookup(coded.dictionary, self.words, " ")[coded.indices.to_numpy()]
         # The first word of a text has no space before it.
-        firsts = flat.take(pa.array(ends[:-1])).to_pylist()
-        numbers[ends[:-1]] = np.fromiter(map(self.firsts.__getitem__, firsts), np.int64)
+        firsts = flat.take(pa.array(ends[:-1])).dictionary_encode()
+        numbers[ends[:-1]] = self._lookup(firsts.dictionary, self.firsts, "")[firsts.indices.to_numpy()]
         return numbers, np.diff(ends)
 
     def _odd_numbers(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int64)
         first, *rest = _WORD_CUT.split(text)
-        return np.array([self.firsts[first], *(self.words[w] for w in rest)], np.int64)
+        found = [self._lookup(pa.array([first], pa.large_string()), self.firsts, "")]
+        if rest:
+            coded = pa.array(rest, pa.large_string()).dictionary_encode()
+            found.append(self._lookup(coded.dictionary, self.words, " ")[coded.indices.to_numpy()])
+        return np.concatenate(found)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids as one array."""
-        return self.bytes[ragged(self.places[ids], self.sizes[ids])]
+        return gather(self.bytes, self.places, self.sizes, ids)
 
     def offsets(self, ids: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
         """First character and the one after the last of every id; ids that share a character both have it."""
@@ -278,7 +330,7 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, text: str = "
     schema = extended(kept, ", ".join(f"{n} array<{'bigint' if n == 'ids' else 'int'}>" for n in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, _SLICE_BYTES):
+        for batch in slices(batches, text):
             c, texts = codec(path, pattern), texts_of(batch.column(text))
             ids, counts = c.encode(texts)
             columns = [_split(ids, counts, pa.int64())]
@@ -315,13 +367,13 @@ def digests(docs: DataFrame, path: str, pattern: str | None = None, id_column: s
     schema = extended(docs.select(id_column), "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, _SLICE_BYTES):
+        for batch in slices(batches, text):
             c = codec(path, pattern)
             ids, counts = c.encode(texts_of(batch.column(text)))
             ends = np.cumsum(counts)
-            raw = ids.astype("<u4")
-            decoded = c.decode(ids.astype(np.int64))
-            stops = np.concatenate([[0], np.cumsum(c.sizes[ids])])[ends]
+            raw = ids.astype("<u4", copy=False)
+            decoded = c.decode(ids)
+            stops = np.concatenate([[0], np.cumsum(c.sizes[ids], dtype=np.int64)])[ends]
             sides = [
                 [hashlib.sha256(a).hexdigest() for a in np.split(whole, cuts[:-1])]
                 for whole, cuts in ((raw, ends), (decoded, stops))
