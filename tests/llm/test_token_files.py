@@ -90,3 +90,11 @@ def test_files_close_by_documents_too(spark, monkeypatch):
     assert manifest.count() > 10 and max(r.docs for r in manifest.collect()) < 200
     assert [(r.doc_id, r.n_tokens) for r in got] == [(i, 3 if i % 3 == 0 else 1) for i in range(3000)]
     assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(0, 3000)]
+
+
+def test_ids_are_numbered_alike_by_table_and_by_sorting(monkeypatch):
+    want = blocks()[:5] + blocks()[6:]
+    want = [b for b in want if b.max() < tf._TABLE]
+    coded = tf.encode_blocks(want)
+    monkeypatch.setattr(tf, "_TABLE", 0)
+    assert len(want) > 3 and tf.encode_blocks(want) == coded

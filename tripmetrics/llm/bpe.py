@@ -182,7 +182,8 @@ class Codec:
 
     def _lookup(self, words: pa.Array, known: dict[str, int], before: str) -> np.ndarray:
         """Numbers of different words; new ones are encoded."""
-        listed = words.to_pylist()
+        # Faster than to_pylist, which makes a scalar of each.
+        listed = words.to_numpy(zero_copy_only=False).tolist()
         numbers = np.array([*map(known.get, listed, repeat(-1))], np.int64)
         missing = np.flatnonzero(numbers < 0)
         if not len(missing):

@@ -45,6 +45,8 @@ FILE_DOCS = 1 << 20
 _ROWS_OUT = 20_000
 MAGIC = b"IDMIX1\n\0"
 _PAIRS = 1024
+# Ids below this are numbered by a table.
+_TABLE = 1 << 18
 _STEP, _MOST = 24, 64
 _NEVER = np.int32(2**31 - 1)
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
@@ -162,10 +164,32 @@ class _Lanes:
         return self.range[:k] // self.mixed.astype(np.uint64)
 
 
+def _numbered(blocks: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of every block its different ids, ascending, and for each id its number among them."""
+    out, top = [], max(int(b.max()) for b in blocks)
+    if top >= _TABLE:
+        return [np.unique(b, return_inverse=True) for b in blocks]
+    # Ids of a vocabulary are marked in a table, which is faster than sorting them.
+    marks, number = np.zeros(top + 1, bool), np.zeros(top + 1, np.int32)
+    for block in blocks:
+        marks[block] = True
+        different = np.flatnonzero(marks)
+        marks[different] = False
+        number[different] = np.arange(len(different), dtype=np.int32)
+        out.append((different, number[block]))
+    return out
+
+
+def _packed(steps: bytes) -> bytes:
+    """Deflated with a small window: a list of ids is short, and setting up a large one would take longer."""
+    deflate = zlib.compressobj(1, zlib.DEFLATED, 12, 5)
+    return deflate.compress(steps) + deflate.flush()
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Every block of at least one id as a head, its different ids and its words."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-    found = [np.unique(blocks[i], return_inverse=True) for i in order]
+    found = _numbered([blocks[i] for i in order])
     lengths = np.array([len(blocks[i]) for i in order])
     lanes = _Lanes(np.array([len(u) for u, _ in found]), lengths)
     numbers = np.zeros((int(lengths[0]), lanes.n), np.int64)
@@ -195,7 +219,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         ids = found[j][0].astype("<u4")
         body = words[j, : used[j]].astype("<u2").tobytes()
         steps = np.diff(ids, prepend=ids.dtype.type(0)).astype("<u4").tobytes()
-        packed = zlib.compress(steps, 1)
+        packed = _packed(steps)
         check = zlib.crc32(blocks[i].astype("<u4").tobytes())
         out[i] = _HEAD.pack(lengths[j], len(ids), len(packed), len(body), check) + packed + body
     return out
