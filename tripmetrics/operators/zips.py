@@ -125,7 +125,8 @@ def _first_parts(tree: DataFrame) -> tuple[int, int, DataFrame]:
             start = level
         above += leaves
     parts = tree.filter("parent <> cell").filter((F.col("level") == start) | (F.col("leaf") & (F.col("level") < start)))
-    return start, levels[-1][0], F.broadcast(parts.withColumn("parent", F.lit(ROOT_CELL).cast("bigint")))
+    # The number of the whole cube, written as positions have it: a constant would leave the join without a key.
+    return start, levels[-1][0], F.broadcast(parts.withColumn("parent", F.expr(f"cast(floor(low_x) AS bigint) + {ROOT_CELL}")))
 
 
 def leaves_in_reach(points: DataFrame, tree: DataFrame, k: int, max_miles: float | None = None) -> DataFrame:
