@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import uuid
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
@@ -221,3 +222,63 @@ def test_pairs_looked_at_together_equal_the_full_table():
     want = [brute.edits_up_to(x, y, t) for x, y, t in zip(a, b, edits)]
     assert got.tolist() == want and 50 < sum(want) < len(want) - 50
     assert line_dedup._can_be_within(["\U00010041" * 100], ["A" * 100], [3]).tolist() == [True]
+
+
+def test_linked_pairs_equal_the_full_table():
+    """Lines that come in many pairs, with edits up to the widest band and beyond, and characters of more than 16 bits."""
+    r = random.Random(31)
+    lines = []
+    for letters in ("abcdefgh ", "abcdé 中\U0001f600", "".join(chr(0x4E00 + k) for k in range(400))):
+        for n in (1, 2, 30, 64, 65, 130, 400):
+            line = "".join(r.choice(letters) for _ in range(n))
+            lines += [line] + [edited(r, line, r.randrange(n // 4 + 2), letters) for _ in range(5)]
+    lines = sorted(set(lines) - {""})
+    near = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines) if i != j and abs(len(x) - len(y)) < 20]
+    a, b = np.array(r.sample(near, 1200)).T
+    for tau in (1, 2, lambda n: n // 12, lambda n: n // 5):
+        edits = lambda i, j: tau if isinstance(tau, int) else tau(max(len(lines[i]), len(lines[j])))
+        want = [k for k, (i, j) in enumerate(zip(a, b)) if brute.edits_up_to(lines[i], lines[j], edits(i, j))]
+        assert line_dedup._linked(lines, a, b, tau).tolist() == want
+        few = line_dedup._linked(lines, a[:40], b[:40], tau).tolist()
+        assert few == [k for k in want if k < 40]
+    assert len(want) > 50
+
+
+def test_work_on_a_far_pair_grows_with_the_length(monkeypatch):
+    """Two variants of one line of 6000 characters that are further apart than their 120 edits."""
+    r, looked = random.Random(8), []
+    alike = line_dedup._alike
+    monkeypatch.setattr(line_dedup, "_alike", lambda *x: looked.append(0) or alike(*x))
+    line = "".join(r.choice("abcdefghij ") for _ in range(6000))
+    other = edited(r, line, 400, "abcdefghij")
+    assert not line_dedup.within(line, other, 120)
+    assert line_dedup.within(line, edited(r, line, 100, "abcdefghij"), 120)
+    assert len(looked) < 6000
+
+
+def test_a_line_comes_once_in_what_its_keys_connect(spark):
+    """A family that shares many keys is one unit; of lines that are chained, every key is one."""
+    family = [(key, line) for key in range(30) for line in range(100, 140) if (key + line) % 7]
+    chain = [(1000 + key, 1000 + 39 * key + line) for key in range(30) for line in range(40)]
+    first = {key: line for key, line in reversed([*family, *chain])}
+    hot = spark.createDataFrame([(key, line, first[key]) for key, line in [*family, *chain]], "key long, id long, first long")
+    with stages.Stages(spark, "test") as own:
+        units = {}
+        for u in line_dedup._units(hot, own).collect():
+            units.setdefault((u.unit, u.whole, u.lines), []).append(u.id)
+    assert {k: sorted(v) for k, v in units.items()} == {(100, True, 40): list(range(100, 140))} | {
+        (1000 + key, False, 40): list(range(1000 + 39 * key, 1040 + 39 * key)) for key in range(30)
+    }
+
+
+@pytest.mark.parametrize("whole", [0, 4])
+def test_units_of_keys_and_of_families_give_the_same(spark, monkeypatch, whole):
+    r = random.Random(23)
+    stems = ["".join(r.choice("abcdefgh ") for _ in range(n)).strip() for n in (60, 160, 420)]
+    docs = [(i, edited(r, r.choice(stems), r.randrange(9), "abcdefgh").strip()) for i in range(90)]
+    for name, value in (("JOINED_GROUP", 2), ("PAIRS_A_LINE", 0), ("BLOCK_LINES", 20), ("WHOLE", whole), ("_FEW", 5)):
+        monkeypatch.setattr(line_dedup, name, value)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = rows(line_dedup.line_classes(df, tau=line_dedup.edits_allowed, min_chars=1))
+    assert got == rule_classes(docs, line_dedup.edits_allowed)
+    assert sum(r[4] > 0 for r in got) > 20

@@ -23,9 +23,11 @@ Scale: a task gives the keys of equal lines once. All keys are shuffled once, in
 pairs the lines of a key. A key that more than ``JOINED_GROUP`` lines share and that would give many pairs is split by
 a second key first. Lines found by segments are without the shared one again within ``tau`` edits, so
 the segments of what is left of them are keys in turn; lines found by substrings are split by length and place. Lines
-that still share both keys aren't joined with each other: they are dealt into blocks, and every pair of blocks is
-compared inside a task, so that only links come out: by length and place, by counts of characters, of which an edit
-changes two at most, at the least of the keys that two lines share and not at the others, and then on their texts. Texts are not shuffled with keys; those of candidates are fetched in a later pass, in which a bitmap of fixed size
+that still share both keys aren't joined with each other. What such keys connect is a unit, in which a line comes once
+and not for each of its keys; it is dealt into blocks, and every pair of blocks is compared inside a task, so that only
+links come out: which lines share a second key is a matrix of bits, then come lengths and counts of characters, of which
+an edit changes two at most, and then the texts, thousands of pairs at a time. Where keys chain lines that mostly share
+nothing, every key is a unit, and a pair is looked at where the least key that both lines have is. Texts are not shuffled with keys; those of candidates are fetched in a later pass, in which a bitmap of fixed size
 keeps most other lines back. Stages are removed once they are read. What is left is work on pairs of
 different lines that are alike: a family of n variants of one line is looked at n * n / 2 times.
 
@@ -59,7 +61,7 @@ Edits = int | Callable[[int], int]
 # Lines of a key up to which all of their pairs are candidates; of more lines, so many pairs a line, on average.
 JOINED_GROUP, PAIRS_A_LINE = 32, 4
 # Lines of a key that a task compares by length and place, and lines in a block.
-HELD_LINES, BLOCK_LINES = 2048, 256
+HELD_LINES, BLOCK_LINES = 2048, 512
 # Lines of blocks, about, for a task.
 SPREAD_LINES = 5000
 # How a key came about, and the largest number beside it that is told from larger ones.
@@ -70,8 +72,14 @@ _KEYS = "key bigint, id bigint, meta bigint"
 # Bits of the map of wanted lines.
 MAP_BITS = 1 << 23
 _ROWS_OUT = 50_000
-# Edits that are looked at for many pairs at once, and how many pairs; characters of lines whose keys are made at once.
-_WIDE, _TOGETHER, _HASHED_CHARS = 31, 2000, 1 << 16
+# Edits that are looked at for many pairs at once, characters of the shorter line, how many pairs and characters, and how
+# few go one by one; kinds of characters that are told apart.
+_WIDE, _LONG, _TOGETHER, _HELD_CHARS, _FEW, _KINDS = 31, 4096, 4096, 1 << 21, 96, 256
+# Lines that keys connect are a unit up to so many times the pairs of its keys; pairs in a matrix, and pairs whose
+# counts are compared at once.
+WHOLE, _MATRIX, _COUNTED = 4, 1 << 18, 1 << 14
+# Characters of lines whose keys are made at once.
+_HASHED_CHARS = 1 << 16
 _SEEN = 500_000
 _BLANK = " \t\r\n\x0b\x0c"
 
@@ -213,7 +221,10 @@ def within(a: str, b: str, tau: int = TAU) -> bool:
     a, b = a[: len(a) - same], b[: len(b) - same]
     if not a or not b:
         return max(len(a), len(b)) <= tau
-    return _banded(a, b, tau) if tau <= TAU else _by_diagonals(a, b, tau)
+    if tau <= TAU:
+        return _banded(a, b, tau)
+    # Work on bits grows with the length, work on diagonals with the square of the edits.
+    return _by_bits(a, b, tau) if len(a) < 2 * tau * tau else _by_diagonals(a, b, tau)
 
 
 def _banded(a: str, b: str, tau: int) -> bool:
@@ -244,6 +255,35 @@ def _banded(a: str, b: str, tau: int) -> bool:
     return 0 <= end < width and bool(rows[-1] >> end & 1)
 
 
+def _by_bits(a: str, b: str, tau: int) -> bool:
+    """Vertical differences of a column in a band, which moves down a row with each character of the shorter line.
+
+    ``_together`` is the same for many pairs. Paths outside the band have more than ``tau`` edits.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    gap = len(a) - len(b)
+    half = (tau - gap) // 2
+    top, goal = 2 * half + gap, half + gap
+    full = (2 << top) - 1
+    where: dict[str, int] = {}
+    for j, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << (j + half)
+    below, above, distance = full >> half << half, 0, gap
+    for i, c in enumerate(b):
+        x = where.get(c, 0) >> i & full
+        diagonal = ((x & below) + below ^ below | x | above) & full
+        plus = above | full & ~(diagonal | below)
+        minus = diagonal & below
+        if not diagonal >> goal & 1:
+            distance += 1
+            if distance > tau:
+                return False
+        moved = diagonal >> 1
+        below, above = minus | full & ~(moved | plus), moved & plus
+    return True
+
+
 def _alike(a: str, b: str, i: int, j: int) -> int:
     """How many characters from ``i`` on equal those from ``j`` on."""
     n, step, most = 0, 16, min(len(a) - i, len(b) - j)
@@ -290,7 +330,11 @@ def _id(wide: bytes) -> int:
 
 def _key(wide: bytes, i: int, start: int, n: int, size: int, tau: int) -> int:
     """Of a segment or substring; number, length of the line and edits are the seed."""
-    return xxhash.xxh3_64_intdigest(wide[4 * start : 4 * (start + n)], (size * 64 + i) * 64 + tau)
+    return xxhash.xxh3_64_intdigest(wide[4 * start : 4 * (start + n)], _seed(i, size, tau))
+
+
+def _seed(i: int, size: int, tau: int) -> int:
+    return (size * 64 + i) * 64 + tau
 
 
 def _cuts(tau: Edits, size: int) -> list[tuple[int, int, int, int]]:
@@ -361,7 +405,7 @@ def line_keys(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts, asks, limits, seen = {}, {}, {}, set()
+        cuts, asks, limits, seen, digest = {}, {}, {}, set(), xxhash.xxh3_64_intdigest
         for batch in slices(batches, "text"):
             keys, counts, ids, metas = [], [], [], []
             long, needs, own_long = [], [], []
@@ -376,12 +420,14 @@ def line_keys(docs: DataFrame, tau: Edits = TAU, min_chars: int = MIN_CHARS) ->
                         continue
                     seen.add(own)
                     if size not in cuts:
-                        cuts[size], asks[size] = _cuts(tau, size), _asks(tau, size, min_chars)
+                        # Where each key begins and ends in the line's bytes, and its seed.
+                        cuts[size] = [(4 * p, 4 * (p + n), _seed(i, size, t)) for t, i, p, n in _cuts(tau, size)]
+                        asks[size] = [
+                            (4 * p, 4 * (p + n), _seed(i, other, t)) for i, p, n, other, t in _asks(tau, size, min_chars)
+                        ]
                         limits[size] = _limit(tau, size) if _has_grams(tau, size) else 0
-                    for kind, found in (
-                        (_INDEX, [_key(wide, i, p, n, size, t) for t, i, p, n in cuts[size]]),
-                        (_PROBE, [_key(wide, i, start, n, other, t) for i, start, n, other, t in asks[size]]),
-                    ):
+                    for kind, spots in ((_INDEX, cuts[size]), (_PROBE, asks[size])):
+                        found = [digest(wide[p:q], seed) for p, q, seed in spots]
                         if found:
                             keys += found
                             counts.append(len(found))
@@ -463,7 +509,7 @@ class _Meeting:
             i, j = i[good] + start, j[good] + start
             if len(i) > self.pairs_a_line * n:
                 rows = np.unique(np.concatenate([i, j]))
-                yield _met(key[rows], own[rows], meta[rows])
+                yield _met(key[rows], own[rows], meta[rows], np.full(len(rows), own[rows[0]]))
             else:
                 left.append(i)
                 right.append(j)
@@ -473,26 +519,29 @@ class _Meeting:
             yield _met(None, pairs[0], None, pairs[1])
 
 
-def _met(key: np.ndarray | None, a: np.ndarray, meta: np.ndarray | None, b: np.ndarray | None = None) -> pa.RecordBatch:
-    """Pairs ``a``, ``b``, or rows of a key that has yet to be split."""
+def _met(key: np.ndarray | None, a: np.ndarray, meta: np.ndarray | None, b: np.ndarray) -> pa.RecordBatch:
+    """Pairs ``a``, ``b``, or rows of a key that has yet to be split, ``b`` being the same line for all of them."""
     columns = [pa.nulls(len(a), pa.int64()) if c is None else pa.array(c, pa.int64()) for c in (key, a, b, meta)]
     return pa.RecordBatch.from_arrays(columns, ["key", "a", "b", "meta"])
 
 
 def _meet(rows: DataFrame, tau: Edits) -> DataFrame:
-    """``a`` and ``b`` of candidate pairs, and ``key``, ``a``, ``meta`` of the lines of keys that have yet to be split."""
+    """``a`` and ``b`` of candidate pairs, and with a ``key`` and ``meta`` the lines of keys that have yet to be split.
+
+    There ``b`` is one line of the key.
+    """
     meeting = (tau, JOINED_GROUP, max(HELD_LINES, JOINED_GROUP), PAIRS_A_LINE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _Meeting(*meeting)
-        held, hot = [np.zeros(0, np.int64)] * 3, None
+        held, hot, one = [np.zeros(0, np.int64)] * 3, None, None
         for batch in batches:
             columns = [c.to_numpy() for c in batch.columns]
             if hot is not None:
                 # The rest of a key of which too many rows have come; they pass as they are.
                 n = int(np.searchsorted(columns[0], hot, "right"))
                 if n:
-                    yield _met(columns[0][:n], columns[1][:n], columns[2][:n])
+                    yield _met(*(c[:n] for c in columns), np.full(n, one))
                 columns = [c[n:] for c in columns]
                 if not len(columns[0]):
                     continue
@@ -505,8 +554,9 @@ def _meet(rows: DataFrame, tau: Edits) -> DataFrame:
             held = [c[last:] for c in held]
             new = np.concatenate([[True], held[1][1:] != held[1][:-1]])
             if new.sum() > own.held:
-                yield _met(*(c[new] for c in held))
-                held, hot = [np.zeros(0, np.int64)] * 3, int(held[0][0])
+                hot, one = int(held[0][0]), int(held[1][0])
+                yield _met(*(c[new] for c in held), np.full(int(new.sum()), one))
+                held = [np.zeros(0, np.int64)] * 3
         yield from own.groups(*held)
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "id", "meta")
@@ -550,14 +600,6 @@ class _Cells:
         return np.concatenate(out), np.concatenate(rows)
 
 
-    def is_first(self, name: int, size: np.ndarray, first: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
-        """Whether ``name`` is the first cell in which rows ``i`` and ``others`` meet; they may meet in four."""
-        own = np.floor(np.log(np.maximum(size, 1)) / _BAND).astype(np.int64)
-        band = int(own[i]) + (int(own[i]) & 63 != name >> 6 & 63)
-        low = first // self._width(band)
-        return (np.maximum(own[i], own[others]) == band) & (np.maximum(low[i], low[others]) & 63 == name & 63)
-
-
 def _split_grams(many: DataFrame, tau: Edits) -> DataFrame:
     """Keys of lines that share a substring, split by length and by the place of the substring."""
 
@@ -670,9 +712,9 @@ def links(docs: DataFrame, into: Stages, tau: Edits = TAU, min_chars: int = MIN_
     with Stages(docs.sparkSession, "line-links") as own:
         met = own.write(_meet(line_keys(docs, tau, min_chars), tau), "met")
         is_gram = F.shiftright("meta", 60) == _GRAM
-        many = met.where("b IS NULL").select("key", F.col("a").alias("id"), "meta").distinct()
+        many = met.where("key IS NOT NULL").select("key", F.col("a").alias("id"), "meta").distinct()
         many = own.write(many, "many")
-        pairs = own.write(_pairs_of(met.where("b IS NOT NULL")), "pairs", done=("met",))
+        pairs = own.write(_pairs_of(met.where("key IS NULL")), "pairs", done=("met",))
         both = F.explode(F.array("a", "b")).alias("id")
         wanted = own.write(pairs.select(both).unionByName(many.select("id")).distinct(), "wanted")
         texts = own.write(_texts(docs, wanted, min_chars), "texts", done=("wanted",))
@@ -683,131 +725,174 @@ def links(docs: DataFrame, into: Stages, tau: Edits = TAU, min_chars: int = MIN_
             _split_segments(many.where(~is_gram).join(named, "id"), tau, min_chars)
         )
         met = own.write(_meet(split, tau), "met-again", done=("many",))
-        hot = met.where("b IS NULL").select("key", F.col("a").alias("id"), "meta").distinct()
+        hot = met.where("key IS NOT NULL").select("key", F.col("a").alias("id"), F.col("b").alias("first")).distinct()
         hot = own.write(hot, "hot")
-        found = pairs.unionByName(met.where("b IS NOT NULL").select("a", "b"))
+        found = pairs.unionByName(met.where("key IS NULL").select("a", "b"))
         pairs = own.write(_pairs_of(found), "all-pairs", done=("pairs", "met-again"))
 
         a = texts.select(F.col("h1").alias("a"), _node("h1", "h2").alias("na"), F.col("line").alias("la"))
         b = texts.select(F.col("h1").alias("b"), _node("h1", "h2").alias("nb"), F.col("line").alias("lb"))
         verified = pairs.join(a, "a").join(b, "b").select("na", "nb", "la", "lb").mapInArrow(_verify(tau), "a string, b string")
-        blocks = own.write(_block_links(hot, texts, tau), "block-links")
-        return into.write(_pairs_of(verified.unionByName(blocks)), "links")
+        if n_hot := hot.count():
+            blocks = own.write(_block_links(hot, n_hot, texts, tau, own), "block-links", done=("units",))
+            verified = verified.unionByName(blocks)
+        return into.write(_pairs_of(verified), "links")
+
 
+def _units(hot: DataFrame, into: Stages) -> DataFrame:
+    """``unit``, ``whole``, ``id`` and ``lines``: the lines that are compared with each other, and how many these are.
+
+    ``hot`` has the ``id`` of the lines of each ``key``, each once, and ``first``, one of them. A unit is all that shared
+    keys connect, so that a line is there once and not for each of its keys. Where this chains lines that mostly share
+    nothing, every key is a unit of its own.
+    """
+    roots = components(hot.select(F.col("first").alias("a"), F.col("id").alias("b")), into)
+    lines = hot.select("id").distinct().join(roots, F.col("id") == F.col("node"), "left")
+    lines = into.write(lines.select("id", F.coalesce("root", "id").alias("root")), "hot-lines")
+    keys = hot.groupBy("key", F.col("first").alias("id")).agg(F.count("*").alias("n"))
+    keys = into.write(keys.join(lines, "id").select("key", "n", "root"), "hot-keys")
+    by_key = keys.groupBy("root").agg(F.sum(F.expr("cast(n AS double) * n")).alias("by_key"))
+    sizes = lines.groupBy("root").agg(F.count("*").alias("lines"))
+    whole = F.expr(f"cast(lines AS double) * lines <= {WHOLE} * by_key").alias("whole")
+    ways = into.write(sizes.join(by_key, "root").select("root", "lines", whole), "hot-ways")
+    wholes = lines.join(ways.where("whole"), "root")
+    apart = hot.join(keys.join(ways.where("NOT whole").select("root"), "root", "left_semi"), "key")
+    return wholes.select(F.col("root").alias("unit"), F.lit(True).alias("whole"), "id", "lines").unionByName(
+        apart.select(F.col("key").alias("unit"), F.lit(False).alias("whole"), "id", F.col("n").alias("lines"))
+    )
 
-def _block_links(hot: DataFrame, texts: DataFrame, tau: Edits) -> DataFrame:
-    """Links ``a``, ``b`` of lines that share both keys with very many others."""
-    sizes = hot.groupBy("key").agg(F.count("*").alias("n"))
-    dealt = hot.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK_LINES).cast("int"))
+
+def _block_links(hot: DataFrame, n_hot: int, texts: DataFrame, tau: Edits, into: Stages) -> DataFrame:
+    """Links ``a``, ``b`` of lines that share both keys with very many others; ``n_hot`` rows say so."""
+    dealt = into.write(_units(hot, into), "units", done=tuple(into.live("hot-") + into.live("components-")))
+    dealt = dealt.withColumn("blocks", F.ceil(F.col("lines") / BLOCK_LINES).cast("int"))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     lines = texts.select(F.col("h1").alias("id"), _node("h1", "h2").alias("node"), "line")
-    lines = lines.join(hot.select("id").distinct(), "id", "left_semi")
-    described = lines.mapInArrow(_describe(tau), "id bigint, node string, line string, counts binary, keys binary")
-    dealt = dealt.join(described, "id")
+    cells = hot.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("cells"))
+    dealt = dealt.join(lines.join(cells, "id"), "id")
     # A line meets its own block and each other one, the lower number first.
     meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    names = ("key", "meta", "node", "line", "counts", "keys", "own")
+    names = ("unit", "whole", "node", "line", "cells", "own")
     x, y = F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     # Blocks are small and take long, so they are spread by number and not by size.
     most = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = min(most, hot.count() // SPREAD_LINES + 1)
-    dealt = dealt.select(*names, meets).select(*names, x, y).repartition(spread, "key", "x", "y")
-    return dealt.groupBy("key", "x", "y").applyInPandas(_compare_block(tau), "a string, b string")
+    spread = min(most, n_hot // SPREAD_LINES + 1)
+    dealt = dealt.select(*names, meets).select(*names, x, y).repartition(spread, "unit", "whole", "x", "y")
+    return dealt.groupBy("unit", "whole", "x", "y").applyInPandas(_compare_block(tau), "a string, b string")
 
 
-def _describe(tau: Edits):
-    """Add how often characters of each of 64 kinds occur, up to 255 times, and the substring keys with their places."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, keys = [], []
-            for line in batch.column("line").to_pylist():
-                points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-                counts.append(np.minimum(np.bincount(points % 64, minlength=64), 255).astype(np.uint8).tobytes())
-                key, first, last = np.zeros((3, 0), np.int64)
-                if _has_grams(tau, len(line)):
-                    key, _, first, last = grams([line], [_limit(tau, len(line)) + 1])
-                keys.append(np.stack([key, np.minimum(first, _CLIP), np.minimum(last, _CLIP)]).tobytes())
-            added = [pa.array(c, pa.binary()) for c in (counts, keys)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "counts", "keys"])
-
-    return run
-
-
-def _least_shared(tables: list[np.ndarray], i: np.ndarray, j: np.ndarray, edits: np.ndarray) -> np.ndarray:
-    """The least key that both lines of a pair have at places that fit; the largest number where there is none."""
-    none = np.iinfo(np.int64).max
-    width = max(t.shape[1] for t in tables)
-    key, first, last = (np.full((len(tables), width), fill) for fill in (none, 0, 0))
-    for row, table in enumerate(tables):
-        for side, values in zip((key, first, last), table):
-            side[row, : table.shape[1]] = values
-    out = np.full(len(i), none)
-    step = max(1, (1 << 22) // max(1, width * width))
-    for k in range(0, len(i), step):
-        a, b, most = i[k : k + step], j[k : k + step], edits[k : k + step, None, None]
-        same = key[a][:, :, None] == key[b][:, None, :]
-        same &= first[a][:, :, None] - last[b][:, None, :] <= most
-        same &= first[b][:, None, :] - last[a][:, :, None] <= most
-        out[k : k + step] = np.where(same.any(axis=2), key[a], none).min(axis=1, initial=none)
-    return out
+def _marks(cells: list[np.ndarray]) -> np.ndarray:
+    """For each line, bits of the second keys that it has and another line as well."""
+    of = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+    found, at, times = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    kept = times[at] > 1
+    of, bit = of[kept], number[at[kept]]
+    marks = np.zeros((int((times > 1).sum()) // 64 + 1, len(cells)), np.uint64)
+    np.bitwise_or.at(marks, (bit >> 6, of), np.uint64(1) << (bit & 63).astype(np.uint64))
+    return marks
 
 
 def _compare_block(tau: Edits):
-    """Links of two blocks of a key."""
+    """Links of two blocks of a unit: of lines that share a second key, or that share it and none that is less."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        name, x, y = (int(rows[c].iloc[0]) for c in ("key", "x", "y"))
-        rows = rows.sort_values(["node", "meta"]).drop_duplicates("node")
-        nodes, lines = rows["node"].to_numpy(), rows["line"].tolist()
-        meta, own = rows["meta"].to_numpy(), rows["own"].to_numpy()
-        counts = np.frombuffer(b"".join(rows["counts"]), np.uint8).reshape(-1, 64).astype(np.int16)
-        meeting, cells = _Meeting(tau, 0, 0, 0), _Cells(tau)
-        kind, size, first, _ = _unpacked(meta)
-        limit = meeting.limits(size)
+        unit, whole, x, y = (rows[c].iloc[0] for c in ("unit", "whole", "x", "y"))
+        rows = rows.sort_values("node").drop_duplicates("node")
+        nodes, lines, own = rows["node"].to_numpy(), rows["line"].tolist(), rows["own"].to_numpy()
+        cells = [np.asarray(c, np.int64) for c in rows["cells"]]
+        marks = _marks(cells if whole else [c[c < unit] for c in cells])
+        size = np.array([len(line) for line in lines], np.int32)
+        edits = np.array([_most(tau, n) for n in size.tolist()], np.int32)
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in left.tolist():
-            others = right if x != y else right[right > i]
-            others = others[meeting.fits(meta, np.full(len(others), i), others, limit)]
-            if kind[i] == _GRAM:
-                others = others[cells.is_first(name, size, first, i, others)]
-            apart = np.abs(counts[others] - counts[i]).sum(axis=1)
-            others = others[apart <= 2 * np.minimum(limit[i], limit[others])]
-            a.append(np.full(len(others), i))
-            b.append(others)
+        step = max(1, _MATRIX // max(1, len(right)))
+        for k in range(0, len(left), step):
+            i = left[k : k + step, None]
+            gap = size[i] - size[right]
+            near = np.abs(gap) <= np.where(gap >= 0, edits[i], edits[right])
+            if x == y:
+                near &= i < right
+            share = np.zeros(near.shape, np.uint64)
+            for word in marks:
+                share |= word[i] & word[right]
+            i, j = np.nonzero(near & ((share != 0) == bool(whole)))
+            a.append(left[k + i])
+            b.append(right[j])
         a, b = np.concatenate(a), np.concatenate(b)
-        if len(a) and kind[0] == _GRAM:
-            tables = [np.frombuffer(k, np.int64).reshape(3, -1) for k in rows["keys"]]
-            # Which of the first line's keys this block is about; all of them have it.
-            names, of = cells.names(tables[0][0], np.full(tables[0].shape[1], size[0]), *tables[0][1:])
-            about = tables[0][0][of[names == name]]
-            once = np.isin(_least_shared(tables, a, b, np.minimum(limit[a], limit[b])), about)
-            a, b = a[once], b[once]
-        good = _linked([lines[i] for i in a], [lines[j] for j in b], tau)
+        good = _linked(lines, a, b, tau)
         return pd.DataFrame({"a": nodes[a[good]].astype(str), "b": nodes[b[good]].astype(str)})
 
     return run
 
 
-def _linked(a: list[str], b: list[str], tau: Edits) -> np.ndarray:
-    """The numbers of the pairs within their edits; those of many edits are looked at together first."""
-    edits = [_most(tau, max(len(x), len(y))) for x, y in zip(a, b)]
-    together = [i for i, t in enumerate(edits) if TAU < t <= _WIDE and min(len(a[i]), len(b[i])) > 2 * _WIDE]
-    together.sort(key=lambda i: (edits[i], len(a[i])))
-    apart = set()
-    for k in range(0, len(together), _TOGETHER):
-        part = together[k : k + _TOGETHER]
-        near = _can_be_within([a[i] for i in part], [b[i] for i in part], [edits[i] for i in part])
-        apart.update(i for i, n in zip(part, near.tolist()) if not n)
-    return np.array([i for i, t in enumerate(edits) if i not in apart and within(a[i], b[i], t)], np.int64)
+def _counts(lines: list[str]) -> np.ndarray:
+    """How often characters of each of 64 kinds occur in every line, up to 255 times."""
+    out = np.zeros((len(lines), 64), np.uint8)
+    for row, line in zip(out, lines):
+        points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+        row[:] = np.minimum(np.bincount(points % 64, minlength=64), 255)
+    return out
+
+
+def _triples_apart(lines: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By how much counts of three characters in a row differ, of 4096 kinds; an edit changes six of them at most."""
+    out = np.zeros(len(a), np.int64)
+    for k in range(0, len(a), 1000):
+        some, at = np.unique(np.concatenate([a[k : k + 1000], b[k : k + 1000]]), return_inverse=True)
+        counts = np.zeros((len(some), 4096), np.uint16)
+        for row, i in zip(counts, some.tolist()):
+            points = np.frombuffer(lines[i].encode("utf-32-le", "surrogatepass"), np.uint32)
+            kinds = (points[:-2] * np.uint32(0x9E3779B1) + points[1:-1]) * np.uint32(0x85EBCA6B) + points[2:]
+            row[:] = np.minimum(np.bincount(kinds * np.uint32(0xC2B2AE35) >> np.uint32(20), minlength=4096), 65535)
+        for n, (i, j) in enumerate(zip(*np.split(at, 2))):
+            out[k + n] = np.abs(counts[i].astype(np.int32) - counts[j]).sum()
+    return out
+
+
+def _counts_apart(counts: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(i), np.int64)
+    for k in range(0, len(i), _COUNTED):
+        one, other = counts[i[k : k + _COUNTED]], counts[j[k : k + _COUNTED]]
+        out[k : k + _COUNTED] = (np.maximum(one, other) - np.minimum(one, other)).sum(axis=1, dtype=np.int32)
+    return out
+
+
+def _linked(lines: list[str], a: np.ndarray, b: np.ndarray, tau: Edits) -> np.ndarray:
+    """The numbers of the pairs of lines within their edits; most are looked at together."""
+    size = np.array([len(line) for line in lines], np.int64)
+    edits = np.array([_most(tau, n) for n in size.tolist()], np.int64)
+    limit = np.where(size[a] >= size[b], edits[a], edits[b])
+    good = np.zeros(len(a), bool)
+    gap, short = np.abs(size[a] - size[b]), np.minimum(size[a], size[b])
+    # An edit changes two of the counts at most.
+    near = (gap <= limit) & (_counts_apart(_counts(lines), a, b) <= 2 * limit)
+    together = (limit + gap <= 2 * _WIDE) & (short <= _LONG)
+    many = np.flatnonzero(near & together)
+    apart = np.flatnonzero(near & ~together)
+    apart = apart[_triples_apart(lines, a[apart], b[apart]) <= 6 * limit[apart]].tolist()
+    many = many[np.argsort(short[many], kind="stable")]
+    while len(many):
+        count = min(_TOGETHER, max(_FEW, _HELD_CHARS // max(1, int(short[many[0]]))))
+        part, many = many[:count], many[count:]
+        if len(part) < _FEW:
+            apart += part.tolist()
+            continue
+        good[part], sure = _together(lines, a[part], b[part], limit[part])
+        if not sure:
+            apart += part[good[part]].tolist()
+    for i in apart:
+        good[i] = within(lines[a[i]], lines[b[i]], int(limit[i]))
+    return np.flatnonzero(good)
 
 
 def _verify(tau: Edits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb, la, lb = (c.to_pylist() for c in batch.columns)
-            good = _linked(la, lb, tau).tolist()
+            number: dict[str, int] = {}
+            a, b = (np.array([number.setdefault(x, len(number)) for x in side], np.int64) for side in (la, lb))
+            good = _linked(list(number), a, b, tau).tolist()
             sides = ([n[i] for i in good] for n in (na, nb))
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.string()) for s in sides], ["a", "b"])
 
@@ -817,55 +902,106 @@ def _verify(tau: Edits):
 def _can_be_within(a: list[str], b: list[str], edits: list[int]) -> np.ndarray:
     """For many pairs at once, whether their edit distance can be at most ``edits`` (up to ``_WIDE``).
 
-    Bit-parallel along the diagonal: one 64-bit number a pair has the vertical differences of a column in a band of
-    ``2 * most + 1`` rows, and moves down a row with each character of the shorter line. Characters are compared by 16 bits
-    and paths outside the band count for nothing, so a pair within its edits is never ruled out.
+    Characters are compared by 16 bits or less, so a pair within its edits is never ruled out.
     """
-    limit, most = np.array(edits), max(edits)
-    first, second = zip(*((x, y) if len(x) >= len(y) else (y, x) for x, y in zip(a, b)))
-    n, m = (np.array([len(x) for x in side]) for side in (first, second))
-    order = np.argsort(-m, kind="stable")
-    n, m, limit = n[order], m[order], limit[order]
-    longer = np.full((len(a), int(n.max()) + 2 * most + 2), 0xFFFF, np.uint16)
-    shorter = np.zeros((len(a), int(m.max())), np.uint16)
-    for k, i in enumerate(order.tolist()):
-        for side, line, at in ((longer, first[i], most), (shorter, second[i], 0)):
-            points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-            side[k, at : at + len(points)] = np.minimum(points & 0xFFFF, 0xFFFE)
-
-    one, width = np.uint64(1), 2 * most + 1
-    shift = np.uint64(64 - width)
-    below = np.full(len(a), (1 << 64) - (1 << (63 - most)), np.uint64)
-    above, distance = np.zeros(len(a), np.uint64), np.full(len(a), most)
-    equal = np.zeros((len(a), 64), bool)
-    rows, near = np.arange(len(a)), np.zeros(len(a), bool)
-    column = 0
-    while len(rows):
-        # Lines are in order of their lengths, so the finished ones are the last.
-        done = m <= column
-        if done.any():
-            near[order[rows[done]]] = distance[done] <= limit[done]
-        # What is on the lowest diagonal can fall again by as many characters as are left below it.
-        keep = ~done & (distance <= limit + most + m - n) if column % 32 == 0 else ~done
-        if not keep.all():
-            rows, n, m, limit, below, above, distance = (x[keep] for x in (rows, n, m, limit, below, above, distance))
-            longer, shorter = longer[keep], shorter[keep]
-            continue
-        bits = equal[: len(rows)]
-        bits[:, :width] = longer[:, column : column + width] == shorter[:, column : column + 1]
-        x = np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel() << shift
-        diagonal = (((x & below) + below) ^ below) | x | above
-        plus = above | ~(diagonal | below)
-        minus = diagonal & below
-        end = n - most - 1 - column
-        in_band = end >= 0
-        mark = one << (np.uint64(63) + np.minimum(end, 0).astype(np.int64)).astype(np.uint64)
-        step = ((plus & mark) != 0).astype(np.int64) - ((minus & mark) != 0)
-        distance = distance + np.where(in_band, (diagonal >> np.uint64(63)) == 0, step)
-        moved = diagonal >> one
-        below, above = minus | ~(moved | plus), moved & plus
-        column += 1
-    return near
+    n = len(a)
+    return _together(a + b, np.arange(n), np.arange(n, 2 * n), np.array(edits, np.int64))[0]
+
+
+def _together(lines: list[str], a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, bool]:
+    """For pairs of lines, whether their edit distance is at most ``limit``, and if that is certain.
+
+    Bit-parallel along the diagonal: one 64-bit number a pair has the vertical differences of a column in a band of 64 rows,
+    and moves down a row with each character of the shorter line. A path outside the band has more edits than the limit
+    where that and the difference of lengths are ``2 * _WIDE`` together, or less.
+    The last cell's diagonal is followed: it never falls, so a pair is given up when it is above its limit there. Where
+    a character of the shorter line stands in the band of the longer one is the same for all pairs of that line, and kept in
+    a table of lines and characters. With very many different characters some share a place in it, and nothing is certain.
+    """
+    size = np.array([len(line) for line in lines], np.int64)
+    swap = size[a] < size[b]
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    order = np.argsort(-size[b], kind="stable")
+    first, a = np.unique(a[order], return_inverse=True)
+    second, b = np.unique(b[order], return_inverse=True)
+    points = [np.frombuffer(lines[i].encode("utf-32-le", "surrogatepass"), np.uint32) for i in (*first.tolist(), *second.tolist())]
+    every = np.concatenate(points)
+    narrow = np.minimum(every & 0xFFFF, 0xFFFE)
+    sure = not len(every) or int(every.max()) < 0xFFFE
+    found = np.flatnonzero(np.bincount(narrow, minlength=1))
+    kinds = min(len(found), _KINDS)
+    sure &= kinds == len(found)
+    code = np.zeros(1 << 16, np.int64)
+    code[found] = np.arange(len(found)) % max(1, kinds)
+    codes, starts = code[narrow], np.cumsum([0, *(len(p) for p in points)])
+
+    n, m = size[first][a], size[second][b]
+    columns = int(m.max(initial=0))
+    # Of shorter lines by place; behind a line's end come characters that no pair looks at.
+    texts = np.zeros((columns, len(second)), np.int64)
+    for k, i in enumerate(range(len(first), len(points))):
+        texts[: len(points[i]), k] = codes[starts[i] : starts[i + 1]]
+    # Of longer lines, the characters that come into the band with each column; the last kind is none.
+    entering = np.full((columns + 64, len(first)), kinds, np.int64)
+    for k in range(len(first)):
+        own = codes[starts[k] : starts[k + 1]][: columns + 64]
+        entering[: len(own), k] = own
+    rows = np.arange(len(first)) * (kinds + 1)
+    entering += rows
+    table = np.zeros(len(first) * (kinds + 1), np.uint64)
+    one, half = np.uint64(1), 32
+    for t in range(half):
+        table[entering[t]] |= one << np.uint64(half + t)
+    top = one << np.uint64(63)
+
+    base, limit = rows[a], limit[order]
+    goal, distance = np.minimum(half + n - m, 63).astype(np.uint64), n - m
+    below = np.full(len(a), (1 << 64) - (1 << half), np.uint64)
+    above = np.zeros(len(a), np.uint64)
+    hits = np.zeros(len(a), np.uint64)
+    rows_of, near = np.arange(len(a)), np.zeros(len(a), bool)
+    at, x, diagonal, plus = np.zeros(len(a), np.int64), *(np.zeros(len(a), np.uint64) for _ in range(3))
+    for column in range(columns + 1):
+        # Pairs are in order of their shorter lines, so the finished ones are the last.
+        live = int(np.searchsorted(-m, -column, "left"))
+        keep = slice(0, live)
+        if live < len(m):
+            near[order[rows_of[live:]]] = distance[live:] + m[live:] - hits[live:].astype(np.int64) <= limit[live:]
+        if column % 16 == 0 and live:
+            hopeful = np.flatnonzero(distance[:live] + column - hits[:live].astype(np.int64) <= limit[:live])
+            keep = hopeful if len(hopeful) < 0.9 * live else keep
+            live = len(hopeful) if keep is hopeful else live
+        if live < len(m):
+            m, limit, base, goal, distance, below, above, hits, rows_of, b = (
+                v[keep] for v in (m, limit, base, goal, distance, below, above, hits, rows_of, b)
+            )
+            at, x, diagonal, plus = (v[:live] for v in (at, x, diagonal, plus))
+        if not live:
+            break
+        np.take(texts[column], b, out=at, mode="clip")
+        np.add(at, base, out=at)
+        np.take(table, at, out=x, mode="clip")
+        np.bitwise_and(x, below, out=diagonal)
+        diagonal += below
+        diagonal ^= below
+        diagonal |= x
+        diagonal |= above
+        np.bitwise_or(diagonal, below, out=plus)
+        np.invert(plus, out=plus)
+        plus |= above
+        # What falls, then the vertical differences of the next column.
+        below &= diagonal
+        np.right_shift(diagonal, goal, out=x)
+        x &= one
+        hits += x
+        diagonal >>= one
+        np.bitwise_or(diagonal, plus, out=x)
+        np.invert(x, out=x)
+        below |= x
+        np.bitwise_and(diagonal, plus, out=above)
+        table >>= one
+        table[entering[column + half]] |= top
+    return near, sure
 
 
 def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tau: Edits = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -880,7 +1016,7 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
         linked = links(texts, own, tau, min_chars)
         # The least place, a null id last.
         place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line_no")
-        firsts = lines.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(place).alias("first"))
+        firsts = lines.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
         firsts = own.write(firsts, "firsts")
 
         ends = linked.select(F.explode(F.array("a", "b")).alias("node"))
@@ -891,7 +1027,8 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
         near = placed.join(class_first, "root").select("h1", "h2", "class_first", "n_links")
         near = own.write(near, "near", done=("placed", "links"))
 
-        all_firsts = firsts.join(near, ["h1", "h2"], "left").select(
+        # A line that comes once and has no links is its own class.
+        all_firsts = firsts.join(near, ["h1", "h2"], "left").where("n > 1 OR n_links IS NOT NULL").select(
             F.col("h1").alias("_h1"),
             F.col("h2").alias("_h2"),
             F.coalesce("class_first", "first").alias("class_first"),
@@ -901,12 +1038,12 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
         all_firsts = own.write(all_firsts, "classes", done=("firsts", "near"), result=True)
     same = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
     out = lines.join(all_firsts, same, "left")
-    short = F.isnull("class_first")
+    alone = F.isnull("class_first")
     return out.select(
         "doc_id",
         "line_no",
-        F.when(short, F.col("doc_id")).otherwise(F.col("class_first.doc_id")).alias("class_doc"),
-        F.when(short, F.col("line_no")).otherwise(F.col("class_first.line_no")).alias("class_line"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_first.doc_id")).alias("class_doc"),
+        F.when(alone, F.col("line_no")).otherwise(F.col("class_first.line_no")).alias("class_line"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         "h1",
     )
